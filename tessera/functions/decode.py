@@ -106,15 +106,17 @@ def decode_attributes(image: Column, schema: StructType) -> Column:
 
 
 def bad_numbers(image: Column, schema: StructType) -> Column:
-    """Names of numeric attributes whose N text does not parse (array<string>)."""
+    """Comma-joined names of numeric attributes whose N text does not parse
+    ("" when all parse).  Built with concat_ws, which skips nulls, so it
+    stays inside whole-stage codegen (no higher-order function)."""
     checks = []
     for f in schema.fields:
         if isinstance(f.dataType, _INTEGRAL + _FRACTIONAL):
             n = _get(image, f"{_path(f.name)}.N", "string")
             checks.append(F.when(n.isNotNull() & n.try_cast("double").isNull(), F.lit(f.name)))
     if not checks:
-        return F.array().cast("array<string>")
-    return F.filter(F.array(*checks), lambda x: x.isNotNull())
+        return F.lit("")
+    return F.concat_ws(",", *checks)
 
 
 def attribute_names(image: Column) -> Column:

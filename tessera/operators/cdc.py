@@ -34,7 +34,7 @@ def has_image(image: Column) -> Column:
 
 def _error_text(image: Column, schema) -> Column:
     bad = bad_numbers(image, schema)
-    return F.when(F.size(bad) > 0, F.concat(F.lit("unparseable number: "), F.array_join(bad, ",")))
+    return F.when(bad != "", F.concat(F.lit("unparseable number: "), bad))
 
 
 def keep_where(df: DataFrame, cond: Column) -> DataFrame:
@@ -46,7 +46,8 @@ def keep_where(df: DataFrame, cond: Column) -> DataFrame:
     reference.  Selecting through a 0-or-1 element array keeps the condition
     above the projection: every input column is computed once per row.
     """
-    packed = F.array_compact(F.array(F.when(cond, F.struct(*[F.col(c) for c in df.columns]))))
+    packed = F.array_repeat(F.struct(*[F.col(c) for c in df.columns]),
+                            F.when(cond, F.lit(1)).otherwise(F.lit(0)))
     return df.select(F.explode(packed).alias("_row")).select("_row.*")
 
 
@@ -88,16 +89,23 @@ def to_envelope(df: DataFrame, table_name: str = TABLE_NAME, now: Column | None
     return out.select(*[f.name for f in CDC_ENVELOPE.fields])
 
 
+def _slim(c: DataFrame) -> DataFrame:
+    # only what the envelope needs crosses the row selection
+    return c.select("eventName", "eventTime",
+                    F.struct(F.col("dynamodb.SequenceNumber").alias("SequenceNumber")).alias("dynamodb"),
+                    "_image", "_error", "_outcome")
+
+
 def changes_to_bronze(changes: DataFrame, table_name: str = TABLE_NAME, now: Column | None = None) -> DataFrame:
     """Processed changes only, as envelopes (the stream handler's output)."""
-    c = classify(changes)
+    c = _slim(classify(changes))
     return to_envelope(keep_where(c, F.col("_outcome") == "processed"), table_name, now)
 
 
 def split_quarantine(changes: DataFrame, table_name: str = TABLE_NAME, now: Column | None = None
                      ) -> tuple[DataFrame, DataFrame]:
     """(good envelopes, failed records with error text) from one classification."""
-    c = classify(changes)
+    c = _slim(classify(changes))
     good = to_envelope(keep_where(c, F.col("_outcome") == "processed"), table_name, now)
     bad = keep_where(c, F.col("_outcome") == "failed").select(
         F.col("eventName"), F.col("eventTime"), F.col("dynamodb.SequenceNumber").alias("sequence_number"),

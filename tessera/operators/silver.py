@@ -52,48 +52,68 @@ def _distinct_events() -> F.Column:
     return F.size(F.collect_set("event_name")).cast("bigint")
 
 
-def silver_users(bronze: DataFrame, latest: bool = False) -> DataFrame:
-    """One row per user_id (AGG-01) with created_date / year / month / day."""
-    users = with_entity_type(bronze).filter(F.col("entity_type") == "USER").select(
-        K.strip_prefix(F.col("data.PK"), K.USER_PREFIX).alias("user_id"),
-        F.col("data.email").alias("email"),
-        F.col("data.name").alias("name"),
+TASK_ATTRS = ["user_id", "title", "description", "status", "priority", "category"]
+_FIRST = ["user_id", "email", "name", "title", "description", "status", "priority", "category"]
+
+
+def silver_entities(bronze: DataFrame, latest: bool = False) -> DataFrame:
+    """Users and tasks aggregated in ONE pass over the raw layer.
+
+    Key = (entity_type, id): id is the user id for USER rows (PK without
+    ``USER#``) and the task id for TASK rows (SK without ``TASK#``).  Both
+    silver tables are views of this one aggregate, so a query that needs
+    both shares a single scan and a single shuffle (the exchange is reused).
+    """
+    et = K.entity_type(F.col("data.PK"))
+    rows = bronze.select(
+        et.alias("entity_type"),
+        F.when(et == "USER", K.strip_prefix(F.col("data.PK"), K.USER_PREFIX))
+         .otherwise(K.strip_prefix(F.col("data.SK"), K.TASK_PREFIX)).alias("entity_id"),
+        F.when(et == "TASK", K.strip_prefix(F.col("data.PK"), K.TASK_PREFIX))
+         .otherwise(K.strip_prefix(F.col("data.PK"), K.USER_PREFIX)).alias("user_id"),
+        *[F.col(f"data.{c}").alias(c) for c in _FIRST[1:]],
         F.col("data.created_at").alias("created_at"),
         F.col("data.updated_at").alias("updated_at"),
         "processed_at", "sequence_number", "event_name",
-    )
-    agg = users.groupBy("user_id").agg(
-        *_pick(["email", "name"], latest),
+    ).filter(F.col("entity_type").isin("USER", "TASK"))
+    return rows.groupBy("entity_type", "entity_id").agg(
+        *_pick(_FIRST, latest),
         F.min("created_at").alias("created_at"),
         F.max("updated_at").alias("updated_at"),
         F.count(F.lit(1)).alias("event_count"),
         _distinct_events().alias("event_types"),
-    ).select("user_id", "_first.email", "_first.name", "created_at", "updated_at", "event_count", "event_types")
-    return date_parts_epoch(agg, "created_at")
+    )
 
 
-TASK_ATTRS = ["user_id", "title", "description", "status", "priority", "category"]
+def _entity(entities: DataFrame, kind: str) -> DataFrame:
+    # generator-based selection: a Filter on the grouping key would be pushed
+    # below the aggregate and give each entity its own scan and shuffle
+    from .cdc import keep_where
+    return keep_where(entities, F.col("entity_type") == kind)
+
+
+def users_of(entities: DataFrame) -> DataFrame:
+    u = _entity(entities, "USER").select(
+        F.col("entity_id").alias("user_id"), "_first.email", "_first.name",
+        "created_at", "updated_at", "event_count", "event_types")
+    return date_parts_epoch(u, "created_at")
+
+
+def tasks_of(entities: DataFrame) -> DataFrame:
+    t = _entity(entities, "TASK").select(
+        F.col("entity_id").alias("task_id"), *[f"_first.{c}" for c in TASK_ATTRS],
+        "created_at", "updated_at", "event_count", "event_types")
+    return date_parts_epoch(t, "created_at")
+
+
+def silver_users(bronze: DataFrame, latest: bool = False) -> DataFrame:
+    """One row per user_id (AGG-01) with created_date / year / month / day."""
+    return users_of(silver_entities(bronze, latest))
 
 
 def silver_tasks(bronze: DataFrame, latest: bool = False) -> DataFrame:
     """One row per task_id (AGG-02) with created_date / year / month / day."""
-    tasks = with_entity_type(bronze).filter(F.col("entity_type") == "TASK").select(
-        K.strip_prefix(F.col("data.SK"), K.TASK_PREFIX).alias("task_id"),
-        K.strip_prefix(F.col("data.PK"), K.TASK_PREFIX).alias("user_id"),
-        *[F.col(f"data.{c}").alias(c) for c in TASK_ATTRS[1:]],
-        F.col("data.created_at").alias("created_at"),
-        F.col("data.updated_at").alias("updated_at"),
-        "processed_at", "sequence_number", "event_name",
-    )
-    agg = tasks.groupBy("task_id").agg(
-        *_pick(TASK_ATTRS, latest),
-        F.min("created_at").alias("created_at"),
-        F.max("updated_at").alias("updated_at"),
-        F.count(F.lit(1)).alias("event_count"),
-        _distinct_events().alias("event_types"),
-    ).select("task_id", *[f"_first.{c}" for c in TASK_ATTRS], "created_at", "updated_at",
-             "event_count", "event_types")
-    return date_parts_epoch(agg, "created_at")
+    return tasks_of(silver_entities(bronze, latest))
 
 
 def silver_from_state(state: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -41,7 +41,8 @@ def gold_from_silver(bronze, silver_users: DataFrame, silver_tasks: DataFrame) -
 
 
 def gold_from_bronze(bronze: DataFrame, latest: bool = False) -> Gold:
-    return gold_from_silver(bronze, silver.silver_users(bronze, latest), silver.silver_tasks(bronze, latest))
+    ent = silver.silver_entities(bronze, latest)
+    return gold_from_silver(bronze, silver.users_of(ent), silver.tasks_of(ent))
 
 
 def event_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
