@@ -1,4 +1,447 @@
-"""Queries for the operators beyond Q01..Q18 (metrics, lookups, mutations,
-quality, monitoring, windows).  Each is registered with its reference SQL."""
+"""Queries for the operators beyond Q01..Q18: state folding, metrics,
+lookups, quality, monitoring, transitions, idempotency and the declared
+gold extensions.  Each reads the given tables (or what Spark derives from
+them) and is registered with an independent DuckDB formulation.
+
+Fixed parameters: "now" is 2024-01-31 00:00:00 UTC (the day after the last
+event); the due-date range is 2024-01-10 .. 2024-01-20; the search text is
+"task 1"; a keyset page holds 25 rows after key (TASK#1, TASK#105).
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import cdc, gold, lookup, metrics, monitor, mutate, quality, silver
+from ..sources import fixtures
+from . import model
+from .catalog import register
+
+NOW = "2024-01-31 00:00:00"
+NOW_EPOCH = 1706659200
+TODAY = "2024-01-31"
+
+
+def _now():
+    return F.lit(NOW).cast("timestamp")
+
+
+def event_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current state of the single table after replaying the event changes."""
+    return mutate.current_state(mutate.changes_with_removes(fixtures.event_changes(spark, sf_dir)))
+
+
+STATE_COLS = ["PK", "SK", "status", "priority", "category", "due_date", "created_at", "updated_at",
+              "completed_at", "email", "name", "last_login", "verification_status"]
+
+# ------------------------------------------------------------ SQL parts ---
+EV = """ev AS (
+  SELECT event_id, ts, user_id, event_type,
+         TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+         CAST(epoch_us(ts) // 1000000 AS BIGINT) AS ep,
+         (((TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) % 20) + 20) % 20 AS slot
+  FROM events WHERE event_type IN ('signup', 'view', 'click', 'purchase', 'error')
+)"""
+
+STATE = EV + """, keyed AS (
+  SELECT *, CASE WHEN event_type = 'signup' THEN 'USER#' || user_id ELSE 'TASK#' || user_id END AS pk,
+            CASE WHEN event_type = 'signup' THEN 'METADATA' ELSE 'TASK#' || (user_id * 100 + slot) END AS sk
+  FROM ev
+), last AS (
+  SELECT pk, sk, arg_max(event_id, (ts, event_id)) AS last_id FROM keyed GROUP BY pk, sk
+), state AS (
+  SELECT kd.pk AS "PK", kd.sk AS "SK",
+         CASE kd.event_type WHEN 'view' THEN 'pending' WHEN 'click' THEN 'in_progress'
+                            WHEN 'purchase' THEN 'completed' END AS status,
+         CASE WHEN kd.event_type <> 'signup' THEN ['low', 'medium', 'high', 'urgent'][((kd.k % 4) + 4) % 4 + 1] END AS priority,
+         CASE WHEN kd.event_type <> 'signup' AND ((kd.k % 5) + 5) % 5 <> 4 THEN 'cat' || (((kd.k % 5) + 5) % 5) END AS category,
+         CASE WHEN kd.event_type <> 'signup' THEN strftime(DATE '2024-01-01' + INTERVAL (kd.slot * 3) DAY, '%Y-%m-%d') END AS due_date,
+         kd.ep AS created_at, kd.ep AS updated_at,
+         CASE WHEN kd.event_type = 'purchase' THEN kd.ep END AS completed_at,
+         CASE WHEN kd.event_type = 'signup' THEN 'user' || kd.user_id || '@example.com' END AS email,
+         CASE WHEN kd.event_type = 'signup' THEN 'User ' || kd.user_id END AS name,
+         CASE WHEN kd.event_type = 'signup' THEN strftime(kd.ts, '%Y-%m-%dT%H:%M:%S.%f') END AS last_login,
+         CASE WHEN kd.event_type = 'signup' THEN ['verified', 'pending', 'rejected'][((kd.k % 3) + 3) % 3 + 1] END AS verification_status,
+         CASE WHEN kd.event_type <> 'signup' THEN 'Task ' || kd.slot END AS title,
+         CASE WHEN kd.event_type <> 'signup' THEN 'Task ' || kd.slot || ' of user ' || kd.user_id END AS description,
+         kd.user_id AS uid
+  FROM keyed kd JOIN last l ON kd.event_id = l.last_id
+  WHERE kd.event_type <> 'error'
+)"""
+
+TASK_VIEW = STATE + """, tv AS (
+  SELECT split_part("SK", '#', 2) AS id, CAST(uid AS VARCHAR) AS user_id, title, description, status, priority, category,
+         CAST(due_date AS DATE) AS due_date, created_at, updated_at, completed_at
+  FROM state WHERE "PK" LIKE 'TASK#%'
+)"""
+
+
+# ------------------------------------------------------------ state ---
+
+@register("state_from_changes", f"WITH {STATE} SELECT {', '.join(chr(34) + c + chr(34) if c in ('PK', 'SK') else c for c in STATE_COLS)} FROM state")
+def state_from_changes(spark, sf_dir):
+    """WIN-02 / MUT-08: last image per key after replaying every change."""
+    return event_state(spark, sf_dir).select(*STATE_COLS)
+
+
+@register("entity_census", f"WITH {STATE} SELECT CASE WHEN \"PK\" LIKE 'USER#%' THEN 'USER' WHEN \"PK\" LIKE 'TASK#%' THEN 'TASK' "
+          "WHEN \"PK\" LIKE 'IDEMPOTENCY#%' THEN 'IDEMPOTENCY' ELSE 'UNKNOWN' END AS entity_type, COUNT(*) AS items FROM state GROUP BY 1")
+def entity_census(spark, sf_dir):
+    """AGG-23: items per entity type in the current state."""
+    return gold.entity_census(event_state(spark, sf_dir))
+
+
+# ------------------------------------------------------------ metrics ---
+
+def _metrics_sql(state_cte: str, state_name: str) -> str:
+    cutoff = "strftime(TIMESTAMP '2024-01-01 00:00:00', '%Y-%m-%dT%H:%M:%S.%f')"
+    return f"""WITH {state_cte}, c AS (
+  SELECT COUNT(*) FILTER (WHERE "PK" LIKE 'USER#%') AS users,
+         COUNT(*) FILTER (WHERE "PK" LIKE 'USER#%' AND last_login > {cutoff}) AS active_users,
+         COUNT(*) FILTER (WHERE "PK" LIKE 'USER#%' AND verification_status = 'verified') AS verified_users,
+         COUNT(*) FILTER (WHERE "PK" LIKE 'TASK#%') AS tasks,
+         COUNT(*) FILTER (WHERE "PK" LIKE 'TASK#%' AND status = 'completed') AS completed,
+         COUNT(*) FILTER (WHERE "PK" LIKE 'TASK#%' AND status = 'pending') AS pending,
+         COUNT(*) FILTER (WHERE "PK" LIKE 'TASK#%' AND status = 'in_progress') AS in_progress,
+         COUNT(*) FILTER (WHERE "PK" LIKE 'TASK#%' AND priority = 'high') AS high_priority,
+         COUNT(*) AS items
+  FROM {state_name}
+), m(metric, value, unit) AS (
+  SELECT 'TotalUsers', users, 'Count' FROM c UNION ALL
+  SELECT 'ActiveUsers', active_users, 'Count' FROM c UNION ALL
+  SELECT 'VerifiedUsers', verified_users, 'Count' FROM c UNION ALL
+  SELECT 'UserVerificationRate', CASE WHEN users > 0 THEN CAST(verified_users AS DOUBLE) / users * 100 ELSE 0 END, 'Percent' FROM c UNION ALL
+  SELECT 'TotalTasks', tasks, 'Count' FROM c UNION ALL
+  SELECT 'CompletedTasks', completed, 'Count' FROM c UNION ALL
+  SELECT 'PendingTasks', pending, 'Count' FROM c UNION ALL
+  SELECT 'InProgressTasks', in_progress, 'Count' FROM c UNION ALL
+  SELECT 'HighPriorityTasks', high_priority, 'Count' FROM c UNION ALL
+  SELECT 'TaskCompletionRate', CASE WHEN tasks > 0 THEN CAST(completed AS DOUBLE) / tasks * 100 ELSE 0 END, 'Percent' FROM c UNION ALL
+  SELECT 'TableSizeBytes', 0, 'Bytes' FROM c UNION ALL
+  SELECT 'TotalItems', items, 'Count' FROM c UNION ALL
+  SELECT 'AverageTasksPerUser', CASE WHEN users > 0 THEN CAST(tasks AS DOUBLE) / users ELSE 0 END, 'Count' FROM c
+)
+SELECT 'TodoApi/CustomMetrics' AS namespace, metric, ROUND(CAST(value AS DOUBLE), 6) AS value, unit,
+       TIMESTAMP '2024-01-31 00:00:00' AS ts FROM m"""
+
+
+ORDERS_STATE = """state AS (
+  SELECT 'USER#' || c_custkey AS "PK", NULL AS last_login,
+         CASE WHEN c_acctbal >= 0 THEN 'verified' ELSE 'pending' END AS verification_status,
+         NULL AS status, NULL AS priority FROM customer
+  UNION ALL
+  SELECT 'TASK#' || o_custkey, NULL, NULL,
+         CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' WHEN 'P' THEN 'in_progress' END,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '2-HIGH' THEN 'high'
+              WHEN '3-MEDIUM' THEN 'medium' WHEN '5-LOW' THEN 'low' END
+  FROM orders
+)"""
+
+
+@register("metrics_event_state", _metrics_sql(STATE, "state"))
+def metrics_event_state(spark, sf_dir):
+    """AGG-10..12 + JOIN-08 + SET-02 over the state replayed from events."""
+    return metrics.collect_metrics(event_state(spark, sf_dir), _now())
+
+
+@register("metrics_orders_state", _metrics_sql(ORDERS_STATE, "state"))
+def metrics_orders_state(spark, sf_dir):
+    """The same metric scan over the customer/orders state (at-scale model)."""
+    return metrics.collect_metrics(fixtures.state_table(spark, sf_dir), _now())
+
+
+# ------------------------------------------------------------ lookups ---
+
+def _task_view(spark, sf_dir):
+    return lookup.task_view(event_state(spark, sf_dir))
+
+
+TV_COLS = "id, user_id, status, priority, category, due_date"
+
+
+@register("overdue_tasks", f"WITH {TASK_VIEW} SELECT {TV_COLS} FROM tv WHERE due_date < DATE '{TODAY}' AND status <> 'completed'")
+def overdue_tasks(spark, sf_dir):
+    """FIL-12 intent over the task view (PRJ-11)."""
+    return lookup.overdue_tasks(_task_view(spark, sf_dir), TODAY).select(*TV_COLS.split(", "))
+
+
+@register("due_date_range", f"WITH {TASK_VIEW} SELECT {TV_COLS} FROM tv WHERE due_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'")
+def due_date_range(spark, sf_dir):
+    """FIL-13: due date in an inclusive range."""
+    return lookup.due_between(_task_view(spark, sf_dir), "2024-01-10", "2024-01-20").select(*TV_COLS.split(", "))
+
+
+@register("search_tasks", f"WITH {TASK_VIEW} SELECT id, user_id, title FROM tv WHERE lower(coalesce(title, '')) LIKE '%task 1%'"
+          " OR lower(coalesce(description, '')) LIKE '%task 1%'")
+def search_tasks(spark, sf_dir):
+    """FIL-16: case-insensitive text search over title and description."""
+    return lookup.search_tasks(_task_view(spark, sf_dir), "task 1").select("id", "user_id", "title")
+
+
+@register("keyset_page", f"WITH {STATE} SELECT \"PK\", \"SK\", status FROM state WHERE \"PK\" > 'TASK#1' OR "
+          "(\"PK\" = 'TASK#1' AND \"SK\" > 'TASK#105') ORDER BY \"PK\", \"SK\" LIMIT 25")
+def keyset_page(spark, sf_dir):
+    """PAG-01 / SRT-04: one keyset page (the limit is the feature)."""
+    return lookup.page(event_state(spark, sf_dir).select("PK", "SK", "status"), ["PK", "SK"], 25,
+                       after=("TASK#1", "TASK#105"))
+
+
+@register("completed_with_due_date", f"WITH {TASK_VIEW} SELECT user_id, COUNT(*) AS completed_with_due FROM tv "
+          "WHERE status = 'completed' AND due_date IS NOT NULL GROUP BY user_id")
+def completed_with_due_date(spark, sf_dir):
+    """FIL-14: completed tasks that carry a due date, counted per user."""
+    tv = lookup.with_due_date(_task_view(spark, sf_dir)).filter(F.col("status") == "completed")
+    return tv.groupBy("user_id").agg(F.count(F.lit(1)).alias("completed_with_due"))
+
+
+# ------------------------------------------------------------ quality ---
+ETL_TASK_RULES = quality.Rules(
+    required_fields=["task_id", "user_id", "title", "status"],
+    data_types={"title": "string", "created_at": "int"},
+    constraints={"title": {"min_len": 1, "max_len": 200}, "description": {"max_len": 1000},
+                 "category": {"max_len": 50}, "status": {"in": quality.TASK_STATUS},
+                 # the ETL schema's priority enum has no "urgent"
+                 "priority": {"in": ["low", "medium", "high"]}},
+)
+
+SILVER_TASKS_SQL = """st AS (
+  SELECT CAST(user_id * 100 + slot AS VARCHAR) AS task_id,
+         arg_min_null(['low', 'medium', 'high', 'urgent'][((k % 4) + 4) % 4 + 1], (ts, event_id)) AS priority,
+         arg_min_null(CASE WHEN ((k % 5) + 5) % 5 = 4 THEN NULL ELSE 'cat' || (((k % 5) + 5) % 5) END, (ts, event_id)) AS category
+  FROM ev WHERE event_type IN ('view', 'click', 'purchase') GROUP BY user_id * 100 + slot
+)"""
+
+
+@register("dq_task_rule_summary", f"WITH {EV}, {SILVER_TASKS_SQL} SELECT 'domain:priority' AS rule, COUNT(*) AS failures "
+          "FROM st WHERE priority NOT IN ('low', 'medium', 'high') HAVING COUNT(*) > 0")
+def dq_task_rule_summary(spark, sf_dir):
+    """DQ-01..09: failures per rule over silver tasks (ETL rule set)."""
+    st = model.event_model(spark, sf_dir).silver_tasks
+    return quality.rule_summary(st, ETL_TASK_RULES)
+
+
+@register("dq_task_verdicts", f"WITH {EV}, {SILVER_TASKS_SQL} SELECT COUNT(*) FILTER (WHERE priority IN ('low', 'medium', 'high') "
+          "OR priority IS NULL) AS valid_rows, COUNT(*) FILTER (WHERE priority = 'urgent') AS rejected_rows FROM st")
+def dq_task_verdicts(spark, sf_dir):
+    """DQ-08: valid / rejected split counted in one pass."""
+    st = model.event_model(spark, sf_dir).silver_tasks
+    v = st.select(F.size(quality.violations(st, ETL_TASK_RULES)).alias("n"))
+    return v.agg(F.count_if(F.col("n") == 0).alias("valid_rows"), F.count_if(F.col("n") > 0).alias("rejected_rows"))
+
+
+@register("dq_completeness", f"WITH {EV}, {SILVER_TASKS_SQL} SELECT column_name AS \"column\", completeness FROM ("
+          "SELECT 'priority' AS column_name, ROUND(COUNT(priority) / COUNT(*), 6) AS completeness FROM st UNION ALL "
+          "SELECT 'category', ROUND(COUNT(category) / COUNT(*), 6) FROM st)")
+def dq_completeness(spark, sf_dir):
+    """DQ-09: non-null share per column."""
+    st = model.event_model(spark, sf_dir).silver_tasks
+    return quality.completeness(st, ["priority", "category"])
+
+
+# --------------------------------------------------------- monitoring ---
+LOG = """lg AS (
+  SELECT ts, event_type, CAST(ROUND(value * 100) AS BIGINT) AS duration_ms,
+         CASE WHEN event_type = 'error' THEN 500 WHEN event_type IN ('signup', 'purchase') THEN 201 ELSE 200 END AS http,
+         CAST(floor(epoch(ts) / 300) * 300 AS BIGINT) AS p5, CAST(floor(epoch(ts) / 60) * 60 AS BIGINT) AS p1
+  FROM events
+)"""
+
+
+def _log(spark, sf_dir):
+    return monitor.app_log_from_events(fixtures.read_table(spark, sf_dir, "events"))
+
+
+def _epoch_start(df: DataFrame) -> DataFrame:
+    return df.withColumn("period_start", F.unix_seconds("period_start"))
+
+
+@register("mon_rollup_5min", f"WITH {LOG} SELECT p5 AS period_start, COUNT(*) AS samples, CAST(SUM(duration_ms) AS BIGINT) AS sum, "
+          "AVG(duration_ms) AS average, MAX(duration_ms) AS maximum FROM lg GROUP BY p5")
+def mon_rollup_5min(spark, sf_dir):
+    """MON-01: 5-minute Sum / Average / Maximum of request duration."""
+    r = monitor.rollup(_log(spark, sf_dir), "duration_ms", "5 minutes")
+    return _epoch_start(r).withColumn("sum", F.col("sum").cast("bigint"))
+
+
+@register("mon_latency_percentiles", f"WITH {LOG} SELECT quantile_cont(CAST(duration_ms AS DOUBLE), 0.5) AS p50, "
+          "quantile_cont(CAST(duration_ms AS DOUBLE), 0.95) AS p95, quantile_cont(CAST(duration_ms AS DOUBLE), 0.99) AS p99 FROM lg")
+def mon_latency_percentiles(spark, sf_dir):
+    """MON-03: exact P50 / P95 / P99."""
+    return monitor.latency_percentiles(_log(spark, sf_dir))
+
+
+@register("mon_error_rate", f"WITH {LOG} SELECT p5 AS period_start, COUNT(*) AS requests, COUNT(*) FILTER (WHERE http >= 400) AS errors, "
+          "ROUND(CAST(COUNT(*) FILTER (WHERE http >= 400) AS DOUBLE) * 100.0 / COUNT(*), 4) AS error_rate_pct, "
+          "ROUND(CAST(COUNT(*) FILTER (WHERE http >= 400) AS DOUBLE) * 100.0 / COUNT(*), 4) > 5.0 AS alarm FROM lg GROUP BY p5")
+def mon_error_rate(spark, sf_dir):
+    """MON-04: error share per 5 minutes, flagged above 5 %."""
+    return _epoch_start(monitor.error_rate(_log(spark, sf_dir)))
+
+
+@register("mon_request_volume", f"WITH {LOG} SELECT p1 AS period_start, COUNT(*) AS requests FROM lg GROUP BY p1")
+def mon_request_volume(spark, sf_dir):
+    """MON-05: requests per minute."""
+    return _epoch_start(monitor.request_volume(_log(spark, sf_dir)))
+
+
+@register("mon_error_alarm", f"""WITH {LOG}, per AS (
+  SELECT p5, COUNT(*) FILTER (WHERE http >= 400) AS errors FROM lg GROUP BY p5
+), grid AS (
+  SELECT UNNEST(generate_series(MIN(p5), MAX(p5), 300)) AS p5 FROM per
+), f AS (
+  SELECT g.p5, COALESCE(CASE WHEN per.errors > 2 THEN 1 ELSE 0 END, 0) AS breach
+  FROM grid g LEFT JOIN per ON g.p5 = per.p5
+), r AS (
+  SELECT p5, breach, CAST(SUM(breach) OVER (ORDER BY p5 ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS BIGINT) AS run FROM f
+) SELECT p5 AS period_start, breach, run, run >= 2 AS alarm FROM r""")
+def mon_error_alarm(spark, sf_dir):
+    """MON-02 + WIN-04: more than 2 errors in 2 consecutive 5-minute periods;
+    empty periods are filled and count as no breach."""
+    log = _log(spark, sf_dir)
+    per = log.groupBy(F.window("timestamp", "5 minutes").start.alias("period_start")).agg(
+        F.count_if(F.col("status") == "error").alias("errors"))
+    a = monitor.threshold_alarm(per, "errors", 2, 2, 300)
+    return _epoch_start(a).select("period_start", F.col("breach").cast("int"), F.col("run").cast("bigint"), "alarm")
+
+
+@register("mon_top_error_operations", f"WITH {LOG} SELECT event_type AS operation, COUNT(*) AS errors FROM lg "
+          "WHERE http >= 500 GROUP BY event_type ORDER BY errors DESC, operation LIMIT 5")
+def mon_top_error_operations(spark, sf_dir):
+    """MON-05: top error operations (top-k report)."""
+    return monitor.top_errors(_log(spark, sf_dir))
+
+
+# ------------------------------------------------------ transitions ---
+
+@register("illegal_transitions", f"""WITH {EV}, tc AS (
+  SELECT CAST(user_id * 100 + slot AS VARCHAR) AS task_id, event_id, ts,
+         CASE event_type WHEN 'view' THEN 'pending' WHEN 'click' THEN 'in_progress' WHEN 'purchase' THEN 'completed' END AS status
+  FROM ev WHERE event_type IN ('view', 'click', 'purchase', 'error')
+), l AS (
+  SELECT *, LAG(status) OVER (PARTITION BY task_id ORDER BY ts, event_id) AS prev_status FROM tc
+) SELECT task_id, CAST(event_id AS VARCHAR) AS sequence_number, prev_status, status FROM l
+  WHERE prev_status = 'completed' AND status IS NOT NULL AND status <> 'completed'""")
+def illegal_transitions(spark, sf_dir):
+    """WIN-03: a change that moves a task away from completed."""
+    allc = mutate.changes_with_removes(fixtures.event_changes(spark, sf_dir))
+    tasks = allc.filter(F.col("data.PK").startswith("TASK#")).select(
+        F.regexp_replace("data.SK", "^TASK#", "").alias("task_id"), F.col("data.status").alias("status"),
+        "processed_at", "sequence_number")
+    return mutate.lag_transitions(tasks).select("task_id", "sequence_number", "prev_status", "status")
+
+
+# ------------------------------------------------------ idempotency ---
+REQ = EV + """, req AS (
+  SELECT user_id || ':' || k AS request_id, ep AS ts_epoch, event_id FROM ev
+), keys AS (
+  SELECT request_id, MIN(ts_epoch) AS created_at, MIN(ts_epoch) + 86400 AS expiration_timestamp FROM req GROUP BY request_id
+)"""
+
+
+@register("idempotent_replays", f"WITH {REQ} SELECT r.request_id, r.ts_epoch, r.event_id FROM req r WHERE EXISTS ("
+          "SELECT 1 FROM keys k WHERE k.request_id = r.request_id AND k.expiration_timestamp >= r.ts_epoch AND k.created_at < r.ts_epoch)")
+def idempotent_replays(spark, sf_dir):
+    """JOIN-04 / FIL-19 / STR-04 batch form: requests that replay an
+    unexpired key.  Request id = "<user>:<k>" (user-scoped, PRJ-16 shape);
+    a key lives 24 h from its first sighting."""
+    ev = fixtures.read_table(spark, sf_dir, "events")
+    req = ev.select(F.concat_ws(":", F.col("user_id").cast("string"),
+                                F.get_json_object("props", "$.k").try_cast("bigint").cast("string")).alias("request_id"),
+                    F.unix_seconds("ts").alias("ts_epoch"), "event_id")
+    keys = mutate.first_sight_keys(req)
+    replays, _fresh = mutate.replay_split(req, keys, strict=True)
+    return replays
+
+
+# -------------------------------------------------- gold extensions ---
+
+@register("gold_extended_user_metrics", None)
+def gold_extended_user_metrics(spark, sf_dir):
+    """AGG-16 over the at-scale task table (customer/orders)."""
+    return gold.extended_user_metrics(model.state_model(spark, sf_dir).silver_tasks)
+
+
+@register("gold_extended_category_trends", """SELECT c.c_mktsegment AS category, COUNT(*) AS total_tasks,
+  COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS completed_tasks,
+  COUNT(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS high_priority_tasks,
+  ROUND(AVG(CASE WHEN o_orderstatus = 'F' THEN ((o_orderkey % 14) + 1) * 86400 / 86400.0 END), 4) AS avg_completion_days,
+  ROUND(CAST(COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) * 100.0 / COUNT(*), 4) AS completion_rate
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY c.c_mktsegment""")
+def gold_extended_category_trends(spark, sf_dir):
+    """AGG-17 over the order tasks (completed_at known)."""
+    t = fixtures.state_table(spark, sf_dir).filter(F.col("PK").startswith("TASK#"))
+    return gold.extended_category_trends(t)
+
+
+@register("gold_daily_active_users", "SELECT CAST(ts AS DATE) AS date, COUNT(DISTINCT user_id) AS active_users FROM events "
+          "WHERE user_id IS NOT NULL GROUP BY 1")
+def gold_daily_active_users(spark, sf_dir):
+    """AGG-19: distinct users per day (exact)."""
+    return gold.daily_active_users(fixtures.read_table(spark, sf_dir, "events"))
+
+
+@register("gold_completion_trend", f"WITH {STATE} SELECT DATE '1970-01-01' + CAST(floor(completed_at / 86400) AS INTEGER) AS date, COUNT(*) AS completed_tasks "
+          "FROM state WHERE completed_at IS NOT NULL GROUP BY 1")
+def gold_completion_trend(spark, sf_dir):
+    """AGG-20: completed tasks per completion date."""
+    return gold.completion_trend(event_state(spark, sf_dir))
+
+
+@register("gold_tasks_per_user_day", """SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(o_orderdate AS DATE) AS date,
+  COUNT(*) AS tasks FROM orders GROUP BY 1, 2""")
+def gold_tasks_per_user_day(spark, sf_dir):
+    """AGG-21: tasks created per user and day (order tasks)."""
+    return gold.tasks_per_user_day(model.state_model(spark, sf_dir).silver_tasks)
+
+
+@register("gold_count_by_priority", """SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '2-HIGH' THEN 'high'
+  WHEN '3-MEDIUM' THEN 'medium' WHEN '5-LOW' THEN 'low' END AS priority, COUNT(*) AS tasks FROM orders GROUP BY 1""")
+def gold_count_by_priority(spark, sf_dir):
+    """AGG-22: per-value counts (priority)."""
+    return gold.count_by(model.state_model(spark, sf_dir).silver_tasks, "priority")
+
+
+@register("gold_user_growth", f"""WITH {EV}, u AS (
+  SELECT user_id, MIN(ep) AS created_at FROM ev WHERE event_type = 'signup' GROUP BY user_id
+), d AS (SELECT DATE '1970-01-01' + CAST(floor(created_at / 86400) AS INTEGER) AS date, COUNT(*) AS new_users FROM u GROUP BY 1)
+SELECT date, new_users, CAST(SUM(new_users) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total_users FROM d""")
+def gold_user_growth(spark, sf_dir):
+    """WIN-01: new users per day and the running total."""
+    g = gold.user_growth(model.event_model(spark, sf_dir).silver_users)
+    return g.withColumn("total_users", F.col("total_users").cast("bigint"))
+
+
+@register("gold_kpi_overview", """WITH um AS (
+  SELECT o_custkey, COUNT(*) AS total_tasks, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS completed_tasks
+  FROM orders GROUP BY o_custkey
+) SELECT AVG(total_tasks) AS avg_tasks_per_user, AVG(completed_tasks) AS avg_completed_per_user,
+  ROUND(CAST(SUM(completed_tasks) AS DOUBLE) * 100.0 / SUM(total_tasks), 2) AS completion_percent FROM um""")
+def gold_kpi_overview(spark, sf_dir):
+    """AGG-15: KPI overview over the per-user metrics."""
+    return gold.kpi_overview(model.state_model(spark, sf_dir).user_metrics)
+
+
+@register("silver_cdc_rows", f"""WITH {EV} SELECT CASE WHEN event_type IN ('signup', 'view') THEN 'INSERT' ELSE 'MODIFY' END AS event_name,
+  CAST(event_id AS VARCHAR) AS sequence_number,
+  CASE WHEN event_type = 'signup' THEN 'USER' ELSE 'TASK' END AS entity_type,
+  CAST(user_id AS VARCHAR) AS user_id,
+  CASE WHEN event_type <> 'signup' THEN CAST(user_id * 100 + slot AS VARCHAR) END AS task_id,
+  CASE event_type WHEN 'view' THEN 'pending' WHEN 'click' THEN 'in_progress' WHEN 'purchase' THEN 'completed' END AS status,
+  CASE WHEN event_type <> 'signup' THEN 'STATUS#' || (CASE event_type WHEN 'view' THEN 'pending' WHEN 'click' THEN 'in_progress'
+       ELSE 'completed' END) || '#' || (user_id * 100 + slot) END AS gsi1_sk,
+  ep AS created_at, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day
+  FROM ev WHERE event_type <> 'error'""")
+def silver_cdc_rows(spark, sf_dir):
+    """PRJ-04..09 / FIL-03: flat silver change rows (decoded from tagged images)."""
+    s = silver.silver_cdc(model.event_bronze(spark, sf_dir))
+    return s.select("event_name", "sequence_number", "entity_type", "user_id", "task_id", "status", "gsi1_sk",
+                    "created_at", "year", "month", "day")
+
+
+@register("cdc_batch_counters", """SELECT CAST(ts AS DATE) AS batch, COUNT(*) FILTER (WHERE event_type <> 'error') AS processed,
+  CAST(0 AS BIGINT) AS failed, COUNT(*) FILTER (WHERE event_type = 'error') AS skipped, COUNT(*) AS records FROM events GROUP BY 1""")
+def cdc_batch_counters(spark, sf_dir):
+    """AGG-13: processed / failed / skipped per daily batch."""
+    ch = fixtures.event_changes(spark, sf_dir).withColumn("batch", F.to_date("eventTime"))
+    return cdc.batch_counters(ch, "batch")
