@@ -445,3 +445,28 @@ def cdc_batch_counters(spark, sf_dir):
     """AGG-13: processed / failed / skipped per daily batch."""
     ch = fixtures.event_changes(spark, sf_dir).withColumn("batch", F.to_date("eventTime"))
     return cdc.batch_counters(ch, "batch")
+
+
+# ------------------------------------------------------------ streaming ---
+
+@register("stream_rollup_5min", f"WITH {LOG} SELECT p5 AS period_start, COUNT(*) AS samples, CAST(SUM(duration_ms) AS BIGINT) AS sum, "
+          "AVG(duration_ms) AS average, MAX(duration_ms) AS maximum FROM lg GROUP BY p5")
+def stream_rollup_5min(spark, sf_dir):
+    """STR-05: the 5-minute roll-up as a streaming aggregate over the events
+    file stream, run to completion; must equal its batch twin (MON-01)."""
+    from ..streaming import streams
+    log = monitor.app_log_from_events(streams.table_stream(spark, sf_dir, "events"))
+    out = streams.replay_to_table(spark, streams.tumbling_rollup(log), "rollup", output_mode="complete")
+    return _epoch_start(out).withColumn("sum", F.col("sum").cast("bigint"))
+
+
+@register("stream_task_state_machine", None)
+def stream_task_state_machine(spark, sf_dir):
+    """STR-07: per-task status machine over the change stream; rows flagged
+    accepted = false are the updates the service would reject."""
+    from ..streaming import streams
+    items = fixtures.event_items(streams.table_stream(spark, sf_dir, "events"))
+    tc = items.filter(F.col("entity") == "TASK").select(
+        F.regexp_replace("SK", "^TASK#", "").alias("task_id"), "status", "SequenceNumber") \
+        .withColumnRenamed("SequenceNumber", "sequence_number")
+    return streams.replay_to_table(spark, streams.task_state_machine(tc), "task_machine")
