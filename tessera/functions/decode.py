@@ -94,14 +94,18 @@ def decode_value(v: Column, dtype: DataType, path: str = "$") -> Column:
     raise TypeError(f"no decode rule for {dtype.simpleString()}")
 
 
-def decode_attributes(image: Column, schema: StructType) -> Column:
+def decode_attributes(image: Column, schema: StructType, null_image_is_null: bool = True) -> Column:
     """Decode a whole image into a struct shaped by ``schema``.
 
     Attributes absent from the image become null; attributes not named by the
     schema are ignored (column pruning of the raw image).  A null image gives
-    a null struct.
+    a null struct, unless ``null_image_is_null=False``: callers that already
+    dropped null images get a bare struct, whose unused fields the optimizer
+    prunes (only the attributes read downstream are decoded).
     """
     fields = [decode_value(image, f.dataType, _path(f.name)).alias(f.name) for f in schema.fields]
+    if not null_image_is_null:
+        return F.struct(*fields)
     return F.when(image.isNotNull(), F.struct(*fields))
 
 

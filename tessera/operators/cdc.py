@@ -76,7 +76,9 @@ def to_envelope(df: DataFrame, table_name: str = TABLE_NAME, now: Column | None
     else the change's own event time, which keeps replays deterministic.
     partition_key = data.PK when present.
     """
-    data = decode_attributes(F.col("_image"), schema)
+    # rows reaching the envelope always carry an image: bare struct, so the
+    # optimizer decodes only the attributes that downstream plans read
+    data = decode_attributes(F.col("_image"), schema, null_image_is_null=False)
     processed = now if now is not None else F.col("eventTime")
     out = df.select(
         F.col("eventName").alias("event_name"),
