@@ -27,10 +27,18 @@ def _prepare(spark: SparkSession) -> None:
             pass
 
 
+# queries reading both silver users and silver tasks share one materialized
+# aggregate (see model.gold_from_bronze)
+_BOTH = {"q10_all_kpis", "q11_business_overview", "q12_user_productivity", "q13_users_without_tasks",
+         "q14_top_productive_users", "q16_system_health", "q17_kpis"}
+
+
 def _event_query(fn) -> Query:
+    shared = fn.__name__ in _BOTH
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         _prepare(spark)
-        return fn(model.event_model(spark, sf_dir))
+        return fn(model.event_model(spark, sf_dir, shared=shared))
     run.__name__ = fn.__name__
     return run
 

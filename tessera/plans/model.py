@@ -26,6 +26,12 @@ class Gold:
     user_metrics: DataFrame
     category_trends: DataFrame
     kpis: DataFrame
+    # task rows carrying their category, for consumers that read it (when
+    # the plain task table leaves category out to skip a join)
+    silver_tasks_with_category: DataFrame | None = None
+
+    def tasks_with_category(self) -> DataFrame:
+        return self.silver_tasks_with_category if self.silver_tasks_with_category is not None else self.silver_tasks
 
 
 def gold_from_silver(bronze, silver_users: DataFrame, silver_tasks: DataFrame) -> Gold:
@@ -40,8 +46,18 @@ def gold_from_silver(bronze, silver_users: DataFrame, silver_tasks: DataFrame) -
     )
 
 
-def gold_from_bronze(bronze: DataFrame, latest: bool = False) -> Gold:
+def gold_from_bronze(bronze: DataFrame, latest: bool = False, shared: bool = False) -> Gold:
+    """Gold frames over one users+tasks aggregate of ``bronze``.
+
+    ``shared=True`` is for queries that read BOTH users and tasks: the
+    optimizer prunes each branch's unused aggregate columns, which makes the
+    two branches different plans (two scans, two shuffles).  The aggregate
+    is then materialized once with ``checkpoint()`` into the shared
+    checkpoint folder, and both branches read it.
+    """
     ent = silver.silver_entities(bronze, latest)
+    if shared:
+        ent = ent.checkpoint(eager=True)
     return gold_from_silver(bronze, silver.users_of(ent), silver.tasks_of(ent))
 
 
@@ -49,10 +65,31 @@ def event_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.changes_to_bronze(fixtures.event_changes(spark, sf_dir))
 
 
-def event_model(spark: SparkSession, sf_dir: str, latest: bool = False) -> Gold:
-    return gold_from_bronze(event_bronze(spark, sf_dir), latest)
+def event_model(spark: SparkSession, sf_dir: str, latest: bool = False, shared: bool = False) -> Gold:
+    return gold_from_bronze(event_bronze(spark, sf_dir), latest, shared)
 
 
 def state_model(spark: SparkSession, sf_dir: str) -> Gold:
-    users, tasks = silver.silver_from_state(fixtures.state_table(spark, sf_dir))
-    return gold_from_silver(None, users, tasks)
+    """Gold over the customer/orders current state.
+
+    Users come from ``customer`` alone and tasks from ``orders`` alone; the
+    customer segment (the task category) is joined only into the table that
+    reads it (category trends), so the other tables never pay that
+    orders x customer shuffle join.
+    """
+    customer = fixtures.read_table(spark, sf_dir, "customer")
+    orders = fixtures.read_table(spark, sf_dir, "orders")
+    users, _ = silver.silver_from_state(_as_state(fixtures.customer_users(customer)))
+    _, tasks = silver.silver_from_state(_as_state(fixtures.order_tasks(orders, None)))
+    _, tasks_cat = silver.silver_from_state(_as_state(fixtures.order_tasks(orders, customer)))
+    g = gold_from_silver(None, users, tasks)
+    g.category_trends = gold.gold_category_trends(tasks_cat)
+    g.silver_tasks_with_category = tasks_cat
+    return g
+
+
+def _as_state(items: DataFrame) -> DataFrame:
+    from pyspark.sql import functions as F
+    from ..schemas import ITEM
+    return items.select(*[F.col(f.name).cast(f.dataType) if f.name in items.columns
+                          else F.lit(None).cast(f.dataType).alias(f.name) for f in ITEM.fields])

@@ -356,10 +356,25 @@ def idempotent_replays(spark, sf_dir):
 
 # -------------------------------------------------- gold extensions ---
 
-@register("gold_extended_user_metrics", None)
+@register("gold_extended_user_metrics", """WITH t AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS user_id, o_orderstatus, o_orderpriority, c.c_mktsegment AS category
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+), a AS (
+  SELECT user_id, COUNT(*) AS total_tasks,
+    COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS completed_tasks,
+    COUNT(*) FILTER (WHERE o_orderstatus = 'O') AS pending_tasks,
+    COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS in_progress_tasks,
+    COUNT(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS high_priority_tasks,
+    COUNT(*) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS medium_priority_tasks,
+    COUNT(*) FILTER (WHERE o_orderpriority = '5-LOW') AS low_priority_tasks,
+    COUNT(DISTINCT category) AS categories_used
+  FROM t GROUP BY user_id
+) SELECT *, ROUND(CAST(completed_tasks AS DOUBLE) * 100.0 / total_tasks, 4) AS completion_rate,
+  ROUND(ROUND(CAST(completed_tasks AS DOUBLE) * 100.0 / total_tasks, 4) * ln(1 + total_tasks), 4) AS productivity_score
+FROM a""")
 def gold_extended_user_metrics(spark, sf_dir):
     """AGG-16 over the at-scale task table (customer/orders)."""
-    return gold.extended_user_metrics(model.state_model(spark, sf_dir).silver_tasks)
+    return gold.extended_user_metrics(model.state_model(spark, sf_dir).tasks_with_category())
 
 
 @register("gold_extended_category_trends", """SELECT c.c_mktsegment AS category, COUNT(*) AS total_tasks,
@@ -470,3 +485,29 @@ def stream_task_state_machine(spark, sf_dir):
         F.regexp_replace("SK", "^TASK#", "").alias("task_id"), "status", "SequenceNumber") \
         .withColumnRenamed("SequenceNumber", "sequence_number")
     return streams.replay_to_table(spark, streams.task_state_machine(tc), "task_machine")
+
+
+@register("gold_extended_user_analytics", f"""WITH {EV}, su AS (
+  SELECT CAST(user_id AS VARCHAR) AS user_id, COUNT(*) AS total_events, MAX(ts) AS last_login
+  FROM ev WHERE event_type = 'signup' GROUP BY user_id
+), pv AS (
+  SELECT total_events, COUNT(*) AS n FROM su GROUP BY total_events
+), rk AS (
+  SELECT total_events,
+         COALESCE(SUM(n) OVER (ORDER BY total_events ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+         SUM(n) OVER () AS users
+  FROM pv
+) SELECT su.user_id, su.total_events, su.total_events AS total_logins,
+    CAST(DATE '2024-01-31' - CAST(su.last_login AS DATE) AS INTEGER) AS days_since_last_login,
+    CASE WHEN DATE '2024-01-31' - CAST(su.last_login AS DATE) <= 7 THEN 'high'
+         WHEN DATE '2024-01-31' - CAST(su.last_login AS DATE) <= 30 THEN 'medium' ELSE 'low' END AS engagement_level,
+    CASE WHEN rk.below * 3 < rk.users THEN 'low' WHEN rk.below * 3 < rk.users * 2 THEN 'medium' ELSE 'high' END AS user_segment
+  FROM su JOIN rk ON su.total_events = rk.total_events""")
+def gold_extended_user_analytics(spark, sf_dir):
+    """AGG-18: logins (signups), days since last login, engagement level and
+    event-count tercile segment per user."""
+    g = model.event_model(spark, sf_dir)
+    logins = fixtures.read_table(spark, sf_dir, "events").filter(F.col("event_type") == "signup") \
+        .select(F.col("user_id").cast("string").alias("user_id"), F.col("ts").alias("login_ts"))
+    out = gold.extended_user_analytics(g.user_analytics, logins, TODAY)
+    return out.withColumn("total_logins", F.col("total_logins").cast("bigint"))

@@ -37,6 +37,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
+    # checkpoint files of a DataFrame are removed once it is garbage-collected
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():

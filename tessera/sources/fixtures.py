@@ -211,15 +211,20 @@ def customer_users(customer: DataFrame) -> DataFrame:
     )
 
 
-def order_tasks(orders: DataFrame, customer: DataFrame) -> DataFrame:
+def order_tasks(orders: DataFrame, customer: DataFrame | None) -> DataFrame:
     """One task item per order; category = the customer's market segment.
 
     The segment comes from an equi-join on custkey.  Both sides grow with
     the data, so no broadcast is forced: AQE turns it into a broadcast only
-    when the customer side is measured small at runtime.
+    when the customer side is measured small at runtime.  ``customer=None``
+    leaves the category null and skips the join (for consumers that do not
+    read it).
     """
-    seg = customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment"))
-    o = orders.join(seg, "o_custkey", "left")
+    if customer is None:
+        o = orders.withColumn("c_mktsegment", F.lit(None).cast("string"))
+    else:
+        seg = customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment"))
+        o = orders.join(seg, "o_custkey", "left")
     status = _case(F.col("o_orderstatus"), ORDER_STATUS)
     priority = _case(F.col("o_orderpriority"), ORDER_PRIORITY)
     created = ts_to_epoch(F.col("o_orderdate"))
