@@ -45,10 +45,9 @@ def current_state(bronze_all: DataFrame) -> DataFrame:
 
 def changes_with_removes(changes: DataFrame) -> DataFrame:
     """Envelopes for every change, REMOVE included (its image is the old one)."""
-    from .cdc import classify, keep_where, to_envelope
+    from .cdc import classify, to_envelope
     c = classify(changes)
-    keep = (F.col("_image").isNotNull()) & (F.col("_error").isNull())
-    return to_envelope(keep_where(c.select("eventName", "eventTime", "dynamodb", "_image", "_error"), keep))
+    return to_envelope(c.filter(F.col("_image").isNotNull() & F.col("_error").isNull()))
 
 
 # ------------------------------------------------------------- puts ---

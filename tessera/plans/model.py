@@ -52,12 +52,13 @@ def gold_from_bronze(bronze: DataFrame, latest: bool = False, shared: bool = Fal
     ``shared=True`` is for queries that read BOTH users and tasks: the
     optimizer prunes each branch's unused aggregate columns, which makes the
     two branches different plans (two scans, two shuffles).  The aggregate
-    is then materialized once with ``checkpoint()`` into the shared
-    checkpoint folder, and both branches read it.
+    is then written once as a Parquet table under the shared checkpoint
+    folder (``spark.checkpoint.dir``) and both branches read it back: one
+    computation, durable across executor loss, lineage cut.
     """
     ent = silver.silver_entities(bronze, latest)
     if shared:
-        ent = ent.checkpoint(eager=True)
+        ent = materialize(ent, "silver-entities")
     return gold_from_silver(bronze, silver.users_of(ent), silver.tasks_of(ent))
 
 
@@ -88,6 +89,15 @@ def state_model(spark: SparkSession, sf_dir: str) -> Gold:
     return g
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared checkpoint folder and read it back."""
+    import uuid
+    from ..session import work_path
+    path = work_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _as_state(items: DataFrame) -> DataFrame:
     from pyspark.sql import functions as F
     from ..schemas import ITEM

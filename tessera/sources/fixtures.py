@@ -151,6 +151,11 @@ _TASK_ATTRS = {f.name for f in ITEM.fields} - {"email", "name", "last_login", "v
 
 
 def items_to_changes(items: DataFrame) -> DataFrame:
+    """CHANGE_RECORD rows for typed items, behaving like a file source."""
+    return as_source(_changes_of(items))
+
+
+def _changes_of(items: DataFrame) -> DataFrame:
     """Typed items (+ eventName, entity, SequenceNumber, eventTime) -> CHANGE_RECORD rows.
 
     Users carry only user attributes and tasks only task attributes, as the
@@ -188,6 +193,19 @@ def items_to_changes(items: DataFrame) -> DataFrame:
     )
 
 
+def as_source(df: DataFrame) -> DataFrame:
+    """Make generated change records behave like records read from files.
+
+    The images here are expressions, not columns; a filter pushed below
+    them would re-expand the whole image construction once per reference.
+    A 1-row generator per record is a boundary the optimizer does not push
+    filters through, so downstream operators see the images as plain input
+    columns - exactly what a JSON change source gives them.
+    """
+    packed = F.array(F.struct(*[F.col(c) for c in df.columns]))
+    return df.select(F.explode(packed).alias("_rec")).select("_rec.*")
+
+
 def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change stream derived from ``events`` (CHANGE_RECORD shape)."""
     return items_to_changes(event_items(spread(_table(spark, sf_dir, "events"))))
