@@ -34,7 +34,8 @@ def _pct(num: Column, den: Column) -> Column:
 def metric_counts(state: DataFrame, now: Column) -> DataFrame:
     """One aggregate row with every count the three collectors need.
 
-    Active users: last_login > (now - 30 days), compared as ISO text the way
+    FIL-07 equality flags are ``count_if`` arms.  FIL-06 active users:
+    last_login > (now - 30 days), compared as ISO text the way
     the store compares strings; a missing last_login is not active.
     """
     is_user = F.col("PK").startswith(K.USER_PREFIX)
