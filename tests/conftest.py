@@ -14,7 +14,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", 4)
+    wh = tempfile.mkdtemp(prefix="tessera-wh-", dir=os.environ.get("TMPDIR", "/tmp"))
+    s = get_session("local[4]", 4, extra={"spark.sql.warehouse.dir": wh})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
