@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import keys as K
 from ..functions.dates import iso_ts
 
-NAMESPACE = "TodoApi/CustomMetrics"
+NAMESPACE = "App/CustomMetrics"
 ACTIVE_DAYS = 30
 
 # Metric names and units as emitted, in emission order.

@@ -122,7 +122,7 @@ def _metrics_sql(state_cte: str, state_name: str) -> str:
   SELECT 'TotalItems', items, 'Count' FROM c UNION ALL
   SELECT 'AverageTasksPerUser', CASE WHEN users > 0 THEN CAST(tasks AS DOUBLE) / users ELSE 0 END, 'Count' FROM c
 )
-SELECT 'TodoApi/CustomMetrics' AS namespace, metric, ROUND(CAST(value AS DOUBLE), 6) AS value, unit,
+SELECT 'App/CustomMetrics' AS namespace, metric, ROUND(CAST(value AS DOUBLE), 6) AS value, unit,
        TIMESTAMP '2024-01-31 00:00:00' AS ts FROM m"""
 
 

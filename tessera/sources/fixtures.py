@@ -43,7 +43,7 @@ ORDER_PRIORITY = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium",
 DUE_BASE = "2024-01-01"
 # base of user created_at in the customer model (epoch of 1995-01-01)
 CUSTOMER_EPOCH_BASE = 788918400
-TABLE_NAME = "todo-app-data"
+TABLE_NAME = "app-data"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

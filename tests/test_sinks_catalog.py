@@ -14,19 +14,19 @@ from tessera.sources import lake as src
 
 
 def test_register_database_table_and_sql(spark, tmpdir_path):
-    sink.register_database(spark, "todo_analytics_t", "analytics", os.path.join(tmpdir_path, "db"))
-    assert "todo_analytics_t" in [d.name for d in spark.catalog.listDatabases()]
+    sink.register_database(spark, "analytics_t", "analytics", os.path.join(tmpdir_path, "db"))
+    assert "analytics_t" in [d.name for d in spark.catalog.listDatabases()]
     p = os.path.join(tmpdir_path, "ua")
     spark.createDataFrame([("1", 5), ("2", 7)], "user_id string, total_events long").write.parquet(p)
-    sink.register_table(spark, "todo_analytics_t.user_analytics", p)
-    out = sink.run_sql_to(spark, "SELECT COUNT(*) AS total_users FROM todo_analytics_t.user_analytics",
+    sink.register_table(spark, "analytics_t.user_analytics", p)
+    out = sink.run_sql_to(spark, "SELECT COUNT(*) AS total_users FROM analytics_t.user_analytics",
                           os.path.join(tmpdir_path, "results"))
     assert out.first().total_users == 2
-    sink.ctas_gold(spark, "todo_analytics_t.top_users",
-                   "SELECT user_id FROM todo_analytics_t.user_analytics WHERE total_events > 5")
-    sink.ctas_gold(spark, "todo_analytics_t.top_users",
-                   "SELECT user_id FROM todo_analytics_t.user_analytics WHERE total_events > 5")
-    assert [r.user_id for r in spark.table("todo_analytics_t.top_users").collect()] == ["2"]
+    sink.ctas_gold(spark, "analytics_t.top_users",
+                   "SELECT user_id FROM analytics_t.user_analytics WHERE total_events > 5")
+    sink.ctas_gold(spark, "analytics_t.top_users",
+                   "SELECT user_id FROM analytics_t.user_analytics WHERE total_events > 5")
+    assert [r.user_id for r in spark.table("analytics_t.top_users").collect()] == ["2"]
 
 
 def test_metrics_written_by_namespace(spark, tmpdir_path):
