@@ -511,3 +511,25 @@ def gold_extended_user_analytics(spark, sf_dir):
         .select(F.col("user_id").cast("string").alias("user_id"), F.col("ts").alias("login_ts"))
     out = gold.extended_user_analytics(g.user_analytics, logins, TODAY)
     return out.withColumn("total_logins", F.col("total_logins").cast("bigint"))
+
+
+@register("stream_bronze_by_date", f"""WITH {EV} SELECT CAST(ts AS DATE) AS date,
+  COUNT(*) FILTER (WHERE event_type IN ('signup', 'view')) AS inserts,
+  COUNT(*) FILTER (WHERE event_type IN ('click', 'purchase')) AS modifies
+  FROM ev WHERE event_type <> 'error' GROUP BY 1""")
+def stream_bronze_by_date(spark, sf_dir):
+    """STR-01 / SNK-01: the change stream (built from the events file
+    stream) landed as bronze by the streaming handler, read back and
+    counted per arrival date; removes are dropped, as in the batch path."""
+    import uuid
+    from ..session import work_path
+    from ..sources.lake import read_bronze
+    from ..streaming import streams
+    base = work_path(spark, f"stream-bronze-{uuid.uuid4().hex[:8]}")
+    changes = fixtures.items_to_changes(fixtures.event_items(streams.table_stream(spark, sf_dir, "events")))
+    q = streams.changes_to_bronze_stream(changes, f"{base}/bronze", f"{base}/quarantine", f"{base}/ck")
+    q.awaitTermination()
+    b = read_bronze(spark, f"{base}/bronze")
+    return b.groupBy(F.to_date("processed_at").alias("date")).agg(
+        F.count_if(F.col("event_name") == "INSERT").alias("inserts"),
+        F.count_if(F.col("event_name") == "MODIFY").alias("modifies"))

@@ -139,8 +139,10 @@ QUERY_SQL = {
 }
 
 # queries also registered over the customer/orders state model
-STATE_QUERIES = ["q05_completion_summary", "q07_status_distribution", "q09_popular_categories",
-                 "q12_user_productivity", "q14_top_productive_users", "q16_system_health"]
+STATE_QUERIES = ["q02_user_summary", "q03_top_active_users", "q05_completion_summary", "q06_best_completion_rates",
+                 "q07_status_distribution", "q08_all_category_trends", "q09_popular_categories",
+                 "q10_all_kpis", "q12_user_productivity", "q13_users_without_tasks",
+                 "q14_top_productive_users", "q15_category_completion_rate", "q16_system_health"]
 
 
 def event_query_sql(name: str) -> str:
