@@ -240,17 +240,35 @@ def illegal_transitions(task_changes: DataFrame) -> DataFrame:
                     (F.col("status") != TERMINAL_STATUS)).drop("_o", "_done")
 
 
-def lag_transitions(task_changes: DataFrame) -> DataFrame:
-    """WIN-03 as specified: ``lag(status)`` over each task's changes in
-    (processed_at, sequence) order; completed followed by another status.
-
-    A window keyed by task: one task's changes are sorted in one task slot
-    (spilling to disk if large).  Changes to a single task are bounded by
-    edits to one item; for a provably hot key use
-    :func:`illegal_transitions`, which needs no per-key sort.
+def previous_status(task_changes: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+    """``lag(status)`` per task in (processed_at, sequence) order, skew-safe.
+
+    A plain ``Window.partitionBy(task)`` sorts all changes of one task in
+    one task slot; a task holding a third of all changes would stall the
+    job.  Here the window is partitioned by (task, time bucket), so a hot
+    task spreads over many buckets.  The first change of a bucket takes the
+    last status of the task's previous non-empty bucket: one row per
+    (task, bucket) from a partial aggregate, ranked by a window over
+    bucket rows only (the bucket count per task is bounded by the time
+    span, not the data volume), then joined back.  Exactly equal to
+    ``lag`` over the whole task.
     """
     from pyspark.sql import Window
     order = change_order(F.col("processed_at"), F.col("sequence_number"))
-    w = Window.partitionBy("task_id").orderBy(order)
-    return task_changes.withColumn("prev_status", F.lag("status").over(w)).filter(
+    b = F.floor(F.unix_seconds(F.col("processed_at")) / F.lit(bucket_seconds)).cast("bigint")
+    tc = task_changes.withColumn("_o", order).withColumn("_b", b)
+    inner = tc.withColumn("_prev_in", F.lag("status").over(Window.partitionBy("task_id", "_b").orderBy("_o"))) \
+        .withColumn("_first", F.row_number().over(Window.partitionBy("task_id", "_b").orderBy("_o")) == 1)
+    last_per_bucket = tc.groupBy("task_id", "_b").agg(F.max_by("status", "_o").alias("_last"))
+    carried = last_per_bucket.withColumn(
+        "_carry", F.lag("_last").over(Window.partitionBy("task_id").orderBy("_b"))).select("task_id", "_b", "_carry")
+    j = inner.join(carried, ["task_id", "_b"], "left")
+    return j.withColumn("prev_status", F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev_in"))) \
+        .drop("_o", "_b", "_prev_in", "_first", "_carry")
+
+
+def lag_transitions(task_changes: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+    """WIN-03: completed followed by another status (``lag`` semantics),
+    computed with the skew-safe :func:`previous_status`."""
+    return previous_status(task_changes, bucket_seconds).filter(
         (F.col("prev_status") == TERMINAL_STATUS) & F.col("status").isNotNull() & (F.col("status") != TERMINAL_STATUS))

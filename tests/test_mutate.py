@@ -116,3 +116,16 @@ def test_put_items_last_wins(spark):
             items = items.withColumn(f.name, F.lit(None).cast(f.dataType))
     out = mutate.put_items(empty, items, F.lit(99).cast("bigint")).collect()
     assert len(out) == 1 and out[0].title == "second" and out[0].created_at == 99 and len(cols) == len(out[0])
+
+
+def test_previous_status_buckets_equal_plain_lag(spark):
+    from pyspark.sql import Window
+    rows = [("a", s, f"2024-01-01 00:00:{sec:02d}", str(i)) for i, (s, sec) in enumerate(
+        [("pending", 1), ("completed", 1), ("in_progress", 5), (None, 9), ("pending", 9), ("completed", 30)])]
+    rows += [("b", "pending", "2024-01-01 00:00:03", "100"), ("b", "completed", "2024-01-01 00:00:40", "101")]
+    tc = spark.createDataFrame(rows, "task_id string, status string, processed_at string, sequence_number string") \
+        .withColumn("processed_at", F.col("processed_at").cast("timestamp"))
+    got = {r.sequence_number: r.prev_status for r in mutate.previous_status(tc, bucket_seconds=2).collect()}
+    w = Window.partitionBy("task_id").orderBy("processed_at", F.col("sequence_number").cast("int"))
+    want = {r.sequence_number: r.p for r in tc.select("sequence_number", F.lag("status").over(w).alias("p")).collect()}
+    assert got == want
