@@ -533,3 +533,29 @@ def stream_bronze_by_date(spark, sf_dir):
     return b.groupBy(F.to_date("processed_at").alias("date")).agg(
         F.count_if(F.col("event_name") == "INSERT").alias("inserts"),
         F.count_if(F.col("event_name") == "MODIFY").alias("modifies"))
+
+
+@register("stream_idempotency_replays", f"""WITH RECURSIVE {EV}, req AS (
+  SELECT user_id || ':' || k AS request_id, ep AS ts_epoch FROM ev
+), w(request_id, start) AS (
+  SELECT request_id, MIN(ts_epoch) FROM req GROUP BY request_id
+  UNION ALL
+  SELECT w.request_id, (SELECT MIN(r.ts_epoch) FROM req r WHERE r.request_id = w.request_id AND r.ts_epoch > w.start + 86400)
+  FROM w WHERE w.start IS NOT NULL
+), starts AS (
+  SELECT DISTINCT request_id, start FROM w WHERE start IS NOT NULL
+), ranked AS (
+  SELECT request_id, ts_epoch, ROW_NUMBER() OVER (PARTITION BY request_id, ts_epoch) AS rn FROM req
+) SELECT request_id, ts_epoch,
+    NOT (rn = 1 AND EXISTS (SELECT 1 FROM starts s WHERE s.request_id = ranked.request_id AND s.start = ranked.ts_epoch)) AS replay
+  FROM ranked""")
+def stream_idempotency_replays(spark, sf_dir):
+    """STR-04 exact: each request (id "<user>:<k>") replays a live key or
+    creates one valid 24 h; windows chain per id, state is one row per id."""
+    from ..streaming import streams
+    ev = streams.table_stream(spark, sf_dir, "events")
+    req = ev.select(F.concat_ws(":", F.col("user_id").cast("string"),
+                                F.get_json_object("props", "$.k").try_cast("bigint").cast("string")).alias("request_id"),
+                    F.unix_seconds("ts").alias("ts_epoch"))
+    out = streams.replay_to_table(spark, streams.idempotency_stream(req), "idempotency")
+    return out.select("request_id", "ts_epoch", "replay")

@@ -101,6 +101,45 @@ def dedupe_requests(requests: DataFrame, ts_col: str = "ts", ttl: str = "24 hour
     return requests.withWatermark(ts_col, ttl).dropDuplicatesWithinWatermark(["request_id"])
 
 
+REPLAY_SCHEMA = "request_id string, ts_epoch long, replay boolean, key_created_at long, key_expires_at long"
+KEY_STATE_SCHEMA = "created_at long, expires_at long"
+
+
+def _idempotency_keys(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """State per request id: the live key's (created_at, expires_at).
+
+    A request at or before the expiry replays the key; a later one creates
+    a new key valid for 24 h from that request (expired only when strictly
+    past the expiry), exactly as the service's check-then-store does.
+    """
+    created, expires = (tuple(state.get) if state.exists else (None, None))
+    frames = [p for p in pdfs]
+    if not frames:
+        return
+    pdf = pd.concat(frames, ignore_index=True).sort_values("ts_epoch", kind="stable")
+    out = []
+    for ts in pdf["ts_epoch"]:
+        ts = int(ts)
+        if expires is not None and ts <= expires:
+            out.append((key[0], ts, True, created, expires))
+        else:
+            created, expires = ts, ts + 86400
+            out.append((key[0], ts, False, created, expires))
+    state.update((created, expires))
+    yield pd.DataFrame(out, columns=["request_id", "ts_epoch", "replay", "key_created_at", "key_expires_at"])
+
+
+def idempotency_stream(requests: DataFrame) -> DataFrame:
+    """STR-04 exact: classify each request (request_id, ts_epoch) as a replay
+    of a live key or as a new key, with windows chained per id.
+
+    One state row per request id; the rows handled per call are one id's
+    requests of one micro-batch (bounded by the trigger size).
+    """
+    return requests.select("request_id", "ts_epoch").groupBy("request_id").applyInPandasWithState(
+        _idempotency_keys, REPLAY_SCHEMA, KEY_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+
+
 # ----------------------------------------------------------- STR-05/06 ---
 
 def tumbling_rollup(log: DataFrame, value_col: str = "duration_ms", period: str = "5 minutes",
