@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, FloatType, IntegralType, StringType
+from pyspark.sql.types import BooleanType, DoubleType, FloatType, IntegralType, StringType, VariantType
 
 # Fixed domains (DQ-05) and limits (DQ-06/07).
 TASK_STATUS = ["pending", "in_progress", "completed", "cancelled"]
@@ -47,6 +47,16 @@ def _type_ok(df: DataFrame, name: str, expected: str) -> Column:
     """
     c = F.col(name)
     dt = df.schema[name].dataType
+    if isinstance(dt, VariantType):
+        # JSON-typed values: the value's own type decides (a JSON null fails)
+        t = F.schema_of_variant(c)
+        is_int = t.isin("BIGINT", "INT", "SMALLINT", "TINYINT") | t.startswith("DECIMAL(") & t.endswith(",0)")
+        is_num = is_int | t.isin("DOUBLE", "FLOAT") | t.startswith("DECIMAL(")
+        ok = {"string": t == "STRING", "int": is_int | (t == "BOOLEAN"),
+              "float": is_num | (t == "BOOLEAN"), "bool": t == "BOOLEAN"}
+        # absent field (SQL null): rule skipped; present JSON null: fails
+        return F.when(c.isNull(), F.lit(True)).otherwise(
+            F.coalesce(ok.get(expected, F.lit(False)), F.lit(False)) & (t != "VOID"))
     if isinstance(dt, StringType):
         parse = {"string": c.isNotNull(), "int": c.try_cast("bigint").isNotNull() & ~c.contains("."),
                  "float": c.try_cast("double").isNotNull(), "bool": c.isin("true", "false")}
@@ -63,7 +73,10 @@ def violations(df: DataFrame, rules: Rules) -> Column:
     arms: list[Column] = []
     for f in rules.required_fields:
         if f in df.columns:
-            arms.append(F.when(F.col(f).isNull(), F.lit(f"required:{f}")))
+            missing = F.col(f).isNull()
+            if isinstance(df.schema[f].dataType, VariantType):
+                missing = missing | F.is_variant_null(F.col(f))
+            arms.append(F.when(missing, F.lit(f"required:{f}")))
         else:
             arms.append(F.lit(f"required:{f}"))
     for f, t in rules.data_types.items():
@@ -73,12 +86,15 @@ def violations(df: DataFrame, rules: Rules) -> Column:
         if f not in df.columns:
             continue
         c = F.col(f)
+        is_variant = isinstance(df.schema[f].dataType, VariantType)
+        num = F.try_variant_get(c, "$", "double") if is_variant else c.try_cast("double")
+        text = F.try_variant_get(c, "$", "string") if is_variant else c.cast("string")
         if con.get("min") is not None:
-            arms.append(F.when(c.try_cast("double") < F.lit(float(con["min"])), F.lit(f"min:{f}")))
+            arms.append(F.when(num < F.lit(float(con["min"])), F.lit(f"min:{f}")))
         if con.get("max") is not None:
-            arms.append(F.when(c.try_cast("double") > F.lit(float(con["max"])), F.lit(f"max:{f}")))
+            arms.append(F.when(num > F.lit(float(con["max"])), F.lit(f"max:{f}")))
         if con.get("pattern") is not None:
-            arms.append(F.when(c.isNotNull() & ~c.cast("string").rlike("^(?:" + con["pattern"] + ")"),
+            arms.append(F.when(text.isNotNull() & ~text.rlike("^(?:" + con["pattern"] + ")"),
                                F.lit(f"pattern:{f}")))
         if con.get("in") is not None:
             arms.append(F.when(c.isNotNull() & ~c.isin(*con["in"]), F.lit(f"domain:{f}")))
@@ -95,6 +111,15 @@ def violations(df: DataFrame, rules: Rules) -> Column:
     return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, "\u0001"))
 
 
+def record_fields(records: DataFrame, record_col: str, rules: Rules) -> DataFrame:
+    """Project the fields a rule set names out of a JSON record (variant)
+    column, as variant columns; a field absent from a record is null, so
+    "required" fails and the type/constraint rules skip it, as for dicts."""
+    names = list(dict.fromkeys(rules.required_fields + list(rules.data_types) + list(rules.constraints)))
+    cols = [F.try_variant_get(F.col(record_col), f"$['{n}']", "variant").alias(n) for n in names]
+    return records.select("*", *cols)
+
+
 def validate(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
     """DQ-08: (valid rows, rejected rows with ``violations`` and ``rule``)."""
     v = df.withColumn("violations", violations(df, rules))

@@ -73,3 +73,25 @@ def test_metrics_counts_and_active_cutoff(spark):
     assert (m["TotalUsers"], m["ActiveUsers"], m["VerifiedUsers"]) == (2, 1, 1)
     assert (m["TotalTasks"], m["CompletedTasks"], m["HighPriorityTasks"], m["TaskCompletionRate"]) == (2, 1, 1, 50.0)
     assert m["AverageTasksPerUser"] == 1.0 and m["TotalItems"] == 4
+
+
+def test_quality_rules_over_json_records(spark):
+    """The rule cases of the source's own tests, over JSON records."""
+    import json
+    rules = quality.Rules(required_fields=["user_id", "email"],
+                          data_types={"user_id": "string", "age": "int", "score": "float", "active": "bool"},
+                          constraints={"age": {"min": 0, "max": 120}, "email": {"pattern": r"[^@]+@[^@]+\.[a-z]+"}})
+    recs = [
+        {"user_id": "123", "email": "a@example.com", "age": 25, "score": 95.5, "active": True},   # valid
+        {"user_id": "123", "email": "a@example.com", "age": 150},                                # above max
+        {"user_id": "123", "email": "a@example.com", "age": "twenty"},                           # wrong type
+        {"user_id": "123", "age": 25},                                                           # missing email
+        {"user_id": "123", "email": "a@example.com", "age": True, "score": 3},                   # bool is an int, int is a float
+        {"user_id": None, "email": "a@example.com"},                                             # present null fails
+        {"user_id": "123", "email": "not-an-email"},                                             # pattern
+    ]
+    df = spark.createDataFrame([(json.dumps(r),) for r in recs], "j string").select(F.parse_json("j").alias("rec"))
+    flat = quality.record_fields(df, "rec", rules)
+    v = [r.v for r in flat.select(quality.violations(flat, rules).alias("v")).collect()]
+    assert v[0] == [] and v[1] == ["max:age"] and v[2] == ["type:age"] and v[3] == ["required:email"]
+    assert v[4] == [] and v[5][0] == "required:user_id" and v[6] == ["pattern:email"]
