@@ -105,30 +105,6 @@ REPLAY_SCHEMA = "request_id string, ts_epoch long, replay boolean, key_created_a
 KEY_STATE_SCHEMA = "created_at long, expires_at long"
 
 
-def _idempotency_keys(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """State per request id: the live key's (created_at, expires_at).
-
-    A request at or before the expiry replays the key; a later one creates
-    a new key valid for 24 h from that request (expired only when strictly
-    past the expiry), exactly as the service's check-then-store does.
-    """
-    created, expires = (tuple(state.get) if state.exists else (None, None))
-    frames = [p for p in pdfs]
-    if not frames:
-        return
-    pdf = pd.concat(frames, ignore_index=True).sort_values("ts_epoch", kind="stable")
-    out = []
-    for ts in pdf["ts_epoch"]:
-        ts = int(ts)
-        if expires is not None and ts <= expires:
-            out.append((key[0], ts, True, created, expires))
-        else:
-            created, expires = ts, ts + 86400
-            out.append((key[0], ts, False, created, expires))
-    state.update((created, expires))
-    yield pd.DataFrame(out, columns=["request_id", "ts_epoch", "replay", "key_created_at", "key_expires_at"])
-
-
 def idempotency_stream(requests: DataFrame) -> DataFrame:
     """STR-04 exact: classify each request (request_id, ts_epoch) as a replay
     of a live key or as a new key, with windows chained per id.
@@ -136,8 +112,37 @@ def idempotency_stream(requests: DataFrame) -> DataFrame:
     One state row per request id; the rows handled per call are one id's
     requests of one micro-batch (bounded by the trigger size).
     """
+    step = _make_idempotency_keys()
     return requests.select("request_id", "ts_epoch").groupBy("request_id").applyInPandasWithState(
-        _idempotency_keys, REPLAY_SCHEMA, KEY_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        step, REPLAY_SCHEMA, KEY_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+
+
+def _make_idempotency_keys():
+    # shipped by value, like the task machine
+    def _idempotency_keys(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """State per request id: the live key's (created_at, expires_at).
+
+        A request at or before the expiry replays the key; a later one creates
+        a new key valid for 24 h from that request (expired only when strictly
+        past the expiry), exactly as the service's check-then-store does.
+        """
+        created, expires = (tuple(state.get) if state.exists else (None, None))
+        frames = [p for p in pdfs]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True).sort_values("ts_epoch", kind="stable")
+        out = []
+        for ts in pdf["ts_epoch"]:
+            ts = int(ts)
+            if expires is not None and ts <= expires:
+                out.append((key[0], ts, True, created, expires))
+            else:
+                created, expires = ts, ts + 86400
+                out.append((key[0], ts, False, created, expires))
+        state.update((created, expires))
+        yield pd.DataFrame(out, columns=["request_id", "ts_epoch", "replay", "key_created_at", "key_expires_at"])
+
+    return _idempotency_keys
 
 
 # ----------------------------------------------------------- STR-05/06 ---
@@ -166,36 +171,6 @@ TRANSITION_SCHEMA = "task_id string, sequence_number string, prev_status string,
 STATE_SCHEMA = "status string, seq string"
 
 
-def _task_machine(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """State: the task's current status and last applied sequence.
-
-    Changes of one micro-batch are applied in sequence order; a change that
-    moves a completed task to another status is rejected (not applied); a
-    REMOVE (status None) resets the task.
-    """
-    cur, last = (tuple(state.get) if state.exists else (None, None))
-    last_n = int(last) if last is not None else None
-    out = []
-    # one key's rows of ONE micro-batch (bounded by the trigger size)
-    frames = [p for p in pdfs]
-    if not frames:
-        return
-    pdf = pd.concat(frames, ignore_index=True)
-    pdf["seqn"] = pdf["sequence_number"].map(lambda s: int(s) if s is not None and str(s).isdigit() else -1)
-    for seq, seqn, new in zip(pdf.sort_values("seqn")["sequence_number"], pdf.sort_values("seqn")["seqn"],
-                              pdf.sort_values("seqn")["status"]):
-        if last_n is not None and seqn <= last_n:
-            continue  # re-delivered change
-        new = None if pd.isna(new) else new
-        accepted = not (cur == "completed" and new is not None and new != "completed")
-        out.append((key[0], seq, cur, new, accepted))
-        if accepted:
-            cur = new
-        last_n = seqn
-    state.update((cur, None if last_n is None else str(last_n)))
-    yield pd.DataFrame(out, columns=["task_id", "sequence_number", "prev_status", "status", "accepted"])
-
-
 def task_state_machine(task_changes: DataFrame) -> DataFrame:
     """STR-07: per-task status machine over a change stream.
 
@@ -203,8 +178,44 @@ def task_state_machine(task_changes: DataFrame) -> DataFrame:
     with the status it found and whether it was accepted; state holds one
     (status, sequence) pair per task.
     """
+    step = _make_task_machine()
     return task_changes.groupBy("task_id").applyInPandasWithState(
-        _task_machine, TRANSITION_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        step, TRANSITION_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+
+
+def _make_task_machine():
+    # Defined inside a function so it is shipped by value: Python workers
+    # need pandas and pyspark only, not this package.
+    def _task_machine(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """State: the task's current status and last applied sequence.
+
+        Changes of one micro-batch are applied in sequence order; a change that
+        moves a completed task to another status is rejected (not applied); a
+        REMOVE (status None) resets the task.
+        """
+        cur, last = (tuple(state.get) if state.exists else (None, None))
+        last_n = int(last) if last is not None else None
+        out = []
+        # one key's rows of ONE micro-batch (bounded by the trigger size)
+        frames = [p for p in pdfs]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True)
+        pdf["seqn"] = pdf["sequence_number"].map(lambda s: int(s) if s is not None and str(s).isdigit() else -1)
+        for seq, seqn, new in zip(pdf.sort_values("seqn")["sequence_number"], pdf.sort_values("seqn")["seqn"],
+                                  pdf.sort_values("seqn")["status"]):
+            if last_n is not None and seqn <= last_n:
+                continue  # re-delivered change
+            new = None if pd.isna(new) else new
+            accepted = not (cur == "completed" and new is not None and new != "completed")
+            out.append((key[0], seq, cur, new, accepted))
+            if accepted:
+                cur = new
+            last_n = seqn
+        state.update((cur, None if last_n is None else str(last_n)))
+        yield pd.DataFrame(out, columns=["task_id", "sequence_number", "prev_status", "status", "accepted"])
+
+    return _task_machine
 
 
 # ----------------------------------------------------------- STR-08 ---
