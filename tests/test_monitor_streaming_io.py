@@ -117,3 +117,18 @@ def test_idempotency_stream_chains_windows(spark, tmpdir_path):
             want[(rid, ts)] = False
     assert got == want
     assert got[("r1", day + 1)] is False and got[("r1", day + 50)] is True
+
+
+def test_cli_end_to_end(spark, tmpdir_path):
+    from conftest import change, task_image, user_image, write_jsonl
+    from tessera.plans import cli
+    ch = write_jsonl(os.path.join(tmpdir_path, "changes"), [
+        change("INSERT", "1", new=user_image(uid="u1", email="a@x.io")),
+        change("INSERT", "2", new=task_image(uid="u1", tid="t1")),
+        change("MODIFY", "3", new=task_image(uid="u1", tid="t1", status="completed"))])
+    root = lambda n: os.path.join(tmpdir_path, n)
+    cli.run(["bronze", "--changes", ch, "--bronze", root("bronze")], spark)
+    cli.run(["silver", "--bronze", root("bronze"), "--silver", root("silver"), "--latest"], spark)
+    cli.run(["gold", "--silver", root("silver"), "--gold", root("gold")], spark)
+    out = cli.run(["sql", "--gold", root("gold"), "--query", "q16"], spark)["rows"]
+    assert {r["metric"]: r["value"] for r in out} == {"total_users": 1, "total_tasks": 1, "completed_tasks": 1}
