@@ -15,9 +15,6 @@ from pyspark.sql.types import StructType
 
 from ..schemas import APP_LOG, CDC_ENVELOPE, CHANGE_RECORD
 
-BATCH_RECORDS = 100  # change handler batch size (stream batch setting)
-
-
 def read_changes(spark: SparkSession, path: str, stream: bool = False, files_per_trigger: int | None = None) -> DataFrame:
     """SRC-01: change records (JSON lines, tagged images as variant).
 
