@@ -73,3 +73,29 @@ def register_gold(spark: SparkSession, gold_root: str, database: str | None = No
     }
     for name, path in names.items():
         spark.read.parquet(path).createOrReplaceTempView(name)
+
+
+def silver_increment_job(spark: SparkSession, bronze_root: str, new_dates: list[str], previous_entities: str,
+                         silver_root: str, version: int, latest: bool = False) -> dict:
+    """SNK-11: fold newly arrived bronze partitions (``new_dates``,
+    "YYYY-MM-DD") into silver without a full recompute.
+
+    ``previous_entities`` is the last version's users+tasks aggregate
+    (Parquet).  Touched keys are re-aggregated from all their changes,
+    untouched ones carry over, and the result goes to a new version
+    directory (no in-place overwrite of what readers may be using).
+    """
+    bronze_all = src.read_bronze(spark, f"{bronze_root.rstrip('/')}/cdc")
+    bronze_new = src.read_bronze(spark, f"{bronze_root.rstrip('/')}/cdc", dates=new_dates)
+    if sink.skip_if_empty(bronze_new):
+        return {}
+    prev = spark.read.parquet(previous_entities)
+    ent = silver.silver_increment(bronze_all, bronze_new, prev, latest)
+    out = sink.new_version_path(f"{silver_root.rstrip('/')}/entities", version)
+    ent.write.mode("overwrite").parquet(out)
+    ent = spark.read.parquet(out)
+    root = silver_root.rstrip("/")
+    sink.write_silver(silver.users_of(ent), sink.new_version_path(f"{root}/users", version))
+    sink.write_silver(silver.tasks_of(ent), sink.new_version_path(f"{root}/tasks", version))
+    return {"entities": out, "users": sink.new_version_path(f"{root}/users", version),
+            "tasks": sink.new_version_path(f"{root}/tasks", version)}

@@ -132,3 +132,20 @@ def test_cli_end_to_end(spark, tmpdir_path):
     cli.run(["gold", "--silver", root("silver"), "--gold", root("gold")], spark)
     out = cli.run(["sql", "--gold", root("gold"), "--query", "q16"], spark)["rows"]
     assert {r["metric"]: r["value"] for r in out} == {"total_users": 1, "total_tasks": 1, "completed_tasks": 1}
+
+
+def test_silver_increment_job(spark, tmpdir_path):
+    from conftest import change, task_image, write_jsonl
+    from tessera.operators import silver
+    root = lambda n: os.path.join(tmpdir_path, n)
+    day1 = [change("INSERT", "1", new=task_image(tid="a"), time="2024-01-01T10:00:00Z"),
+            change("INSERT", "2", new=task_image(tid="b"), time="2024-01-01T11:00:00Z")]
+    day2 = [change("MODIFY", "3", new=task_image(tid="a", status="completed"), time="2024-01-02T10:00:00Z")]
+    medallion.bronze_job(src.read_changes(spark, write_jsonl(root("c1"), day1)), root("bronze"))
+    b1 = src.read_bronze(spark, os.path.join(root("bronze"), "cdc"))
+    silver.silver_entities(b1).write.parquet(root("ent0"))
+    medallion.bronze_job(src.read_changes(spark, write_jsonl(root("c2"), day2)), root("bronze"))
+    out = medallion.silver_increment_job(spark, root("bronze"), ["2024-01-02"], root("ent0"), root("silver"), 1,
+                                         latest=True)
+    tasks = {r.task_id: (r.status, r.event_count) for r in spark.read.parquet(out["tasks"]).collect()}
+    assert tasks == {"a": ("completed", 2), "b": ("pending", 1)}

@@ -68,3 +68,19 @@ def test_user_segments_and_growth(spark):
     seg = {r.user_id: (r.user_segment, r.engagement_level) for r in
            gold.extended_user_analytics(ua, logins, "2024-01-31").collect()}
     assert seg["1"] == ("low", "high") and seg["3"][0] == "medium" and seg["6"] == ("high", "low")
+
+
+def test_incremental_silver_equals_full_recompute(spark, tmpdir_path):
+    first = [change("INSERT", "1", new=task_image(tid="a")), change("INSERT", "2", new=task_image(tid="b")),
+             change("INSERT", "3", new=user_image())]
+    later = [change("MODIFY", "4", new=task_image(tid="a", status="completed"), time="2024-01-02T00:00:00Z"),
+             change("INSERT", "5", new=task_image(tid="c"), time="2024-01-02T00:00:00Z")]
+    b1 = _bronze(spark, tmpdir_path + "/1", first)
+    b2 = _bronze(spark, tmpdir_path + "/2", later)
+    prev = silver.silver_entities(b1)
+    inc = silver.silver_increment(b1.unionByName(b2), b2, prev, latest=True)
+    full = silver.silver_entities(b1.unionByName(b2), latest=True)
+    key = lambda r: (r.entity_type, r.entity_id)
+    assert sorted(inc.collect(), key=key) == sorted(full.collect(), key=key)
+    assert {r.entity_id: r._first.status for r in silver.tasks_of(inc).select("task_id", F.struct("status").alias("_first"))
+            .withColumnRenamed("task_id", "entity_id").collect()} == {"a": "completed", "b": "pending", "c": "pending"}
