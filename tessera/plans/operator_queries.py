@@ -475,7 +475,21 @@ def stream_rollup_5min(spark, sf_dir):
     return _epoch_start(out).withColumn("sum", F.col("sum").cast("bigint"))
 
 
-@register("stream_task_state_machine", None)
+@register("stream_task_state_machine", f"""WITH {EV}, tc AS (
+  SELECT CAST(user_id * 100 + slot AS VARCHAR) AS task_id, event_id, CAST(event_id AS VARCHAR) AS sequence_number,
+         CASE event_type WHEN 'view' THEN 'pending' WHEN 'click' THEN 'in_progress' WHEN 'purchase' THEN 'completed' END AS status
+  FROM ev WHERE event_type IN ('view', 'click', 'purchase', 'error')
+), marks AS (
+  SELECT *, last_value(CASE WHEN status = 'completed' THEN 'C' WHEN status IS NULL THEN 'R' END IGNORE NULLS)
+              OVER (PARTITION BY task_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_mark
+  FROM tc
+), acc AS (
+  SELECT *, NOT COALESCE(last_mark = 'C' AND status IS NOT NULL AND status <> 'completed', false) AS accepted FROM marks
+) SELECT task_id, sequence_number,
+    (last_value(CASE WHEN accepted THEN {{'s': status}} END IGNORE NULLS)
+       OVER (PARTITION BY task_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)).s AS prev_status,
+    status, accepted
+  FROM acc""")
 def stream_task_state_machine(spark, sf_dir):
     """STR-07: per-task status machine over the change stream; rows flagged
     accepted = false are the updates the service would reject."""
