@@ -8,7 +8,7 @@ period), whose size depends on the time span, not on the data volume.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import APP_LOG

@@ -1,7 +1,6 @@
 """Catalog and sink helpers: database/table registration, run-SQL-to,
 CTAS, metric and log round trips, crawler-style schema inference."""
 
-import json
 import os
 
 from pyspark.sql import functions as F
