@@ -13,19 +13,27 @@ from pyspark.sql import functions as F
 
 from ..schemas import APP_LOG
 
-# event_type -> (log level, status, http status) of the app log view
+# Fixed values of the app log view: event_type -> log level (default INFO)
+# and -> http status (default 200)
 LOG_LEVEL = {"error": "ERROR"}
 HTTP_STATUS = {"error": 500, "signup": 201, "purchase": 201}
 
 
+def _lookup(c, mapping: dict, default):
+    out = F.lit(default)
+    for k, v in mapping.items():
+        out = F.when(c == k, F.lit(v)).otherwise(out)
+    return out
+
+
 def app_log_from_events(events: DataFrame) -> DataFrame:
     """APP_LOG rows from the events table (SURVEY 7.3: error -> status
     error, value -> duration_ms, x100 so sub-unit values keep precision)."""
     is_err = F.col("event_type") == "error"
-    http = F.when(is_err, 500).when(F.col("event_type").isin("signup", "purchase"), 201).otherwise(200)
+    http = _lookup(F.col("event_type"), HTTP_STATUS, 200)
     return events.select(
         F.col("ts").alias("timestamp"),
-        F.when(is_err, "ERROR").otherwise("INFO").alias("level"),
+        _lookup(F.col("event_type"), LOG_LEVEL, "INFO").alias("level"),
         F.concat(F.col("user_id").cast("string"), F.lit(":"), F.col("event_id").cast("string")).alias("request_id"),
         F.col("user_id").cast("string").alias("user_id"),
         F.lit("api").alias("component"),
