@@ -149,3 +149,15 @@ def test_silver_increment_job(spark, tmpdir_path):
                                          latest=True)
     tasks = {r.task_id: (r.status, r.event_count) for r in spark.read.parquet(out["tasks"]).collect()}
     assert tasks == {"a": ("completed", 2), "b": ("pending", 1)}
+
+
+def test_every_shipped_sql_equals_its_dataframe_plan(spark):
+    """Q01..Q18 as SQL text over registered gold views == the DataFrame plans."""
+    g = model.event_model(spark, SF_SMALL)
+    Q.register_gold_views(g)
+    for key, twin in Q.SQL_TWINS.items():
+        got = spark.sql(Q.SQL[key])
+        want = Q.QUERIES[twin](g)
+        assert got.columns == want.columns, key
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str), key
+    assert spark.sql(Q.SQL["q17_sample"]).count() == 10
