@@ -113,6 +113,10 @@ def request_scope_ok(rid: Column, expected_user: Column) -> Column:
             .otherwise(F.lit(False)))
 
 
+# Fixed values (request format): claim names sub, email, name,
+# cognito:username; header names Idempotency-Key, X-Request-ID, X-Amzn-RequestId.
+
+
 def identity_from_claims(request_context: Column) -> Column:
     """User identity from a request's authorizer claims (PRJ-15).
 

@@ -17,6 +17,8 @@ L = LongType()
 
 # Raw change record as delivered by the key-value table's change stream.
 # Images stay undecoded (tagged attribute maps) until decode_attributes runs.
+# Fixed values (the stream's record format): top-level keys eventName,
+# eventTime, dynamodb; inside dynamodb: SequenceNumber, Keys, NewImage, OldImage.
 CHANGE_RECORD = StructType([
     StructField("eventName", S),
     StructField("eventTime", TimestampType()),
