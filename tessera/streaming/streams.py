@@ -239,12 +239,16 @@ def replay_to_table(spark: SparkSession, stream: DataFrame, name: str, output_mo
     out, ck = f"{base}/out", f"{base}/ck"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # complete mode: each batch holds the whole result -> overwrite
-        mode = "overwrite" if output_mode == "complete" else "append"
-        batch.write.mode(mode).parquet(out)
+        if output_mode == "complete":
+            # each batch holds the whole result: overwrite it
+            batch.write.mode("overwrite").parquet(out)
+        else:
+            # batch n owns its folder: a retried batch replaces its own rows
+            batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = _start(stream.writeStream.outputMode(output_mode).foreachBatch(write), ck, True, None)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(out)
+    df = spark.read.parquet(out)
+    return df.drop("batch") if output_mode != "complete" else df
