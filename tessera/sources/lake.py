@@ -104,3 +104,10 @@ def layer_inventory(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
 def _re_escape(s: str) -> str:
     import re
     return re.escape(s)
+
+
+def inventory_snapshot(spark: SparkSession, roots: dict[str, str], snapshot_ts) -> DataFrame:
+    """MON-07 input: one layer inventory stamped with its snapshot time;
+    append successive snapshots and feed them to ``monitor.layer_growth``."""
+    inv = layer_inventory(spark, roots).groupBy("layer").agg(F.sum("files").alias("files"), F.sum("bytes").alias("bytes"))
+    return inv.select(F.lit(snapshot_ts).cast("timestamp").alias("snapshot_ts"), "layer", "files", "bytes")

@@ -59,3 +59,15 @@ def test_bronze_date_partition_filter(spark, tmpdir_path):
     assert [r.sequence_number for r in df.collect()] == ["2"]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
+
+
+def test_layer_growth_from_snapshots(spark, tmpdir_path):
+    from tessera.operators import monitor
+    silver_dir = os.path.join(tmpdir_path, "silver")
+    spark.range(100).write.parquet(os.path.join(silver_dir, "users"))
+    s1 = src.inventory_snapshot(spark, {"silver": silver_dir}, "2024-01-01 00:00:00")
+    s1 = spark.createDataFrame(s1.collect(), s1.schema)  # freeze the first snapshot
+    spark.range(1000).write.parquet(os.path.join(silver_dir, "tasks"))
+    s2 = src.inventory_snapshot(spark, {"silver": silver_dir}, "2024-01-02 00:00:00")
+    g = monitor.layer_growth(s1.unionByName(s2)).orderBy("snapshot_ts").collect()
+    assert g[0].growth_bytes is None and g[1].growth_bytes > 0 and g[1].files > g[0].files
