@@ -161,3 +161,26 @@ def test_every_shipped_sql_equals_its_dataframe_plan(spark):
         assert got.columns == want.columns, key
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str), key
     assert spark.sql(Q.SQL["q17_sample"]).count() == 10
+
+
+def test_late_rows_past_watermark_are_dropped(spark, tmpdir_path):
+    import time as _t
+    d = os.path.join(tmpdir_path, "log")
+    os.makedirs(d)
+    # Spark drops late rows once their window's state is evicted (it does not
+    # promise to drop earlier): batch 1 moves the watermark to 00:15, batch 2
+    # evicts the 00:00 window, batch 3 brings a row for it -> dropped.
+    batches = [["2024-01-01 00:01:00", "2024-01-01 00:02:00", "2024-01-01 00:07:00"],
+               ["2024-01-01 00:20:00"],
+               ["2024-01-01 00:25:00"],
+               ["2024-01-01 00:01:30"]]
+    for i, ts in enumerate(batches):
+        spark.createDataFrame([(t, 10) for t in ts], "timestamp string, duration_ms long") \
+            .withColumn("timestamp", F.col("timestamp").cast("timestamp")) \
+            .coalesce(1).write.parquet(os.path.join(d, f"part{i}"))
+        _t.sleep(1.1)
+    s = spark.readStream.schema("timestamp timestamp, duration_ms long").option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", "true").parquet(d)
+    out = streams.replay_to_table(spark, streams.tumbling_rollup(s, delay="5 minutes"), "late", output_mode="update")
+    first_window = [r.samples for r in out.collect() if str(r.period_start).startswith("2024-01-01 00:00")]
+    assert first_window == [2]
