@@ -573,3 +573,33 @@ def stream_idempotency_replays(spark, sf_dir):
                     F.unix_seconds("ts").alias("ts_epoch"))
     out = streams.replay_to_table(spark, streams.idempotency_stream(req), "idempotency")
     return out.select("request_id", "ts_epoch", "replay")
+
+
+@register("idempotency_targets", f"""WITH {STATE}, req AS (
+  SELECT user_id || ':' || k AS request_id, user_id, user_id * 100 + slot AS task_id, ep, event_id
+  FROM ev WHERE event_type = 'purchase'
+), keys AS (
+  SELECT request_id, arg_min('TASK#' || user_id, (ep, event_id)) AS target_task_pk,
+         arg_min('TASK#' || task_id, (ep, event_id)) AS target_task_sk
+  FROM req GROUP BY request_id
+) SELECT COUNT(*) FILTER (WHERE s."PK" IS NOT NULL) AS keys_with_target,
+         COUNT(*) FILTER (WHERE s."PK" IS NULL) AS dangling_keys
+  FROM keys LEFT JOIN state s ON keys.target_task_pk = s."PK" AND keys.target_task_sk = s."SK\"""")
+def idempotency_targets(spark, sf_dir):
+    """JOIN-06: idempotency keys of purchase requests joined to their target
+    task in the current state; dangling keys point at deleted tasks."""
+    ev = fixtures.read_table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
+    req = ev.select(F.concat_ws(":", F.col("user_id").cast("string"), k.cast("string")).alias("request_id"),
+                    F.col("user_id").cast("string").alias("user_id"),
+                    (F.col("user_id") * 100 + F.pmod(k, F.lit(fixtures.TASKS_PER_USER))).cast("string").alias("task_id"),
+                    F.unix_seconds("ts").alias("ts_epoch"), "event_id")
+    keys = req.groupBy("request_id").agg(
+        F.min_by(F.struct("user_id", "task_id"), F.struct("ts_epoch", "event_id")).alias("_t")).select(
+        "request_id", F.concat(F.lit("TASK#"), F.col("_t.user_id")).alias("target_task_pk"),
+        F.concat(F.lit("TASK#"), F.col("_t.task_id")).alias("target_task_sk"))
+    hit, dangling = mutate.keys_with_targets(keys, event_state(spark, sf_dir))
+    flags = hit.select(F.lit(1).alias("h"), F.lit(0).alias("d")).unionByName(
+        dangling.select(F.lit(0).alias("h"), F.lit(1).alias("d")))
+    return flags.agg(F.coalesce(F.sum("h"), F.lit(0)).cast("bigint").alias("keys_with_target"),
+                     F.coalesce(F.sum("d"), F.lit(0)).cast("bigint").alias("dangling_keys"))
