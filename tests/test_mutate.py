@@ -129,3 +129,13 @@ def test_previous_status_buckets_equal_plain_lag(spark):
     w = Window.partitionBy("task_id").orderBy("processed_at", F.col("sequence_number").cast("int"))
     want = {r.sequence_number: r.p for r in tc.select("sequence_number", F.lag("status").over(w).alias("p")).collect()}
     assert got == want
+
+
+def test_bulk_status_only_status_and_user_scoped_delete(spark):
+    out = mutate.bulk_set_status(_tasks(spark), F.lit(True), "cancelled", F.lit(300).cast("bigint"), only_status="pending")
+    st = {r.task_id: (r.status, r.updated_at) for r in out.collect()}
+    assert st == {"t1": ("cancelled", 300), "t2": ("completed", 100), "t3": ("in_progress", 100)}
+    left = mutate.delete_completed(_tasks(spark), F.col("user_id") == "u2")
+    assert left.count() == 3
+    left = mutate.delete_completed(_tasks(spark), F.col("user_id") == "u1")
+    assert sorted(r.task_id for r in left.collect()) == ["t1", "t3"]
