@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mixing
+from tessera.llm import mixing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": mixing.op3,
+    "op10_minimax_shards": sharding.op10,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mix_sources": mixing.SQL,
+    "op10_minimax_shards": sharding.SQL,
 }
