@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mixing, sharding, urlfilter
+from tessera.llm import mixing, sharding, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc_index": warc.op2,
     "op3_mix_sources": mixing.op3,
     "op8_filter_urls": urlfilter.op8,
     "op10_minimax_shards": sharding.op10,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc_index": warc.SQL,
     "op3_mix_sources": mixing.SQL,
     "op8_filter_urls": urlfilter.SQL,
     "op10_minimax_shards": sharding.SQL,
