@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mixing, quality, sharding, urlfilter, warc
+from tessera.llm import mixing, neardup, quality, sharding, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_index": warc.op2,
     "op3_mix_sources": mixing.op3,
     "op6_quality": quality.op6,
     "op8_filter_urls": urlfilter.op8,
+    "op9_jaccard_classes": neardup.op9,
     "op10_minimax_shards": sharding.op10,
 }
 
