@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mixing, neardup, quality, sharding, urlfilter, warc
+from tessera.llm import decontam, mixing, neardup, quality, sharding, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": decontam.op1,
     "op2_warc_index": warc.op2,
     "op3_mix_sources": mixing.op3,
     "op6_quality": quality.op6,
