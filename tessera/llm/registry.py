@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontam, mixing, neardup, packing, quality, sharding, urlfilter, warc
+from tessera.llm import decontam, mixing, neardup, packing, quality, sharding, topk, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontam.op1,
     "op2_warc_index": warc.op2,
     "op3_mix_sources": mixing.op3,
+    "op4_cover_tree_topk": topk.op4,
     "op5_pack_tokens": packing.op5,
     "op6_quality": quality.op6,
     "op8_filter_urls": urlfilter.op8,
@@ -24,4 +25,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_mix_sources": mixing.SQL,
     "op8_filter_urls": urlfilter.SQL,
     "op10_minimax_shards": sharding.SQL,
+    "op4_cover_tree_topk": topk.SQL,
 }
