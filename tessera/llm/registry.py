@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontam, mixing, neardup, packing, quality, sharding, topk, urlfilter, warc
+from tessera.llm import decontam, mixing, neardup, packing, quality, sharding, substrings, topk, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontam.op1,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_cover_tree_topk": topk.op4,
     "op5_pack_tokens": packing.op5,
     "op6_quality": quality.op6,
+    "op7_repeated_spans": substrings.op7,
     "op8_filter_urls": urlfilter.op8,
     "op9_jaccard_classes": neardup.op9,
     "op10_minimax_shards": sharding.op10,
