@@ -275,12 +275,17 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents, with their columns, without all but the one with the smallest id of each class.
 
-    Rows without an id or a text all stay; of rows with one id that stays, one does.
+    Rows without an id or a text all stay.  An id is one document: of repeated
+    rows with the kept id, one stays.
     """
     known = written(jaccard_classes(docs), "known")
     gone = known.filter("doc_id <> class_id").select(F.col("doc_id").alias("gone_id")).distinct()
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("of"))
-    return own.join(gone, own["of"] == gone["gone_id"], "left_anti").select("row.*")
+    left = own.join(gone, own["of"] == gone["gone_id"], "left_anti")
+    if known.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return left.select("row.*")
+    once = left.filter("of is not null and row.text is not null").dropDuplicates(["of"])
+    return once.unionAll(left.filter("of is null or row.text is null")).select("row.*")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
