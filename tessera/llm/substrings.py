@@ -134,7 +134,7 @@ def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
 
 def cut_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents, with their columns, without the repeated spans that stand in a document with a smaller id too."""
-    rows = written(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("_row"), "rows")
+    rows = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")), "rows")
     flat = rows.select("_row", F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"))
     spans = (repeated_spans(flat, least_words).filter("not original")
              .groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("span_start", "span_end"))).alias("spans")))
