@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read_table, ship_by_value, written
+from tessera.llm.common import map_slices, read_table, ship_by_value, written
 
 ship_by_value(__name__)
 
@@ -73,8 +73,9 @@ def question_and_answer(text: str | None) -> tuple[list[str], list[str]]:
     return (words[:cut], words[cut:]) if cut >= RUN else (words, words)
 
 
-def runs(words: list[str]) -> set[tuple[str, ...]]:
-    n = min(RUN, len(words))
+def runs(words: list[str], size: int = RUN) -> set[tuple[str, ...]]:
+    """The runs of ``size`` words; all words if there are fewer."""
+    n = min(size, len(words))
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
@@ -111,7 +112,7 @@ class Index:
             for block, x in best.items():
                 # rounded up, so that a bound stays one
                 self.groups[t, block // wide] = max(self.groups[t, block // wide], np.nextafter(np.float32(x), np.float32(1)))
-        self.wanted = [(runs(q), runs(a)) for q, a in self.parts]
+        self.wanted = [(runs(q), runs(a), min(RUN, len(a))) for q, a in self.parts]
 
     def search(self, query: list[int], threshold: float) -> list[tuple[int, float]]:
         """(item, score) of all items that the distinct terms score at ``threshold`` or more: block-max WAND."""
@@ -200,10 +201,13 @@ def _search(shared, threshold: float, question: float, answer: float):
                     hits = index.search(query.tolist(), threshold)
                     if not hits:
                         continue
-                    held = runs(words[p * span:(p + 2) * span])
+                    passage = words[p * span:(p + 2) * span]
+                    held = {RUN: runs(passage)}
                     for item, score in hits:
-                        asked, told = index.wanted[item]
-                        q, a = len(asked & held) / len(asked), len(told & held) / len(told)
+                        asked, told, size = index.wanted[item]
+                        if size not in held:
+                            held[size] = runs(passage, size)
+                        q, a = len(asked & held[size]) / len(asked), len(told & held[size]) / len(told)
                         if q >= question and a >= answer and (item not in best or score > best[item][1]):
                             best[item] = (p, score, q, a)
                 rows.extend((doc_id, index.ids[item], *x) for item, x in best.items())
@@ -227,8 +231,9 @@ def _segments(items: DataFrame) -> Iterator[Index]:
         for part in range(parts):
             own = placed.filter((F.col("level") == k) & (F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part))
             known = frequency.join(own.select(F.explode("terms").alias("term")).distinct(), "term", "left_semi")
-            df = {r.term: r.df for r in known.toLocalIterator()}
-            yield Index(sorted((r.item_id if r.item_id is not None else -1, r.text) for r in own.select("item_id", "text").toLocalIterator()), df, count, mean)
+            found = sorted((r.item_id if r.item_id is not None else -1, r.text) for r in own.select("item_id", "text").toLocalIterator())
+            if found:
+                yield Index(found, {r.term: r.df for r in known.toLocalIterator()}, count, mean)
 
 
 def _terms_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -252,7 +257,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null")
     out = spark.createDataFrame([], LEAKS)
     for index in _segments(items):
-        out = out.unionAll(rows.mapInPandas(_search(spark.sparkContext.broadcast(index), threshold, question, answer), LEAKS))
+        out = out.unionAll(map_slices(rows, _search(spark.sparkContext.broadcast(index), threshold, question, answer), LEAKS))
     return out
 
 

@@ -21,7 +21,7 @@ import uuid
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from urllib.parse import quote, unquote
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,6 +71,11 @@ def _whole(value) -> int | None:
     return None if value is None or pd.isna(value) else int(value)
 
 
+def target_uri(url: str) -> str:
+    """A URL as archived: characters that no URI may hold, and line ends, are percent-encoded."""
+    return quote(url, safe=":/?#[]@!$&()*+,;=%'~")
+
+
 def _record(row) -> bytes:
     """One uncompressed WARC record."""
     refers = _whole(row.refers_to)
@@ -80,7 +85,7 @@ def _record(row) -> bytes:
     head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if _whole(row.page_id) is None else _whole(row.page_id)}>",
             f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha1:{row.payload_digest}"]
     if row.url is not None:
-        head.append(f"WARC-Target-URI: {quote(row.url, safe=':/?#[]@!$&()*+,;=%')}")
+        head.append(f"WARC-Target-URI: {target_uri(row.url)}")
     if kind == "revisit":
         head += [f"WARC-Refers-To: <urn:page:{refers}>", f"WARC-Profile: {_PROFILE}"]
     head += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(http) + len(body)}"]
@@ -310,7 +315,7 @@ def _parsed(record: bytes) -> tuple:
         size = int(http.decode().rpartition("Content-Length: ")[2])
         digest, payload = fields["WARC-Payload-Digest"].removeprefix("sha1:"), None
         refers = int(fields["WARC-Refers-To"].removeprefix("<urn:page:").removesuffix(">"))
-    return int(page) if page else None, None if url is None else unquote(url), fields["WARC-Type"], size, digest, refers, payload
+    return int(page) if page else None, url, fields["WARC-Type"], size, digest, refers, payload
 
 
 def read_records(captures: DataFrame, root: str) -> DataFrame:
@@ -324,7 +329,7 @@ def archive_and_read(pages: DataFrame, min_dedup_bytes: int = MIN_DEDUP_BYTES) -
     """Write all pages as WARC with index, look every URL key up and read its records back.
 
     Returns (page_id, payload_bytes, payload_digest, record_type, refers_to,
-    url, key).  Null url: key is empty, no target URI.  Null html: empty
+    url, key), the URL as archived.  Null url: key is empty, no target URI.  Null html: empty
     payload.  Empty table: empty result.  Other columns are not read.
     """
     spark = pages.sparkSession
