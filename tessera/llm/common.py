@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.session import work_path
 
@@ -54,3 +59,25 @@ def running_offsets(df: DataFrame, part: str, *sums: str) -> DataFrame:
 
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     return df.select(part, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sums])
+
+
+#: Rows of texts that a worker holds as Python objects at a time.
+SLICE_ROWS = 500
+
+
+def map_slices(df: DataFrame, function: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str,
+               rows: int = SLICE_ROWS) -> DataFrame:
+    """``mapInPandas`` in small frames: a worker holds one Arrow batch and the objects of ``rows`` of its rows."""
+    out = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def slices() -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for i in range(0, batch.num_rows, rows):
+                    yield batch.slice(i, rows).to_pandas(integer_object_nulls=True)
+
+        for frame in function(slices()):
+            if len(frame):
+                yield pa.RecordBatch.from_pandas(frame, schema=out, preserve_index=False)
+
+    return df.mapInArrow(run, schema)

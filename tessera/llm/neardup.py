@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import partitions, read_table, ship_by_value, written
+from tessera.llm.common import map_slices, partitions, read_table, ship_by_value, written
 from tessera.llm.components import connected_components
 from tessera.llm.shingles import WordHashes, minhash, mixed, permutations, shingle_set, sorted_groups, word_hashes
 
@@ -136,7 +136,7 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     """(vid, digest, first_id, copies, shingles, bands, sketch) of every distinct text that isn't null, written; ``vid`` numbers them."""
     keyed = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), text_digest(F.col("text")).alias("digest"))
     counted = keyed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
-    signed = (docs.filter(F.col("text").isNotNull()).select(text_digest(F.col("text")).alias("digest"), "text").mapInPandas(_sign, SIGNED)
+    signed = (map_slices(docs.filter(F.col("text").isNotNull()).select(text_digest(F.col("text")).alias("digest"), "text"), _sign, SIGNED)
               .groupBy("digest").agg(F.first("shingles").alias("shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     return written(counted.join(signed, "digest").withColumn("vid", F.monotonically_increasing_id()), "texts")
 
@@ -151,7 +151,7 @@ def candidate_components(texts: DataFrame) -> DataFrame:
     placed = written(bands.join(shared, "bucket"), "buckets")
     small = (placed.filter(F.col("members") <= BUCKET).select("bucket", "vid")
              .join(texts.select("vid", "sketch"), "vid"))
-    pruned = (small.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "vid").mapInPandas(_prune, EDGES))
+    pruned = map_slices(small.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "vid"), _prune, EDGES, 5000)
     whole = placed.filter((F.col("members") > BUCKET) & (F.col("vid") != F.col("least"))).select(F.col("least").alias("a"), F.col("vid").alias("b"))
     return connected_components(pruned.unionAll(whole))
 
@@ -231,8 +231,8 @@ def verified_links(docs: DataFrame, texts: DataFrame, components: DataFrame) ->
     slim = wanted.select("digest", "first_id", "vid")
     slim = F.broadcast(slim) if wanted.count() <= BROADCAST_TEXTS else slim
     keyed = docs.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), text_digest(F.col("text")).alias("digest"), "text")
-    sets = (keyed.join(slim, (keyed["digest"] == slim["digest"]) & keyed["doc_id"].eqNullSafe(slim["first_id"]))
-            .select("vid", "text").mapInPandas(_sets, "vid long, set binary")
+    found = keyed.join(slim, (keyed["digest"] == slim["digest"]) & keyed["doc_id"].eqNullSafe(slim["first_id"])).select("vid", "text")
+    sets = (map_slices(found, _sets, "vid long, set binary")
             .groupBy("vid").agg(F.first("set").alias("set")))  # of rows equal in id and text, one
     block = F.pmod(F.xxhash64("vid"), F.col("blocks")).cast("int")
     other = F.col("other")
@@ -241,7 +241,7 @@ def verified_links(docs: DataFrame, texts: DataFrame, components: DataFrame) ->
              .select(F.xxhash64("component", F.least("block", other), F.greatest("block", other)).alias("unit"),
                      "vid", "copies", "sketch", "set", (F.col("block") == other).alias("same"),
                      F.col("block").alias("side")))
-    return written(dealt.repartition(partitions(spark), "unit").sortWithinPartitions("unit", "vid").mapInPandas(_verify, LINKS), "links")
+    return written(map_slices(dealt.repartition(partitions(spark), "unit").sortWithinPartitions("unit", "vid"), _verify, LINKS), "links")
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:

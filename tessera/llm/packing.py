@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import partitions, read_table, ship_by_value
+from tessera.llm.common import map_slices, partitions, read_table, ship_by_value
 from tessera.llm.warc import _file_system, _make_folder
 
 ship_by_value(__name__)
@@ -82,7 +82,7 @@ def _pieces(rows: list[tuple]) -> pd.DataFrame:
 def tokenize(docs: DataFrame, vocabulary: str = VOCABULARY, width: int = WIDTH) -> DataFrame:
     """(doc_id, piece, tokens, ids) of every document; ids are little-endian, two bytes each if the vocabulary allows."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_tokenize(shared, width), PIECES)
+    return map_slices(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _tokenize(shared, width), PIECES)
 
 
 def best_fit_decreasing(sizes: np.ndarray, width: int) -> list[list[int]]:

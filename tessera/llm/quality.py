@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read_table, ship_by_value, written
+from tessera.llm.common import SLICE_ROWS, map_slices, read_table, ship_by_value, written
 
 ship_by_value(__name__)
 
@@ -38,7 +38,7 @@ MIX = 0.75
 SMOOTHING = 1.0
 THRESHOLD = 0.3
 FOLDS = 5
-_CACHE = 200_000
+_CACHE = 100_000
 
 MODEL = "weights binary, scale binary, bias double, slope double, shift double"
 SCORED = "doc_id long, score double"
@@ -171,7 +171,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # at most fit_rows pairs of numbers are broadcast
     sample = (texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")))
-    grams = sample.mapInPandas(_featurize, "doc_id long, label int, grams binary")
+    grams = map_slices(sample, _featurize, "doc_id long, label int, grams binary")
     return written(grams.repartition(1).mapInPandas(_fit, MODEL), "model")
 
 
@@ -200,7 +200,7 @@ def score_quality(docs: DataFrame, model: DataFrame) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": _scores(shared, batch["text"], words)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, SCORED)
+    return map_slices(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, SCORED)
 
 
 def predict_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -217,7 +217,9 @@ def keep_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
-            yield batch.filter(pa.array(_scores(shared, batch.column("text").to_pylist(), words) >= THRESHOLD, pa.bool_()))
+            for i in range(0, batch.num_rows, SLICE_ROWS):
+                rows = batch.slice(i, SLICE_ROWS)
+                yield rows.filter(pa.array(_scores(shared, rows.column("text").to_pylist(), words) >= THRESHOLD, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -13,7 +13,7 @@ from tessera.llm.common import ship_by_value
 ship_by_value(__name__)
 
 WORDS = 5
-_CACHE = 500_000
+_CACHE = 100_000
 _STEP = 2048
 
 

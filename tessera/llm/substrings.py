@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read_table, ship_by_value, written
+from tessera.llm.common import map_slices, read_table, ship_by_value, written
 
 ship_by_value(__name__)
 
@@ -103,7 +103,7 @@ def _chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def chunk_table(docs: DataFrame) -> DataFrame:
     """(uid, doc_id, no, start, length, words, digest) of every chunk, written; ``uid`` numbers the document rows."""
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return written(rows.mapInPandas(_chunk, CHUNKS), "chunks")
+    return written(map_slices(rows, _chunk, CHUNKS), "chunks")
 
 
 def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
