@@ -8,8 +8,9 @@ An image is a map from attribute name to a one-key object naming the type:
 expressions, so decoding runs inside whole-stage codegen with no Python.
 
 Tag precedence follows the source rules: S, N, BOOL, NULL, L, M, SS, NS, BS.
-A number with a "." is fractional, otherwise integral; an unparseable number
-decodes to null and is reported by :func:`bad_numbers`.
+A number with a "." is fractional, otherwise integral.  An unparseable number
+decodes to null and its text is kept by :func:`raw_numbers`; only an
+unparseable element of a number set makes the record fail (:func:`bad_sets`).
 """
 
 from __future__ import annotations
@@ -42,9 +43,9 @@ def attr(image: Column, name: str) -> Column:
 
 def _number(text: Column, dtype: DataType) -> Column:
     if isinstance(dtype, _INTEGRAL):
-        # "25" -> 25; "25.0" is a fractional literal: go through double.
-        return F.coalesce(text.try_cast("bigint"),
-                          text.try_cast("double").try_cast("bigint")).cast(dtype)
+        # "25" -> 25; a "." marks a fractional literal; "1E5" is text
+        return F.when(text.contains("."), text.try_cast("double").try_cast("bigint")) \
+            .otherwise(text.try_cast("bigint")).cast(dtype)
     if isinstance(dtype, _FRACTIONAL):
         return text.try_cast(dtype)
     if isinstance(dtype, StringType):
@@ -71,7 +72,7 @@ def decode_value(v: Column, dtype: DataType, path: str = "$") -> Column:
     if isinstance(dtype, BooleanType):
         return b
     if isinstance(dtype, BinaryType):
-        return F.unbase64(s)
+        return F.unbase64(_get(v, f"{path}.B", "string"))
     if isinstance(dtype, ArrayType):
         elem = dtype.elementType
         arms = [F.transform(_get(v, f"{path}.L", "array<variant>"), lambda x: decode_value(x, elem))]
@@ -109,23 +110,30 @@ def decode_attributes(image: Column, schema: StructType, null_image_is_null: boo
     return F.when(image.isNotNull(), F.struct(*fields))
 
 
-def bad_numbers(image: Column, schema: StructType) -> Column:
-    """Comma-joined names of numeric attributes whose N text does not parse
-    ("" when all parse).  Built with concat_ws, which skips nulls, so it
-    stays inside whole-stage codegen (no higher-order function)."""
-    checks = []
+def _unparseable(text: Column) -> Column:
+    number = F.when(text.contains("."), text.try_cast("double").isNotNull()).otherwise(text.try_cast("bigint").isNotNull())
+    return text.isNotNull() & ~number
+
+
+def raw_numbers(image: Column, schema: StructType) -> Column:
+    """map<string,string> of numeric attributes whose N text does not parse; null when all do."""
+    entries = []
     for f in schema.fields:
         if isinstance(f.dataType, _INTEGRAL + _FRACTIONAL):
             n = _get(image, f"{_path(f.name)}.N", "string")
-            checks.append(F.when(n.isNotNull() & n.try_cast("double").isNull(), F.lit(f.name)))
-    if not checks:
-        return F.lit("")
-    return F.concat_ws(",", *checks)
-
-
-def attribute_names(image: Column) -> Column:
-    """Attribute names present in an image (array<string>), for census/quality."""
-    return F.map_keys(_get(image, "$", "map<string,variant>"))
+            entries.append(F.when(_unparseable(n), F.struct(F.lit(f.name).alias("key"), n.alias("value"))))
+    if not entries:
+        return F.lit(None).cast("map<string,string>")
+    kept = F.array_compact(F.array(*entries))
+    return F.when(F.size(kept) > 0, F.map_from_entries(kept))
+
+
+def bad_sets(image: Column) -> Column:
+    """Whether some attribute is a number set with an element that does not parse."""
+    sets = F.map_values(_get(image, "$", "map<string,variant>"))
+    bad = F.exists(sets, lambda v: F.exists(_get(v, "$.NS", "array<string>"), _unparseable))
+    # few images hold a set at all: the text test spares the others the walk
+    return F.to_json(image).contains('"NS"') & F.coalesce(bad, F.lit(False))
 
 
 def image_size(image: Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.decode import bad_numbers, decode_attributes, image_size
+from ..functions.decode import bad_sets, decode_attributes, image_size, raw_numbers
 from ..schemas import CDC_ENVELOPE, ITEM
 from ..sources.fixtures import TABLE_NAME
 
@@ -38,36 +38,25 @@ def has_image(image: Column) -> Column:
     return image.isNotNull() & (has_pk | (image_size(image) > 0))
 
 
-def _error_text(image: Column, schema) -> Column:
-    bad = bad_numbers(image, schema)
-    return F.when(bad != "", F.concat(F.lit("unparseable number: "), bad))
-
-
-def keep_where(df: DataFrame, cond: Column) -> DataFrame:
-    """Rows of ``df`` where ``cond`` holds, as a generator instead of a Filter.
-
-    A Filter is pushed below the projections that build its inputs and its
-    condition is re-expanded there, so a condition over an expensive column
-    (a decoded or constructed image) would evaluate that column once per
-    reference.  Selecting through a 0-or-1 element array keeps the condition
-    above the projection: every input column is computed once per row.
-    """
-    packed = F.array_repeat(F.struct(*[F.col(c) for c in df.columns]),
-                            F.when(cond, F.lit(1)).otherwise(F.lit(0)))
-    return df.select(F.explode(packed).alias("_row")).select("_row.*")
+MALFORMED = "malformed record"
+BAD_SET = "unparseable number in a set"
 
 
 def classify(changes: DataFrame, schema=ITEM) -> DataFrame:
     """Tag every change: ``_outcome`` is processed / skipped / failed.
 
     skipped = removes and empty images (the handler returns nothing for
-    them); failed = an image whose numbers do not parse (kept with
-    ``_error``).  Input columns are kept, plus ``_image``.
+    them); failed = a line that is no record, or a number set with an element
+    that does not parse (kept with ``_error``).  A single number that does
+    not parse keeps its text and the record is processed.  Input columns are
+    kept, plus ``_image``.
     """
     img = select_image(changes)
     staged = changes.withColumn("_image", img)
-    err = _error_text(F.col("_image"), schema)
-    outcome = (F.when(~not_removed(), F.lit("skipped"))
+    corrupt = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in changes.columns else F.lit(False)
+    err = F.when(corrupt, F.lit(MALFORMED)).when(bad_sets(F.col("_image")), F.lit(BAD_SET))
+    outcome = (F.when(corrupt, F.lit("failed"))
+               .when(~not_removed(), F.lit("skipped"))
                .when(~has_image(F.col("_image")), F.lit("skipped"))
                .when(err.isNotNull(), F.lit("failed"))
                .otherwise(F.lit("processed")))
@@ -78,14 +67,14 @@ def to_envelope(df: DataFrame, table_name: str = TABLE_NAME, now: Column | None
                 schema=ITEM) -> DataFrame:
     """Decode ``_image`` and build the bronze envelope (PRJ-03).
 
-    ``processed_at`` is the arrival time: ``now`` when given (tests pin it),
-    else the change's own event time, which keeps replays deterministic.
+    ``processed_at`` is the arrival time: the clock, one value per run, or
+    ``now`` when given (tests and registered queries pin it).
     partition_key = data.PK when present.
     """
     # rows reaching the envelope always carry an image: bare struct, so the
     # optimizer decodes only the attributes that downstream plans read
     data = decode_attributes(F.col("_image"), schema, null_image_is_null=False)
-    processed = now if now is not None else F.col("eventTime")
+    processed = now if now is not None else F.current_timestamp()
     out = df.select(
         F.col("eventName").alias("event_name"),
         F.col("eventTime").alias("event_time"),
@@ -93,17 +82,11 @@ def to_envelope(df: DataFrame, table_name: str = TABLE_NAME, now: Column | None
         F.lit(table_name).alias("table_name"),
         processed.cast("timestamp").alias("processed_at"),
         data.alias("data"),
+        raw_numbers(F.col("_image"), schema).alias("raw"),
     ).withColumn("partition_key", F.col("data.PK"))
     return out.select(*[f.name for f in CDC_ENVELOPE.fields])
 
 
-def _slim(c: DataFrame) -> DataFrame:
-    # only what the envelope needs crosses the row selection
-    return c.select("eventName", "eventTime",
-                    F.struct(F.col("dynamodb.SequenceNumber").alias("SequenceNumber")).alias("dynamodb"),
-                    "_image", "_error", "_outcome")
-
-
 def changes_to_bronze(changes: DataFrame, table_name: str = TABLE_NAME, now: Column | None = None) -> DataFrame:
     """Processed changes only, as envelopes (the stream handler's output).
 
@@ -117,20 +100,24 @@ def changes_to_bronze(changes: DataFrame, table_name: str = TABLE_NAME, now: Col
 
 def split_quarantine(changes: DataFrame, table_name: str = TABLE_NAME, now: Column | None = None
                      ) -> tuple[DataFrame, DataFrame]:
-    """(good envelopes, failed records with error text) from one classification."""
-    c = _slim(classify(changes))
-    good = to_envelope(keep_where(c, F.col("_outcome") == "processed"), table_name, now)
-    bad = keep_where(c, F.col("_outcome") == "failed").select(
-        F.col("eventName"), F.col("eventTime"), F.col("dynamodb.SequenceNumber").alias("sequence_number"),
-        F.to_json(F.col("_image")).alias("record"), F.col("_error").alias("error"))
-    return good, bad
+    """(good envelopes, failed records with error text)."""
+    c = classify(changes)
+    return to_envelope(c.filter(F.col("_outcome") == "processed"), table_name, now), failed_records(c)
 
 
-def batch_counters(changes: DataFrame, batch_col: str | None = None) -> DataFrame:
-    """processed / failed / skipped counts per batch (AGG-13), one aggregate."""
-    c = classify(changes)
-    keys = [batch_col] if batch_col else []
-    return c.groupBy(*keys).agg(
+def failed_records(classified: DataFrame) -> DataFrame:
+    """SNK-04: the failed records of a classified batch: what came, and why it failed."""
+    text = F.to_json(F.col("_image"))
+    if "_corrupt_record" in classified.columns:
+        text = F.coalesce(F.col("_corrupt_record"), text)
+    return classified.filter(F.col("_outcome") == "failed").select(
+        "eventName", "eventTime", F.col("dynamodb.SequenceNumber").alias("sequence_number"),
+        text.alias("record"), F.col("_error").alias("error"))
+
+
+def count_outcomes(classified: DataFrame, *keys: str) -> DataFrame:
+    """processed / failed / skipped counts of a classified batch (AGG-13), one aggregate."""
+    return classified.groupBy(*keys).agg(
         F.count_if(F.col("_outcome") == "processed").alias("processed"),
         F.count_if(F.col("_outcome") == "failed").alias("failed"),
         F.count_if(F.col("_outcome") == "skipped").alias("skipped"),
@@ -138,6 +125,11 @@ def batch_counters(changes: DataFrame, batch_col: str | None = None) -> DataFram
     )
 
 
+def batch_counters(changes: DataFrame, batch_col: str | None = None) -> DataFrame:
+    """processed / failed / skipped counts per batch (AGG-13)."""
+    return count_outcomes(classify(changes), *([batch_col] if batch_col else []))
+
+
 def delivery_failures(failed: DataFrame) -> DataFrame:
     """Failure count per error text (AGG-14) over quarantined records."""
     return failed.groupBy(F.col("error")).agg(F.count(F.lit(1)).alias("failed"))

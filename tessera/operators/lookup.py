@@ -33,14 +33,12 @@ def with_prefix(state: DataFrame, prefix: str) -> DataFrame:
 def task_view(state: DataFrame) -> DataFrame:
     """PRJ-11: task response rows.
 
-    id = 2nd part of SK; a missing status reads as pending; a missing
-    priority attribute reads as medium (an explicit null stays null - the
-    item layer cannot tell them apart, so a null priority is defaulted only
-    when the column is absent); due_date ISO -> date; epochs -> UTC
+    id = 2nd part of SK; a missing status reads as pending and a missing
+    priority as medium; due_date ISO -> date; epochs -> UTC
     timestamps; completed_at 0/missing -> null.
     """
     t = state.filter(F.col("PK").startswith(K.TASK_PREFIX))
-    prio = F.col("priority") if "priority" in t.columns else F.lit("medium")
+    prio = F.coalesce(F.col("priority"), F.lit("medium")) if "priority" in t.columns else F.lit("medium")
     return t.select(
         K.key_part(F.col("SK"), 1).alias("id"),
         K.strip_prefix(F.col("PK"), K.TASK_PREFIX, anchored=True).alias("user_id"),
@@ -118,10 +116,6 @@ def tasks_of_user(state: DataFrame, user_id: str) -> DataFrame:
     return state.filter(F.col("PK") == f"{K.TASK_PREFIX}{user_id}").orderBy("SK")
 
 
-def completed_of_user(tasks: DataFrame, user_id: str) -> DataFrame:
-    return tasks.filter((F.col("user_id") == user_id) & (F.col("status") == "completed"))
-
-
 def with_due_date(tasks: DataFrame) -> DataFrame:
     return tasks.filter(F.col("due_date").isNotNull())
 

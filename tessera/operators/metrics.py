@@ -58,9 +58,8 @@ def collect_metrics(state: DataFrame, now: Column, table_size_bytes: Column | No
                     namespace: str = NAMESPACE) -> DataFrame:
     """AGG-10 + AGG-11 + AGG-12 as one long table (SET-02: the three lists
     concatenated), from one scan.  TableSizeBytes comes from a layer
-    inventory (SRC-08) when given, else 0."""
+    inventory (SRC-08); without one there is no such metric."""
     c = metric_counts(state, now)
-    size = table_size_bytes if table_size_bytes is not None else F.lit(0)
     values = {
         "TotalUsers": F.col("users"),
         "ActiveUsers": F.col("active_users"),
@@ -72,25 +71,17 @@ def collect_metrics(state: DataFrame, now: Column, table_size_bytes: Column | No
         "InProgressTasks": F.col("in_progress"),
         "HighPriorityTasks": F.col("high_priority"),
         "TaskCompletionRate": _pct(F.col("completed"), F.col("tasks")),
-        "TableSizeBytes": size,
         "TotalItems": F.col("items"),
         # JOIN-08: scalar combine of two counts inside the same row
         "AverageTasksPerUser": F.when(F.col("users") > 0, F.col("tasks") / F.col("users")).otherwise(F.lit(0.0)),
     }
+    if table_size_bytes is not None:
+        values["TableSizeBytes"] = table_size_bytes
     units = dict(USER_METRICS + TASK_METRICS + SYSTEM_METRICS)
-    order = [m for m, _ in USER_METRICS + TASK_METRICS + SYSTEM_METRICS]
+    order = [m for m, _ in USER_METRICS + TASK_METRICS + SYSTEM_METRICS if m in values]
     wide = c.select(*[values[m].cast("double").alias(m) for m in order])
     long = wide.unpivot([], order, "metric", "value")
     unit = F.element_at(F.create_map(*[x for m in order for x in (F.lit(m), F.lit(units[m]))]), F.col("metric"))
     return long.select(F.lit(namespace).alias("namespace"), "metric",
                        F.round("value", 6).alias("value"), unit.alias("unit"),
                        now.cast("timestamp").alias("ts"))
-
-
-def scan_count(state: DataFrame, prefix: str, predicate: Column | None = None) -> DataFrame:
-    """SRC-04: one filtered count of the state table (kept for parity; the
-    fused :func:`metric_counts` is the plan to use)."""
-    cond = F.col("PK").startswith(prefix)
-    if predicate is not None:
-        cond = cond & predicate
-    return state.agg(F.count_if(cond).alias("count"))

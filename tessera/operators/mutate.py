@@ -43,11 +43,11 @@ def current_state(bronze_all: DataFrame) -> DataFrame:
     return alive.select(*[F.col(f"_last.data.{c}").alias(c) for c in ITEM_COLS])
 
 
-def changes_with_removes(changes: DataFrame) -> DataFrame:
-    """Envelopes for every change, REMOVE included (its image is the old one)."""
+def changes_with_removes(changes: DataFrame, now: Column | None = None) -> DataFrame:
+    """Envelopes for every change that doesn't fail, REMOVE included (its image is the old one)."""
     from .cdc import classify, to_envelope
     c = classify(changes)
-    return to_envelope(c.filter(F.col("_image").isNotNull() & F.col("_error").isNull()))
+    return to_envelope(c.filter(F.col("_image").isNotNull() & F.col("_error").isNull()), now=now)
 
 
 # ------------------------------------------------------------- puts ---
@@ -92,19 +92,26 @@ def update_tasks(tasks: DataFrame, updates: DataFrame, now_epoch: Column,
     """MUT-03 + MUT-05: partial task updates.
 
     Only non-null fields change; updated_at = now.  An update of a missing
-    key is reported (not found); a status change away from ``completed`` is
-    rejected.  Several updates of one key apply in ``seq`` order: fields
+    key is reported (not found); an update that moves a task away from
+    ``completed`` is rejected whole, also if an earlier update of the batch
+    completed it.  Several updates of one key apply in ``seq`` order: fields
     coalesce from the latest non-null value.  Returns (new table, not found,
     rejected).
     """
     k = list(key)
-    cur_status = tasks.select(*k, F.col("status").alias("_cur_status"))
-    u = updates.join(cur_status, k, "left")
-    not_found = u.filter(F.col("_cur_status").isNull()).drop("_cur_status")
-    illegal = (F.col("_cur_status") == TERMINAL_STATUS) & F.col("status").isNotNull() & \
-        (F.col("status") != TERMINAL_STATUS)
-    rejected = u.filter(F.col("_cur_status").isNotNull() & illegal).drop("_cur_status")
-    ok = u.filter(F.col("_cur_status").isNotNull() & ~illegal)
+    current = tasks.select(*k, F.col("status").alias("_cur_status"), F.lit(True).alias("_found"))
+    # setting ``completed`` is always allowed, so from the first such update of
+    # a key on, as from a completed start, every other status is illegal
+    done = updates.filter(F.col("status") == TERMINAL_STATUS).groupBy(*k).agg(F.min("seq").alias("_done_seq"))
+    u = updates.join(current, k, "left").join(done, k, "left")
+    found = F.coalesce(F.col("_found"), F.lit(False))
+    terminal = F.coalesce(F.col("_cur_status") == TERMINAL_STATUS, F.lit(False)) | \
+        F.coalesce(F.col("seq") > F.col("_done_seq"), F.lit(False))
+    illegal = terminal & F.coalesce(F.col("status") != TERMINAL_STATUS, F.lit(False))
+    helpers = ["_cur_status", "_found", "_done_seq"]
+    not_found = u.filter(~found).drop(*helpers)
+    rejected = u.filter(found & illegal).drop(*helpers)
+    ok = u.filter(found & ~illegal)
     # latest non-null value per field across the accepted updates of a key
     folded = ok.groupBy(*k).agg(*[
         F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c) for c in UPDATABLE if c in ok.columns
@@ -198,12 +205,32 @@ def replay_split(requests: DataFrame, keys: DataFrame, strict: bool = False) ->
     return requests.join(keys, cond, "left_semi"), requests.join(keys, cond, "left_anti")
 
 
-def first_sight_keys(requests: DataFrame) -> DataFrame:
-    """Keys created at the first sighting of each request id (exact 24 h
-    window from first sight; later windows are not chained)."""
-    first = requests.groupBy("request_id").agg(F.min("ts_epoch").alias("created_at"))
-    return first.select("request_id", "created_at",
-                        (F.col("created_at") + IDEMPOTENCY_TTL_SECONDS).alias("expiration_timestamp"))
+def chained_keys(requests: DataFrame) -> DataFrame:
+    """The keys that the requests of each id create, one after another.
+
+    A key lives 24 h from the request that created it; the first request past
+    its expiry creates the next.  Folded over an id's distinct request times,
+    of which a retention period has a bounded number however hot the id is
+    (equal times meet in the partial aggregate).
+    """
+    times = requests.groupBy("request_id").agg(F.array_sort(F.collect_set("ts_epoch")).alias("_t"))
+    none = F.array().cast("array<bigint>")
+    starts = F.aggregate("_t", none, lambda acc, t: F.when(
+        (F.size(acc) == 0) | (t > F.element_at(acc, -1) + IDEMPOTENCY_TTL_SECONDS), F.concat(acc, F.array(t))).otherwise(acc))
+    return times.select("request_id", F.explode(starts).alias("created_at")).withColumn(
+        "expiration_timestamp", F.col("created_at") + IDEMPOTENCY_TTL_SECONDS)
+
+
+def request_replays(requests: DataFrame, order: str) -> DataFrame:
+    """STR-04 batch form: every request (request_id, ts_epoch, ``order``) with ``replay``: whether a live key answers it.
+
+    The first request, by ``order``, of the second in which a key was made
+    made it; all others within its life replay it.
+    """
+    keys = chained_keys(requests).select("request_id", F.col("created_at").alias("ts_epoch"), F.lit(True).alias("_starts"))
+    first = requests.groupBy("request_id", "ts_epoch").agg(F.min(order).alias("_first"))
+    made = keys.join(first, ["request_id", "ts_epoch"]).select("request_id", "ts_epoch", F.col("_first").alias(order), F.lit(True).alias("_made"))
+    return requests.join(made, ["request_id", "ts_epoch", order], "left").withColumn("replay", F.col("_made").isNull()).drop("_made")
 
 
 def keys_with_targets(keys: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -223,23 +250,6 @@ def isolation_violations(accesses: DataFrame, tasks: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------- transitions ---
 
-def illegal_transitions(task_changes: DataFrame) -> DataFrame:
-    """WIN-03: changes that move a task away from ``completed``.
-
-    ``task_changes``: (task_id, status, processed_at, sequence_number).  A
-    change is illegal when the task was completed by an earlier change and
-    this one sets another status.  Computed as "first completion per task"
-    (partial aggregate) joined back - exact like ``lag``, but no task ever
-    sorts a whole hot key; AQE splits a skewed join partition.
-    """
-    order = change_order(F.col("processed_at"), F.col("sequence_number"))
-    tc = task_changes.withColumn("_o", order)
-    done = tc.filter(F.col("status") == TERMINAL_STATUS).groupBy("task_id").agg(F.min("_o").alias("_done"))
-    j = tc.join(done, "task_id", "inner")
-    return j.filter((F.col("_o") > F.col("_done")) & F.col("status").isNotNull() &
-                    (F.col("status") != TERMINAL_STATUS)).drop("_o", "_done")
-
-
 def previous_status(task_changes: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
     """``lag(status)`` per task in (processed_at, sequence) order, skew-safe.
 

@@ -42,8 +42,8 @@ def _type_ok(df: DataFrame, name: str, expected: str) -> Column:
     """DQ-02 over typed columns: the column's own type decides.
 
     int passes float; a bool passes int and float (a bool is an int subtype
-    in the source language); a present null fails.  A string column is
-    tested by whether its text parses.
+    in the source language); a present null fails.  Text is a string and
+    nothing else, whatever it reads.
     """
     c = F.col(name)
     dt = df.schema[name].dataType
@@ -58,9 +58,7 @@ def _type_ok(df: DataFrame, name: str, expected: str) -> Column:
         return F.when(c.isNull(), F.lit(True)).otherwise(
             F.coalesce(ok.get(expected, F.lit(False)), F.lit(False)) & (t != "VOID"))
     if isinstance(dt, StringType):
-        parse = {"string": c.isNotNull(), "int": c.try_cast("bigint").isNotNull() & ~c.contains("."),
-                 "float": c.try_cast("double").isNotNull(), "bool": c.isin("true", "false")}
-        return F.coalesce(parse.get(expected, F.lit(False)), F.lit(False))
+        return c.isNotNull() & F.lit(expected == "string")
     is_bool = isinstance(dt, BooleanType)
     is_int = isinstance(dt, IntegralType)
     is_float = isinstance(dt, (DoubleType, FloatType))
@@ -87,14 +85,23 @@ def violations(df: DataFrame, rules: Rules) -> Column:
             continue
         c = F.col(f)
         is_variant = isinstance(df.schema[f].dataType, VariantType)
-        num = F.try_variant_get(c, "$", "double") if is_variant else c.try_cast("double")
+        # a bound against text or null can't be compared, and what can't be
+        # evaluated rejects; only a field absent from a record skips its rules
+        if is_variant:
+            is_text = F.schema_of_variant(c) == "STRING"
+            num = F.when(~is_text, F.try_variant_get(c, "$", "double"))
+            absent = c.isNull()
+        else:
+            num = F.lit(None).cast("double") if isinstance(df.schema[f].dataType, StringType) else c.try_cast("double")
+            absent = F.lit(False)
         text = F.try_variant_get(c, "$", "string") if is_variant else c.cast("string")
         if con.get("min") is not None:
-            arms.append(F.when(num < F.lit(float(con["min"])), F.lit(f"min:{f}")))
+            arms.append(F.when(~absent & ~F.coalesce(num >= F.lit(float(con["min"])), F.lit(False)), F.lit(f"min:{f}")))
         if con.get("max") is not None:
-            arms.append(F.when(num > F.lit(float(con["max"])), F.lit(f"max:{f}")))
+            arms.append(F.when(~absent & ~F.coalesce(num <= F.lit(float(con["max"])), F.lit(False)), F.lit(f"max:{f}")))
         if con.get("pattern") is not None:
-            arms.append(F.when(text.isNotNull() & ~text.rlike("^(?:" + con["pattern"] + ")"),
+            # a null's text form is what is matched
+            arms.append(F.when(~absent & ~F.coalesce(text, F.lit("None")).rlike("^(?:" + con["pattern"] + ")"),
                                F.lit(f"pattern:{f}")))
         if con.get("in") is not None:
             arms.append(F.when(c.isNotNull() & ~c.isin(*con["in"]), F.lit(f"domain:{f}")))
@@ -129,13 +136,23 @@ def validate(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
 
 
 def rule_summary(df: DataFrame, rules: Rules) -> DataFrame:
-    """DQ-09: failures per rule plus row totals, in one pass.
+    """DQ-09: (rule, failures) of every rule, those that never fail included, in one pass.
 
-    ``rule`` = null row carries the totals (rows, valid).
+    Two more rows hold totals: ``rows`` and ``rejected_rows``.
     """
+    names = rule_names(rules)
     v = df.select(violations(df, rules).alias("v"))
-    per_rule = v.select(F.explode("v").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("failures"))
-    return per_rule
+    counts = v.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.size("v") > 0).alias("rejected_rows"),
+                   *[F.count_if(F.array_contains("v", n)).alias(n) for n in names])
+    return counts.unpivot([], ["rows", "rejected_rows", *[f"`{n}`" for n in names]], "rule", "failures")
+
+
+def rule_names(rules: Rules) -> list[str]:
+    """The names that ``violations`` gives, in its order."""
+    kinds = {"min": "min", "max": "max", "pattern": "pattern", "in": "domain", "min_len": "min_len", "max_len": "max_len"}
+    return ([f"required:{f}" for f in rules.required_fields] + [f"type:{f}" for f in rules.data_types]
+            + [f"{name}:{f}" for f, con in rules.constraints.items() for kind, name in kinds.items() if con.get(kind) is not None]
+            + [f"check:{n}" for n in rules.checks])
 
 
 def completeness(df: DataFrame, cols: list[str]) -> DataFrame:

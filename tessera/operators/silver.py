@@ -86,10 +86,10 @@ def silver_entities(bronze: DataFrame, latest: bool = False) -> DataFrame:
 
 
 def _entity(entities: DataFrame, kind: str) -> DataFrame:
-    # generator-based selection: a Filter on the grouping key would be pushed
-    # below the aggregate and give each entity its own scan and shuffle
-    from .cdc import keep_where
-    return keep_where(entities, F.col("entity_type") == kind)
+    # a plain filter on the grouping key: it is pushed below the aggregate, so
+    # a plan of one entity never shuffles the other's rows; a plan of both
+    # reads the aggregate from a table (model.gold_from_bronze)
+    return entities.filter(F.col("entity_type") == kind)
 
 
 def users_of(entities: DataFrame) -> DataFrame:

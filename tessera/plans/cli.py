@@ -29,7 +29,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     b = sub.add_parser("bronze")
     b.add_argument("--changes", required=True)
     b.add_argument("--bronze", required=True)
-    b.add_argument("--quarantine")
+    b.add_argument("--quarantine", required=True)
+    b.add_argument("--batch", required=True, help="name of this batch; the same name again replaces its output")
     s = sub.add_parser("silver")
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)
@@ -40,23 +41,24 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     g.add_argument("--gold", required=True)
     q = sub.add_parser("sql")
     q.add_argument("--gold", required=True)
-    q.add_argument("--query", choices=sorted(Q.SQL))
-    q.add_argument("--text")
-    q.add_argument("--out")
+    which = q.add_mutually_exclusive_group(required=True)
+    which.add_argument("--query", choices=sorted(Q.QUERIES))
+    which.add_argument("--text", help="SQL over the gold tables")
+    q.add_argument("--out", required=True, help="folder for the whole result")
     a = p.parse_args(argv)
     spark = spark or get_session()
     if a.cmd == "bronze":
-        return medallion.bronze_job(src.read_changes(spark, a.changes), a.bronze, a.quarantine)
+        return medallion.bronze_job(src.read_changes(spark, a.changes), a.bronze, a.quarantine, a.batch)
     if a.cmd == "silver":
         return medallion.silver_job(spark, a.bronze, a.silver, a.mode, a.latest)
     if a.cmd == "gold":
         return medallion.gold_job(spark, a.silver, a.gold)
-    medallion.register_gold(spark, a.gold)
-    text = a.text or Q.SQL[a.query]
-    if a.out:
-        sink.run_sql_to(spark, text, a.out)
-        return {"out": a.out}
-    return {"rows": [r.asDict() for r in spark.sql(text).limit(1000).collect()]}
+    if a.text:
+        medallion.register_gold(spark, a.gold)
+        sink.run_sql_to(spark, a.text, a.out)
+    else:
+        sink.write_gold(Q.QUERIES[a.query](medallion.read_gold(spark, a.gold)), a.out)
+    return {"out": a.out}
 
 
 def main() -> None:

@@ -7,21 +7,32 @@ the two jobs; within a job nothing is cached on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import cdc, gold, silver
 from ..schemas import SILVER_TASKS, SILVER_USERS
 from ..sinks import lake as sink
 from ..sources import lake as src
+from .model import Gold, materialize
 
 
-def bronze_job(changes: DataFrame, bronze_root: str, quarantine_root: str | None = None) -> dict:
-    """STR-01 batch twin: decode changes, write bronze, quarantine failures."""
-    good, bad = cdc.split_quarantine(changes)
-    sink.write_bronze(good, f"{bronze_root.rstrip('/')}/cdc")
-    if quarantine_root:
-        sink.quarantine(bad, quarantine_root)
-    return {"bronze": f"{bronze_root.rstrip('/')}/cdc"}
+def bronze_job(changes: DataFrame, bronze_root: str, quarantine_root: str, batch: str | int, now: Column | None = None) -> dict:
+    """STR-01 batch twin: decode changes, write bronze, quarantine failures, count both.
+
+    The batch is classified once.  ``batch`` names it: run again, the job
+    replaces what it wrote before.
+    """
+    bronze = f"{bronze_root.rstrip('/')}/cdc"
+    classified = cdc.classify(changes).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sink.write_bronze(cdc.to_envelope(classified.filter(F.col("_outcome") == "processed"), now=now), bronze, batch)
+        sink.quarantine(cdc.failed_records(classified), quarantine_root, batch)
+        counts = cdc.count_outcomes(classified).first()
+    finally:
+        classified.unpersist()
+    return {"bronze": bronze} | (counts.asDict() if counts else {})
 
 
 def silver_job(spark: SparkSession, bronze_root: str, silver_root: str, mode: str = "overwrite",
@@ -35,8 +46,10 @@ def silver_job(spark: SparkSession, bronze_root: str, silver_root: str, mode: st
     if sink.skip_if_empty(bronze):
         return {}
     root = silver_root.rstrip("/")
+    # the JSON is parsed once, into a Parquet table that the three writes read
+    bronze = materialize(bronze, "bronze")
+    ent = materialize(silver.silver_entities(bronze, latest), "silver-entities")
     sink.write_silver(silver.silver_cdc(bronze), f"{root}/cdc", mode="append" if mode == "append" else "overwrite")
-    ent = silver.silver_entities(bronze, latest)
     sink.write_silver(silver.users_of(ent), f"{root}/users", mode=mode)
     sink.write_silver(silver.tasks_of(ent), f"{root}/tasks", mode=mode)
     return {"cdc": f"{root}/cdc", "users": f"{root}/users", "tasks": f"{root}/tasks"}
@@ -62,17 +75,20 @@ def gold_job(spark: SparkSession, silver_root: str, gold_root: str) -> dict:
     return out
 
 
+def read_gold(spark: SparkSession, gold_root: str) -> Gold:
+    """The gold frames from the folders that ``gold_job`` wrote."""
+    root = gold_root.rstrip("/")
+    return Gold(None, None, None,
+                user_analytics=spark.read.parquet(f"{root}/user_analytics"),
+                user_metrics=spark.read.parquet(f"{root}/task_analytics/user_metrics"),
+                category_trends=spark.read.parquet(f"{root}/task_analytics/category_trends"),
+                kpis=spark.read.parquet(f"{root}/business_metrics/kpis"))
+
+
 def register_gold(spark: SparkSession, gold_root: str, database: str | None = None) -> None:
     """Expose the gold folders under the catalog names the SQL uses."""
-    root = gold_root.rstrip("/")
-    names = {
-        "user_analytics": f"{root}/user_analytics",
-        "task_analytics_user_metrics": f"{root}/task_analytics/user_metrics",
-        "task_analytics_category_trends": f"{root}/task_analytics/category_trends",
-        "business_metrics_kpis": f"{root}/business_metrics/kpis",
-    }
-    for name, path in names.items():
-        spark.read.parquet(path).createOrReplaceTempView(name)
+    from .queries import register_gold_views
+    register_gold_views(read_gold(spark, gold_root))
 
 
 def silver_increment_job(spark: SparkSession, bronze_root: str, new_dates: list[str], previous_entities: str,

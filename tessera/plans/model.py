@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import cdc, gold, silver
 from ..sources import fixtures
@@ -63,7 +64,8 @@ def gold_from_bronze(bronze: DataFrame, latest: bool = False, shared: bool = Fal
 
 
 def event_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc.changes_to_bronze(fixtures.event_changes(spark, sf_dir))
+    # arrival pinned to the event time, so that results don't depend on the clock
+    return cdc.changes_to_bronze(fixtures.event_changes(spark, sf_dir), now=F.col("eventTime"))
 
 
 def event_model(spark: SparkSession, sf_dir: str, latest: bool = False, shared: bool = False) -> Gold:

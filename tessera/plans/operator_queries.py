@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.decode import raw_numbers
 from ..operators import cdc, gold, lookup, metrics, monitor, mutate, quality, silver
+from ..schemas import ITEM
 from ..sources import fixtures
 from . import model
 from .catalog import register
@@ -23,13 +25,18 @@ NOW_EPOCH = 1706659200
 TODAY = "2024-01-31"
 
 
+def _metrics_now():
+    # 30 days before it lies within the events' month: some users are active, some are not
+    return F.lit("2024-02-15 00:00:00").cast("timestamp")
+
+
 def _now():
     return F.lit(NOW).cast("timestamp")
 
 
 def event_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current state of the single table after replaying the event changes."""
-    return mutate.current_state(mutate.changes_with_removes(fixtures.event_changes(spark, sf_dir)))
+    return mutate.current_state(mutate.changes_with_removes(fixtures.event_changes(spark, sf_dir), F.col("eventTime")))
 
 
 STATE_COLS = ["PK", "SK", "status", "priority", "category", "due_date", "created_at", "updated_at",
@@ -95,7 +102,7 @@ def entity_census(spark, sf_dir):
 # ------------------------------------------------------------ metrics ---
 
 def _metrics_sql(state_cte: str, state_name: str) -> str:
-    cutoff = "strftime(TIMESTAMP '2024-01-01 00:00:00', '%Y-%m-%dT%H:%M:%S.%f')"
+    cutoff = "strftime(TIMESTAMP '2024-01-16 00:00:00', '%Y-%m-%dT%H:%M:%S.%f')"
     return f"""WITH {state_cte}, c AS (
   SELECT COUNT(*) FILTER (WHERE "PK" LIKE 'USER#%') AS users,
          COUNT(*) FILTER (WHERE "PK" LIKE 'USER#%' AND last_login > {cutoff}) AS active_users,
@@ -118,12 +125,11 @@ def _metrics_sql(state_cte: str, state_name: str) -> str:
   SELECT 'InProgressTasks', in_progress, 'Count' FROM c UNION ALL
   SELECT 'HighPriorityTasks', high_priority, 'Count' FROM c UNION ALL
   SELECT 'TaskCompletionRate', CASE WHEN tasks > 0 THEN CAST(completed AS DOUBLE) / tasks * 100 ELSE 0 END, 'Percent' FROM c UNION ALL
-  SELECT 'TableSizeBytes', 0, 'Bytes' FROM c UNION ALL
   SELECT 'TotalItems', items, 'Count' FROM c UNION ALL
   SELECT 'AverageTasksPerUser', CASE WHEN users > 0 THEN CAST(tasks AS DOUBLE) / users ELSE 0 END, 'Count' FROM c
 )
 SELECT 'App/CustomMetrics' AS namespace, metric, ROUND(CAST(value AS DOUBLE), 6) AS value, unit,
-       TIMESTAMP '2024-01-31 00:00:00' AS ts FROM m"""
+       TIMESTAMP '2024-02-15 00:00:00' AS ts FROM m"""
 
 
 ORDERS_STATE = """state AS (
@@ -142,13 +148,16 @@ ORDERS_STATE = """state AS (
 @register("metrics_event_state", _metrics_sql(STATE, "state"))
 def metrics_event_state(spark, sf_dir):
     """AGG-10..12 + JOIN-08 + SET-02 over the state replayed from events."""
-    return metrics.collect_metrics(event_state(spark, sf_dir), _now())
+    return metrics.collect_metrics(event_state(spark, sf_dir), _metrics_now())
 
 
 @register("metrics_orders_state", _metrics_sql(ORDERS_STATE, "state"))
 def metrics_orders_state(spark, sf_dir):
     """The same metric scan over the customer/orders state (at-scale model)."""
-    return metrics.collect_metrics(fixtures.state_table(spark, sf_dir), _now())
+    customer, orders = (fixtures.read_table(spark, sf_dir, t) for t in ("customer", "orders"))
+    # no metric reads the category: the orders aren't joined to their customers
+    both = fixtures.customer_users(customer).unionByName(fixtures.order_tasks(orders, None), allowMissingColumns=True)
+    return metrics.collect_metrics(both.withColumn("last_login", F.lit(None).cast("string")), _metrics_now())
 
 
 # ------------------------------------------------------------ lookups ---
@@ -213,8 +222,12 @@ SILVER_TASKS_SQL = """st AS (
 )"""
 
 
-@register("dq_task_rule_summary", f"WITH {EV}, {SILVER_TASKS_SQL} SELECT 'domain:priority' AS rule, COUNT(*) AS failures "
-          "FROM st WHERE priority NOT IN ('low', 'medium', 'high') HAVING COUNT(*) > 0")
+@register("dq_task_rule_summary", f"""WITH {EV}, {SILVER_TASKS_SQL}, bad AS (
+  SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE priority NOT IN ('low', 'medium', 'high')) AS urgent FROM st)
+  SELECT r.rule, CASE WHEN r.rule = 'rows' THEN n WHEN r.rule IN ('rejected_rows', 'domain:priority') THEN urgent ELSE 0 END AS failures
+  FROM bad, (VALUES ('rows'), ('rejected_rows'), ('required:task_id'), ('required:user_id'), ('required:title'), ('required:status'),
+    ('type:title'), ('type:created_at'), ('min_len:title'), ('max_len:title'), ('max_len:description'), ('max_len:category'),
+    ('domain:status'), ('domain:priority')) r(rule)""")
 def dq_task_rule_summary(spark, sf_dir):
     """DQ-01..09: failures per rule over silver tasks (ETL rule set)."""
     st = model.event_model(spark, sf_dir).silver_tasks
@@ -290,18 +303,18 @@ def mon_request_volume(spark, sf_dir):
 ), grid AS (
   SELECT UNNEST(generate_series(MIN(p5), MAX(p5), 300)) AS p5 FROM per
 ), f AS (
-  SELECT g.p5, COALESCE(CASE WHEN per.errors > 2 THEN 1 ELSE 0 END, 0) AS breach
+  SELECT g.p5, COALESCE(CASE WHEN per.errors > 0 THEN 1 ELSE 0 END, 0) AS breach
   FROM grid g LEFT JOIN per ON g.p5 = per.p5
 ), r AS (
   SELECT p5, breach, CAST(SUM(breach) OVER (ORDER BY p5 ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS BIGINT) AS run FROM f
 ) SELECT p5 AS period_start, breach, run, run >= 2 AS alarm FROM r""")
 def mon_error_alarm(spark, sf_dir):
-    """MON-02 + WIN-04: more than 2 errors in 2 consecutive 5-minute periods;
+    """MON-02 + WIN-04: errors in 2 consecutive 5-minute periods;
     empty periods are filled and count as no breach."""
     log = _log(spark, sf_dir)
     per = log.groupBy(F.window("timestamp", "5 minutes").start.alias("period_start")).agg(
         F.count_if(F.col("status") == "error").alias("errors"))
-    a = monitor.threshold_alarm(per, "errors", 2, 2, 300)
+    a = monitor.threshold_alarm(per, "errors", 0, 2, 300)
     return _epoch_start(a).select("period_start", F.col("breach").cast("int"), F.col("run").cast("bigint"), "alarm")
 
 
@@ -324,7 +337,7 @@ def mon_top_error_operations(spark, sf_dir):
   WHERE prev_status = 'completed' AND status IS NOT NULL AND status <> 'completed'""")
 def illegal_transitions(spark, sf_dir):
     """WIN-03: a change that moves a task away from completed."""
-    allc = mutate.changes_with_removes(fixtures.event_changes(spark, sf_dir))
+    allc = mutate.changes_with_removes(fixtures.event_changes(spark, sf_dir), F.col("eventTime"))
     tasks = allc.filter(F.col("data.PK").startswith("TASK#")).select(
         F.regexp_replace("data.SK", "^TASK#", "").alias("task_id"), F.col("data.status").alias("status"),
         "processed_at", "sequence_number")
@@ -332,26 +345,35 @@ def illegal_transitions(spark, sf_dir):
 
 
 # ------------------------------------------------------ idempotency ---
-REQ = EV + """, req AS (
+CHAIN = EV + """, req AS (
   SELECT user_id || ':' || k AS request_id, ep AS ts_epoch, event_id FROM ev
-), keys AS (
-  SELECT request_id, MIN(ts_epoch) AS created_at, MIN(ts_epoch) + 86400 AS expiration_timestamp FROM req GROUP BY request_id
+), w(request_id, start) AS (
+  SELECT request_id, MIN(ts_epoch) FROM req GROUP BY request_id
+  UNION ALL
+  SELECT w.request_id, (SELECT MIN(r.ts_epoch) FROM req r WHERE r.request_id = w.request_id AND r.ts_epoch > w.start + 86400)
+  FROM w WHERE w.start IS NOT NULL
+), starts AS (
+  SELECT DISTINCT request_id, start FROM w WHERE start IS NOT NULL
+), ranked AS (
+  SELECT request_id, ts_epoch, event_id, ROW_NUMBER() OVER (PARTITION BY request_id, ts_epoch ORDER BY event_id) AS rn FROM req
+), replays AS (
+  SELECT request_id, ts_epoch, event_id,
+    NOT (rn = 1 AND EXISTS (SELECT 1 FROM starts s WHERE s.request_id = ranked.request_id AND s.start = ranked.ts_epoch)) AS replay
+  FROM ranked
 )"""
 
 
-@register("idempotent_replays", f"WITH {REQ} SELECT r.request_id, r.ts_epoch, r.event_id FROM req r WHERE EXISTS ("
-          "SELECT 1 FROM keys k WHERE k.request_id = r.request_id AND k.expiration_timestamp >= r.ts_epoch AND k.created_at < r.ts_epoch)")
+@register("idempotent_replays", f"WITH RECURSIVE {CHAIN} SELECT request_id, ts_epoch, event_id FROM replays WHERE replay")
 def idempotent_replays(spark, sf_dir):
-    """JOIN-04 / FIL-19 / STR-04 batch form: requests that replay an
-    unexpired key.  Request id = "<user>:<k>" (user-scoped, PRJ-16 shape);
-    a key lives 24 h from its first sighting."""
+    """JOIN-04 / FIL-19 / STR-04 batch form: requests that replay a live key.
+    Request id = "<user>:<k>" (user-scoped, PRJ-16 shape); keys chain, each
+    living 24 h from the request that made it, as in the stream."""
     ev = fixtures.read_table(spark, sf_dir, "events")
-    req = ev.select(F.concat_ws(":", F.col("user_id").cast("string"),
-                                F.get_json_object("props", "$.k").try_cast("bigint").cast("string")).alias("request_id"),
-                    F.unix_seconds("ts").alias("ts_epoch"), "event_id")
-    keys = mutate.first_sight_keys(req)
-    replays, _fresh = mutate.replay_split(req, keys, strict=True)
-    return replays
+    req = ev.filter(F.col("event_type").isin(*fixtures.EVENT_KIND)).select(
+        F.concat(F.col("user_id").cast("string"), F.lit(":"),
+                 F.get_json_object("props", "$.k").try_cast("bigint").cast("string")).alias("request_id"),
+        F.unix_seconds("ts").alias("ts_epoch"), "event_id").filter("request_id is not null")
+    return mutate.request_replays(req, "event_id").filter("replay").drop("replay")
 
 
 # -------------------------------------------------- gold extensions ---
@@ -462,6 +484,47 @@ def cdc_batch_counters(spark, sf_dir):
     return cdc.batch_counters(ch, "batch")
 
 
+#: Changes broken by a rule on the event id: of 40, one without image, one a bad number, one a bad set, one no record at all.
+def _broken(changes: DataFrame) -> DataFrame:
+    n = F.col("dynamodb.SequenceNumber").cast("bigint") % 40
+    kept, image = F.col("dynamodb.Keys"), F.col("dynamodb.NewImage")
+    bad_number = F.parse_json(F.regexp_replace(F.to_json(image), '"created_at":[{]"N":"[0-9]+"', '"created_at":{"N":"abc"'))
+    bad_set = F.parse_json(F.regexp_replace(F.to_json(image), "^[{]", '{"marks":{"NS":["1","x"]},'))
+    told = F.when(image.isNull() | (n == 1), F.when(n == 1, F.parse_json(F.lit("{}")))) \
+        .when(n == 2, bad_number).when(n == 3, bad_set).otherwise(image)
+    lost = n == 4
+    return changes.select(
+        F.when(~lost, F.col("eventName")).alias("eventName"), "eventTime",
+        F.struct(F.col("dynamodb.SequenceNumber").alias("SequenceNumber"), kept.alias("Keys"),
+                 F.when(~lost, told).alias("NewImage"), F.when(~lost, F.col("dynamodb.OldImage")).alias("OldImage")).alias("dynamodb"),
+        F.when(lost, F.lit("{cut of")).alias("_corrupt_record"))
+
+
+@register("cdc_broken_records", """WITH c AS (SELECT CAST(ts AS DATE) AS batch, event_id % 40 AS n, event_type = 'error' AS gone
+  FROM events WHERE event_type IN ('signup', 'view', 'click', 'purchase', 'error'))
+  SELECT batch, COUNT(*) FILTER (WHERE n = 4 OR (n = 3 AND NOT gone)) AS failed,
+    COUNT(*) FILTER (WHERE n <> 4 AND (gone OR n = 1)) AS skipped,
+    COUNT(*) FILTER (WHERE n NOT IN (1, 3, 4) AND NOT gone) AS processed,
+    COUNT(*) FILTER (WHERE n = 2 AND NOT gone) AS raw_kept, COUNT(*) AS records FROM c GROUP BY 1""")
+def cdc_broken_records(spark, sf_dir):
+    """SNK-04 / AGG-13: processed / failed / skipped / raw-kept of changes of which some are broken."""
+    ch = _broken(fixtures.event_changes(spark, sf_dir)).withColumn("batch", F.to_date("eventTime"))
+    c = cdc.classify(ch)
+    raw = F.when(F.col("_outcome") == "processed", raw_numbers(F.col("_image"), ITEM))
+    return c.select("batch", "_outcome", raw.alias("_raw")).groupBy("batch").agg(
+        *[F.count_if(F.col("_outcome") == x).alias(x) for x in ("failed", "skipped", "processed")],
+        F.count("_raw").alias("raw_kept"), F.count(F.lit(1)).alias("records"))
+
+
+@register("cdc_failures_by_error", """SELECT CASE WHEN event_id % 40 = 4 THEN 'malformed record' ELSE 'unparseable number in a set' END AS error,
+  COUNT(*) AS failed FROM events WHERE event_type IN ('signup', 'view', 'click', 'purchase', 'error')
+  AND (event_id % 40 = 4 OR (event_id % 40 = 3 AND event_type <> 'error')) GROUP BY 1""")
+def cdc_failures_by_error(spark, sf_dir):
+    """AGG-14: quarantined records per error."""
+    _, bad = cdc.split_quarantine(_broken(fixtures.event_changes(spark, sf_dir)))
+    return cdc.delivery_failures(bad)
+
+
 # ------------------------------------------------------------ streaming ---
 
 @register("stream_rollup_5min", f"WITH {LOG} SELECT p5 AS period_start, COUNT(*) AS samples, CAST(SUM(duration_ms) AS BIGINT) AS sum, "
@@ -488,7 +551,7 @@ def stream_rollup_5min(spark, sf_dir):
 ) SELECT task_id, sequence_number,
     (last_value(CASE WHEN accepted THEN {{'s': status}} END IGNORE NULLS)
        OVER (PARTITION BY task_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)).s AS prev_status,
-    status, accepted
+    status, accepted, false AS late
   FROM acc""")
 def stream_task_state_machine(spark, sf_dir):
     """STR-07: per-task status machine over the change stream; rows flagged
@@ -527,7 +590,28 @@ def gold_extended_user_analytics(spark, sf_dir):
     return out.withColumn("total_logins", F.col("total_logins").cast("bigint"))
 
 
-@register("stream_bronze_by_date", f"""WITH {EV} SELECT CAST(ts AS DATE) AS date,
+#: Arrival of a change after its event, by a rule on the event id: 0 to 6 hours in steps, every 50th two days late.
+ARRIVAL_SQL = "ts + INTERVAL (event_id % 7) HOUR + INTERVAL (CASE WHEN event_id % 50 = 0 THEN 2 ELSE 0 END) DAY"
+
+
+def _arrival():
+    n = F.col("dynamodb.SequenceNumber").cast("bigint")
+    return F.timestamp_seconds(F.unix_seconds("eventTime") + n % 7 * 3600 + F.when(n % 50 == 0, 2 * 86400).otherwise(0))
+
+
+@register("delivery_lag", f"""WITH {EV} SELECT CAST({ARRIVAL_SQL} AS DATE) AS date, COUNT(*) AS records,
+  CAST(MAX(epoch(date_trunc('second', {ARRIVAL_SQL})) - epoch(date_trunc('second', ts))) AS BIGINT) AS max_lag_seconds,
+  COUNT(*) FILTER (WHERE epoch(date_trunc('second', {ARRIVAL_SQL})) - epoch(date_trunc('second', ts)) > 300) AS late
+  FROM ev WHERE event_type <> 'error' GROUP BY 1""")
+def delivery_lag(spark, sf_dir):
+    """MON-06: per arrival date the largest delivery lag and the records over the alarm limit of 300 s."""
+    b = cdc.changes_to_bronze(fixtures.event_changes(spark, sf_dir), now=_arrival())
+    lag = F.unix_seconds("processed_at") - F.unix_seconds("event_time")
+    return b.groupBy(F.to_date("processed_at").alias("date")).agg(
+        F.count(F.lit(1)).alias("records"), F.max(lag).alias("max_lag_seconds"), F.count_if(lag > 300).alias("late"))
+
+
+@register("stream_bronze_by_date", f"""WITH {EV} SELECT CAST({ARRIVAL_SQL} AS DATE) AS date,
   COUNT(*) FILTER (WHERE event_type IN ('signup', 'view')) AS inserts,
   COUNT(*) FILTER (WHERE event_type IN ('click', 'purchase')) AS modifies
   FROM ev WHERE event_type <> 'error' GROUP BY 1""")
@@ -541,7 +625,7 @@ def stream_bronze_by_date(spark, sf_dir):
     from ..streaming import streams
     base = work_path(spark, f"stream-bronze-{uuid.uuid4().hex[:8]}")
     changes = fixtures.items_to_changes(fixtures.event_items(streams.table_stream(spark, sf_dir, "events")))
-    q = streams.changes_to_bronze_stream(changes, f"{base}/bronze", f"{base}/quarantine", f"{base}/ck")
+    q = streams.changes_to_bronze_stream(changes, f"{base}/bronze", f"{base}/quarantine", f"{base}/ck", now=_arrival())
     q.awaitTermination()
     b = read_bronze(spark, f"{base}/bronze")
     return b.groupBy(F.to_date("processed_at").alias("date")).agg(
@@ -549,20 +633,7 @@ def stream_bronze_by_date(spark, sf_dir):
         F.count_if(F.col("event_name") == "MODIFY").alias("modifies"))
 
 
-@register("stream_idempotency_replays", f"""WITH RECURSIVE {EV}, req AS (
-  SELECT user_id || ':' || k AS request_id, ep AS ts_epoch FROM ev
-), w(request_id, start) AS (
-  SELECT request_id, MIN(ts_epoch) FROM req GROUP BY request_id
-  UNION ALL
-  SELECT w.request_id, (SELECT MIN(r.ts_epoch) FROM req r WHERE r.request_id = w.request_id AND r.ts_epoch > w.start + 86400)
-  FROM w WHERE w.start IS NOT NULL
-), starts AS (
-  SELECT DISTINCT request_id, start FROM w WHERE start IS NOT NULL
-), ranked AS (
-  SELECT request_id, ts_epoch, ROW_NUMBER() OVER (PARTITION BY request_id, ts_epoch) AS rn FROM req
-) SELECT request_id, ts_epoch,
-    NOT (rn = 1 AND EXISTS (SELECT 1 FROM starts s WHERE s.request_id = ranked.request_id AND s.start = ranked.ts_epoch)) AS replay
-  FROM ranked""")
+@register("stream_idempotency_replays", f"WITH RECURSIVE {CHAIN} SELECT request_id, ts_epoch, replay FROM replays")
 def stream_idempotency_replays(spark, sf_dir):
     """STR-04 exact: each request (id "<user>:<k>") replays a live key or
     creates one valid 24 h; windows chain per id, state is one row per id."""

@@ -28,6 +28,8 @@ CHANGE_RECORD = StructType([
         StructField("NewImage", VariantType()),
         StructField("OldImage", VariantType()),
     ])),
+    # the whole line, where it is no JSON record
+    StructField("_corrupt_record", S),
 ])
 
 INDEX_KEYS = ["GSI1PK", "GSI1SK", "GSI2PK", "GSI2SK", "GSI3PK", "GSI3SK", "GSI4PK", "GSI4SK"]
@@ -63,6 +65,8 @@ CDC_ENVELOPE = StructType([
     StructField("processed_at", TimestampType()),
     StructField("partition_key", S),
     StructField("data", ITEM),
+    # text of the numbers that don't parse, by attribute
+    StructField("raw", MapType(S, S)),
 ])
 
 SILVER_USERS = StructType([

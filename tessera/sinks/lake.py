@@ -17,14 +17,21 @@ from ..functions.dates import date_parts
 PARTS = ["year", "month", "day"]
 
 
-def write_bronze(df: DataFrame, path: str, mode: str = "append") -> None:
-    """SNK-01 (batch form): gzip JSON lines by arrival date year/month/day.
+#: Rows of a bronze file at most: gzip JSON can't be split, so its size bounds a read task.
+BRONZE_FILE_ROWS = 500_000
 
-    Rows are clustered by partition before the write so each task writes
-    one file per date instead of one per date per task.
+
+def write_bronze(df: DataFrame, path: str, batch: str | int) -> None:
+    """SNK-01: gzip JSON lines by arrival date, in the folder of the batch.
+
+    A batch's folder is overwritten, so a job run again replaces its own
+    output.  Rows are clustered by date first (and an even share of the
+    sequence, so one date isn't one task's), which keeps files few.
     """
     out = df if "year" in df.columns else date_parts(df, "processed_at")
-    out.repartition(*PARTS).write.mode(mode).option("compression", "gzip").partitionBy(*PARTS).json(path)
+    share = F.pmod(F.xxhash64("sequence_number"), F.lit(16))
+    out.repartition(*PARTS, share).write.mode("overwrite").option("compression", "gzip") \
+        .option("maxRecordsPerFile", BRONZE_FILE_ROWS).partitionBy(*PARTS).json(f"{path.rstrip('/')}/batch={batch}")
 
 
 def write_silver(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -37,9 +44,9 @@ def write_gold(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def quarantine(bad: DataFrame, path: str) -> None:
-    """SNK-04: failed records with their error text, kept aside (append)."""
-    bad.write.mode("append").json(path)
+def quarantine(bad: DataFrame, path: str, batch: str | int) -> None:
+    """SNK-04: failed records with their error text, kept aside in the folder of the batch."""
+    bad.write.mode("overwrite").json(f"{path.rstrip('/')}/batch={batch}")
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
@@ -58,10 +65,7 @@ def register_table(spark: SparkSession, name: str, path: str, schema=None, parti
     """SNK-06: external Parquet table over a folder (partitions recovered)."""
     spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
     if partition_keys:
-        try:
-            spark.sql(f"MSCK REPAIR TABLE {name}")
-        except Exception:  # not a partitioned definition: nothing to recover
-            pass
+        spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
 def run_sql_to(spark: SparkSession, sql: str, out: str, fmt: str = "parquet") -> DataFrame:
@@ -84,8 +88,3 @@ def skip_if_empty(df: DataFrame) -> bool:
 def new_version_path(root: str, version: int) -> str:
     """Mutations write a new version directory instead of overwriting in place."""
     return f"{root.rstrip('/')}/v={version:06d}"
-
-
-def stamp(df: DataFrame, col: str = "processed_at", now=None) -> DataFrame:
-    """Add an arrival timestamp (``now`` pins it in tests)."""
-    return df.withColumn(col, now if now is not None else F.current_timestamp())

@@ -55,19 +55,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-split scan over all cores before CPU-heavy work.
-
-    Only when the scan yields fewer splits than the cluster has cores (a
-    small file stored as one row group); a large input already has
-    thousands of splits and is left alone, so no shuffle is added at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 _table = read_table
 
 
@@ -208,7 +195,9 @@ def as_source(df: DataFrame) -> DataFrame:
 
 def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change stream derived from ``events`` (CHANGE_RECORD shape)."""
-    return items_to_changes(event_items(spread(_table(spark, sf_dir, "events"))))
+    events = _table(spark, sf_dir, "events")
+    # dealt by id, whatever the size: the images are built on all cores
+    return items_to_changes(event_items(events.repartition("event_id")))
 
 
 # ------------------------------------------------------------ scale model ---
@@ -274,22 +263,3 @@ def state_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = users.unionByName(tasks, allowMissingColumns=True)
     return both.select(*[F.col(f.name).cast(f.dataType) if f.name in both.columns
                          else F.lit(None).cast(f.dataType).alias(f.name) for f in ITEM.fields])
-
-
-def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer + orders replayed as INSERT changes (sequence = key order)."""
-    customer = _table(spark, sf_dir, "customer")
-    orders = _table(spark, sf_dir, "orders")
-    users = customer_users(customer).select(
-        "*", F.lit("USER").alias("entity"),
-        F.concat(F.lit("1"), F.lpad(F.col("user_key").cast("string"), 19, "0")).alias("SequenceNumber"),
-        F.timestamp_seconds(F.col("created_at")).alias("eventTime"))
-    tasks = order_tasks(orders, customer).select(
-        "*", F.lit("TASK").alias("entity"),
-        F.concat(F.lit("2"), F.lpad(F.col("task_key").cast("string"), 19, "0")).alias("SequenceNumber"),
-        F.col("event_time").alias("eventTime"))
-    both = users.unionByName(tasks, allowMissingColumns=True)
-    items = both.select(*[F.col(f.name).cast(f.dataType) if f.name in both.columns
-                          else F.lit(None).cast(f.dataType).alias(f.name) for f in ITEM.fields],
-                        "entity", "SequenceNumber", "eventTime").withColumn("eventName", F.lit("INSERT"))
-    return items_to_changes(items)

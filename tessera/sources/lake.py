@@ -15,17 +15,19 @@ from pyspark.sql.types import StructType
 
 from ..schemas import APP_LOG, CDC_ENVELOPE, CHANGE_RECORD
 
+#: Files of changes in a micro-batch at most (STR-02).
+FILES_PER_TRIGGER = 100
+
+
 def read_changes(spark: SparkSession, path: str, stream: bool = False, files_per_trigger: int | None = None) -> DataFrame:
     """SRC-01: change records (JSON lines, tagged images as variant).
 
+    A line that is no JSON record keeps its text in ``_corrupt_record``.
     ``stream=True`` returns a streaming DataFrame; ``files_per_trigger``
-    bounds one micro-batch (the batch-size knob of the source).
+    (``FILES_PER_TRIGGER`` unless given) bounds one micro-batch.
     """
     if stream:
-        r = spark.readStream.schema(CHANGE_RECORD)
-        if files_per_trigger:
-            r = r.option("maxFilesPerTrigger", files_per_trigger)
-        return r.json(path)
+        return spark.readStream.schema(CHANGE_RECORD).option("maxFilesPerTrigger", files_per_trigger or FILES_PER_TRIGGER).json(path)
     return spark.read.schema(CHANGE_RECORD).json(path)
 
 
@@ -47,7 +49,7 @@ def read_bronze(spark: SparkSession, path: str, dates: Iterable | None = None) -
     pruned at planning time.
     """
     df = spark.read.schema(_with_parts(CDC_ENVELOPE)).json(path)
-    return _partition_filter(df, dates)
+    return _partition_filter(df, dates).drop("batch")
 
 
 def _with_parts(schema: StructType) -> StructType:

@@ -14,17 +14,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..functions.dates import date_parts
 from ..operators import cdc
 from ..session import work_path
+from ..sinks import lake as sink
 
 FLUSH_INTERVAL = "60 seconds"     # delivery buffer: 60 s (STR-02)
-FILES_PER_TRIGGER = 100           # records are batched by the source (STR-02)
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -53,52 +52,44 @@ def _start(df_writer, checkpoint: str, available_now: bool, processing_time: str
 
 def changes_to_bronze_stream(changes: DataFrame, bronze_path: str, quarantine_path: str, checkpoint: str,
                              available_now: bool = True, processing_time: str = FLUSH_INTERVAL,
-                             on_batch: Callable[[int, dict], None] | None = None) -> StreamingQuery:
+                             on_batch: Callable[[int, dict], None] | None = None,
+                             now: Column | None = None, delay: str | None = "10 minutes") -> StreamingQuery:
     """STR-01: change stream -> bronze (gzip JSON by date) + quarantine.
 
     One classification per micro-batch feeds both outputs and the batch
     counters (AGG-13).  Output of batch ``n`` goes to ``batch=n`` folders
-    with overwrite, so a replayed batch is not duplicated.
+    with overwrite, so a replayed batch is not duplicated, and a change that
+    the source delivers again within ``delay`` is dropped (STR-03).  The
+    arrival time is the clock, one value per micro-batch; ``now`` pins it.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         c = cdc.classify(batch).persist()
         try:
-            slim = cdc._slim(c)
-            good = cdc.to_envelope(cdc.keep_where(slim, F.col("_outcome") == "processed"))
-            good = date_parts(good, "processed_at")
-            good.write.mode("overwrite").option("compression", "gzip").partitionBy("year", "month", "day") \
-                .json(f"{bronze_path.rstrip('/')}/batch={batch_id}")
-            bad = cdc.keep_where(slim, F.col("_outcome") == "failed").select(
-                "eventName", "eventTime", F.col("dynamodb.SequenceNumber").alias("sequence_number"),
-                F.to_json("_image").alias("record"), F.col("_error").alias("error"))
-            bad.write.mode("overwrite").json(f"{quarantine_path.rstrip('/')}/batch={batch_id}")
+            sink.write_bronze(cdc.to_envelope(c.filter(F.col("_outcome") == "processed"), now=now), bronze_path, batch_id)
+            sink.quarantine(cdc.failed_records(c), quarantine_path, batch_id)
             if on_batch is not None:
-                row = c.agg(F.count_if(F.col("_outcome") == "processed").alias("processed"),
-                            F.count_if(F.col("_outcome") == "failed").alias("failed"),
-                            F.count_if(F.col("_outcome") == "skipped").alias("skipped")).first()
+                row = cdc.count_outcomes(c).first()
                 on_batch(batch_id, row.asDict())
         finally:
             c.unpersist()
 
-    return _start(changes.writeStream.foreachBatch(handle), checkpoint, available_now, processing_time)
+    once = dedupe_changes(changes, delay) if delay else changes
+    return _start(once.writeStream.foreachBatch(handle), checkpoint, available_now, processing_time)
 
 
 # ----------------------------------------------------------- STR-03/04 ---
 
 def dedupe_changes(changes: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """STR-03: drop re-delivered changes (same sequence number) within the
-    watermark; state is bounded by the delay."""
-    return changes.withColumn("_seq", F.col("dynamodb.SequenceNumber")) \
-        .withWatermark("eventTime", delay).dropDuplicatesWithinWatermark(["_seq"]).drop("_seq")
+    """STR-03: drop re-delivered changes (same sequence number and time) within
+    the watermark; state is bounded by the delay.
 
-
-def dedupe_requests(requests: DataFrame, ts_col: str = "ts", ttl: str = "24 hours") -> DataFrame:
-    """STR-04: keep the first request per request id within 24 h.
-
-    Streaming approximation of the key TTL: the watermark bounds the state
-    to 24 h of ids; the exact first-sight window is the batch JOIN-04.
+    Records without a sequence number are never taken for one another: they
+    are told apart by their whole text.
     """
-    return requests.withWatermark(ts_col, ttl).dropDuplicatesWithinWatermark(["request_id"])
+    own = F.to_json(F.struct(*changes.columns))
+    return changes.withColumn("_seq", F.coalesce(F.col("dynamodb.SequenceNumber"), F.xxhash64(own).cast("string"))) \
+        .withColumn("_at", F.coalesce("eventTime", F.current_timestamp())) \
+        .withWatermark("_at", delay).dropDuplicatesWithinWatermark(["_seq"]).drop("_seq", "_at")
 
 
 REPLAY_SCHEMA = "request_id string, ts_epoch long, replay boolean, key_created_at long, key_expires_at long"
@@ -167,7 +158,7 @@ def sliding_active_users(activity: DataFrame, ts_col: str = "ts", user_col: str
 
 # ----------------------------------------------------------- STR-07 ---
 
-TRANSITION_SCHEMA = "task_id string, sequence_number string, prev_status string, status string, accepted boolean"
+TRANSITION_SCHEMA = "task_id string, sequence_number string, prev_status string, status string, accepted boolean, late boolean"
 STATE_SCHEMA = "status string, seq string"
 
 
@@ -191,7 +182,8 @@ def _make_task_machine():
 
         Changes of one micro-batch are applied in sequence order; a change that
         moves a completed task to another status is rejected (not applied); a
-        REMOVE (status None) resets the task.
+        REMOVE (status None) resets the task.  Changes without a numeric
+        sequence apply in the order they come.
         """
         cur, last = (tuple(state.get) if state.exists else (None, None))
         last_n = int(last) if last is not None else None
@@ -202,18 +194,22 @@ def _make_task_machine():
             return
         pdf = pd.concat(frames, ignore_index=True)
         pdf["seqn"] = pdf["sequence_number"].map(lambda s: int(s) if s is not None and str(s).isdigit() else -1)
-        for seq, seqn, new in zip(pdf.sort_values("seqn")["sequence_number"], pdf.sort_values("seqn")["seqn"],
-                                  pdf.sort_values("seqn")["status"]):
-            if last_n is not None and seqn <= last_n:
-                continue  # re-delivered change
+        pdf = pdf.sort_values("seqn", kind="stable")
+        for seq, seqn, new in zip(pdf["sequence_number"], pdf["seqn"], pdf["status"]):
+            if last_n is not None and seqn == last_n and seqn >= 0:
+                continue  # the same change again
             new = None if pd.isna(new) else new
-            accepted = not (cur == "completed" and new is not None and new != "completed")
-            out.append((key[0], seq, cur, new, accepted))
+            # one that comes after a later one of its task can't change the
+            # status any more; it is reported, never dropped
+            late = last_n is not None and 0 <= seqn < last_n
+            accepted = not late and not (cur == "completed" and new is not None and new != "completed")
+            out.append((key[0], seq, cur, new, accepted, late))
             if accepted:
                 cur = new
-            last_n = seqn
+            if not late and seqn >= 0:
+                last_n = seqn
         state.update((cur, None if last_n is None else str(last_n)))
-        yield pd.DataFrame(out, columns=["task_id", "sequence_number", "prev_status", "status", "accepted"])
+        yield pd.DataFrame(out, columns=["task_id", "sequence_number", "prev_status", "status", "accepted", "late"])
 
     return _task_machine
 

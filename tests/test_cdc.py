@@ -46,15 +46,33 @@ def test_empty_batch(spark, tmpdir_path):
     assert cdc.batch_counters(ch).first().records == 0
 
 
-def test_bad_number_goes_to_quarantine(spark, tmpdir_path):
+def test_bad_number_keeps_its_text_and_bad_records_are_quarantined(spark, tmpdir_path):
     bad = task_image(tid="t9", created="oops")
     bad["created_at"] = {"N": "oops"}
-    ch = _read(spark, tmpdir_path, [change("INSERT", "1", new=task_image()), change("INSERT", "2", new=bad)])
+    marks = task_image(tid="t8")
+    marks["marks"] = {"NS": ["1", "x"]}
+    ch = _read(spark, tmpdir_path, [change("INSERT", "1", new=task_image()), change("INSERT", "2", new=bad), change("INSERT", "3", new=marks)])
+    import os
+    with open(os.path.join(tmpdir_path, "cut.json"), "w") as f:
+        f.write('{"eventName": "INSERT", "dynamo\n')
+    from tessera.sources import lake as src
+    ch = ch.unionByName(src.read_changes(spark, os.path.join(tmpdir_path, "cut.json")))
     good, quarantined = cdc.split_quarantine(ch)
-    assert good.count() == 1
-    q = quarantined.collect()
-    assert len(q) == 1 and "created_at" in q[0].error
-    assert cdc.delivery_failures(quarantined).first().failed == 1
+    kept = {r.sequence_number: r.raw for r in good.collect()}
+    assert kept == {"1": None, "2": {"created_at": "oops", "updated_at": "oops"}}
+    q = {r.error: r.record for r in quarantined.collect()}
+    assert set(q) == {cdc.MALFORMED, cdc.BAD_SET} and q[cdc.MALFORMED].startswith('{"eventName"')
+    assert {r.error: r.failed for r in cdc.delivery_failures(quarantined).collect()} == {cdc.MALFORMED: 1, cdc.BAD_SET: 1}
+    counts = cdc.batch_counters(ch).first()
+    assert (counts.processed, counts.failed, counts.skipped) == (2, 2, 0)
+
+
+def test_arrival_time_is_the_clock_unless_pinned(spark, tmpdir_path):
+    ch = _read(spark, tmpdir_path, [change("INSERT", "1", new=task_image())])
+    row = cdc.changes_to_bronze(ch).select((F.unix_seconds("processed_at") - F.unix_seconds("event_time")).alias("lag")).first()
+    assert row.lag > 86400
+    row = cdc.changes_to_bronze(ch, now=F.col("eventTime")).first()
+    assert row.processed_at == row.event_time
 
 
 def test_null_event_name_survives_remove_filter(spark, tmpdir_path):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, LongType, MapType, StringType,
                                StructField, StructType)
 
-from tessera.functions.decode import bad_numbers, decode_attributes, image_size
+from tessera.functions.decode import bad_sets, decode_attributes, image_size, raw_numbers
 
 SCHEMA = StructType([
     StructField("name", StringType()), StructField("age", LongType()), StructField("score", DoubleType()),
@@ -18,7 +18,7 @@ SCHEMA = StructType([
 
 def _decode(spark, image: dict):
     df = spark.createDataFrame([(json.dumps(image),)], "j string").select(F.parse_json("j").alias("v"))
-    return df.select(decode_attributes(F.col("v"), SCHEMA).alias("d"), bad_numbers(F.col("v"), SCHEMA).alias("b"),
+    return df.select(decode_attributes(F.col("v"), SCHEMA).alias("d"), raw_numbers(F.col("v"), SCHEMA).alias("b"), bad_sets(F.col("v")).alias("s"),
                      image_size(F.col("v")).alias("n")).first()
 
 
@@ -27,7 +27,7 @@ def test_scalar_tags(spark):
                         "active": {"BOOL": True}, "gone": {"NULL": True}})
     d = r.d
     assert (d.name, d.age, d.score, d.active, d.gone, d.missing) == ("Ann", 25, 95.5, True, None, None)
-    assert r.b == "" and r.n == 5
+    assert r.b is None and r.n == 5 and not r.s
 
 
 def test_nested_and_set_tags(spark):
@@ -42,10 +42,19 @@ def test_nested_and_set_tags(spark):
     assert d.prefs == {"theme": "dark", "lang": "pt"}
 
 
-def test_unparseable_number_is_null_and_reported(spark):
-    r = _decode(spark, {"age": {"N": "abc"}, "score": {"N": "1E5x"}})
+def test_unparseable_number_keeps_its_text(spark):
+    r = _decode(spark, {"age": {"N": "abc"}, "score": {"N": "1.5x"}})
     assert r.d.age is None and r.d.score is None
-    assert r.b == "age,score"
+    assert r.b == {"age": "abc", "score": "1.5x"} and not r.s
+    # without a point only digits are a number
+    assert _decode(spark, {"age": {"N": "1E5"}}).b == {"age": "1E5"}
+    assert _decode(spark, {"age": {"N": "1E5"}}).d.age is None
+
+
+def test_unparseable_set_element_fails(spark):
+    assert _decode(spark, {"nums": {"NS": ["1", "x"]}}).s
+    assert _decode(spark, {"unknown": {"NS": ["1.5", "y"]}}).s
+    assert not _decode(spark, {"nums": {"NS": ["1", "2.5"]}, "name": {"S": '"NS"'}}).s
 
 
 def test_fractional_number_into_integer_column(spark):

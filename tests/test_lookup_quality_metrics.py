@@ -21,7 +21,7 @@ def test_task_view_defaults(spark):
                         ("TASK#u", "TASK#t2", "completed", None, "bad-date", 1704067200, None, None)])
     v = {r.id: r for r in lookup.task_view(st).collect()}
     assert v["t1"].status == "pending" and v["t1"].completed_at is None and str(v["t1"].due_date) == "2024-01-05"
-    assert v["t2"].priority is None and v["t2"].due_date is None and v["t2"].completed_at is not None
+    assert v["t2"].priority == "medium" and v["t2"].due_date is None and v["t2"].completed_at is not None
 
 
 def test_index_lookup_and_page(spark):
@@ -48,19 +48,26 @@ def test_quality_rules(spark):
     df = spark.createDataFrame([("a@x.io", 25, True), ("b@x.io", 150, True), (None, 30, False), ("nope", 3, True)],
                                "email string, age int, flag boolean")
     v = [r.v for r in df.select(quality.violations(df, rules).alias("v")).collect()]
-    assert v == [[], ["max:age"], ["required:email"], ["pattern:email"]]
+    assert v == [[], ["max:age"], ["required:email", "pattern:email"], ["pattern:email"]]
     good, bad = quality.validate(df, rules)
     assert good.count() == 1 and [r.rule for r in bad.orderBy("age").collect()] == ["pattern:email", "required:email", "max:age"]
     txt = spark.createDataFrame([("25",), ("x",)], "age string")
     assert [r.v for r in txt.select(quality.violations(txt, quality.Rules(data_types={"age": "int"})).alias("v")).collect()] \
-        == [[], ["type:age"]]
+        == [["type:age"], ["type:age"]]
+    # what can't be compared rejects
+    odd = quality.Rules(constraints={"age": {"min": 0}})
+    assert [r.v for r in txt.select(quality.violations(txt, odd).alias("v")).collect()] == [["min:age"], ["min:age"]]
+    none = spark.createDataFrame([(None,), (1,)], "age int")
+    assert [r.v for r in none.select(quality.violations(none, odd).alias("v")).collect()] == [["min:age"], []]
+    summary = {r.rule: r.failures for r in quality.rule_summary(df, rules).collect()}
+    assert summary == {"rows": 4, "rejected_rows": 3, "required:email": 1, "type:age": 0, "type:flag": 0, "min:age": 0, "max:age": 1, "pattern:email": 2}
 
 
 def test_metrics_zero_denominators(spark):
     empty = spark.createDataFrame([], ITEM)
     m = {r.metric: r.value for r in metrics.collect_metrics(empty, F.lit("2024-01-31").cast("timestamp")).collect()}
     assert m["UserVerificationRate"] == 0 and m["TaskCompletionRate"] == 0 and m["AverageTasksPerUser"] == 0
-    assert len(m) == 13
+    assert len(m) == 12
 
 
 def test_metrics_counts_and_active_cutoff(spark):
@@ -93,5 +100,5 @@ def test_quality_rules_over_json_records(spark):
     df = spark.createDataFrame([(json.dumps(r),) for r in recs], "j string").select(F.parse_json("j").alias("rec"))
     flat = quality.record_fields(df, "rec", rules)
     v = [r.v for r in flat.select(quality.violations(flat, rules).alias("v")).collect()]
-    assert v[0] == [] and v[1] == ["max:age"] and v[2] == ["type:age"] and v[3] == ["required:email"]
+    assert v[0] == [] and v[1] == ["max:age"] and v[2][0] == "type:age" and v[3] == ["required:email"]
     assert v[4] == [] and v[5][0] == "required:user_id" and v[6] == ["pattern:email"]

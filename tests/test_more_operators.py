@@ -56,10 +56,17 @@ def test_users_from_requests(spark):
     assert [r.user_id for r in mutate.reject_duplicate_users(users, seen.select("user_id").distinct()).collect()] == ["u1"]
 
 
-def test_first_sight_keys(spark):
-    req = spark.createDataFrame([("r", 10), ("r", 5), ("s", 7)], "request_id string, ts_epoch long")
-    k = {r.request_id: (r.created_at, r.expiration_timestamp) for r in mutate.first_sight_keys(req).collect()}
-    assert k == {"r": (5, 5 + 86400), "s": (7, 7 + 86400)}
+def test_request_replays_chain(spark):
+    day = 86400
+    reqs = [("r", 10), ("r", 5), ("s", 7), ("r", 5 + day), ("r", 6 + day), ("r", 6 + day), ("r", 7 + 2 * day), ("r", 5)]
+    rows = [(a, t, i) for i, (a, t) in enumerate(reqs)]
+    got = {r.n: r.replay for r in mutate.request_replays(spark.createDataFrame(rows, "request_id string, ts_epoch long, n long"), "n").collect()}
+    live, want = {}, {}
+    for a, t, i in sorted(rows):
+        want[i] = a in live and t <= live[a]
+        if not want[i]:
+            live[a] = t + day
+    assert got == want
 
 
 def test_delivery_lag_freshness_growth(spark):

@@ -102,7 +102,24 @@ def test_transitions(spark):
     ], "task_id string, status string, processed_at string, sequence_number string") \
         .withColumn("processed_at", F.col("processed_at").cast("timestamp"))
     assert [r.sequence_number for r in mutate.lag_transitions(tc).collect()] == ["3"]
-    assert sorted(r.sequence_number for r in mutate.illegal_transitions(tc).collect()) == ["3", "4"]
+
+
+def test_updates_fold_in_order_and_null_status_is_found(spark):
+    tasks = spark.createDataFrame([("u", "a", "t", "pending", 1), ("u", "b", "t", None, 1), ("u", "c", "t", "completed", 1)],
+                                  "user_id string, task_id string, title string, status string, updated_at long")
+    ups = spark.createDataFrame([("u", "a", None, "completed", 1), ("u", "a", "late title", "pending", 2), ("u", "a", "title", None, 3),
+                                 ("u", "b", "found", None, 1), ("u", "c", None, "completed", 1), ("u", "x", "gone", None, 1)],
+                                "user_id string, task_id string, title string, status string, seq int")
+    out, missing, rejected = mutate.update_tasks(tasks, ups, F.lit(9).cast("bigint"))
+    got = {r.task_id: (r.title, r.status, r.updated_at) for r in out.collect()}
+    assert got == {"a": ("title", "completed", 9), "b": ("found", None, 9), "c": ("t", "completed", 9)}
+    assert [r.task_id for r in missing.collect()] == ["x"] and [r.seq for r in rejected.collect()] == [2]
+
+
+def test_delete_users_is_silent_when_absent(spark):
+    users = spark.createDataFrame([("a",), ("b",)], "user_id string")
+    gone = spark.createDataFrame([("b",), ("z",)], "user_id string")
+    assert [r.user_id for r in mutate.delete_users(users, gone).collect()] == ["a"]
 
 
 def test_put_items_last_wins(spark):

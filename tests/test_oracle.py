@@ -38,7 +38,7 @@ def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
     if name not in SQL:
-        assert len(rows) >= 0
+        assert df.columns and (rows or name == "pipeline")
         return
     res = duck.execute(SQL[name])
     cols = [d[0] for d in res.description]
