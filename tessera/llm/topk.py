@@ -38,6 +38,8 @@ BLOCK = 2048
 #: At most so many centres shape the blocks, and so many block summaries are held at a time.
 CENTRES, SUMMARIES = 1024, 4096
 LEAF = 32
+#: Tasks that share the data blocks of a query block.
+HANDS = 4
 
 BLOCKS = "block long, size int, width int, middle array<double>, norm double, radius double, ids binary, vectors binary, kind string, tree binary"
 FOUND = "qblock long, query_no int, query_id long, vec_ids array<long>, scores array<long>"
@@ -105,16 +107,19 @@ def _products(queries: np.ndarray, data: np.ndarray, small: bool) -> np.ndarray:
     return queries.astype(np.int64) @ data.astype(np.int64).T
 
 
-def dual_search(queries: Side, data: Side, k: int, least: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per query of the block (ids, scores) of its best up to ``k`` rows of the data block that reach its ``least`` score.
+def nothing_yet(queries: Side) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(queries.ids)
 
-    ``least`` (-inf where unknown) rises as the search goes on.
+
+def dual_search(queries: Side, data: Side, k: int, least: np.ndarray, best: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    """Bring ``best``, per query of the block (ids, scores) of up to ``k`` rows, up to date with a data block.
+
+    Only scores that reach a query's ``least`` (-inf where unknown) count;
+    both rise as the search goes on.
     """
-    best = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(queries.ids)
-    least = least.astype(np.float64).copy()
     small = queries.small and data.small
     if not len(queries.ids) or not len(data.ids):
-        return best
+        return
 
     def bounds(q: int, nodes: np.ndarray) -> np.ndarray:
         high = data.points[nodes] @ queries.points[q] + queries.norm[q] * data.radius[nodes] + queries.radius[q] * (data.norm[nodes] + data.radius[nodes])
@@ -123,10 +128,10 @@ def dual_search(queries: Side, data: Side, k: int, least: np.ndarray) -> list[tu
     def scan(lo: int, hi: int, nodes: np.ndarray) -> None:
         """A query leaf against data leaves, the most promising first."""
         own = queries.whole[lo:hi]
-        at = 0
+        at, many = 0, 2 * k
         while at < len(nodes):
             take, rows = at, []
-            while take < len(nodes) and sum(map(len, rows)) < 512:
+            while take < len(nodes) and sum(map(len, rows)) < many:
                 rows.append(np.arange(data.first[nodes[take]], data.last[nodes[take]]))
                 take += 1
             cols = np.concatenate(rows)
@@ -141,7 +146,7 @@ def dual_search(queries: Side, data: Side, k: int, least: np.ndarray) -> list[tu
                 best[lo + i] = all_ids[first], all_scores[first]
                 if len(first) == k:
                     least[lo + i] = max(least[lo + i], all_scores[first[-1]])
-            at = take
+            at, many = take, min(2 * many, 512)
             if at < len(nodes) and highs[nodes[at]] < least[lo:hi].min():
                 break
 
@@ -166,7 +171,6 @@ def dual_search(queries: Side, data: Side, k: int, least: np.ndarray) -> list[tu
             scan(lo, hi, ready)
         elif len(ready):
             stack.extend((c, ready) for c in queries.children[q])
-    return best
 
 
 def _deal(centres):
@@ -273,25 +277,35 @@ def _block_pairs(queries: DataFrame, data: DataFrame) -> DataFrame:
 
 def _search(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, queries, least, best = None, None, None, []
+
+        def told() -> pd.DataFrame:
+            return pd.DataFrame([(at[0], i, int(queries.ids[i]), ids.tolist(), scores.tolist()) for i, (ids, scores) in enumerate(best)],
+                                columns=["qblock", "query_no", "query_id", "vec_ids", "scores"])
+
         for batch in batches:
             for r in batch.itertuples(index=False):
-                queries = Side(r.q_ids, r.q_vectors, r.q_kind, r.q_tree, r.q_width)
-                data = Side(r.d_ids, r.d_vectors, r.d_kind, r.d_tree, r.d_width)
-                least = np.full(len(queries.ids), -np.inf) if r.least is None else np.frombuffer(r.least, np.float64)
-                best = dual_search(queries, data, k, least)
-                yield pd.DataFrame([(r.qblock, i, int(queries.ids[i]), ids.tolist(), scores.tolist()) for i, (ids, scores) in enumerate(best)],
-                                   columns=["qblock", "query_no", "query_id", "vec_ids", "scores"])
+                if at != (r.qblock, r.hand):
+                    if at is not None:
+                        yield told()
+                    at, queries = (r.qblock, r.hand), Side(r.q_ids, r.q_vectors, r.q_kind, r.q_tree, r.q_width)
+                    least = np.full(len(queries.ids), -np.inf) if r.least is None else np.frombuffer(r.least, np.float64).copy()
+                    best = nothing_yet(queries)
+                dual_search(queries, Side(r.d_ids, r.d_vectors, r.d_kind, r.d_tree, r.d_width), k, least, best)
+        if at is not None:
+            yield told()
 
     return run
 
 
 def _searched(pairs: DataFrame, queries: DataFrame, data: DataFrame, k: int) -> DataFrame:
+    """The best rows of each query block and hand: a hand meets its data blocks one after another, the best bound first."""
     spark = pairs.sparkSession
     side = lambda df, key, p, more=(): df.select(F.col("block").alias(key), *[F.col(c).alias(f"{p}_{c}") for c in ("ids", "vectors", "kind", "tree", "width")], *more)
-    joined = (pairs.select("qblock", "dblock").join(side(queries, "qblock", "q", ["least"]), "qblock")
-              .join(side(data, "dblock", "d"), "dblock"))
-    # a row is two blocks: dealt one by one
-    return joined.repartition(partitions(spark)).mapInPandas(_search(k), FOUND)
+    joined = (pairs.select("qblock", "dblock", "high", F.pmod(F.xxhash64("dblock"), F.lit(HANDS)).alias("hand"))
+              .join(side(queries, "qblock", "q", ["least"]), "qblock").join(side(data, "dblock", "d"), "dblock"))
+    return (joined.repartition(partitions(spark), "qblock", "hand").sortWithinPartitions("qblock", "hand", F.desc("high"), "dblock")
+            .mapInPandas(_search(k), FOUND))
 
 
 def _least(k: int):
@@ -328,14 +342,14 @@ def top_k(queries: DataFrame, data: DataFrame, k: int = K, id_column: str = "vec
     data_blocks = _blocks(rows, centres, width, "data")
     query_blocks = _blocks(asked, centres, width, "queries").withColumn("worst", F.lit(None).cast("double")).withColumn("least", F.lit(None).cast("binary"))
     pairs = written(_block_pairs(query_blocks, data_blocks), "pairs")
-    best = pairs.groupBy("qblock").agg(F.max_by("dblock", F.struct("high", "dblock")).alias("dblock"))
+    best = pairs.groupBy("qblock").agg(F.max_by("dblock", F.struct("high", "dblock")).alias("dblock"), F.max("high").alias("high"))
     first = written(_searched(best, query_blocks, data_blocks, k), "first")
     known = written(first.select("qblock", "query_no", "scores").repartition(partitions(spark), "qblock").sortWithinPartitions("qblock")
                     .mapInPandas(_least(k), "block long, least binary, worst double"), "least")
     bounded = query_blocks.drop("worst", "least").join(known, "block")
     worst = known.select(F.col("block").alias("qblock"), "worst")
     # what the bound of the first round's scores leaves, but for the pairs searched
-    rest = pairs.join(worst, "qblock").filter("high >= worst").join(best, ["qblock", "dblock"], "left_anti")
+    rest = pairs.join(worst, "qblock").filter("high >= worst").join(best.select("qblock", "dblock"), ["qblock", "dblock"], "left_anti")
     second = _searched(rest, bounded, data_blocks, k)
     found = first.unionAll(second).select("query_id", "qblock", "query_no", F.explode(F.arrays_zip("vec_ids", "scores")).alias("x"))
     place = Window.partitionBy("qblock", "query_no").orderBy(F.desc("score"), "vec_id")
