@@ -674,3 +674,237 @@ def idempotency_targets(spark, sf_dir):
         dangling.select(F.lit(0).alias("h"), F.lit(1).alias("d")))
     return flags.agg(F.coalesce(F.sum("h"), F.lit(0)).cast("bigint").alias("keys_with_target"),
                      F.coalesce(F.sum("d"), F.lit(0)).cast("bigint").alias("dangling_keys"))
+
+
+# ------------------------------------------------------ mutations, lookups ---
+#: Requests on the order tasks, by a rule on the event id: each event addresses one order key (some beyond the
+#: last order, so missing ones occur) and sets a status by its type.
+UPDATES_SQL = """upd AS (
+  SELECT CASE WHEN event_id % 9 = 0 THEN -event_id ELSE (event_id * 7) % (SELECT MAX(o_orderkey) FROM orders) + 1 END AS task_id, event_id AS seq,
+         CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'click' THEN 'in_progress' WHEN 'signup' THEN 'pending' END AS status,
+         CASE WHEN event_type = 'view' THEN 'Renamed ' || event_id END AS title
+  FROM events), tasks AS (
+  SELECT o_orderkey AS task_id, 'Order ' || o_orderkey AS title,
+         CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' WHEN 'P' THEN 'in_progress' END AS status FROM orders)"""
+FOLD_SQL = UPDATES_SQL + """, done AS (
+  SELECT task_id, MIN(seq) AS done_seq FROM upd WHERE status = 'completed' GROUP BY task_id
+), judged AS (
+  SELECT u.*, t.task_id IS NOT NULL AS found,
+         COALESCE(t.status = 'completed', false) OR COALESCE(u.seq > d.done_seq, false) AS closed
+  FROM upd u LEFT JOIN tasks t ON u.task_id = t.task_id LEFT JOIN done d ON u.task_id = d.task_id
+), verdicts AS (
+  SELECT *, found AND closed AND COALESCE(status <> 'completed', false) AS rejected FROM judged
+), folded AS (
+  SELECT task_id, arg_max(status, seq) FILTER (status IS NOT NULL) AS status, arg_max(title, seq) FILTER (title IS NOT NULL) AS title
+  FROM verdicts WHERE found AND NOT rejected GROUP BY task_id
+)"""
+
+
+def _order_requests(spark, sf_dir):
+    """(tasks, updates) of the order model: typed tasks and requests derived from the events."""
+    orders, events = (fixtures.read_table(spark, sf_dir, t) for t in ("orders", "events"))
+    tasks = orders.select(
+        F.col("o_orderkey").alias("task_id"), F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("title"),
+        fixtures._case(F.col("o_orderstatus"), fixtures.ORDER_STATUS).alias("status"), F.lit(0).cast("bigint").alias("updated_at"))
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    updates = events.select(
+        F.when(F.col("event_id") % 9 == 0, -F.col("event_id")).otherwise((F.col("event_id") * 7) % last + 1).alias("task_id"),
+        F.col("event_id").alias("seq"),
+        fixtures._case(F.col("event_type"), {"purchase": "completed", "click": "in_progress", "signup": "pending"}).alias("status"),
+        F.when(F.col("event_type") == "view", F.concat(F.lit("Renamed "), F.col("event_id").cast("string"))).alias("title"))
+    return tasks, updates
+
+
+@register("mut_task_updates", f"""WITH {FOLD_SQL} SELECT t.task_id, COALESCE(f.title, t.title) AS title, COALESCE(f.status, t.status) AS status,
+  CAST(CASE WHEN f.task_id IS NOT NULL THEN {NOW_EPOCH} ELSE 0 END AS BIGINT) AS updated_at FROM tasks t LEFT JOIN folded f ON t.task_id = f.task_id""")
+def mut_task_updates(spark, sf_dir):
+    """MUT-03 / MUT-05: the task table after a batch of partial updates."""
+    tasks, updates = _order_requests(spark, sf_dir)
+    return mutate.update_tasks(tasks, updates, F.lit(NOW_EPOCH).cast("bigint"), key=("task_id",))[0]
+
+
+@register("mut_update_verdicts", f"""WITH {FOLD_SQL} SELECT seq, task_id, CASE WHEN NOT found THEN 'not found' ELSE 'rejected' END AS verdict
+  FROM verdicts WHERE NOT found OR rejected""")
+def mut_update_verdicts(spark, sf_dir):
+    """MUT-05: the updates that were not applied, and why."""
+    tasks, updates = _order_requests(spark, sf_dir)
+    _, missing, rejected = mutate.update_tasks(tasks, updates, F.lit(NOW_EPOCH).cast("bigint"), key=("task_id",))
+    return missing.select("seq", "task_id", F.lit("not found").alias("verdict")).unionByName(
+        rejected.select("seq", "task_id", F.lit("rejected").alias("verdict")))
+
+
+@register("mut_delete_tasks", f"""WITH {UPDATES_SQL}, gone AS (SELECT DISTINCT task_id FROM upd WHERE status = 'pending')
+  SELECT 'kept' AS outcome, status, COUNT(*) AS tasks FROM tasks WHERE task_id NOT IN (SELECT task_id FROM gone) GROUP BY status
+  UNION ALL SELECT 'missing', NULL, COUNT(*) FROM gone WHERE task_id NOT IN (SELECT task_id FROM tasks)""")
+def mut_delete_tasks(spark, sf_dir):
+    """MUT-06: tasks left per status after a batch of deletes, and deletes of missing tasks."""
+    tasks, updates = _order_requests(spark, sf_dir)
+    gone = updates.filter(F.col("status") == "pending").select("task_id").distinct()
+    kept, missing = mutate.delete_tasks(tasks, gone, key=("task_id",))
+    return kept.groupBy("status").agg(F.count(F.lit(1)).alias("tasks")).select(F.lit("kept").alias("outcome"), "status", "tasks").unionByName(
+        missing.agg(F.count(F.lit(1)).alias("tasks")).select(F.lit("missing").alias("outcome"), F.lit(None).cast("string").alias("status"), "tasks"))
+
+
+@register("mut_bulk_status", """SELECT status, COUNT(*) AS tasks, COUNT(*) FILTER (WHERE hit) AS changed FROM (
+  SELECT o_custkey % 3 = 0 AND o_orderstatus <> 'F' AS hit,
+         CASE WHEN o_custkey % 3 = 0 AND o_orderstatus <> 'F' THEN 'cancelled'
+              WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'in_progress' END AS status FROM orders) GROUP BY status""")
+def mut_bulk_status(spark, sf_dir):
+    """MUT-07: cancel the open tasks of every third customer; completed ones stay."""
+    orders = fixtures.read_table(spark, sf_dir, "orders")
+    tasks = orders.select("o_custkey", fixtures._case(F.col("o_orderstatus"), fixtures.ORDER_STATUS).alias("status"), F.lit(0).cast("bigint").alias("updated_at"))
+    out = mutate.bulk_set_status(tasks, F.col("o_custkey") % 3 == 0, "cancelled", F.lit(NOW_EPOCH).cast("bigint"))
+    return out.groupBy("status").agg(F.count(F.lit(1)).alias("tasks"), F.count_if(F.col("updated_at") == NOW_EPOCH).alias("changed"))
+
+
+@register("mut_delete_completed", """SELECT CAST(o_custkey AS VARCHAR) AS user_id, COUNT(*) AS tasks FROM orders
+  WHERE NOT (o_orderstatus = 'F' AND o_custkey % 2 = 0) GROUP BY 1""")
+def mut_delete_completed(spark, sf_dir):
+    """MUT-07: tasks left per user after even users' completed tasks are deleted."""
+    orders = fixtures.read_table(spark, sf_dir, "orders")
+    tasks = orders.select("o_custkey", fixtures._case(F.col("o_orderstatus"), fixtures.ORDER_STATUS).alias("status"))
+    left = mutate.delete_completed(tasks, F.col("o_custkey") % 2 == 0)
+    return left.groupBy(F.col("o_custkey").cast("string").alias("user_id")).agg(F.count(F.lit(1)).alias("tasks"))
+
+
+SEEN_SQL = """seen AS (SELECT CAST(user_id * 40 AS VARCHAR) AS user_id, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS ep, event_id FROM events),
+known AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id FROM customer)"""
+
+
+@register("mut_create_users", f"""WITH {SEEN_SQL} SELECT user_id, 'seen' || MIN(ep) || '@example.com' AS email, MIN(ep) AS created_at, MIN(ep) AS updated_at
+  FROM seen WHERE user_id NOT IN (SELECT user_id FROM known) GROUP BY user_id""")
+def mut_create_users(spark, sf_dir):
+    """MUT-02 / JOIN-05: users created at their first request; known customers are left."""
+    users = fixtures.read_table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("user_id"))
+    ep = F.unix_seconds("ts")
+    seen = fixtures.read_table(spark, sf_dir, "events").select(
+        (F.col("user_id") * 40).cast("string").alias("user_id"),
+        F.concat(F.lit("seen"), ep.cast("string"), F.lit("@example.com")).alias("email"), F.lit("n").alias("name"), ep.alias("ts_epoch"))
+    return mutate.create_users_if_absent(users, seen)[1].select("user_id", "email", "created_at", "updated_at")
+
+
+@register("mut_user_updates", f"""WITH u AS (SELECT CAST(user_id * 3 AS VARCHAR) AS user_id, arg_max('new' || event_id, event_id) AS name
+  FROM events WHERE event_type = 'signup' GROUP BY 1), c AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_name AS name FROM customer)
+  SELECT c.user_id, COALESCE(u.name, c.name) AS name FROM c LEFT JOIN u ON c.user_id = u.user_id""")
+def mut_user_updates(spark, sf_dir):
+    """MUT-04: users after a batch of name updates, the last one of a user counts."""
+    users = fixtures.read_table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("user_id"), F.col("c_name").alias("name"))
+    ups = fixtures.read_table(spark, sf_dir, "events").filter(F.col("event_type") == "signup").select(
+        (F.col("user_id") * 3).cast("string").alias("user_id"), F.concat(F.lit("new"), F.col("event_id").cast("string")).alias("name"),
+        F.col("event_id").alias("seq"))
+    return mutate.update_users(users, ups)[0]
+
+
+@register("isolation_violations", """SELECT CAST(e.user_id AS VARCHAR) AS user_id, CAST(o.o_orderkey AS VARCHAR) AS task_id, e.event_id
+  FROM events e JOIN orders o ON o.o_orderkey = e.event_id WHERE o.o_custkey <> e.user_id""")
+def isolation_violations(spark, sf_dir):
+    """JOIN-07: accesses to tasks that another user owns."""
+    tasks = fixtures.read_table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("user_id"), F.col("o_orderkey").cast("string").alias("task_id"))
+    accesses = fixtures.read_table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("user_id"), F.col("event_id").cast("string").alias("task_id"), "event_id").filter("user_id is not null")
+    return mutate.isolation_violations(accesses, tasks)
+
+
+def _index_sql(column: str, value: str) -> str:
+    return f"""WITH {TASK_VIEW} SELECT id, status, priority, category FROM tv
+  WHERE user_id = '1' AND {column} = {value}"""
+
+
+def _by_index(spark, sf_dir, find):
+    return lookup.task_view(find(event_state(spark, sf_dir))).select("id", "status", "priority", "category")
+
+
+@register("lookup_by_status", _index_sql("status", "'completed'"))
+def lookup_by_status(spark, sf_dir):
+    """FIL-08: a user's tasks of one status through the index keys."""
+    return _by_index(spark, sf_dir, lambda st: lookup.tasks_by_status(st, "1", "completed"))
+
+
+@register("lookup_by_due_date", _index_sql("due_date", "DATE '2024-01-13'"))
+def lookup_by_due_date(spark, sf_dir):
+    """FIL-09: a user's tasks due on one date."""
+    return _by_index(spark, sf_dir, lambda st: lookup.tasks_by_due_date(st, "1", "2024-01-13"))
+
+
+@register("lookup_by_priority", _index_sql("priority", "'high'"))
+def lookup_by_priority(spark, sf_dir):
+    """FIL-10: a user's tasks of one priority."""
+    return _by_index(spark, sf_dir, lambda st: lookup.tasks_by_priority(st, "1", "high"))
+
+
+@register("lookup_by_category", _index_sql("category", "'cat1'"))
+def lookup_by_category(spark, sf_dir):
+    """FIL-11: a user's tasks of one category."""
+    return _by_index(spark, sf_dir, lambda st: lookup.tasks_by_category(st, "1", "cat1"))
+
+
+@register("lookup_all_users", f"WITH {STATE} SELECT split_part(\"PK\", '#', 2) AS id, email, name, to_timestamp(created_at) AT TIME ZONE 'UTC' AS created_at "
+          "FROM state WHERE \"PK\" LIKE 'USER#%'")
+def lookup_all_users(spark, sf_dir):
+    """FIL-15 / PRJ-12: every user item as a response row."""
+    return lookup.user_view(lookup.all_users(event_state(spark, sf_dir))).select("id", "email", "name", "created_at")
+
+
+@register("lookup_items", f"""WITH {STATE}, wanted AS (SELECT DISTINCT 'TASK#' || user_id AS pk, 'TASK#' || (user_id * 100 + slot) AS sk FROM ev WHERE event_type = 'click')
+  SELECT s."PK", s."SK", s.status FROM state s JOIN wanted w ON s."PK" = w.pk AND s."SK" = w.sk""")
+def lookup_items(spark, sf_dir):
+    """SRC-06: the items of a batch of keys."""
+    events = fixtures.read_table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
+    slot = F.pmod(F.get_json_object("props", "$.k").try_cast("bigint"), F.lit(fixtures.TASKS_PER_USER))
+    wanted = events.select(F.concat(F.lit("TASK#"), F.col("user_id").cast("string")).alias("PK"),
+                           F.concat(F.lit("TASK#"), (F.col("user_id") * 100 + slot).cast("string")).alias("SK"))
+    return lookup.get_items(event_state(spark, sf_dir), wanted).select("PK", "SK", "status")
+
+
+@register("users_without_recent_orders", """SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_name AS name FROM customer
+  WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01')""")
+def users_without_recent_orders(spark, sf_dir):
+    """JOIN-02 / FIL-18 two-sided: only tasks from 2001 on count, so some users have none."""
+    g = _recent_gold(spark, sf_dir)
+    return g.user_analytics.join(g.user_metrics.select("user_id"), "user_id", "left_anti").select("user_id", "name")
+
+
+@register("recent_user_productivity", """WITH t AS (SELECT o_custkey, COUNT(*) AS total_tasks, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS completed_tasks
+  FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY o_custkey)
+  SELECT CAST(c_custkey AS VARCHAR) AS user_id, COALESCE(total_tasks, 0) AS total_tasks, COALESCE(completed_tasks, 0) AS completed_tasks
+  FROM customer LEFT JOIN t ON c_custkey = o_custkey""")
+def recent_user_productivity(spark, sf_dir):
+    """JOIN-01 two-sided: users without a task since 2001 count zero."""
+    from .queries import q12_user_productivity
+    return q12_user_productivity(_recent_gold(spark, sf_dir)).select("user_id", "total_tasks", "completed_tasks")
+
+
+def _recent_gold(spark, sf_dir):
+    customer, orders = (fixtures.read_table(spark, sf_dir, t) for t in ("customer", "orders"))
+    users, _ = silver.silver_from_state(model._as_state(fixtures.customer_users(customer)))
+    recent = orders.filter(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp"))
+    _, tasks = silver.silver_from_state(model._as_state(fixtures.order_tasks(recent, None)))
+    return model.gold_from_silver(None, users, tasks)
+
+
+@register("dq_order_rules", """WITH o AS (SELECT o_orderkey, o_orderpriority AS priority, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'T' || o_orderkey END AS title,
+    o_totalprice AS amount, CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' ELSE 'u' || o_custkey || '@x.io' END AS email FROM orders)
+  SELECT r.rule, CASE r.rule WHEN 'rows' THEN (SELECT COUNT(*) FROM o) WHEN 'required:title' THEN (SELECT COUNT(*) FROM o WHERE title IS NULL)
+    WHEN 'type:title' THEN (SELECT COUNT(*) FROM o WHERE title IS NULL) WHEN 'max:amount' THEN (SELECT COUNT(*) FROM o WHERE NOT amount <= 200000)
+    WHEN 'type:email' THEN (SELECT COUNT(*) FROM o) WHEN 'pattern:email' THEN (SELECT COUNT(*) FROM o WHERE email = 'n/a')
+    WHEN 'max_len:title' THEN (SELECT COUNT(*) FROM o WHERE length(title) > 5) WHEN 'min:email' THEN (SELECT COUNT(*) FROM o)
+    WHEN 'domain:priority' THEN (SELECT COUNT(*) FROM o WHERE priority NOT IN ('1-URGENT', '2-HIGH')) WHEN 'rejected_rows' THEN (SELECT COUNT(*) FROM o) END AS failures
+  FROM (VALUES ('rows'), ('rejected_rows'), ('required:title'), ('type:title'), ('type:email'), ('max:amount'), ('min:email'), ('pattern:email'),
+    ('max_len:title'), ('domain:priority')) r(rule)""")
+def dq_order_rules(spark, sf_dir):
+    """DQ-01..07, 09 with rules that fire: nulls, text where a number is due, a pattern, a length, a domain and bounds."""
+    o = fixtures.read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("amount"),
+        F.when(F.col("o_orderkey") % 11 != 0, F.concat(F.lit("T"), F.col("o_orderkey").cast("string"))).alias("title"),
+        F.when(F.col("o_orderkey") % 13 == 0, "n/a").otherwise(F.concat(F.lit("u"), F.col("o_custkey").cast("string"), F.lit("@x.io"))).alias("email"))
+    rules = quality.Rules(required_fields=["title"], data_types={"title": "string", "email": "int"},
+                          constraints={"amount": {"max": 200000}, "email": {"min": 0, "pattern": quality.EMAIL_PATTERN[1:-1]},
+                                       "title": {"max_len": 5}, "priority": {"in": ["1-URGENT", "2-HIGH"]}})
+    return quality.rule_summary(o, rules)
+
+
+@register("dq_freshness", """SELECT CAST(MAX(ts) AS TIMESTAMP) AS newest,
+  CAST(epoch(TIMESTAMP '2024-01-31 00:00:00') - floor(epoch(MAX(ts))) AS BIGINT) AS age_seconds FROM events""")
+def dq_freshness(spark, sf_dir):
+    """DQ-09: the newest event and its age."""
+    return quality.freshness(fixtures.read_table(spark, sf_dir, "events"), "ts", _now())
