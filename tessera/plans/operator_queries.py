@@ -534,7 +534,7 @@ def stream_rollup_5min(spark, sf_dir):
     file stream, run to completion; must equal its batch twin (MON-01)."""
     from ..streaming import streams
     log = monitor.app_log_from_events(streams.table_stream(spark, sf_dir, "events"))
-    out = streams.replay_to_table(spark, streams.tumbling_rollup(log), "rollup", output_mode="complete")
+    out = streams.replay_to_table(spark, streams.tumbling_rollup(log), "rollup", output_mode="update", key="period_start")
     return _epoch_start(out).withColumn("sum", F.col("sum").cast("bigint"))
 
 

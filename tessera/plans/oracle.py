@@ -135,6 +135,7 @@ QUERY_SQL = {
                                         f"user_analytics JOIN {_BY_USER} USING (user_id)", "done DESC, user_id", 5),
     "q15_category_completion_rate": f"SELECT {_BY_CATEGORY}, {_share(1)} AS completion_rate FROM silver_tasks GROUP BY category",
     "q16_system_health": "SELECT metric, value::INTEGER AS value FROM kpis",
+    "q17_sample_user_analytics": "FROM user_analytics ORDER BY user_id LIMIT 10",
     "q17_completion_rates": """SELECT user_id, n AS total_tasks, done AS completed_tasks,
         round(100.0 * done / n, 6)::DOUBLE AS completion_rate FROM """ + _BY_USER,
     "q17_kpis": "SELECT metric, value FROM kpis",

@@ -96,16 +96,22 @@ REPLAY_SCHEMA = "request_id string, ts_epoch long, replay boolean, key_created_a
 KEY_STATE_SCHEMA = "created_at long, expires_at long"
 
 
-def idempotency_stream(requests: DataFrame) -> DataFrame:
+def idempotency_stream(requests: DataFrame, delay_seconds: int = 3600) -> DataFrame:
     """STR-04 exact: classify each request (request_id, ts_epoch) as a replay
     of a live key or as a new key, with windows chained per id.
 
-    One state row per request id; the rows handled per call are one id's
-    requests of one micro-batch (bounded by the trigger size).
+    One state row per request id whose key may still be asked for: it goes
+    when the watermark, ``delay_seconds`` behind the newest request, has
+    passed the key's expiry.  A request that comes later than the delay is
+    left out by the watermark and counted in the query's progress
+    (numRowsDroppedByWatermark).  The rows handled per call are one id's requests
+    of one micro-batch (bounded by the trigger size).
     """
     step = _make_idempotency_keys()
-    return requests.select("request_id", "ts_epoch").groupBy("request_id").applyInPandasWithState(
-        step, REPLAY_SCHEMA, KEY_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    timed = requests.select("request_id", "ts_epoch", F.timestamp_seconds("ts_epoch").alias("_at")) \
+        .withWatermark("_at", f"{delay_seconds} seconds")
+    return timed.groupBy("request_id").applyInPandasWithState(
+        step, REPLAY_SCHEMA, KEY_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def _make_idempotency_keys():
@@ -117,6 +123,9 @@ def _make_idempotency_keys():
         a new key valid for 24 h from that request (expired only when strictly
         past the expiry), exactly as the service's check-then-store does.
         """
+        if state.hasTimedOut:
+            state.remove()
+            return
         created, expires = (tuple(state.get) if state.exists else (None, None))
         frames = [p for p in pdfs]
         if not frames:
@@ -131,6 +140,8 @@ def _make_idempotency_keys():
                 created, expires = ts, ts + 86400
                 out.append((key[0], ts, False, created, expires))
         state.update((created, expires))
+        # a request late by more than the delay may come with an expiry already passed
+        state.setTimeoutTimestamp(max(expires * 1000, state.getCurrentWatermarkMs()) + 1)
         yield pd.DataFrame(out, columns=["request_id", "ts_epoch", "replay", "key_created_at", "key_expires_at"])
 
     return _idempotency_keys
@@ -224,10 +235,12 @@ def incremental(stream: DataFrame, process: Callable[[DataFrame, int], None], ch
     return _start(stream.writeStream.foreachBatch(process), checkpoint, available_now, None)
 
 
-def replay_to_table(spark: SparkSession, stream: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
+def replay_to_table(spark: SparkSession, stream: DataFrame, name: str, output_mode: str = "append",
+                    key: str | None = None) -> DataFrame:
     """Run a streaming aggregate to completion (availableNow) into a Parquet
     folder under the shared checkpoint directory, and read the result.
 
+    In ``update`` mode with a ``key`` the last row written for a key counts.
     Used by tests and registered replays: the batch twin must equal it.
     """
     import uuid
@@ -247,4 +260,7 @@ def replay_to_table(spark: SparkSession, stream: DataFrame, name: str, output_mo
     if q.exception() is not None:
         raise q.exception()
     df = spark.read.parquet(out)
+    if key:
+        last = df.groupBy(key).agg(F.max_by(F.struct(*[c for c in df.columns if c not in (key, "batch")]), "batch").alias("_l"))
+        return last.select(key, "_l.*")
     return df.drop("batch") if output_mode != "complete" else df

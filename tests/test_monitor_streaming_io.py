@@ -102,8 +102,9 @@ def test_empty_bronze_reads_and_skips(spark, tmpdir_path):
 
 def test_idempotency_stream_chains_windows(spark, tmpdir_path):
     day = 86400
-    reqs = [("r1", 0), ("r1", 100), ("r1", day), ("r1", day + 1), ("r1", day + 50), ("r1", 2 * day + 2),
-            ("r2", 5), ("r2", 5 + day + 1)]
+    base = 1_700_000_000
+    reqs = [("r1", base), ("r1", base + 100), ("r1", base + day), ("r1", base + day + 1), ("r1", base + day + 50),
+            ("r1", base + 2 * day + 2), ("r2", base + 5), ("r2", base + 5 + day + 1)]
     d = os.path.join(tmpdir_path, "reqs")
     spark.createDataFrame(reqs, "request_id string, ts_epoch long").write.parquet(d)
     s = spark.readStream.schema("request_id string, ts_epoch long").parquet(d)
@@ -119,7 +120,30 @@ def test_idempotency_stream_chains_windows(spark, tmpdir_path):
             live[rid] = ts + day
             want[(rid, ts)] = False
     assert got == want
-    assert got[("r1", day + 1)] is False and got[("r1", day + 50)] is True
+    assert got[("r1", base + day + 1)] is False and got[("r1", base + day + 50)] is True
+
+
+def test_idempotency_state_expires(spark, tmpdir_path):
+    """Keys past their life and the delay leave the state; a later request makes a new key."""
+    import time as _t
+    day = 86400
+    d = os.path.join(tmpdir_path, "reqs")
+    os.makedirs(d)
+    base = 1_700_000_000
+    for i, rows in enumerate([[("a", 0), ("b", 10)], [("c", 2 * day)], [("d", 2 * day + 10)], [("a", 2 * day + 20), ("c", 2 * day + 30)]]):
+        spark.createDataFrame([(k, base + t) for k, t in rows], "request_id string, ts_epoch long").coalesce(1).write.parquet(f"{d}/p{i}")
+        _t.sleep(1.1)
+    s = spark.readStream.schema("request_id string, ts_epoch long").option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", "true").parquet(d)
+    out = os.path.join(tmpdir_path, "out")
+    q = streams.idempotency_stream(s).writeStream.foreachBatch(lambda b, n: b.write.mode("overwrite").parquet(f"{out}/batch={n}")) \
+        .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {(r.request_id, r.ts_epoch - base): r.replay for r in spark.read.parquet(out).collect()}
+    assert got == {("a", 0): False, ("b", 10): False, ("c", 2 * day): False, ("d", 2 * day + 10): False,
+                   ("a", 2 * day + 20): False, ("c", 2 * day + 30): True}
+    rows = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(rows) <= 4 and rows[-1] == 3  # b has gone
 
 
 def test_cli_end_to_end(spark, tmpdir_path):
