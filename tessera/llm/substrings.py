@@ -119,8 +119,9 @@ def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     """
     chunks = chunk_table(docs)
     # counted before they meet, so a passage that a third of all documents holds is a few rows
-    repeated = (chunks.groupBy("digest").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"))
-                .filter("copies > 1"))
+    # and written before they join, so that Spark can split the join's hot keys
+    repeated = written(chunks.groupBy("digest").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"))
+                       .filter("copies > 1"), "repeated")
     hits = chunks.join(repeated, "digest").select(
         "uid", "doc_id", "no", "start", "length", "words", "copies",
         F.coalesce(F.col("first_id") == F.col("doc_id"), F.col("first_id").isNull()).alias("original"))
