@@ -30,7 +30,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -47,7 +47,7 @@ THRESHOLD = 0.5
 #: Least shares of the question's and of the answer's word runs found in the passage.
 QUESTION, ANSWER = 0.6, 0.6
 RUN = 5
-BLOCK_ITEMS = 4
+BLOCK_ITEMS = 2
 #: Bytes of the table of largest impacts per term and group of blocks.
 GROUP_BYTES = 32 << 20
 #: Rows of that table gathered at a time.
@@ -156,22 +156,32 @@ class Index:
         return out
 
 
-def passage_queries(at: np.ndarray, terms: np.ndarray, index: Index, words: int, threshold: float) -> list[tuple[int, np.ndarray]]:
-    """(passage, distinct terms) of the passages that some group of blocks may score at ``threshold`` or more.
+def passage_queries(texts: list[list[str]], index: Index, threshold: float) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(text, passage, distinct terms) of the passages that some group of blocks may score at ``threshold`` or more.
 
-    ``at``: positions of the words that are ``terms``.  Passage p covers the
-    words from p * span to (p + 2) * span.
+    Passage p of a text covers its words from p * span to (p + 2) * span.  All
+    texts are looked at together.
     """
-    last = max(0, -(-words // index.span) - 2)
-    low = at // index.span
-    both = np.concatenate([np.minimum(low, last), np.maximum(low - 1, 0)])
-    count = len(index.most)
-    keys = np.unique(both * count + np.concatenate([terms, terms]))
-    passage, term = np.divmod(keys, count)
-    sums = np.bincount(passage, weights=index.most[term])
-    near = (sums >= threshold - 1e-9)[passage]
+    span, count = max(1, index.span), max(1, len(index.most))
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    starts = np.cumsum(sizes) - sizes
+    last = np.maximum(-(-sizes // span) - 2, 0)
+    base = np.cumsum(last + 1) - (last + 1)  # passages are numbered through
+    found = np.fromiter(map(index.terms.get, chain.from_iterable(texts), repeat(-1)), np.int64, int(sizes.sum()))
+    at = np.flatnonzero(found >= 0)
+    if not len(at):
+        return
+    own = np.repeat(np.arange(len(texts)), sizes)[at]
+    part = (at - starts[own]) // span
+    terms, first, final = found[at], base[own], base[own] + last[own]
+    both = np.concatenate([np.minimum(first + part, final), np.maximum(first + part - 1, first)])
+    keys = both * count + np.concatenate([terms, terms])
+    if keys.max() < 1 << 31:
+        keys = keys.astype(np.int32)
+    passage, term = np.divmod(np.unique(keys), count)
+    near = (np.bincount(passage, weights=index.most[term]) >= threshold - 1e-9)[passage]
     passage, term = passage[near], term[near]
-    out, start = [], 0
+    start = 0
     while start < len(passage):
         end = min(start + _GATHER, len(passage))
         end = int(np.searchsorted(passage, passage[end - 1], side="right"))  # whole passages
@@ -179,38 +189,33 @@ def passage_queries(at: np.ndarray, terms: np.ndarray, index: Index, words: int,
         bounds = np.add.reduceat(index.groups[term[start:end]], firsts, axis=0).max(axis=1)
         ends = np.append(firsts[1:], end - start) + start
         for i in np.flatnonzero(bounds >= threshold - 1e-5):
-            out.append((int(passage[start + firsts[i]]), term[start + firsts[i]:ends[i]]))
+            number = int(passage[start + firsts[i]])
+            text = int(np.searchsorted(base, number, side="right")) - 1
+            yield text, number - int(base[text]), term[start + firsts[i]:ends[i]]
         start = end
-    return out
 
 
 def _search(shared, threshold: float, question: float, answer: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index: Index = shared.value
-        known, span = index.terms.get, max(1, index.span)
+        span = max(1, index.span)
         for batch in batches:
-            rows = []
-            for doc_id, text in batch[["doc_id", "text"]].itertuples(index=False):
-                words = tokens(text)
-                found = np.fromiter(map(known, words, repeat(-1)), np.int64, len(words))
-                at = np.flatnonzero(found >= 0)
-                if not len(at):
+            ids, texts = batch["doc_id"].tolist(), [tokens(t) for t in batch["text"]]
+            best: dict[tuple[int, int], tuple] = {}
+            for text, p, query in passage_queries(texts, index, threshold):
+                hits = index.search(query.tolist(), threshold)
+                if not hits:
                     continue
-                best: dict[int, tuple] = {}
-                for p, query in passage_queries(at, found[at], index, len(words), threshold):
-                    hits = index.search(query.tolist(), threshold)
-                    if not hits:
-                        continue
-                    passage = words[p * span:(p + 2) * span]
-                    held = {RUN: runs(passage)}
-                    for item, score in hits:
-                        asked, told, size = index.wanted[item]
-                        if size not in held:
-                            held[size] = runs(passage, size)
-                        q, a = len(asked & held[size]) / len(asked), len(told & held[size]) / len(told)
-                        if q >= question and a >= answer and (item not in best or score > best[item][1]):
-                            best[item] = (p, score, q, a)
-                rows.extend((doc_id, index.ids[item], *x) for item, x in best.items())
+                passage = texts[text][p * span:(p + 2) * span]
+                held = {RUN: runs(passage)}
+                for item, score in hits:
+                    asked, told, size = index.wanted[item]
+                    if size not in held:
+                        held[size] = runs(passage, size)
+                    q, a = len(asked & held[size]) / len(asked), len(told & held[size]) / len(told)
+                    if q >= question and a >= answer and ((text, item) not in best or score > best[text, item][1]):
+                        best[text, item] = (p, score, q, a)
+            rows = [(ids[text], index.ids[item], *x) for (text, item), x in best.items()]
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "passage", "score", "question_overlap", "answer_overlap"]).astype({"doc_id": "Int64"})
 
     return run
