@@ -147,7 +147,8 @@ def candidate_components(texts: DataFrame) -> DataFrame:
     key = F.xxhash64(F.substring(F.col("bands"), F.col("band") * 8 + 1, F.lit(8)), F.col("band"))
     bands = (texts.filter("shingles > 0").select("vid", "bands", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
              .select("vid", key.alias("bucket")))
-    shared = bands.groupBy("bucket").agg(F.count("*").alias("members"), F.min("vid").alias("least")).filter("members > 1")
+    # written before they join, so that Spark can split the join's hot keys
+    shared = written(bands.groupBy("bucket").agg(F.count("*").alias("members"), F.min("vid").alias("least")).filter("members > 1"), "shared")
     placed = written(bands.join(shared, "bucket"), "buckets")
     small = (placed.filter(F.col("members") <= BUCKET).select("bucket", "vid")
              .join(texts.select("vid", "sketch"), "vid"))
