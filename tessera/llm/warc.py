@@ -155,10 +155,11 @@ def write_warc(pages: DataFrame, root: str, min_dedup_bytes: int = MIN_DEDUP_BYT
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", url_key(F.col("url")).alias("key"),
                         payload.cast("binary").alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
                         digest.alias("payload_digest"))
-    repeated = (pages.select(F.col("page_id").cast("long").alias("page_id"), digest.alias("payload_digest"),
-                             F.octet_length(payload).alias("n")).filter(F.col("n") >= min_dedup_bytes)
-                .groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies"))
-                .filter("copies > 1").select("payload_digest", "first_id"))
+    # written before it joins, so that Spark can split the join's hot payloads
+    repeated = written(pages.select(F.col("page_id").cast("long").alias("page_id"), digest.alias("payload_digest"),
+                                    F.octet_length(payload).alias("n")).filter(F.col("n") >= min_dedup_bytes)
+                       .groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies"))
+                       .filter("copies > 1").select("payload_digest", "first_id"), "repeated")
     told = (rows.join(repeated, "payload_digest", "left")
             .withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")))
             .select("key", "page_id", "url", "payload", "payload_bytes", "payload_digest", "refers_to"))
