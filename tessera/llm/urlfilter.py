@@ -7,11 +7,15 @@ decides is blocked if distrust makes up more than ``BLOCK_SHARE`` of its
 host's mass.
 
 Mass is counted in whole units, so sums don't depend on their order and a
-retried task can't move a host over the threshold.
+retried task can't move a host over the threshold.  The walk goes on until no
+host is new and none grows by more than ``TOLERANCE`` of its mass, and a link
+never passes less than one unit, so every host that links reach has mass.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +25,15 @@ from tessera.llm.common import read_table, written
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
          ("allow", "com/fr/"), ("block", "com/de/"))
 DAMPING = 0.85
+#: Steps of the reference SQL: enough where no host is further from a seed and no links form a circle.
 ITERATIONS = 12
 BLOCK_SHARE = 0.5
-#: Units of mass per seed page: 10^12 seed pages fit a long.
+#: Units per seed page in which mass is told: 10^12 seed pages fit a long.
 UNIT = 1_000_000
+#: Parts of a unit in which mass walks: 10^12 seed pages and a division fit decimal(38).
+FINE = 10 ** 14
+#: Growth of a host's mass over ``CUT`` steps, as a share of it, at which it counts as settled.
+TOLERANCE = 1e-9
 #: Iterations between written tables, which keep the plan short.
 CUT = 4
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -71,53 +80,61 @@ def host_edges(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count("*").alias("links")))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS, damping: float = DAMPING) -> DataFrame:
-    """(kind, host, mass) after ``iterations`` steps; ``seeds`` has (kind, host, pages).
+def spread(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
+    """(kind, host, mass) of a settled walk, in parts of 1 / ``FINE`` units; ``seeds`` has (kind, host, pages).
 
     ``trust`` walks along the links, ``distrust`` against them; both walk in
-    the same joins.  A step passes floor(mass * damping * share) over an edge;
-    mass at hosts without onward links leaves the walk.
+    the same joins.  A step passes floor(mass * damping / all links), one at
+    least, over each link; mass at hosts without onward links leaves the walk.
+    It starts from the seeds' own mass, so no host's mass ever falls, and ends
+    when over ``CUT`` steps no host was new or grew by more than ``tolerance``.
     """
     both = edges.select(F.lit("trust").alias("kind"), "src", "dst", "links").unionAll(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "links"))
     totals = both.groupBy("kind", "src").agg(F.sum("links").alias("all_links"))
-    steps = written(both.join(totals, ["kind", "src"])
-                    .select("kind", "src", "dst", (F.lit(damping) * F.col("links") / F.col("all_links")).alias("share")), "edges")
-    start = written(seeds.select("kind", "host", (F.col("pages") * UNIT).alias("mass")), "seeds")
-    # rounded to whole units once, as the walk is
-    stay = start.select("kind", "host", F.floor(F.col("mass") * F.lit(1 - damping)).alias("mass"))
-    mass = start
-    for i in range(iterations):
-        moved = (mass.withColumnRenamed("host", "src").join(steps, ["kind", "src"])
-                 .select("kind", F.col("dst").alias("host"), F.floor(F.col("mass") * F.col("share")).alias("mass")))
-        mass = moved.unionAll(stay).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
-        if i % CUT == CUT - 1 and i + 1 < iterations:
-            mass = written(mass, "mass")
-    return mass
-
-
-def filter_urls(pages: DataFrame, rules=RULES, iterations: int = ITERATIONS, damping: float = DAMPING,
+    steps = written(both.join(totals, ["kind", "src"]), "edges")
+    passed = Fraction(str(damping))
+    whole = lambda c: c.cast("decimal(38,0)")
+    mass = stay = written(seeds.select("kind", "host", whole(F.floor(
+        whole(F.col("pages")) * whole(F.lit(str(UNIT * FINE))) * (passed.denominator - passed.numerator) / passed.denominator)).alias("mass")), "seeds")
+    each = F.floor(F.col("mass") * passed.numerator / (F.col("all_links") * passed.denominator))
+    while True:
+        before = mass.withColumnRenamed("mass", "had")
+        for _ in range(CUT):
+            moved = (mass.withColumnRenamed("host", "src").join(steps, ["kind", "src"])
+                     .select("kind", F.col("dst").alias("host"), whole(F.greatest(whole(each), whole(F.lit(1))) * F.col("links")).alias("mass")))
+            mass = moved.unionAll(stay).groupBy("kind", "host").agg(whole(F.sum("mass")).alias("mass"))
+        mass = written(mass, "mass")
+        grown = (F.col("mass") - F.col("had")).cast("double") > F.lit(tolerance) * F.col("mass").cast("double")
+        if mass.join(before, ["kind", "host"], "left").filter(F.col("had").isNull() | grown).isEmpty():
+            return mass
+
+
+def filter_urls(pages: DataFrame, rules=RULES, tolerance: float = TOLERANCE, damping: float = DAMPING,
                 block_share: float = BLOCK_SHARE) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) of every page.
 
     Null url, or none with ``://``: empty host and path; no rule fits, no link
     counts, verdict allow.  Null html: no links.  Repeated rows: each a page
     with its links.  Empty table: empty result.  Other input columns are not
-    read.  ``trust`` and ``distrust`` are the host's mass in units (0 where
-    the walk never came).
+    read.  ``trust`` and ``distrust`` are the host's mass in whole units (0
+    where the walk never came, or with less than a unit); the verdict goes by
+    the mass itself.
     """
     judged = judge_by_rules(pages, rules)
     seeds = (judged.filter("said is not null").groupBy(F.when(F.col("said") == "allow", "trust").otherwise("distrust").alias("kind"), "host")
              .agg(F.count("*").alias("pages")))
-    mass = spread(host_edges(pages), seeds, iterations, damping)
-    hosts = mass.groupBy("host").agg(
-        F.coalesce(F.sum(F.when(F.col("kind") == "trust", F.col("mass"))), F.lit(0)).alias("trust"),
-        F.coalesce(F.sum(F.when(F.col("kind") == "distrust", F.col("mass"))), F.lit(0)).alias("distrust"))
-    suspect = F.col("distrust") > F.lit(block_share) * (F.col("trust") + F.col("distrust"))
+    mass = spread(host_edges(pages), seeds, tolerance, damping)
+    own = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("mass"))), F.lit(0).cast("decimal(38,0)"))
+    share = Fraction(str(block_share))
+    units = lambda c: F.floor(F.col(c) / F.lit(FINE)).cast("long").alias(c)
+    suspect = F.col("distrust") * (share.denominator - share.numerator) > F.col("trust") * share.numerator
+    hosts = (mass.groupBy("host").agg(own("trust").alias("trust"), own("distrust").alias("distrust"))
+             .select("host", units("trust"), units("distrust"), suspect.alias("suspect")))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return (judged.join(written(hosts, "hosts"), "host", "left")
             .select("page_id", "host", "path", "rule",
-                    F.coalesce("said", F.when(suspect, "block").otherwise("allow")).alias("verdict"),
+                    F.coalesce("said", F.when(F.col("suspect"), "block").otherwise("allow")).alias("verdict"),
                     zero("trust"), zero("distrust")))
 
 

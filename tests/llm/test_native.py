@@ -123,6 +123,35 @@ def test_url_filter_equals_sql_on_links(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def _linked(spark, links, alone):
+    """A page of each host with its links to others."""
+    out = {}
+    for a, b in links:
+        out.setdefault(a, []).append(b)
+    rows = [(f"https://{h}/x", "".join(f'<a href="https://{x}/z">l</a>' for x in to)) for h, to in out.items()]
+    rows += [(f"https://{h}", "") for h in alone]
+    return spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+
+
+def test_url_filter_two_hops_of_wide_fan_in_and_far_hosts(spark):
+    links = [(f"a{i}.net", "bad.com") for i in range(1000)] + [(f"b{i}.net", "a0.net") for i in range(1000)]
+    links += [("c0.net", "b0.net")] + [(f"c{i + 1}.net", f"c{i}.net") for i in range(20)]
+    links += [("c20.net", "d.net"), ("d.net", "c20.net")]  # a circle at the far end
+    pages = _linked(spark, links, ["bad.com/de/1", "stranger.net/"])
+    got = {r.host: r for r in urlfilter.filter_urls(pages).collect()}
+    assert {h for h, r in got.items() if r.verdict == "allow"} == {"stranger.net"}
+    # (1 - 0.85) of a page's million units, and 0.85 of it shared by a thousand hosts
+    assert got["bad.com"].distrust == 150_000 and got["a1.net"].distrust == 127
+
+
+def test_url_filter_settles_in_circles(spark):
+    """The walk's fixed point, against the closed form: x = 0.15 + 0.85^2 x of a circle of two."""
+    pages = _linked(spark, [("good.org", "far.net"), ("far.net", "good.org")], [])
+    got = {r.host: r.trust for r in urlfilter.filter_urls(pages).collect()}
+    at = 0.15 / (1 - 0.85 ** 2)
+    assert abs(got["good.org"] - 1e6 * at) <= 1 and abs(got["far.net"] - 1e6 * 0.85 * at) <= 1
+
+
 def test_url_filter_empty_and_extra_columns(spark):
     pages = _pages(spark)
     extra = pages.selectExpr("*", "1 as host", "2 as verdict", "3 as links", "4 as mass")
