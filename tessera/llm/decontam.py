@@ -15,7 +15,9 @@ query that retrieves all items above the threshold:
   blocks are skipped.
 
 A retrieved item contaminates a document if the document's passage holds
-enough of the word runs of the item's question and of its answer.
+enough of the item's question and of its answer: of their word runs or, so that
+a changed, new or missing word doesn't break all runs of a short part, of their
+words in order.
 
 The index is built segment by segment, of at most ``SEGMENT_ITEMS`` items, and
 each segment is broadcast by itself; texts are read once per segment and
@@ -47,6 +49,9 @@ THRESHOLD = 0.5
 #: Least shares of the question's and of the answer's word runs found in the passage.
 QUESTION, ANSWER = 0.6, 0.6
 RUN = 5
+#: Least share of a part's words in order that counts as overlap, and the longest part that is aligned; from 17 words on
+#: one edit leaves 0.6 of the runs.
+NEAR, ALIGNED = 0.8, 64
 BLOCK_ITEMS = 2
 #: Bytes of the table of largest impacts per term and group of blocks.
 GROUP_BYTES = 32 << 20
@@ -79,6 +84,32 @@ def runs(words: list[str], size: int = RUN) -> set[tuple[str, ...]]:
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+def aligned(part: list[str], passage: list[str], least: float = NEAR) -> float:
+    """Share of the part's words that stand in their order in the best window of the passage, 0 if below ``least``.
+
+    A window is a quarter and a word longer than the part.  The longest common
+    subsequence is found a passage word at a time, all words of the part in the bits of a number.
+    """
+    size = len(part)
+    width, full = size + 1 + size // 4, (1 << size) - 1
+    masks: dict[str, int] = {}
+    for i, word in enumerate(part):
+        masks[word] = masks.get(word, 0) | 1 << i
+    found = [(i, masks[word]) for i, word in enumerate(passage) if word in masks]
+    at = [i for i, _ in found]
+    best = math.ceil(least * size - 1e-9) - 1
+    for k, start in enumerate(at):
+        end = bisect_left(at, start + width, k)
+        if end - k <= best:
+            continue
+        free = full
+        for _, mask in found[k:end]:
+            own = free & mask
+            free = ((free + own) | (free - own)) & full
+        best = max(best, size - free.bit_count())
+    return best / size if best >= least * size - 1e-9 else 0.0
+
+
 class Index:
     """The inverted index of a segment: postings by term, sorted by item, with impacts and block maxima."""
 
@@ -195,6 +226,12 @@ def passage_queries(texts: list[list[str]], index: Index, threshold: float) -> I
         start = end
 
 
+def overlap(part: list[str], own: set[tuple[str, ...]], passage: list[str], held: set[tuple[str, ...]]) -> float:
+    """The larger of the shares of the part's runs ``own`` among the passage's, and of its aligned words."""
+    share = len(own & held) / len(own)
+    return max(share, aligned(part, passage)) if share < 1 and RUN <= len(part) <= ALIGNED else share
+
+
 def _search(shared, threshold: float, question: float, answer: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index: Index = shared.value
@@ -212,7 +249,7 @@ def _search(shared, threshold: float, question: float, answer: float):
                     asked, told, size = index.wanted[item]
                     if size not in held:
                         held[size] = runs(passage, size)
-                    q, a = len(asked & held[size]) / len(asked), len(told & held[size]) / len(told)
+                    q, a = (overlap(part, own, passage, held[size]) for part, own in zip(index.parts[item], (asked, told), strict=True))
                     if q >= question and a >= answer and ((text, item) not in best or score > best[text, item][1]):
                         best[text, item] = (p, score, q, a)
             rows = [(ids[text], index.ids[item], *x) for (text, item), x in best.items()]
@@ -251,7 +288,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     """(doc_id, item_id, passage, score, question_overlap, answer_overlap) of each document and each item it holds.
 
     ``score`` is the BM25 score over the item's score against itself, of the
-    document's best passage for the item; ``passage`` its number.
+    document's best passage for the item; ``passage`` its number.  An overlap is
+    the share of a part's word runs in the passage or that of its words in
+    order, if this is larger and at least ``NEAR``.
 
     Null or empty texts and items without words match nothing; an item shorter
     than a word run is looked for whole.  Items with equal texts are found

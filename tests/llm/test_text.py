@@ -192,6 +192,44 @@ def test_decontamination_segments_and_odd_rows(spark, monkeypatch, odd_docs, no_
     assert decontam.find_leaks(odd_docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_finds_items_with_one_edit(spark):
+    """A word substituted, inserted or deleted at any place of items of 15 to 59 words; a part alone is no leak."""
+    items = [(n, prose(7000 + n, n)) for n in (15, 25, 40, 59)]
+    rows, want = [], set()
+    for k, text in items:
+        words = text.split()
+        cut = len(decontam.question_and_answer(text)[0])
+        edits = [words[:i] + new + words[i + gone:] for i in range(k) for new, gone in ((["zzz"], 1), (["zzz"], 0), ([], 1))]
+        for n, held in enumerate([*edits, words[:cut], words[cut:], words[:cut] + prose(1, k - cut).split()]):
+            own = prose(8000 + len(rows), 150).split()
+            at = len(rows) % 151
+            if n < len(edits):
+                want.add((len(rows), k))
+            rows.append((len(rows), " ".join(own[:at] + held + own[at:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontam.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want
+
+
+def test_aligned_equals_common_subsequence():
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(new[j], row[j + 1]))
+            row = new
+        return row[-1]
+
+    r = random.Random(5)
+    for _ in range(300):
+        part, passage = ([r.choice("abcdefgh") for _ in range(n)] for n in (r.randint(5, 20), r.randint(0, 60)))
+        width = len(part) + 1 + len(part) // 4
+        best = max([common(part, passage[i:i + width]) for i in range(len(passage))], default=0) / len(part)
+        for least in (0.3, 0.8):
+            assert decontam.aligned(part, passage, least) == (best if best >= least - 1e-12 else 0)
+
+
 # --- repeated spans
 
 def test_repeated_passages_are_found_and_clean_texts_left(spark):
