@@ -20,12 +20,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of near duplicates."""
-    return neardup.keep_one(docs)
+    return neardup.keep_one_row(docs)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontam.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontam.keep_clean_rows(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

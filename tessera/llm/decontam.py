@@ -232,7 +232,7 @@ def overlap(part: list[str], own: set[tuple[str, ...]], passage: list[str], held
     return max(share, aligned(part, passage)) if share < 1 and RUN <= len(part) <= ALIGNED else share
 
 
-def _search(shared, threshold: float, question: float, answer: float):
+def _search(shared, threshold: float, question: float, answer: float, kind: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index: Index = shared.value
         span = max(1, index.span)
@@ -253,7 +253,7 @@ def _search(shared, threshold: float, question: float, answer: float):
                     if q >= question and a >= answer and ((text, item) not in best or score > best[text, item][1]):
                         best[text, item] = (p, score, q, a)
             rows = [(ids[text], index.ids[item], *x) for (text, item), x in best.items()]
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "passage", "score", "question_overlap", "answer_overlap"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "passage", "score", "question_overlap", "answer_overlap"]).astype({"doc_id": kind})
 
     return run
 
@@ -297,11 +297,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     each; a null item id reads -1.  Repeated rows: each document row that holds an
     item gives a row.  Empty tables: empty result.  Other columns are not read.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null")
-    out = spark.createDataFrame([], LEAKS)
+    return _leaks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), items, LEAKS, "Int64", threshold, question, answer)
+
+
+def _leaks(rows: DataFrame, items: DataFrame, schema: str, kind: str, threshold: float = THRESHOLD, question: float = QUESTION,
+           answer: float = ANSWER) -> DataFrame:
+    """``find_leaks`` of (doc_id, text), the id of pandas' ``kind``."""
+    spark, rows = rows.sparkSession, rows.filter("text is not null")
+    out = spark.createDataFrame([], schema)
     for index in _segments(items):
-        out = out.unionAll(map_slices(rows, _search(spark.sparkContext.broadcast(index), threshold, question, answer), LEAKS))
+        out = out.unionAll(map_slices(rows, _search(spark.sparkContext.broadcast(index), threshold, question, answer, kind), schema))
     return out
 
 
@@ -312,5 +317,13 @@ def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     return own.join(leaks, own["of"] == leaks["leak_id"], "left_anti").select("row.*")
 
 
+def keep_clean_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents, with their columns, whose text holds no item, whatever rows have the same id or none."""
+    texts = docs.select(F.md5("text").alias("doc_id"), "text")
+    leaks = written(_leaks(texts, items, LEAKS.replace("doc_id long", "doc_id string"), "object").select(F.col("doc_id").alias("leak")).distinct(), "leaks")
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.md5("text").alias("digest"))
+    return own.join(leaks, own["digest"] == leaks["leak"], "left_anti").select("row.*")
+
+
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

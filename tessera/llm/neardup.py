@@ -245,6 +245,20 @@ def verified_links(docs: DataFrame, texts: DataFrame, components: DataFrame) ->
     return written(map_slices(dealt.repartition(partitions(spark), "unit").sortWithinPartitions("unit", "vid"), _verify, LINKS), "links")
 
 
+def text_classes(docs: DataFrame) -> DataFrame:
+    """(digest, component, class_id, n_links) of every distinct text that isn't null, written; see ``jaccard_classes``."""
+    texts = distinct_texts(docs)
+    links = verified_links(docs, texts, candidate_components(texts))
+    classes = connected_components(links.select("a", "b")).withColumnRenamed("node", "vid")
+    counts = links.groupBy(F.col("a").alias("vid")).agg(F.sum("links").alias("links"))
+    told = (texts.select("vid", "digest", "first_id", "copies").join(classes, "vid", "left").join(counts, "vid", "left")
+            .withColumn("component", F.coalesce("component", "vid")))
+    firsts = told.groupBy("component").agg(F.min("first_id").alias("class_id"))
+    # texts linked to no other name their own class
+    return written(told.join(firsts, "component").select(
+        "digest", "component", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
+
+
 def jaccard_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, n_links) of every document.
 
@@ -257,22 +271,40 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     and rows: each row is a document.  A class without any id: class_id is
     null.  Empty table: empty result.  Other columns are not read.
     """
-    texts = distinct_texts(docs)
-    links = verified_links(docs, texts, candidate_components(texts))
-    classes = connected_components(links.select("a", "b")).withColumnRenamed("node", "vid")
-    counts = links.groupBy(F.col("a").alias("vid")).agg(F.sum("links").alias("links"))
-    told = (texts.select("vid", "digest", "first_id", "copies").join(classes, "vid", "left").join(counts, "vid", "left")
-            .withColumn("component", F.coalesce("component", "vid")))
-    firsts = told.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    # texts linked to no other name their own class
-    joined = told.join(firsts, "component").select(
-        "digest", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    classes = text_classes(docs).select("digest", "class_id", "n_links")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest(F.col("text")).alias("digest"))
-    return (keyed.join(written(joined, "classes"), "digest", "left")
+    return (keyed.join(classes, "digest", "left")
             .select("doc_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 
+def keep_one_row(docs: DataFrame) -> DataFrame:
+    """The documents, with their columns, with one row of each class: the smallest id's, of rows without any id any.
+
+    Rows are judged by their text, whatever rows have the same id or none; of a
+    class's texts under its smallest id the one with the smallest digest stays.
+    Rows without a text all stay.
+    """
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("of"),
+                      text_digest(F.col("text")).alias("digest"))
+    rows = own.filter("digest is not null").groupBy("digest", "of").agg(F.count("*").alias("times"))
+    # written before they join, so that Spark can split a hot text's rows
+    told = written(written(rows, "rows").join(text_classes(docs).select("digest", "component"), "digest"), "told")
+    first = F.min(F.struct(F.col("of").isNull().alias("no_id"), "of", "digest", "times")).alias("first")
+    kept = written(told.groupBy("component").agg(first).select("first.of", "first.digest", "first.times"), "kept")
+
+    def matching(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        right = right.select(F.col("digest").alias("its_digest"), F.col("of").alias("its_id"))
+        return left.join(right, (left["digest"] == right["its_digest"]) & left["of"].eqNullSafe(right["its_id"]), how)
+
+    left = matching(own, written(matching(told, kept, "left_anti").select("digest", "of"), "gone"), "left_anti")
+    again = kept.filter("times > 1")
+    if again.isEmpty():
+        return left.select("row.*")
+    once = matching(left, again, "left_semi").dropDuplicates(["digest"])
+    return matching(left, again, "left_anti").unionAll(once).select("row.*")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents, with their columns, without all but the one with the smallest id of each class.
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from llm_helpers import prose
+from llm_helpers import DOCS, clashing, prose
 from tessera.llm import packing
 from tessera.llm.common import written
 
@@ -50,6 +50,26 @@ def test_stages(spark, corpus):
     assert ends == docs.count()
 
 
+def test_stages_judge_rows_by_text(spark, corpus):
+    """Null and repeated ids: copies without an id go, a text stays whatever else its id stands for."""
+    a, b, c, d, e = (prose(600 + i, 90) for i in range(5))
+    leak = f"{prose(700, 60)} {prose(400, 40)}"
+    rows = [(3, a + " more"), (7, a), (7, b), (None, c), (None, c), (None, c + " more"), (8, d), (None, d), (8, d),
+            (9, e), (9, e + " more"), (None, leak), (5, leak + " more"), (5, prose(701, 60)), (None, None), (None, None)]
+    docs = clashing(spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(rows)], DOCS))
+    stages = dict(corpus_pipeline.STAGES)
+    near = stages["near_duplicates"](spark, docs, corpus)
+    assert near.columns == docs.columns
+    got = sorted((str(r.doc_id), r.text or "") for r in near.collect())
+    in_class = lambda t: [x for x in got if x[1] in (t, t + " more")]
+    assert in_class(a) == [("3", a + " more")] and in_class(b) == [("7", b)] and in_class(d) == [("8", d)]
+    assert [i for i, _ in in_class(c)] == ["None"] and [i for i, _ in in_class(e)] == ["9"] and [i for i, _ in in_class(leak)] == ["5"]
+    assert len(got) == 9
+    clean = stages["decontamination"](spark, docs, corpus)
+    assert clean.columns == docs.columns
+    assert sorted(r.n_chars for r in clean.collect()) == [n for n in range(len(rows)) if n not in (11, 12)]
+
+
 def test_run(spark, corpus):
     out = corpus_pipeline.run(spark, corpus)
     assert out.count() > 0 and "input_ids" in out.columns
