@@ -59,11 +59,12 @@ def changes_to_bronze_stream(changes: DataFrame, bronze_path: str, quarantine_pa
     One classification per micro-batch feeds both outputs and the batch
     counters (AGG-13).  Output of batch ``n`` goes to ``batch=n`` folders
     with overwrite, so a replayed batch is not duplicated, and a change that
-    the source delivers again within ``delay`` is dropped (STR-03).  The
+    the source delivers again, within ``delay`` or later, is dropped (STR-03)
+    unless ``delay`` is None.  No change is dropped for being late.  The
     arrival time is the clock, one value per micro-batch; ``now`` pins it.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        c = cdc.classify(batch).persist()
+        c = cdc.classify(not_landed(batch, batch_id, f"{checkpoint.rstrip('/')}/landed") if delay else batch).persist()
         try:
             sink.write_bronze(cdc.to_envelope(c.filter(F.col("_outcome") == "processed"), now=now), bronze_path, batch_id)
             sink.quarantine(cdc.failed_records(c), quarantine_path, batch_id)
@@ -73,12 +74,36 @@ def changes_to_bronze_stream(changes: DataFrame, bronze_path: str, quarantine_pa
         finally:
             c.unpersist()
 
-    once = dedupe_changes(changes, delay) if delay else changes
-    return _start(once.writeStream.foreachBatch(handle), checkpoint, available_now, processing_time)
+    return _start(changes.writeStream.foreachBatch(handle), checkpoint, available_now, processing_time)
 
 
 # ----------------------------------------------------------- STR-03/04 ---
 
+LANDED_SCHEMA = "_seq string, _at timestamp, _day date, batch long"
+
+
+def not_landed(batch: DataFrame, batch_id: int, landed: str) -> DataFrame:
+    """The changes of micro-batch ``batch_id``, each once, that no batch before it held.
+
+    A change delivered again has the same sequence number and event time; one
+    without a number is told by its whole text.  The numbers of every batch are
+    kept under ``landed``, in the batch's folder, which is overwritten when the
+    batch runs again; only those of the batch's span of event days are compared.
+    """
+    own = F.to_json(F.struct(*batch.columns))
+    day = F.coalesce(F.to_date("eventTime"), F.lit("1970-01-01").cast("date"))
+    keyed = batch.select("*", F.coalesce(F.col("dynamodb.SequenceNumber"), F.sha2(own, 256)).alias("_seq"),
+                         F.col("eventTime").cast("timestamp").alias("_at"), day.alias("_day"))
+    keys = ["_seq", "_at", "_day"]
+    keyed.select(*keys).write.mode("overwrite").parquet(f"{landed}/batch={batch_id}")
+    known = batch.sparkSession.read.schema(LANDED_SCHEMA).parquet(landed)
+    first, last = known.filter(F.col("batch") == batch_id).agg(F.min("_day"), F.max("_day")).first()
+    known = known.filter((F.col("batch") < batch_id) & F.col("_day").between(F.lit(first), F.lit(last))) \
+        .select(F.col("_seq").alias("_its_seq"), F.col("_at").alias("_its_at"))
+    again = (F.col("_seq") == F.col("_its_seq")) & F.col("_at").eqNullSafe(F.col("_its_at"))
+    return keyed.dropDuplicates(["_seq", "_at"]).join(known, again, "left_anti").drop(*keys)
+
+
 def dedupe_changes(changes: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """STR-03: drop re-delivered changes (same sequence number and time) within
     the watermark; state is bounded by the delay.

@@ -46,6 +46,28 @@ def test_stream_bronze_equals_batch_and_is_idempotent(spark, tmpdir_path):
     assert src.read_bronze(spark, os.path.join(tmpdir_path, "bronze")).count() == 2
 
 
+def test_stream_bronze_keeps_late_changes(spark, tmpdir_path):
+    """Files in their own micro-batches, the later ones days older, after a malformed line; what comes again is dropped."""
+    src_dir, seen = os.path.join(tmpdir_path, "in"), []
+    files = [[change("INSERT", "1", new=user_image()), change("INSERT", "1", new=user_image())],
+             [change("INSERT", "2", new=task_image(), time="2023-12-31T00:00:00Z"), change("INSERT", "1", new=user_image())],
+             [change("INSERT", "3", new=user_image("9"), time="2023-11-01T00:00:00Z"), change("REMOVE", "4", old=task_image()),
+              change("INSERT", "2", new=task_image(), time="2023-12-31T00:00:00Z")]]
+    for n, recs in enumerate(files):
+        write_jsonl(src_dir, recs, f"part-{n}.json")
+        if n == 0:
+            with open(os.path.join(src_dir, "part-0.json"), "a") as f:
+                f.write("no record\n")
+        q = streams.changes_to_bronze_stream(src.read_changes(spark, src_dir, stream=True), os.path.join(tmpdir_path, "bronze"),
+                                             os.path.join(tmpdir_path, "quarantine"), os.path.join(tmpdir_path, "ck"),
+                                             on_batch=lambda b, c: seen.append(c))
+        q.awaitTermination()
+        assert q.exception() is None
+    bronze = src.read_bronze(spark, os.path.join(tmpdir_path, "bronze"))
+    assert sorted(r.sequence_number for r in bronze.collect()) == ["1", "2", "3"]
+    assert [(c["processed"], c["failed"], c["skipped"]) for c in seen if c["records"]] == [(1, 1, 0), (1, 0, 0), (1, 0, 1)]
+
+
 def test_stream_rollup_equals_batch(spark):
     log = monitor.app_log_from_events(streams.table_stream(spark, SF_SMALL, "events"))
     streamed = streams.replay_to_table(spark, streams.tumbling_rollup(log), "t", output_mode="complete")
