@@ -6,6 +6,7 @@ import sys
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -61,23 +62,59 @@ def running_offsets(df: DataFrame, part: str, *sums: str) -> DataFrame:
     return df.select(part, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sums])
 
 
-#: Rows of texts that a worker holds as Python objects at a time.
+#: Rows of texts that a worker holds as Python objects at a time, and their bytes.
 SLICE_ROWS = 500
+SLICE_BYTES = 8 << 20
 
 
-def map_slices(df: DataFrame, function: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str,
-               rows: int = SLICE_ROWS) -> DataFrame:
-    """``mapInPandas`` in small frames: a worker holds one Arrow batch and the objects of ``rows`` of its rows."""
-    out = to_arrow_schema(T.StructType.fromDDL(schema))
+def _cuts(batch: pa.RecordBatch, rows: int, size: int) -> Iterator[tuple[int, int]]:
+    """(first, length) of slices of ``batch`` of at most ``rows`` rows and about ``size`` bytes of text; one row at least."""
+    heavy = sum((np.diff(_offsets(c)) for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_large_string(c.type)),
+                np.zeros(batch.num_rows, np.int64))
+    first, held = 0, 0
+    for i, own in enumerate(heavy.tolist()):
+        if i > first and (i - first >= rows or held + own > size):
+            yield first, i - first
+            first, held = i, 0
+        held += own
+    if first < batch.num_rows:
+        yield first, batch.num_rows - first
+
+
+def _offsets(column: pa.Array) -> np.ndarray:
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    return np.frombuffer(column.buffers()[1], kind)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+
+
+def map_slices(df: DataFrame, function: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str | T.StructType,
+               rows: int = SLICE_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``mapInPandas`` in small frames: a worker holds one Arrow batch (bounded by Spark in bytes) and the objects of
+    a slice bounded by ``rows`` and ``SLICE_BYTES``.
+
+    Columns of ``carry`` stay in Arrow: ``function`` does not see them, gives
+    one row for each of its own, in order, and they are put before its columns.
+    """
+    out = to_arrow_schema(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+    made = pa.schema([f for f in out if f.name not in carry])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried: list[pa.RecordBatch] = []
+
         def slices() -> Iterator[pd.DataFrame]:
             for batch in batches:
-                for i in range(0, batch.num_rows, rows):
-                    yield batch.slice(i, rows).to_pandas(integer_object_nulls=True)
+                for first, length in _cuts(batch, rows, SLICE_BYTES):
+                    part = batch.slice(first, length)
+                    if carry:
+                        carried.append(part.select(list(carry)))
+                    yield part.drop_columns(list(carry)).to_pandas(integer_object_nulls=True)
 
         for frame in function(slices()):
             if len(frame):
-                yield pa.RecordBatch.from_pandas(frame, schema=out, preserve_index=False)
+                result = pa.RecordBatch.from_pandas(frame, schema=made, preserve_index=False)
+                if carry:
+                    before = carried.pop(0)
+                    result = pa.RecordBatch.from_arrays([*before.columns, *result.columns], schema=pa.schema(
+                        [*before.schema, *made]))
+                yield result
 
     return df.mapInArrow(run, schema)

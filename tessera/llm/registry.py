@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontam, mixing, neardup, packing, quality, sharding, substrings, topk, urlfilter, warc
+from tessera.llm import (decontam, mixing, neardup, packing, pathratio, quality, runs, sharding, substrings, topk, turns, urlfilter,
+                         warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontam.op1,
@@ -19,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_filter_urls": urlfilter.op8,
     "op9_jaccard_classes": neardup.op9,
     "op10_minimax_shards": sharding.op10,
+    "op11_repair_conversations": turns.op11,
+    "op12_extract_text": pathratio.op12,
+    "op13_periodic_runs": runs.op13,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -27,4 +31,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_filter_urls": urlfilter.SQL,
     "op10_minimax_shards": sharding.SQL,
     "op4_cover_tree_topk": topk.SQL,
+    "op11_repair_conversations": turns.SQL,
+    "op12_extract_text": pathratio.SQL,
 }
