@@ -487,11 +487,11 @@ dmg AS (SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS rol
                CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
         FROM hit, range(0, CASE WHEN hit = 3 THEN 2 ELSE 1 END) WHERE hit <> 0),
 ord AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM dmg),
-flt AS (SELECT *, left(role, 1) AS ini, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+flt AS MATERIALIZED (SELECT *, left(role, 1) AS ini, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
                CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
                     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
                     WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault FROM ord),
-stats AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+stats AS MATERIALIZED (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
                  count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
                  count(*) FILTER (fault = 't') AS truncated,
                  count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
