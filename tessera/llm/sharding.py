@@ -4,7 +4,8 @@ Documents with equal texts form a group that is never split.  Groups lie on a
 line in the order of their smallest id; a shard is a stretch of that line.
 The smallest capacity for which greedy filling needs no more than the wanted
 number of shards is found by search over the capacity, and the line is cut
-there.
+there.  Where a single group sets the capacity, greedy filling would heap the rest into few
+shards; the stretches before and after that group are then solved again for themselves.
 
 All rows stay on Spark: the line is a table of (start, end) byte positions
 made from per-partition sums, and a greedy step is a filtered maximum over it.
@@ -44,10 +45,10 @@ def group_line(items: DataFrame) -> DataFrame:
                            (F.col("offset") + F.col("upto")).alias("end")), "line")
 
 
-def _greedy(line: DataFrame, capacities: list[int], shards: int) -> list[list[int]]:
-    """For each capacity the cut positions that greedy filling reaches, all in one pass per shard."""
+def _greedy(line: DataFrame, capacities: list[int], shards: int, begin: int = 0) -> list[list[int]]:
+    """For each capacity the cut positions that greedy filling reaches from ``begin``, all in one pass per shard."""
     cuts = [[] for _ in capacities]
-    at = [0] * len(capacities)
+    at = [begin] * len(capacities)
     for _ in range(shards):
         low, high = min(at), max(a + c for a, c in zip(at, capacities, strict=True))
         found = line.filter((F.col("end") > low) & (F.col("end") <= high)).agg(*[
@@ -61,17 +62,18 @@ def _greedy(line: DataFrame, capacities: list[int], shards: int) -> list[list[in
 
 def smallest_capacity(line: DataFrame, shards: int) -> tuple[int, list[int]]:
     """The least capacity with which greedy filling covers the line in ``shards`` stretches, and its cuts."""
-    largest, total = line.agg(F.max(F.col("end") - F.col("start")), F.max("end")).first()
+    begin, largest, end = line.agg(F.min("start"), F.max(F.col("end") - F.col("start")), F.max("end")).first()
+    total = (end or 0) - (begin or 0)
     if not total:
-        return 0, [0] * shards
+        return 0, [begin or 0] * shards
     # a capacity of the mean plus the largest group always suffices
     low, high = max(largest, -(-total // shards)), -(-total // shards) + largest
     best = None
     while best is None or low < high:
         step = max(1, (high - low) // PROBES)
         tried = sorted({min(high, low + i * step) for i in range(PROBES)} | ({high} if best is None else set()))
-        cuts = _greedy(line, tried, shards)
-        fit = [i for i, c in enumerate(cuts) if c[-1] == total]
+        cuts = _greedy(line, tried, shards, begin)
+        fit = [i for i, c in enumerate(cuts) if c[-1] == end]
         if fit:
             high, best = tried[fit[0]], cuts[fit[0]]
             low = tried[fit[0] - 1] + 1 if fit[0] else high
@@ -80,6 +82,32 @@ def smallest_capacity(line: DataFrame, shards: int) -> tuple[int, list[int]]:
     return high, best
 
 
+def balanced_cuts(line: DataFrame, shards: int) -> tuple[int, list[int]]:
+    """The least capacity and cuts that keep to it, with the other shards near equal beside a group that alone sets it.
+
+    Such a group is a shard of its own under any cuts of that capacity; the stretches
+    before and after it share the remaining shards by their bytes and are solved the same way.
+    """
+    capacity, cuts = smallest_capacity(line, shards)
+    hot = line.filter(F.col("end") - F.col("start") == capacity).agg(F.min(F.struct("start", "end"))).first()[0]
+    if hot is None or shards == 1:
+        return capacity, cuts
+    before, after = line.filter(F.col("end") <= hot.start), line.filter(F.col("start") >= hot.end)
+    begin, end = line.agg(F.min("start"), F.max("end")).first()
+    left, right = hot.start - begin, end - hot.end
+    if not left + right:
+        return capacity, cuts
+    fair = (shards - 1) * left / (left + right)
+    tries = []
+    for own in sorted({int(fair), min(shards - 1, int(fair) + 1)}):
+        if (left and not own) or (right and own == shards - 1):
+            continue
+        a, b = (balanced_cuts(before, own) if own else (0, [])), (balanced_cuts(after, shards - 1 - own) if own < shards - 1 else (0, []))
+        tries.append((max(a[0], b[0]), own, [*(a[1] if left else [hot.start] * own), hot.end, *(b[1] if right else [hot.end] * (shards - 1 - own))]))
+    fitting = [t for t in tries if t[0] <= capacity]
+    return (capacity, min(fitting)[2]) if fitting else (capacity, cuts)
+
+
 def _unsigned_crc(text: Column) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")))
 
@@ -88,7 +116,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every document.
 
     Size: UTF-8 bytes plus 1.  Law ``bytes``: the largest shard is as small as
-    any contiguous partition of the groups allows.  ``slot`` numbers a shard's
+    any contiguous partition of the groups allows, and where one group alone is that large,
+    the others near equal beside it.  ``slot`` numbers a shard's
     documents from 0 in the order of group, then id.  ``grown_shard`` is null.
 
     Null texts: one group, size 1, CRC of no bytes.  Null ids come first.
@@ -101,14 +130,16 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         _unsigned_crc(F.col(text)).alias("text_crc32"),
         # equal digests and equal nullness: equal texts
-        F.coalesce(F.sha2(text, 256), F.lit("null")).alias("digest")), "items")
+        F.coalesce(F.sha2(text, 256), F.lit("null")).alias("digest"),
+        # written once: deals rows equal in text and id, among which any order is the same
+        F.monotonically_increasing_id().alias("tie")), "items")
     line = group_line(items)
-    _, cuts = smallest_capacity(line, shards)
+    _, cuts = balanced_cuts(line, shards)
     bounds = F.array(*[F.lit(c).cast("long") for c in cuts[:-1]]) if shards > 1 else F.array().cast("array<long>")
     shard = F.size(F.filter(bounds, lambda c: c <= F.col("start"))).cast("int")
     # a hot group's rows: the join's skew is split, and the numbering below deals by id too
     placed = _numbered(items.join(line.select("digest", "start"), "digest")
-                       .select("doc_id", "size", "text_crc32", "start", shard.alias("shard")), "start", "doc_id")
+                       .select("doc_id", "size", "text_crc32", "start", "tie", shard.alias("shard")), "start", "doc_id", "tie")
     rows = placed.groupBy("part", "shard").agg(F.count("*").alias("rows"))
     offsets = running_offsets(rows.groupBy("part").agg(F.sum("rows").alias("offset")), "part", "offset")
     firsts = running_offsets(rows.groupBy("shard").agg(F.sum("rows").alias("first")), "shard", "first")
