@@ -264,19 +264,70 @@ def _read_blocks(root: str):
     return run
 
 
+def _find_in_shards(root: str):
+    """Blocks for (key, shard) rows that come by shard."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, folder = _file_system(root)
+        held, entries, first, last = None, [], [], []
+        for batch in batches:
+            rows = []
+            for key, shard in batch[["key", "shard"]].itertuples(index=False):
+                if held != shard:
+                    with files.open_input_file(f"{folder}/{shard}.dir") as f:
+                        entries = json.loads(f.read())
+                    held, first, last = shard, [e[0].encode() for e in entries], [e[1].encode() for e in entries]
+                wanted = key.encode()
+                for e in entries[bisect_left(last, wanted):bisect_right(first, wanted)]:
+                    rows.append((key, f"{shard}.cdx.gz", e[2], e[3]))
+            yield _frame(rows, BLOCK)
+
+    return run
+
+
+def _route(bounds):
+    """The stretches (number, first key, last key) of shards that may hold a key, for keys."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = bounds.value
+        ends, starts = [x[2].encode() for x in known], [x[1].encode() for x in known]
+        for batch in batches:
+            rows = [(key, x[0]) for key in batch["key"]
+                    for x in known[bisect_left(ends, key.encode()):bisect_right(starts, key.encode())]]
+            yield _frame(rows, "key string, stretch long")
+
+    return run
+
+
+def _many_shards(wanted: DataFrame, ranges: DataFrame, count: int, root: str) -> DataFrame:
+    """Blocks of keys where the shard table is too large for one task: the sorted table is cut into stretches of
+    so many shards that the stretches are few; keys go to stretches, and join the shards of theirs."""
+    spark, n = wanted.sparkSession, partitions(wanted.sparkSession)
+    size = -(-count // max(1, BROADCAST_ROWS))
+    line = (ranges.select("shard", "first_key", "last_key").repartitionByRange(n, "first_key", "last_key", "shard")
+            .sortWithinPartitions("first_key", "last_key", "shard").withColumn("at", F.monotonically_increasing_id()))
+    # within a partition consecutive numbers; a stretch never spans two partitions
+    line = written(line.withColumn("stretch", F.shiftright("at", 33) * F.lit(1 << 33) + F.floor(F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) / size)),
+                   "stretches")
+    bounds = [(r.stretch, r.a, r.b) for r in line.groupBy("stretch").agg(F.min("first_key").alias("a"), F.max("last_key").alias("b")).collect()]
+    bounds.sort(key=lambda r: (r[1].encode(), r[2].encode()))
+    routed = written(wanted.mapInPandas(_route(spark.sparkContext.broadcast(bounds)), "key string, stretch long"), "routed")
+    met = (routed.join(line, "stretch").filter((F.col("first_key") <= F.col("key")) & (F.col("key") <= F.col("last_key")))
+           .select("key", "shard").repartitionByRange(n, "shard", "key").sortWithinPartitions("shard", "key"))
+    return met.mapInPandas(_find_in_shards(f"{root}/index"), BLOCK)
+
+
 def lookup(keys: DataFrame, shards: DataFrame, root: str) -> DataFrame:
     """(key, page_id, file, offset, length) of every capture of the distinct ``key`` values, found through the index."""
     spark = keys.sparkSession
     ranges = shards.filter("first_key is not null")
-    if ranges.count() > BROADCAST_ROWS:
-        raise ValueError("an index has a shard per task that wrote it; merge it into fewer shards")
-    # sorted by UTF-8 bytes, as Spark sorts strings
-    known = sorted((r.shard, r.first_key, r.last_key) for r in ranges.collect())
-    known.sort(key=lambda r: (r[1].encode(), r[2].encode()))
-    n = partitions(spark)
+    n, count = partitions(spark), ranges.count()
     wanted = (keys.select(_escaped(F.col("key")).alias("key")).distinct()
               .repartitionByRange(n, "key").sortWithinPartitions("key"))
-    blocks = wanted.mapInPandas(_find_blocks(f"{root}/index", spark.sparkContext.broadcast(known)), BLOCK)
+    if count > BROADCAST_ROWS:
+        blocks = _many_shards(wanted, ranges, count, root)
+    else:
+        # sorted by UTF-8 bytes, as Spark sorts strings
+        known = sorted(((r.shard, r.first_key, r.last_key) for r in ranges.collect()), key=lambda r: (r[1].encode(), r[2].encode()))
+        blocks = wanted.mapInPandas(_find_blocks(f"{root}/index", spark.sparkContext.broadcast(known)), BLOCK)
     # dealt by block and key range, so that a key with many blocks is read by many tasks
     return (blocks.repartition(n, "file", "offset").sortWithinPartitions("file", "offset", "wanted")
             .mapInPandas(_read_blocks(f"{root}/index"), "key string, page_id long, file string, offset long, length long"))
