@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from tessera.llm.common import BROADCAST_ROWS, partitions, read_table, written
 
 SEED = 20240131
-#: Target shares of the output bytes; sources not named share the rest as they do in the input.
-WEIGHTS = {"src0": 0.25}
+#: Target shares of the output bytes; sources not named share the rest as they do in the input.  A named
+#: source that the input lacks leaves its share to the others.
+WEIGHTS = {"src0": 0.25, "src1": 0.2, "src2": 0.05, "src3": 0.01, "archive": 0.1}
+#: Equal rows are dealt to tasks in lots of this many.
+LOT = 1000
 #: A rate above this is drawn as a sum of independent draws, so exp(-rate) never underflows.
 RATE_STEP = 32
 BITS = 52
@@ -62,6 +65,29 @@ def source_rates(docs: DataFrame, weights: dict[str, float], scale: float = 1.0,
             .select("source", "rate", "draws", steps["cdf"].alias("cdf")))
 
 
+def _single_rows(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    """(row, key, of, nth): every row, the hash key of its columns and its number among the rows equal to it.
+
+    Equal rows are counted per key first; only rows of a repeated key are
+    grouped, and a group is dealt out again in lots, so a hot one stays spread.
+    """
+    spark = docs.sparkSession
+    others = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in docs.columns if c not in (doc_id, text)]
+    key = F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit(""))),
+                      F.col(text).isNull().cast("int").cast("string"), F.md5(F.concat_ws("\x1f", *others)))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(own, key.alias("key"), F.col(source).alias("of"))
+    repeated = written(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "repeated")
+    side = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
+    once = rows.join(side, "key", "left_anti").select("row", "key", "of", F.lit(1).cast("long").alias("nth"))
+    groups = rows.join(side, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"), F.first("of").alias("of"), F.count("*").alias("n"))
+    lots = (groups.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / LOT))))
+            .repartition(partitions(spark), "key", "lot"))
+    first = F.col("lot") * LOT + 1
+    again = lots.select("row", "key", "of", F.explode(F.sequence(first, F.least(first + LOT - 1, F.col("n")))).alias("nth"))
+    return once.unionByName(again)
+
+
 def mix_sources(docs: DataFrame, weights: dict[str, float] = WEIGHTS, scale: float = 1.0, seed: int = SEED,
                 doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Documents repeated to the target shares, in a global random order.
@@ -71,17 +97,15 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] = WEIGHTS, scale: flo
     ``scale`` is the expected output size over the input size.
 
     Null source: a source of its own.  Null or empty text: a document of one
-    byte.  Null or repeated ids: the draw also hashes the text, so only rows
-    equal in both id and text draw alike.  Empty table: empty result.  An
-    input column named like a new one is replaced by it.
+    byte.  Every row draws for itself, by a hash of all its columns and of its number among
+    rows equal to it, so null and repeated ids and equal rows reach their source's share
+    like others.  Empty table: empty result.  An input column named like a new one is replaced by it.
     """
     spark = docs.sparkSession
     rates = written(source_rates(docs, weights, scale, source, text), "rates")
     known = rates.count()
     docs = docs.drop(*DERIVED)
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    key = F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit(""))))
-    rows = docs.select(own, key.alias("key"), F.col(source).alias("of"))
+    rows = _single_rows(docs, doc_id, text, source).withColumn("key", F.concat_ws(":", "key", F.col("nth").cast("string")))
     if known <= BROADCAST_ROWS:
         joined = rows.join(F.broadcast(rates), rows["of"].eqNullSafe(rates["source"]))
     else:  # too many sources to broadcast: shuffle, a source's rows over 64 salts
@@ -106,9 +130,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+_NAMED = " ".join(f"WHEN '{name}' THEN {share}" for name, share in sorted(WEIGHTS.items()))
 SQL = f"""
 WITH sizes AS (SELECT source, sum(coalesce(strlen(text), 0) + 1) AS bytes,
-                      CASE WHEN source = 'src0' THEN {WEIGHTS['src0']} END AS named
+                      (CASE source {_NAMED} END)::DOUBLE AS named
                FROM documents GROUP BY source),
 total AS (SELECT sum(bytes) AS all_bytes, coalesce(sum(named), 0) AS named_share,
                  sum(CASE WHEN named IS NULL THEN bytes END) AS other_bytes FROM sizes),
@@ -123,7 +148,10 @@ cdf AS (SELECT source, draws, k,
                  OVER (PARTITION BY source ORDER BY k) AS c
         FROM rates, range(0, 200) t(k) WHERE k <= ceil(rate / draws + 10 * sqrt(rate / draws) + 20)),
 lists AS (SELECT source, draws, list(c ORDER BY k) AS cdf FROM cdf GROUP BY source, draws),
-keyed AS (SELECT d.*, coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) AS key FROM documents d),
+hashed AS (SELECT d.*, coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || ':' || (text IS NULL)::INT || ':' ||
+                       md5(concat_ws(chr(31), coalesce(lang, chr(0)), coalesce(source, chr(0)), coalesce(n_chars::VARCHAR, chr(0)))) AS whole
+           FROM documents d),
+keyed AS (SELECT *, whole || ':' || row_number() OVER (PARTITION BY whole) AS key FROM hashed),
 drawn AS (SELECT k.*, i, (('0x' || substr(md5('{SEED}:n:' || i || ':' || key), 1, 13))::BIGINT + 0.5::DOUBLE)
                            / {float(2**BITS)}::DOUBLE AS u, cdf
           FROM keyed k JOIN lists l ON k.source IS NOT DISTINCT FROM l.source, range(0, draws) t(i)),

@@ -37,6 +37,29 @@ def test_mixing_large_rates_and_rerun(spark):
     assert sorted(zip(out.doc_id, out.copy_no)) == sorted(zip(again.doc_id, again.copy_no))
 
 
+def test_mixing_equal_rows_without_ids_reach_their_share(spark):
+    """A third of all rows are one text without id: each draws for itself, and none lies by another."""
+    rows = [(None, "same text", "en", "a", 9)] * 3000 + [(i, f"text {i:04d}", "en", "b" if i % 2 else "c", 9) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = mixing.mix_sources(docs, {"a": 0.25, "b": 0.5, "absent": 0.1}).toPandas()
+    size = out.text.str.len() + 1
+    share = size.groupby(out.source).sum() / size.sum()
+    assert abs(share["a"] - 0.25 / 1) < 0.03 and abs(share["b"] - 0.5) < 0.03 and abs(share["c"] - 0.25) < 0.03
+    n = out[out.source == "a"].copy_no.value_counts()
+    rate = n.sum() / 3000
+    assert abs(n[1] / 3000 - (1 - math.exp(-rate))) < 0.03    # rows drawn at least once, as Poisson says
+    place = np.flatnonzero((out.sort_values("shuffle_key").source == "a").to_numpy())
+    assert np.abs(np.histogram(place, 10, (0, len(out)))[0] / len(place) - 0.1).max() < 0.03
+
+
+def test_mixing_rows_equal_in_id_and_text_only(spark):
+    rows = [(None, "t", "en", "a", i) for i in range(2000)] + [(None, None, "en", "a", 1), (None, "", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = mixing.mix_sources(docs, {}).toPandas()
+    assert abs(len(out) / 2000 - 1) < 0.08
+    assert abs(out.n_chars.nunique() / 2000 - (1 - math.exp(-1))) < 0.04
+
+
 def test_mixing_salted_join_equals_broadcast(spark, monkeypatch, odd_docs):
     one = sorted(map(repr, mixing.mix_sources(odd_docs, {"a": 0.5}).collect()))
     monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
@@ -78,6 +101,40 @@ def test_smallest_capacity_against_brute_force(spark, seed):
         assert set(cuts) <= {0, *ends}
 
 
+@pytest.mark.parametrize("at", [0, 200, 667])
+def test_shards_beside_a_hot_group_are_near_equal(spark, at):
+    """A third of all bytes in copies of one text: the other shards share the rest, at the least capacity."""
+    texts = [f"{i:099d}" for i in range(667)]
+    texts[at:at] = ["h" * 99] * 333
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    out = sharding.shard_documents(docs).toPandas()
+    sizes = out.groupby("shard")["size"].sum()
+    hot = sizes.idxmax()
+    rest = sizes.drop(hot)
+    assert sizes[hot] == 33_300 and len(sizes) == 8
+    # whole groups before and after the hot one: as near as the best split of seven shards between both
+    best = min(max(100 * -(-at // k) if k else 0, 100 * -(-(667 - at) // (7 - k)) if 7 - k else 0)
+               for k in range(8) if (k or not at) and (7 - k or at == 667))
+    assert rest.max() <= best
+    if at in (0, 667):
+        assert rest.max() / rest.min() < 1.1
+    order = out.sort_values(["shard", "slot"])
+    assert (order.groupby("text_crc32").shard.nunique() == 1).all()
+
+
+def test_shards_of_several_hot_groups_and_few_groups(spark):
+    line = lambda sizes: spark.createDataFrame(
+        [(e - s, e) for s, e in zip(sizes, np.cumsum(sizes).tolist())], "start long, end long")
+    assert sharding.balanced_cuts(line([5, 900, 5, 400, 5, 5]), 5) == (900, [5, 905, 910, 1310, 1320])
+    assert sharding.balanced_cuts(line([7]), 3)[0] == 7
+    for sizes in ([300, 1, 1, 1], [300, 300], [1] * 20 + [300] + [1] * 10 + [90] + [1] * 30):
+        for shards in (2, 5):
+            capacity, cuts = sharding.balanced_cuts(line(sizes), shards)
+            assert capacity == _minimax(sizes, shards) and len(cuts) == shards and cuts[-1] == sum(sizes)
+            assert all(0 <= b - a <= capacity for a, b in zip([0, *cuts], cuts))
+
+
 def test_shards_of_odd_rows(odd_docs, no_docs):
     out = sharding.shard_documents(odd_docs, 4).toPandas()
     rows = odd_docs.select("doc_id", "text").toPandas()
