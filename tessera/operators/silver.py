@@ -56,16 +56,10 @@ TASK_ATTRS = ["user_id", "title", "description", "status", "priority", "category
 _FIRST = ["user_id", "email", "name", "title", "description", "status", "priority", "category"]
 
 
-def silver_entities(bronze: DataFrame, latest: bool = False) -> DataFrame:
-    """Users and tasks aggregated in ONE pass over the raw layer.
-
-    Key = (entity_type, id): id is the user id for USER rows (PK without
-    ``USER#``) and the task id for TASK rows (SK without ``TASK#``).  Both
-    silver tables are views of this one aggregate, so a query that needs
-    both shares a single scan and a single shuffle (the exchange is reused).
-    """
+def _entity_rows(bronze: DataFrame) -> DataFrame:
+    """User and task rows of the raw layer with their key and the attributes that silver keeps."""
     et = K.entity_type(F.col("data.PK"))
-    rows = bronze.select(
+    return bronze.select(
         et.alias("entity_type"),
         F.when(et == "USER", K.strip_prefix(F.col("data.PK"), K.USER_PREFIX))
          .otherwise(K.strip_prefix(F.col("data.SK"), K.TASK_PREFIX)).alias("entity_id"),
@@ -76,7 +70,17 @@ def silver_entities(bronze: DataFrame, latest: bool = False) -> DataFrame:
         F.col("data.updated_at").alias("updated_at"),
         "processed_at", "sequence_number", "event_name",
     ).filter(F.col("entity_type").isin("USER", "TASK"))
-    return rows.groupBy("entity_type", "entity_id").agg(
+
+
+def silver_entities(bronze: DataFrame, latest: bool = False) -> DataFrame:
+    """Users and tasks aggregated in ONE pass over the raw layer.
+
+    Key = (entity_type, id): id is the user id for USER rows (PK without
+    ``USER#``) and the task id for TASK rows (SK without ``TASK#``).  Both
+    silver tables are views of this one aggregate, so a query that needs
+    both shares a single scan and a single shuffle (the exchange is reused).
+    """
+    return _entity_rows(bronze).groupBy("entity_type", "entity_id").agg(
         *_pick(_FIRST, latest),
         F.min("created_at").alias("created_at"),
         F.max("updated_at").alias("updated_at"),
@@ -85,6 +89,41 @@ def silver_entities(bronze: DataFrame, latest: bool = False) -> DataFrame:
     )
 
 
+# ------------------------------------------------ mergeable state (SNK-11) ---
+ENTITY_KEYS = ["entity_type", "entity_id"]
+
+
+def entity_partials(bronze: DataFrame) -> DataFrame:
+    """What silver must know of each entity to take further changes without its old ones.
+
+    The earliest and the latest attributes with their order keys, the bounds of
+    the times, the number of changes and the kinds of changes met.  Partials
+    of any split of the changes, in any order, merge to the partials of all.
+    """
+    order = change_order(F.col("processed_at"), F.col("sequence_number"))
+    held = F.struct(order.alias("at"), F.struct(*[F.col(c) for c in _FIRST]).alias("attrs"))
+    return _entity_rows(bronze).groupBy(*ENTITY_KEYS).agg(
+        F.min(held).alias("earliest"), F.max(held).alias("latest"),
+        F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"),
+        F.count(F.lit(1)).alias("event_count"), F.array_sort(F.collect_set("event_name")).alias("event_names"))
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """One partial per entity out of several: the same aggregates over the aggregates."""
+    return partials.groupBy(*ENTITY_KEYS).agg(
+        F.min("earliest").alias("earliest"), F.max("latest").alias("latest"),
+        F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"),
+        F.sum("event_count").alias("event_count"),
+        # a list a delivery, of at most the few kinds of changes
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("event_names")))).alias("event_names"))
+
+
+def entities_of_partials(partials: DataFrame, latest: bool = False) -> DataFrame:
+    """The shape of ``silver_entities`` from merged partials: a projection, no shuffle."""
+    return partials.select(*ENTITY_KEYS, F.col("latest.attrs" if latest else "earliest.attrs").alias("_first"),
+                           "created_at", "updated_at", "event_count", F.size("event_names").cast("bigint").alias("event_types"))
+
+
 def _entity(entities: DataFrame, kind: str) -> DataFrame:
     # a plain filter on the grouping key: it is pushed below the aggregate, so
     # a plan of one entity never shuffles the other's rows; a plan of both
@@ -133,31 +172,3 @@ def silver_from_state(state: DataFrame) -> tuple[DataFrame, DataFrame]:
         *TASK_ATTRS[1:], "created_at", "updated_at",
         F.lit(1).cast("bigint").alias("event_count"), F.lit(1).cast("bigint").alias("event_types"))
     return date_parts_epoch(users, "created_at"), date_parts_epoch(tasks, "created_at")
-
-
-def entity_keys(bronze: DataFrame) -> DataFrame:
-    """(entity_type, entity_id) of the user/task rows of a bronze slice."""
-    et = K.entity_type(F.col("data.PK"))
-    return bronze.select(
-        et.alias("entity_type"),
-        F.when(et == "USER", K.strip_prefix(F.col("data.PK"), K.USER_PREFIX))
-         .otherwise(K.strip_prefix(F.col("data.SK"), K.TASK_PREFIX)).alias("entity_id"),
-    ).filter(F.col("entity_type").isin("USER", "TASK")).distinct()
-
-
-def silver_increment(bronze_all: DataFrame, bronze_new: DataFrame, previous: DataFrame,
-                     latest: bool = False) -> DataFrame:
-    """Incremental silver (SNK-11 / IDEM note): the next version of the
-    users+tasks aggregate after ``bronze_new`` arrived.
-
-    Only keys touched by the new slice are re-aggregated, from ALL of their
-    changes (semi join of the full bronze with the touched keys), so
-    first/min/max/count stay exact; untouched keys carry over from
-    ``previous`` (anti join).  Equals a full recompute; the caller writes
-    it to a new version directory.
-    """
-    touched = entity_keys(bronze_new)
-    ent = silver_entities(bronze_all, latest)
-    fresh = ent.join(touched, ["entity_type", "entity_id"], "left_semi")
-    kept = previous.join(touched, ["entity_type", "entity_id"], "left_anti")
-    return kept.unionByName(fresh)

@@ -65,7 +65,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_operator_queries() -> None:
     # importing the module registers its queries
-    from . import operator_queries  # noqa: F401
+    from . import increment_queries, operator_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cdc, gold, silver
-from ..schemas import SILVER_TASKS, SILVER_USERS
-from ..sinks import lake as sink
+from ..schemas import PARTIALS, SILVER_TASKS, SILVER_USERS
+from ..sinks import lake as sink, versions
 from ..sources import lake as src
+from ..streaming import streams
 from .model import Gold, materialize
 
 
@@ -91,27 +92,48 @@ def register_gold(spark: SparkSession, gold_root: str, database: str | None = No
     register_gold_views(read_gold(spark, gold_root))
 
 
-def silver_increment_job(spark: SparkSession, bronze_root: str, new_dates: list[str], previous_entities: str,
-                         silver_root: str, version: int, latest: bool = False) -> dict:
-    """SNK-11: fold newly arrived bronze partitions (``new_dates``,
-    "YYYY-MM-DD") into silver without a full recompute.
+def silver_increment(spark: SparkSession, bronze_new: DataFrame, state_root: str, version: int) -> dict:
+    """SNK-11: merge newly arrived bronze rows into the kept state of the entities, as ``version``.
 
-    ``previous_entities`` is the last version's users+tasks aggregate
-    (Parquet).  Touched keys are re-aggregated from all their changes,
-    untouched ones carry over, and the result goes to a new version
-    directory (no in-place overwrite of what readers may be using).
+    Reads the new rows and, of version - 1, the buckets that hold a key of theirs;
+    no bronze row of an earlier delivery is opened.  The touched buckets are
+    rewritten, the others are pointed at.  Run again for the same version it
+    replaces what it wrote.  ``silver_of_version`` gives the silver tables.
     """
-    bronze_all = src.read_bronze(spark, f"{bronze_root.rstrip('/')}/cdc")
-    bronze_new = src.read_bronze(spark, f"{bronze_root.rstrip('/')}/cdc", dates=new_dates)
-    if sink.skip_if_empty(bronze_new):
+    partials = materialize(silver.entity_partials(bronze_new).withColumn("bucket", versions.bucket_of(*silver.ENTITY_KEYS)), "partials")
+    touched = versions.touched_buckets(partials)
+    new = partials.drop("bucket")
+    before = versions.read_version(spark, state_root, new.schema, version - 1, touched)
+    # entities of touched buckets without a new change pass through the merge unchanged
+    merged = silver.merge_partials(before.unionByName(new)).select(*[F.col(f.name).cast(f.dataType) for f in new.schema.fields])
+    versions.write_version(spark, state_root, merged.withColumn("bucket", versions.bucket_of(*silver.ENTITY_KEYS)), version, touched)
+    return {"version": version, "touched": len(touched), "new_files": bronze_new.inputFiles(), "old_files": before.inputFiles()}
+
+
+def silver_increment_job(spark: SparkSession, bronze_root: str, batches: list[str | int], state_root: str, version: int) -> dict:
+    """SNK-11: ``silver_increment`` of the bronze folders of ``batches`` alone."""
+    new = src.read_bronze_batches(spark, f"{bronze_root.rstrip('/')}/cdc", batches)
+    if sink.skip_if_empty(new):
         return {}
-    prev = spark.read.parquet(previous_entities)
-    ent = silver.silver_increment(bronze_all, bronze_new, prev, latest)
-    out = sink.new_version_path(f"{silver_root.rstrip('/')}/entities", version)
-    ent.write.mode("overwrite").parquet(out)
-    ent = spark.read.parquet(out)
-    root = silver_root.rstrip("/")
-    sink.write_silver(silver.users_of(ent), sink.new_version_path(f"{root}/users", version))
-    sink.write_silver(silver.tasks_of(ent), sink.new_version_path(f"{root}/tasks", version))
-    return {"entities": out, "users": sink.new_version_path(f"{root}/users", version),
-            "tasks": sink.new_version_path(f"{root}/tasks", version)}
+    return silver_increment(spark, new, state_root.rstrip("/"), version)
+
+
+def partials_of_version(spark: SparkSession, state_root: str, version: int) -> DataFrame:
+    return versions.read_version(spark, state_root.rstrip("/"), PARTIALS, version)
+
+
+def silver_of_version(spark: SparkSession, state_root: str, version: int, latest: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Silver users and tasks as of ``version``: a projection of the kept state."""
+    ent = silver.entities_of_partials(partials_of_version(spark, state_root, version), latest)
+    return silver.users_of(ent), silver.tasks_of(ent)
+
+
+def silver_stream(bronze_stream: DataFrame, state_root: str, checkpoint: str, available_now: bool = True):
+    """STR-08: each micro-batch of a bronze file stream becomes the next version of the kept state.
+
+    The checkpoint remembers which files were seen; a micro-batch run again writes the same version again.
+    """
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        silver_increment(batch.sparkSession, batch, state_root.rstrip("/"), batch_id + 1)
+
+    return streams.incremental(bronze_stream, merge, checkpoint, available_now)

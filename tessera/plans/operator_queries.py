@@ -10,7 +10,7 @@ event); the due-date range is 2024-01-10 .. 2024-01-20; the search text is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.decode import raw_numbers
@@ -300,17 +300,15 @@ def mon_request_volume(spark, sf_dir):
 
 @register("mon_error_alarm", f"""WITH {LOG}, per AS (
   SELECT p5, COUNT(*) FILTER (WHERE http >= 400) AS errors FROM lg GROUP BY p5
-), grid AS (
-  SELECT UNNEST(generate_series(MIN(p5), MAX(p5), 300)) AS p5 FROM per
-), f AS (
-  SELECT g.p5, COALESCE(CASE WHEN per.errors > 0 THEN 1 ELSE 0 END, 0) AS breach
-  FROM grid g LEFT JOIN per ON g.p5 = per.p5
-), r AS (
-  SELECT p5, breach, CAST(SUM(breach) OVER (ORDER BY p5 ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS BIGINT) AS run FROM f
-) SELECT p5 AS period_start, breach, run, run >= 2 AS alarm FROM r""")
+), calm AS (
+  SELECT g.p5 FROM (SELECT UNNEST(generate_series(MIN(p5) - 300, MAX(p5), 300)) AS p5 FROM per) g
+  WHERE g.p5 NOT IN (SELECT p5 FROM per WHERE errors > 0)
+) SELECT per.p5 AS period_start, CAST(errors > 0 AS INTEGER) AS breach, CAST((per.p5 - calm.p5) // 300 AS BIGINT) AS run,
+    (per.p5 - calm.p5) // 300 >= 2 AS alarm
+  FROM per ASOF JOIN calm ON per.p5 >= calm.p5""")
 def mon_error_alarm(spark, sf_dir):
-    """MON-02 + WIN-04: errors in 2 consecutive 5-minute periods;
-    empty periods are filled and count as no breach."""
+    """MON-02 + WIN-04: errors in 2 consecutive 5-minute periods, a row a period with requests;
+    a period without any is no breach and ends a run."""
     log = _log(spark, sf_dir)
     per = log.groupBy(F.window("timestamp", "5 minutes").start.alias("period_start")).agg(
         F.count_if(F.col("status") == "error").alias("errors"))
@@ -318,6 +316,44 @@ def mon_error_alarm(spark, sf_dir):
     return _epoch_start(a).select("period_start", F.col("breach").cast("int"), F.col("run").cast("bigint"), "alarm")
 
 
+@register("mon_latency_percentiles_5min", f"WITH {LOG} SELECT p5 AS period_start, quantile_cont(CAST(duration_ms AS DOUBLE), 0.5) AS p50, "
+          "quantile_cont(CAST(duration_ms AS DOUBLE), 0.95) AS p95, quantile_cont(CAST(duration_ms AS DOUBLE), 0.99) AS p99 FROM lg GROUP BY p5")
+def mon_latency_percentiles_5min(spark, sf_dir):
+    """MON-03: exact P50 / P95 / P99 of each 5-minute period."""
+    return _epoch_start(monitor.latency_percentiles(_log(spark, sf_dir), "5 minutes"))
+
+
+@register("mon_slow_periods", f"""WITH {LOG}, per AS (
+  SELECT event_type AS operation, ts_day, AVG(CAST(duration_ms AS DOUBLE)) AS duration FROM (
+    SELECT *, p5 // 86400 AS ts_day FROM lg) GROUP BY ALL
+), prior AS (
+  SELECT a.operation, a.ts_day, a.duration, (SELECT AVG(b.duration) FROM per b WHERE b.operation = a.operation AND b.ts_day < a.ts_day) AS prior_avg
+  FROM per a
+) SELECT operation, CAST(ts_day AS BIGINT) AS day, ROUND(duration, 6) AS duration, ROUND(prior_avg, 6) AS prior_avg,
+    COALESCE(duration > prior_avg * 1.02, false) AS slow FROM prior""")
+def mon_slow_periods(spark, sf_dir):
+    """WIN-05: an operation's daily mean duration against the mean of its earlier days, flagged above it by 2 %."""
+    daily = _log(spark, sf_dir).groupBy("operation", F.floor(F.unix_seconds("timestamp") / 86400).alias("started_at")).agg(
+        F.avg(F.col("duration_ms").cast("double")).alias("duration"))
+    out = monitor.slow_runs(daily, 1.02, ["operation"])
+    return out.select("operation", F.col("started_at").alias("day"), F.round("duration", 6).alias("duration"),
+                      F.round("prior_avg", 6).alias("prior_avg"), "slow")
+
+
+@register("mon_layer_growth", """WITH daily AS (
+  SELECT epoch_us(ts) // 86400000000 AS day, event_type AS layer, SUM(strlen(props)) AS added FROM events GROUP BY ALL
+) SELECT layer, CAST(day AS BIGINT) AS snapshot_ts, CAST(SUM(added) OVER (PARTITION BY layer ORDER BY day) AS BIGINT) AS bytes,
+    CAST(CASE WHEN LAG(day) OVER (PARTITION BY layer ORDER BY day) IS NOT NULL THEN added END AS BIGINT) AS growth_bytes FROM daily""")
+def mon_layer_growth(spark, sf_dir):
+    """MON-07: bytes of each kind of event payload at the end of each day, and the growth since the day before it."""
+    ev = fixtures.read_table(spark, sf_dir, "events")
+    daily = ev.groupBy(F.col("event_type").alias("layer"), F.floor(F.unix_seconds("ts") / 86400).alias("snapshot_ts")).agg(
+        F.sum(F.octet_length("props")).cast("bigint").alias("added"))
+    # one row a layer and day
+    total = daily.withColumn("bytes", F.sum("added").over(Window.partitionBy("layer").orderBy("snapshot_ts"))).drop("added")
+    return monitor.layer_growth(total)
+
+
 @register("mon_top_error_operations", f"WITH {LOG} SELECT event_type AS operation, COUNT(*) AS errors FROM lg "
           "WHERE http >= 500 GROUP BY event_type ORDER BY errors DESC, operation LIMIT 5")
 def mon_top_error_operations(spark, sf_dir):
@@ -554,14 +590,17 @@ def stream_rollup_5min(spark, sf_dir):
     status, accepted, false AS late
   FROM acc""")
 def stream_task_state_machine(spark, sf_dir):
-    """STR-07: per-task status machine over the change stream; rows flagged
-    accepted = false are the updates the service would reject."""
+    """STR-07: per-task status machine over the change stream, which comes in several deliveries out of order; rows
+    flagged accepted = false are the updates the service would reject.  Late by the delay is none."""
     from ..streaming import streams
-    items = fixtures.event_items(streams.table_stream(spark, sf_dir, "events"))
-    tc = items.filter(F.col("entity") == "TASK").select(
-        F.regexp_replace("SK", "^TASK#", "").alias("task_id"), "status", "SequenceNumber") \
-        .withColumnRenamed("SequenceNumber", "sequence_number")
-    return streams.replay_to_table(spark, streams.task_state_machine(tc), "task_machine")
+    from .increment_queries import delivered_stream
+    tc = fixtures.event_items(fixtures.read_table(spark, sf_dir, "events")).filter(F.col("entity") == "TASK").select(
+        F.regexp_replace("SK", "^TASK#", "").alias("task_id"), "status", F.col("SequenceNumber").alias("sequence_number"),
+        F.col("eventTime").cast("timestamp").alias("event_time"))
+    seconds = F.unix_seconds("event_time") + _delay(F.col("sequence_number").cast("bigint"))
+    stream = delivered_stream(spark, tc, seconds, "event_time")
+    out = streams.replay_to_table(spark, streams.task_state_machine(stream, "3 days"), "task_machine", rocksdb=True)
+    return out.filter("task_id is not null")
 
 
 @register("gold_extended_user_analytics", f"""WITH {EV}, su AS (
@@ -594,9 +633,12 @@ def gold_extended_user_analytics(spark, sf_dir):
 ARRIVAL_SQL = "ts + INTERVAL (event_id % 7) HOUR + INTERVAL (CASE WHEN event_id % 50 = 0 THEN 2 ELSE 0 END) DAY"
 
 
+def _delay(n):
+    return n % 7 * 3600 + F.when(n % 50 == 0, 2 * 86400).otherwise(0)
+
+
 def _arrival():
-    n = F.col("dynamodb.SequenceNumber").cast("bigint")
-    return F.timestamp_seconds(F.unix_seconds("eventTime") + n % 7 * 3600 + F.when(n % 50 == 0, 2 * 86400).otherwise(0))
+    return F.timestamp_seconds(F.unix_seconds("eventTime") + _delay(F.col("dynamodb.SequenceNumber").cast("bigint")))
 
 
 @register("delivery_lag", f"""WITH {EV} SELECT CAST({ARRIVAL_SQL} AS DATE) AS date, COUNT(*) AS records,
@@ -606,9 +648,7 @@ def _arrival():
 def delivery_lag(spark, sf_dir):
     """MON-06: per arrival date the largest delivery lag and the records over the alarm limit of 300 s."""
     b = cdc.changes_to_bronze(fixtures.event_changes(spark, sf_dir), now=_arrival())
-    lag = F.unix_seconds("processed_at") - F.unix_seconds("event_time")
-    return b.groupBy(F.to_date("processed_at").alias("date")).agg(
-        F.count(F.lit(1)).alias("records"), F.max(lag).alias("max_lag_seconds"), F.count_if(lag > 300).alias("late"))
+    return monitor.delivery_lag_by_date(b)
 
 
 @register("stream_bronze_by_date", f"""WITH {EV} SELECT CAST({ARRIVAL_SQL} AS DATE) AS date,

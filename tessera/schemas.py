@@ -8,7 +8,7 @@ strings, so every read in the engine passes one of these.
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DateType, DoubleType, IntegerType, LongType,
+    ArrayType, BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType,
     MapType, StringType, StructField, StructType, TimestampType, VariantType,
 )
 
@@ -88,6 +88,19 @@ SILVER_TASKS = StructType([
     StructField("day", IntegerType()),
 ])
 
+# What silver keeps of each entity between deliveries (operators/silver.entity_partials).
+_HELD = StructType([
+    StructField("at", StructType([StructField("t", TimestampType()), StructField("s", DecimalType(38, 0))])),
+    StructField("attrs", StructType([StructField(c, S) for c in (
+        "user_id", "email", "name", "title", "description", "status", "priority", "category")])),
+])
+PARTIALS = StructType([
+    StructField("entity_type", S), StructField("entity_id", S),
+    StructField("earliest", _HELD), StructField("latest", _HELD),
+    StructField("created_at", L), StructField("updated_at", L), StructField("event_count", L),
+    StructField("event_names", ArrayType(S)),
+])
+
 IDEMPOTENCY = StructType([
     StructField("request_id", S),
     StructField("response_data", S),

@@ -196,8 +196,9 @@ def as_source(df: DataFrame) -> DataFrame:
 def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change stream derived from ``events`` (CHANGE_RECORD shape)."""
     events = _table(spark, sf_dir, "events")
-    # dealt by id, whatever the size: the images are built on all cores
-    return items_to_changes(event_items(events.repartition("event_id")))
+    # dealt by id into a stated number of partitions, which AQE doesn't merge: the images are built on all cores
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return items_to_changes(event_items(events.repartition(n, "event_id")))
 
 
 # ------------------------------------------------------------ scale model ---

@@ -52,6 +52,18 @@ def read_bronze(spark: SparkSession, path: str, dates: Iterable | None = None) -
     return _partition_filter(df, dates).drop("batch")
 
 
+def read_bronze_batches(spark: SparkSession, path: str, batches: Iterable[str | int]) -> DataFrame:
+    """SRC-02: the bronze envelopes that some batches landed; other folders aren't listed."""
+    paths = [f"{path.rstrip('/')}/batch={b}" for b in batches]
+    return spark.read.schema(_with_parts(CDC_ENVELOPE)).json(paths)
+
+
+def read_bronze_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """SRC-02 as a file stream: every bronze file once, in bounded micro-batches."""
+    return spark.readStream.schema(_with_parts(CDC_ENVELOPE)).option(
+        "maxFilesPerTrigger", files_per_trigger or FILES_PER_TRIGGER).json(path).drop("batch")
+
+
 def _with_parts(schema: StructType) -> StructType:
     from pyspark.sql.types import IntegerType, StructField
     return StructType(schema.fields + [StructField(p, IntegerType()) for p in ("year", "month", "day")])

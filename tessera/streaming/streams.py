@@ -5,16 +5,17 @@
   to its own folder with overwrite, so a retried batch replaces its own
   output instead of appending twice (STR-03).
 * Aggregations carry a watermark so their state is bounded.
-* The per-task state machine keeps one small state row per task
-  (``applyInPandasWithState``), never the task's history.
+* The per-task state machine keeps a task's last change and those that the
+  watermark hasn't passed yet, never the task's history.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import date
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.query import StreamingQuery
@@ -24,6 +25,12 @@ from ..session import work_path
 from ..sinks import lake as sink
 
 FLUSH_INTERVAL = "60 seconds"     # delivery buffer: 60 s (STR-02)
+#: The state store that list state and timers need, as against the default one.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
+               "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+#: Log of the sketch's slots: relative error 1.04 / sqrt(2 ** SKETCH_LG_K).
+SKETCH_LG_K = 14
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -53,68 +60,86 @@ def _start(df_writer, checkpoint: str, available_now: bool, processing_time: str
 def changes_to_bronze_stream(changes: DataFrame, bronze_path: str, quarantine_path: str, checkpoint: str,
                              available_now: bool = True, processing_time: str = FLUSH_INTERVAL,
                              on_batch: Callable[[int, dict], None] | None = None,
-                             now: Column | None = None, delay: str | None = "10 minutes") -> StreamingQuery:
+                             now: Column | None = None, dedupe: bool = True, keep_days: int | None = None) -> StreamingQuery:
     """STR-01: change stream -> bronze (gzip JSON by date) + quarantine.
 
     One classification per micro-batch feeds both outputs and the batch
     counters (AGG-13).  Output of batch ``n`` goes to ``batch=n`` folders
     with overwrite, so a replayed batch is not duplicated, and a change that
-    the source delivers again, within ``delay`` or later, is dropped (STR-03)
-    unless ``delay`` is None.  No change is dropped for being late.  The
+    the source delivers again is dropped and counted as ``redelivered`` (STR-03)
+    unless ``dedupe`` is off.  No change is dropped for being late.  Keys of event days
+    more than ``keep_days`` behind the newest are forgotten.  The
     arrival time is the clock, one value per micro-batch; ``now`` pins it.
     """
+    landed = f"{checkpoint.rstrip('/')}/landed"
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        c = cdc.classify(not_landed(batch, batch_id, f"{checkpoint.rstrip('/')}/landed") if delay else batch).persist()
+        seen, new = Observation(), batch
+        if dedupe:
+            new = not_landed(batch, batch_id, landed, seen)
+        c = cdc.classify(new).persist()
         try:
             sink.write_bronze(cdc.to_envelope(c.filter(F.col("_outcome") == "processed"), now=now), bronze_path, batch_id)
             sink.quarantine(cdc.failed_records(c), quarantine_path, batch_id)
             if on_batch is not None:
-                row = cdc.count_outcomes(c).first()
-                on_batch(batch_id, row.asDict())
+                counts = cdc.count_outcomes(c).first().asDict()
+                on_batch(batch_id, counts | ({"redelivered": seen.get["records"] - counts["records"]} if dedupe else {}))
         finally:
             c.unpersist()
+        if dedupe and keep_days is not None:
+            forget_landed(batch.sparkSession, landed, keep_days)
 
     return _start(changes.writeStream.foreachBatch(handle), checkpoint, available_now, processing_time)
 
 
 # ----------------------------------------------------------- STR-03/04 ---
 
-LANDED_SCHEMA = "_seq string, _at timestamp, _day date, batch long"
+_LANDED = "_seq string, _at timestamp"
+#: Folder of changes without an event time.
+NO_DAY = "none"
 
 
-def not_landed(batch: DataFrame, batch_id: int, landed: str) -> DataFrame:
+def not_landed(batch: DataFrame, batch_id: int, landed: str, seen: Observation | None = None) -> DataFrame:
     """The changes of micro-batch ``batch_id``, each once, that no batch before it held.
 
-    A change delivered again has the same sequence number and event time; one
-    without a number is told by its whole text.  The numbers of every batch are
-    kept under ``landed``, in the batch's folder, which is overwritten when the
-    batch runs again; only those of the batch's span of event days are compared.
+    A change delivered again has the same sequence number and event time.  A record
+    without a number can't be told from another, so each of them is kept: two equal broken lines are two.
+    The numbers lie under ``landed`` by event day, then batch; a batch replaces its own
+    folders when it runs again, and is compared with the folders of its own days alone (of no day: with that
+    of no day).  ``seen`` gets the number of ``records`` that came.
     """
-    own = F.to_json(F.struct(*batch.columns))
-    day = F.coalesce(F.to_date("eventTime"), F.lit("1970-01-01").cast("date"))
-    keyed = batch.select("*", F.coalesce(F.col("dynamodb.SequenceNumber"), F.sha2(own, 256)).alias("_seq"),
-                         F.col("eventTime").cast("timestamp").alias("_at"), day.alias("_day"))
-    keys = ["_seq", "_at", "_day"]
-    keyed.select(*keys).write.mode("overwrite").parquet(f"{landed}/batch={batch_id}")
-    known = batch.sparkSession.read.schema(LANDED_SCHEMA).parquet(landed)
-    first, last = known.filter(F.col("batch") == batch_id).agg(F.min("_day"), F.max("_day")).first()
-    known = known.filter((F.col("batch") < batch_id) & F.col("_day").between(F.lit(first), F.lit(last))) \
-        .select(F.col("_seq").alias("_its_seq"), F.col("_at").alias("_its_at"))
-    again = (F.col("_seq") == F.col("_its_seq")) & F.col("_at").eqNullSafe(F.col("_its_at"))
-    return keyed.dropDuplicates(["_seq", "_at"]).join(known, again, "left_anti").drop(*keys)
-
-
-def dedupe_changes(changes: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """STR-03: drop re-delivered changes (same sequence number and time) within
-    the watermark; state is bounded by the delay.
-
-    Records without a sequence number are never taken for one another: they
-    are told apart by their whole text.
+    spark = batch.sparkSession
+    day = F.coalesce(F.to_date("eventTime").cast("string"), F.lit(NO_DAY))
+    numbered = F.col("dynamodb.SequenceNumber").isNotNull()
+    keyed = batch.select("*", F.col("dynamodb.SequenceNumber").alias("_seq"), F.col("eventTime").cast("timestamp").alias("_at"), day.alias("day"))
+    counted = keyed.observe(seen, F.count(F.lit(1)).alias("records")) if seen is not None else keyed
+    counted.select("_seq", "_at", "day", F.lit(batch_id).cast("long").alias("batch")) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(landed)
+    # the days of one micro-batch: few, however many records
+    days = [r.day for r in keyed.filter(numbered).select("day").distinct().collect()]
+    fresh = keyed.filter(numbered).dropDuplicates(["_seq", "_at"])
+    if days:
+        known = spark.read.schema(_LANDED + ", day string, batch long").option("basePath", landed) \
+            .parquet(*[f"{landed}/day={d}" for d in days]).filter(F.col("batch") < batch_id) \
+            .select(F.col("_seq").alias("_its_seq"), F.col("_at").alias("_its_at"))
+        fresh = fresh.join(known, (F.col("_seq") == F.col("_its_seq")) & F.col("_at").eqNullSafe(F.col("_its_at")), "left_anti")
+    return fresh.unionByName(keyed.filter(~numbered)).drop("_seq", "_at", "day")
+
+
+def forget_landed(spark: SparkSession, landed: str, keep_days: int) -> list[str]:
+    """Remove the keys of event days more than ``keep_days`` behind the newest; those days' names.
+
+    A source keeps its changes for a bounded time, so older ones can't come again.
     """
-    own = F.to_json(F.struct(*changes.columns))
-    return changes.withColumn("_seq", F.coalesce(F.col("dynamodb.SequenceNumber"), F.xxhash64(own).cast("string"))) \
-        .withColumn("_at", F.coalesce("eventTime", F.current_timestamp())) \
-        .withWatermark("_at", delay).dropDuplicatesWithinWatermark(["_seq"]).drop("_seq", "_at")
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(landed)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    days = [f.getPath().getName().removeprefix("day=") for f in files.listStatus(root) if f.getPath().getName().startswith("day=")]
+    dated = sorted(d for d in days if d != NO_DAY)
+    old = [d for d in dated if (date.fromisoformat(dated[-1]) - date.fromisoformat(d)).days > keep_days]
+    for d in old:
+        files.delete(jvm.org.apache.hadoop.fs.Path(f"{landed}/day={d}"), True)
+    return old
 
 
 REPLAY_SCHEMA = "request_id string, ts_epoch long, replay boolean, key_created_at long, key_expires_at long"
@@ -183,71 +208,155 @@ def tumbling_rollup(log: DataFrame, value_col: str = "duration_ms", period: str
     ).select(F.col("w.start").alias("period_start"), "samples", "sum", "average", "maximum")
 
 
-def sliding_active_users(activity: DataFrame, ts_col: str = "ts", user_col: str = "user_id",
-                         length: str = "30 days", slide: str = "1 day", delay: str = "1 day") -> DataFrame:
-    """STR-06: active users over a sliding 30-day window, advanced daily
-    (mergeable distinct sketch, so state per window is constant size)."""
-    return activity.withWatermark(ts_col, delay).groupBy(F.window(ts_col, length, slide).alias("w")).agg(
-        F.approx_count_distinct(user_col).alias("active_users")
-    ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "active_users")
+def daily_active_sketches(activity: DataFrame, ts_col: str = "ts", user_col: str = "user_id", delay: str = "1 day",
+                          lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """STR-06, panes: per day one mergeable distinct-user sketch.
+
+    A row goes to its day's pane alone, whatever the length of the windows over
+    it; the state of a pane is one sketch of at most a few kilobytes.  For update or append mode.
+    """
+    timed = activity.withWatermark(ts_col, delay)
+    return timed.groupBy(F.window(ts_col, "1 day").alias("w")).agg(
+        F.hll_sketch_agg(F.col(user_col).cast("string"), lg_k).alias("sketch")).select(F.to_date("w.start").alias("day"), "sketch")
+
+
+def sliding_active_users(panes: DataFrame, days: int = 30) -> DataFrame:
+    """STR-06: active users of every window of ``days`` days, advanced daily, from daily panes (day, sketch).
+
+    Windows end on each day from the first pane's to the last one's last window; windows without any pane don't
+    occur.  Each pane is copied to the windows that hold it: ``days`` small rows a day, never rows of users.
+    ``panes`` with exact ``users`` sets instead of sketches are not needed: the sketch's relative error is
+    about 1.04 / sqrt(2 ** lg_k), 0.8 % at the default.
+    """
+    ends = panes.select("sketch", F.explode(F.sequence("day", F.date_add("day", days - 1))).alias("last_day"))
+    return ends.groupBy("last_day").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("active_users")).select(
+        F.date_sub("last_day", days - 1).alias("first_day"), "last_day", "active_users")
 
 
 # ----------------------------------------------------------- STR-07 ---
 
 TRANSITION_SCHEMA = "task_id string, sequence_number string, prev_status string, status string, accepted boolean, late boolean"
-STATE_SCHEMA = "status string, seq string"
+_CHANGE = "status string, seq string, ms long"
 
 
-def task_state_machine(task_changes: DataFrame) -> DataFrame:
-    """STR-07: per-task status machine over a change stream.
+def task_state_machine(task_changes: DataFrame, delay: str = "10 minutes", keep_days: int = 400) -> DataFrame:
+    """STR-07: per-task status machine over a change stream, in event order whatever the order of arrival.
 
-    ``task_changes``: (task_id, status, sequence_number).  Emits every change
-    with the status it found and whether it was accepted; state holds one
-    (status, sequence) pair per task.
+    ``task_changes``: (task_id, status, sequence_number, event_time).  A change
+    waits in its task's list state until the watermark, ``delay`` behind the
+    newest event, has passed it; a timer then applies what waits in the
+    order of event time, then numeric sequence.  A change that moves a completed task to another status is
+    rejected (not applied); a REMOVE (status null) resets the task; the same change again counts once.  One that arrives
+    behind the watermark, or has no event time, is reported as ``late`` and not applied.  Of a task
+    the last applied change is kept, until ``keep_days`` without another one.
+
+    Needs the RocksDB state store (``ROCKSDB``).
     """
-    step = _make_task_machine()
-    return task_changes.groupBy("task_id").applyInPandasWithState(
-        step, TRANSITION_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    step = _make_task_machine(keep_days * 86_400_000)
+    # the event time goes on as a plain number: late changes are to be reported, not filtered away before the machine
+    timed = task_changes.withWatermark("event_time", delay).select(
+        "task_id", "status", F.col("sequence_number").alias("seq"), F.unix_millis("event_time").alias("ms"))
+    return timed.groupBy("task_id").transformWithStateInPandas(step, TRANSITION_SCHEMA, "Append", "eventTime")
 
 
-def _make_task_machine():
+def _make_task_machine(keep_ms: int):
     # Defined inside a function so it is shipped by value: Python workers
     # need pandas and pyspark only, not this package.
-    def _task_machine(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """State: the task's current status and last applied sequence.
-
-        Changes of one micro-batch are applied in sequence order; a change that
-        moves a completed task to another status is rejected (not applied); a
-        REMOVE (status None) resets the task.  Changes without a numeric
-        sequence apply in the order they come.
-        """
-        cur, last = (tuple(state.get) if state.exists else (None, None))
-        last_n = int(last) if last is not None else None
-        out = []
-        # one key's rows of ONE micro-batch (bounded by the trigger size)
-        frames = [p for p in pdfs]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        pdf["seqn"] = pdf["sequence_number"].map(lambda s: int(s) if s is not None and str(s).isdigit() else -1)
-        pdf = pdf.sort_values("seqn", kind="stable")
-        for seq, seqn, new in zip(pdf["sequence_number"], pdf["seqn"], pdf["status"]):
-            if last_n is not None and seqn == last_n and seqn >= 0:
-                continue  # the same change again
-            new = None if pd.isna(new) else new
-            # one that comes after a later one of its task can't change the
-            # status any more; it is reported, never dropped
-            late = last_n is not None and 0 <= seqn < last_n
-            accepted = not late and not (cur == "completed" and new is not None and new != "completed")
-            out.append((key[0], seq, cur, new, accepted, late))
-            if accepted:
-                cur = new
-            if not late and seqn >= 0:
-                last_n = seqn
-        state.update((cur, None if last_n is None else str(last_n)))
-        yield pd.DataFrame(out, columns=["task_id", "sequence_number", "prev_status", "status", "accepted", "late"])
-
-    return _task_machine
+    import pandas as pd
+    from pyspark.sql.streaming import StatefulProcessor
+
+    columns = ["task_id", "sequence_number", "prev_status", "status", "accepted", "late"]
+
+    def text(value):
+        return None if value is None or pd.isna(value) else str(value)
+
+    def place(change) -> tuple[int, int]:
+        seq = change[1]
+        return change[2], int(seq) if seq is not None and seq.isdigit() else -1
+
+    class TaskMachine(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.waiting = handle.getListState("waiting", _CHANGE)
+            self.current = handle.getValueState("current", _CHANGE)
+            self.timer = handle.getValueState("timer", "ms long")
+            self.passed = -1    # timers up to it have done their work
+
+        def _set_timer(self, ms: int) -> None:
+            """One timer a task, at the earliest time at which something is to be done."""
+            if self.timer.exists():
+                known = self.timer.get()[0]
+                if known <= ms and known > self.passed:
+                    return
+                self.handle.deleteTimer(known)
+            self.handle.registerTimer(ms)
+            self.timer.update((ms,))
+
+        def _now(self) -> tuple:
+            return tuple(self.current.get()) if self.current.exists() else (None, None, None)
+
+        def _apply(self, key, watermark: int) -> list[tuple]:
+            """Apply what waits and the watermark has passed; sets the next timer."""
+            self.passed = watermark
+            waiting = [tuple(c) for c in self.waiting.get()] if self.waiting.exists() else []
+            rest = [c for c in waiting if c[2] >= watermark]
+            now, out = self._now(), []
+            for change in sorted((c for c in waiting if c[2] < watermark), key=place):
+                if change[1] is not None and change[1:] == now[1:]:
+                    continue    # the same change again
+                status, found = change[0], now[0]
+                accepted = not (found == "completed" and status is not None and status != "completed")
+                out.append((key[0], change[1], found, status, accepted, False))
+                now = (status if accepted else found, *change[1:])
+            if len(rest) < len(waiting):
+                self.current.update(now)
+                if rest:
+                    self.waiting.put(rest)
+                else:
+                    self.waiting.clear()
+            if rest:
+                self._set_timer(min(c[2] for c in rest) + 1)
+            elif now[2] is not None and now[2] + keep_ms <= watermark:
+                self.current.clear()
+            elif now[2] is not None:
+                self._set_timer(now[2] + keep_ms)
+            return out
+
+        def handleInputRows(self, key, rows, timerValues):
+            # Spark hands over new rows before it fires timers: what the watermark has passed comes before them
+            watermark = self.passed = timerValues.getCurrentWatermarkInMs()
+            out = self._apply(key, watermark) if self.timer.exists() and self.timer.get()[0] <= watermark else []
+            now, earliest = self._now(), None
+            for frame in rows:
+                fresh = []
+                for status, seq, ms in zip(frame["status"], frame["seq"], frame["ms"]):
+                    change = (text(status), text(seq), None if pd.isna(ms) else int(ms))
+                    if change[2] is not None and change[2] >= watermark:
+                        fresh.append(change)
+                        earliest = change[2] if earliest is None else min(earliest, change[2])
+                    elif change != now:
+                        out.append((key[0], change[1], now[0], change[0], False, True))
+                if fresh:
+                    self.waiting.appendList(fresh)
+                if out:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
+            if earliest is not None:
+                self._set_timer(earliest + 1)
+            if out:
+                yield pd.DataFrame(out, columns=columns)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            if not self.timer.exists() or self.timer.get()[0] > timerValues.getCurrentWatermarkInMs():
+                return    # its work was done when rows came in
+            out = self._apply(key, timerValues.getCurrentWatermarkInMs())
+            if out:
+                yield pd.DataFrame(out, columns=columns)
+
+        def close(self) -> None:
+            pass
+
+    return TaskMachine()
 
 
 # ----------------------------------------------------------- STR-08 ---
@@ -261,7 +370,7 @@ def incremental(stream: DataFrame, process: Callable[[DataFrame, int], None], ch
 
 
 def replay_to_table(spark: SparkSession, stream: DataFrame, name: str, output_mode: str = "append",
-                    key: str | None = None) -> DataFrame:
+                    key: str | None = None, rocksdb: bool = False) -> DataFrame:
     """Run a streaming aggregate to completion (availableNow) into a Parquet
     folder under the shared checkpoint directory, and read the result.
 
@@ -280,7 +389,12 @@ def replay_to_table(spark: SparkSession, stream: DataFrame, name: str, output_mo
             # batch n owns its folder: a retried batch replaces its own rows
             batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    q = _start(stream.writeStream.outputMode(output_mode).foreachBatch(write), ck, True, None)
+    kept = spark.conf.get(*STATE_STORE)
+    spark.conf.set(STATE_STORE[0], ROCKSDB if rocksdb else kept)
+    try:    # a query takes the setting along when it starts
+        q = _start(stream.writeStream.outputMode(output_mode).foreachBatch(write), ck, True, None)
+    finally:
+        spark.conf.set(STATE_STORE[0], kept)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -64,17 +64,6 @@ def test_request_id_and_scope(spark):
         == [True, False, False, True, True]
 
 
-def test_sliding_active_users(spark, tmpdir_path):
-    d = os.path.join(tmpdir_path, "act")
-    spark.createDataFrame([(1, "2024-01-01 10:00:00"), (2, "2024-01-02 10:00:00"), (1, "2024-01-03 10:00:00")],
-                          "user_id int, ts string").withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(d)
-    s = spark.readStream.schema("user_id int, ts timestamp").parquet(d)
-    out = streams.replay_to_table(spark, streams.sliding_active_users(s, length="2 days", slide="1 day"), "act",
-                                  output_mode="complete")
-    got = {str(r.window_start)[:10]: r.active_users for r in out.collect()}
-    assert got["2024-01-01"] == 2 and got["2024-01-02"] == 2 and got["2024-01-03"] == 1
-
-
 def test_incremental_processes_only_new_files(spark, tmpdir_path):
     src_dir = os.path.join(tmpdir_path, "in")
     write_jsonl(src_dir, [{"eventName": "INSERT", "dynamodb": {"SequenceNumber": "1"}}], "a.json")
