@@ -14,12 +14,15 @@ map-side and never sorted inside one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..functions.dates import change_order
 from ..schemas import ITEM
+from ..session import work_path
 
 ITEM_COLS = [f.name for f in ITEM.fields]
 TERMINAL_STATUS = "completed"
@@ -205,20 +208,75 @@ def replay_split(requests: DataFrame, keys: DataFrame, strict: bool = False) ->
     return requests.join(keys, cond, "left_semi"), requests.join(keys, cond, "left_anti")
 
 
+#: Requests of an id up to which its times are folded in one array; ids with more are chained by jumps.
+FOLD_REQUESTS = 10_000
+
+
 def chained_keys(requests: DataFrame) -> DataFrame:
     """The keys that the requests of each id create, one after another.
 
     A key lives 24 h from the request that created it; the first request past
-    its expiry creates the next.  Folded over an id's distinct request times,
-    of which a retention period has a bounded number however hot the id is
-    (equal times meet in the partial aggregate).
+    its expiry creates the next.  An id of at most ``FOLD_REQUESTS`` requests is
+    folded over its distinct times in order; the others, however hot, are chained by ``chained_by_jumps``.
     """
+    hot = requests.groupBy("request_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FOLD_REQUESTS).select("request_id")
+    if hot.isEmpty():
+        return _folded_keys(requests)
+    hot = _materialized(hot, "hot-ids")
+    return _folded_keys(requests.join(hot, "request_id", "left_anti")) \
+        .unionByName(chained_by_jumps(requests.join(hot, "request_id", "left_semi")))
+
+
+def _folded_keys(requests: DataFrame) -> DataFrame:
     times = requests.groupBy("request_id").agg(F.array_sort(F.collect_set("ts_epoch")).alias("_t"))
     none = F.array().cast("array<bigint>")
     starts = F.aggregate("_t", none, lambda acc, t: F.when(
         (F.size(acc) == 0) | (t > F.element_at(acc, -1) + IDEMPOTENCY_TTL_SECONDS), F.concat(acc, F.array(t))).otherwise(acc))
-    return times.select("request_id", F.explode(starts).alias("created_at")).withColumn(
-        "expiration_timestamp", F.col("created_at") + IDEMPOTENCY_TTL_SECONDS)
+    return _keys(times.select("request_id", F.explode(starts).alias("created_at")))
+
+
+def _keys(starts: DataFrame) -> DataFrame:
+    return starts.withColumn("expiration_timestamp", F.col("created_at") + IDEMPOTENCY_TTL_SECONDS)
+
+
+def chained_by_jumps(requests: DataFrame) -> DataFrame:
+    """``chained_keys`` for ids of any number of requests.
+
+    Each distinct time points at the first one past its key's life.  Time is
+    cut into buckets one second longer than a life, so that time lies in the next bucket,
+    at the same place or behind it, or is the first of a later one: a window over one
+    bucket's seconds, and one over an id's buckets.  From each id's first time the
+    chain is then followed by pointer doubling: after k rounds the first 2^k
+    keys are known and a pointer spans 2^k lives.
+    """
+    life = IDEMPOTENCY_TTL_SECONDS + 1
+    bucket = F.floor(F.col("t") / life).cast("bigint")
+    times = _materialized(requests.select("request_id", F.col("ts_epoch").alias("t")).distinct(), "times")
+    # of each time the place right past its key's life, among the times of that bucket
+    marks = times.select("request_id", "t", F.lit(None).cast("bigint").alias("of")).unionByName(
+        times.select("request_id", (F.col("t") + life).alias("t"), F.col("t").alias("of"))).withColumn("b", bucket)
+    # at most two rows a second of the bucket; a time before the mark of the same second, when read from behind
+    ahead = Window.partitionBy("request_id", "b").orderBy(F.col("t").desc(), F.col("of").isNotNull())
+    real = F.when(F.col("of").isNull(), F.col("t"))
+    found = marks.withColumn("next", F.last(real, ignorenulls=True).over(ahead.rowsBetween(Window.unboundedPreceding, 0)))
+    # one row a bucket: the first time of any later one
+    later = Window.partitionBy("request_id").orderBy("b").rowsBetween(1, Window.unboundedFollowing)
+    firsts = marks.groupBy("request_id", "b").agg(F.min(real).alias("first")).withColumn("later", F.first("first", ignorenulls=True).over(later))
+    # one pointer a time
+    jumps = _materialized(found.filter("of is not null").join(firsts.select("request_id", "b", "later"), ["request_id", "b"])
+                          .select("request_id", F.col("of").alias("t"), F.coalesce("next", "later").alias("to")).filter("to is not null"), "jumps")
+    chain = times.groupBy("request_id").agg(F.min("t").alias("t"))
+    while not jumps.isEmpty():    # one round more for each doubling of the longest chain
+        chain = _materialized(chain.unionByName(chain.join(jumps, ["request_id", "t"]).select("request_id", F.col("to").alias("t"))), "chain")
+        onward = jumps.select("request_id", F.col("t").alias("to"), F.col("to").alias("beyond"))
+        jumps = _materialized(jumps.join(onward, ["request_id", "to"]).select("request_id", "t", F.col("beyond").alias("to")), "jumps")
+    return _keys(chain.select("request_id", F.col("t").alias("created_at")))
+
+
+def _materialized(df: DataFrame, name: str) -> DataFrame:
+    path = work_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def request_replays(requests: DataFrame, order: str) -> DataFrame:
@@ -263,7 +321,6 @@ def previous_status(task_changes: DataFrame, bucket_seconds: int = 3600) -> Data
     span, not the data volume), then joined back.  Exactly equal to
     ``lag`` over the whole task.
     """
-    from pyspark.sql import Window
     order = change_order(F.col("processed_at"), F.col("sequence_number"))
     b = F.floor(F.unix_seconds(F.col("processed_at")) / F.lit(bucket_seconds)).cast("bigint")
     tc = task_changes.withColumn("_o", order).withColumn("_b", b)

@@ -7,8 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cdc, monitor, mutate, silver
+from ..operators import monitor, mutate, silver, textindex
+from ..schemas import ITEM
 from ..session import work_path
+from ..sinks import versions
 from ..sources import fixtures
 from ..streaming import streams
 from . import medallion, model, operator_queries, oracle
@@ -32,27 +34,32 @@ def _increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.entities_of_partials(medallion.partials_of_version(spark, f"{root}/state", DELIVERIES))
 
 
-def delivered_stream(spark: SparkSession, rows: DataFrame, arrival_seconds, time_col: str) -> DataFrame:
-    """``rows`` as a file stream of several deliveries by arrival, one a micro-batch, and a closing one.
+def delivered_stream(spark: SparkSession, rows: DataFrame, arrival_seconds, time_col: str | None) -> DataFrame:
+    """``rows`` as a file stream of several deliveries by arrival, one a micro-batch, and with a ``time_col`` a closing one.
 
     The closing row has nulls but for a time far ahead, so that the watermark passes all others.
     """
     folder = work_path(spark, f"deliveries-{uuid.uuid4().hex}")
     timed = rows.withColumn("_arrival", arrival_seconds)
-    first, last, newest = timed.agg(F.min("_arrival"), F.max("_arrival"), F.max(F.unix_seconds(time_col))).first()
+    first, last, newest = timed.agg(F.min("_arrival"), F.max("_arrival"), F.max(F.unix_seconds(time_col) if time_col else F.lit(0))).first()
     if first is None:
         first, last, newest = 0, 0, 0
     width = (last - first) // DELIVERIES + 1
     for n in range(DELIVERIES):
         part = timed.filter((F.col("_arrival") >= first + n * width) & (F.col("_arrival") < first + (n + 1) * width)).drop("_arrival")
         part.repartition(FILES).write.parquet(f"{folder}/delivery={n}")
-    closing = rows.limit(0).unionByName(spark.range(1).select(F.timestamp_seconds(F.lit(newest + 400 * 86400)).alias(time_col)),
-                                        allowMissingColumns=True)
-    closing.coalesce(1).write.parquet(f"{folder}/delivery={DELIVERIES}")
+    if time_col:
+        _close(spark, rows, time_col, newest, f"{folder}/delivery={DELIVERIES}")
     return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).option("recursiveFileLookup", "true")
             .parquet(folder))
 
 
+def _close(spark: SparkSession, rows: DataFrame, time_col: str, newest: int, folder: str) -> None:
+    closing = rows.limit(0).unionByName(spark.range(1).select(F.timestamp_seconds(F.lit(newest + 400 * 86400)).alias(time_col)),
+                                        allowMissingColumns=True)
+    closing.coalesce(1).write.parquet(folder)
+
+
 _WITH = f"WITH {oracle.EVENT_GOLD.rstrip().rstrip(',')}"
 _DATES = """CAST(to_timestamp(created_at) AT TIME ZONE 'UTC' AS DATE) AS created_date,
   CAST(year(to_timestamp(created_at) AT TIME ZONE 'UTC') AS INTEGER) AS year,
@@ -120,3 +127,71 @@ def stream_active_users_30d(spark, sf_dir):
     panes = streams.daily_active_sketches(streams.table_stream(spark, sf_dir, "events"))
     done = streams.replay_to_table(spark, panes, "panes", output_mode="update", key="day")
     return streams.sliding_active_users(done, 30)
+
+
+# ------------------------------------------------- copy-on-write, keys, text index ---
+
+@register("mut_versioned_updates", f"""WITH {operator_queries.FOLD_SQL} SELECT t.task_id, COALESCE(f.title, t.title) AS title, COALESCE(f.status, t.status) AS status,
+  CAST(CASE WHEN f.task_id IS NOT NULL THEN {operator_queries.NOW_EPOCH} ELSE 0 END AS BIGINT) AS updated_at FROM tasks t LEFT JOIN folded f ON t.task_id = f.task_id""")
+def mut_versioned_updates(spark, sf_dir):
+    """MUT-03 / MUT-08 as copy-on-write: the task table kept in key ranges, and the version after a batch of updates."""
+    tasks, updates = operator_queries._order_requests(spark, sf_dir)
+    root = work_path(spark, f"tasks-{uuid.uuid4().hex}")
+    bucket = versions.range_bucket("task_id", versions.range_bounds(tasks, "task_id", 16))
+    versions.write_version(spark, root, tasks.withColumn("bucket", bucket), 1, ())
+    change = lambda rows, requests: mutate.update_tasks(
+        rows, requests, F.lit(operator_queries.NOW_EPOCH).cast("bigint"), key=("task_id",))[0]
+    versions.rewrite(spark, root, tasks.schema, 2, bucket, updates, change)
+    return versions.read_version(spark, root, tasks.schema, 2)
+
+
+@register("mut_put_items", f"""WITH {operator_queries.STATE}, puts AS (
+  SELECT 'TASK#' || user_id AS pk, 'TASK#' || (user_id * 100 + slot) AS sk, MAX(event_id) AS last FROM ev WHERE event_type = 'purchase' GROUP BY ALL
+) SELECT "PK", "SK", status, CAST(NULL AS BIGINT) AS updated_at FROM state s WHERE NOT EXISTS (SELECT 1 FROM puts p WHERE p.pk = s."PK" AND p.sk = s."SK")
+  UNION ALL SELECT pk, sk, 'archived ' || last, {operator_queries.NOW_EPOCH} FROM puts""")
+def mut_put_items(spark, sf_dir):
+    """MUT-01: the state after full items were put over it, the last put of a key winning; new keys are added."""
+    state = operator_queries.event_state(spark, sf_dir).withColumn("updated_at", F.lit(None).cast("bigint"))
+    bought = fixtures.event_items(fixtures.read_table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase"))
+    seq = F.col("SequenceNumber").cast("bigint")
+    own = {"PK": F.col("PK"), "SK": F.col("SK"), "status": F.concat(F.lit("archived "), seq.cast("string"))}
+    items = bought.select(*[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ITEM.fields], seq.alias("seq"))
+    return mutate.put_items(state, items, F.lit(operator_queries.NOW_EPOCH).cast("bigint")).select("PK", "SK", "status", "updated_at")
+
+
+_KEYS_SQL = f"""WITH {_EV}, keys AS (
+  SELECT user_id || ':' || event_id AS request_id, to_json({{'task': CAST(user_id * 100 + slot AS VARCHAR), 'status': 'completed'}}) AS response_data,
+         'TASK#' || user_id AS target_task_pk, 'TASK#' || (user_id * 100 + slot) AS target_task_sk, CAST(200 AS INTEGER) AS http_status_code,
+         CAST(ep + 86400 AS BIGINT) AS expiration_timestamp, CAST(ep AS BIGINT) AS created_at FROM ev WHERE event_type = 'purchase')"""
+
+
+def _purchase_keys(spark, sf_dir):
+    ev = fixtures.read_table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    slot = F.pmod(F.get_json_object("props", "$.k").try_cast("bigint"), F.lit(fixtures.TASKS_PER_USER))
+    task = (F.col("user_id") * 100 + slot).cast("string")
+    return mutate.store_idempotency(ev.select(
+        F.concat_ws(":", F.col("user_id").cast("string"), F.col("event_id").cast("string")).alias("request_id"),
+        F.struct(task.alias("task"), F.lit("completed").alias("status")).alias("response"), F.col("user_id").cast("string").alias("user_id"),
+        task.alias("task_id"), F.lit(200).alias("http_status_code"), F.unix_seconds("ts").alias("ts_epoch")))
+
+
+@register("idempotency_store", f"{_KEYS_SQL} SELECT CAST(response_data AS VARCHAR) AS response_data, * EXCLUDE (response_data) FROM keys")
+def idempotency_store(spark, sf_dir):
+    """MUT-09: the idempotency keys that the purchase requests store."""
+    return _purchase_keys(spark, sf_dir)
+
+
+@register("idempotency_live_keys", f"{_KEYS_SQL} SELECT request_id, expiration_timestamp FROM keys WHERE expiration_timestamp >= 1705363200")
+def idempotency_live_keys(spark, sf_dir):
+    """MUT-10: the keys left on 2024-01-16 00:00 UTC, when those past their life are removed."""
+    return mutate.expire_keys(_purchase_keys(spark, sf_dir), F.lit(1705363200).cast("bigint")).select("request_id", "expiration_timestamp")
+
+
+@register("search_tasks_indexed", f"WITH {operator_queries.TASK_VIEW} SELECT id, user_id, title FROM tv WHERE lower(coalesce(title, '')) LIKE '%task 1%'"
+          " OR lower(coalesce(description, '')) LIKE '%task 1%'")
+def search_tasks_indexed(spark, sf_dir):
+    """FIL-16: text search through a trigram index of the task view."""
+    tasks = model.materialize(operator_queries._task_view(spark, sf_dir).select("id", "user_id", "title", "description"), "task-view")
+    root = work_path(spark, f"trigrams-{uuid.uuid4().hex}")
+    textindex.write_index(tasks, root, "id", "title", "description")
+    return textindex.search(tasks, root, "id", "task 1", "title", "description").select("id", "user_id", "title")

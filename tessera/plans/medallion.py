@@ -7,8 +7,7 @@ the two jobs; within a job nothing is cached on the driver.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cdc, gold, silver
@@ -22,18 +21,22 @@ from .model import Gold, materialize
 def bronze_job(changes: DataFrame, bronze_root: str, quarantine_root: str, batch: str | int, now: Column | None = None) -> dict:
     """STR-01 batch twin: decode changes, write bronze, quarantine failures, count both.
 
-    The batch is classified once.  ``batch`` names it: run again, the job
+    The counters (AGG-13) are observed on the write of bronze itself: no
+    count and no cached copy beside it.  Failed records are few, and none as a rule;
+    only if there are some the input is read again for them.  ``batch`` names the batch: run again, the job
     replaces what it wrote before.
     """
     bronze = f"{bronze_root.rstrip('/')}/cdc"
-    classified = cdc.classify(changes).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sink.write_bronze(cdc.to_envelope(classified.filter(F.col("_outcome") == "processed"), now=now), bronze, batch)
-        sink.quarantine(cdc.failed_records(classified), quarantine_root, batch)
-        counts = cdc.count_outcomes(classified).first()
-    finally:
-        classified.unpersist()
-    return {"bronze": bronze} | (counts.asDict() if counts else {})
+    seen = Observation()
+    outcome = F.col("_outcome")
+    classified = cdc.classify(changes)
+    observed = classified.observe(seen, *[F.count_if(outcome == o).alias(o) for o in ("processed", "failed", "skipped")],
+                                  F.count(F.lit(1)).alias("records"))
+    sink.write_bronze(cdc.to_envelope(observed.filter(outcome == "processed"), now=now), bronze, batch)
+    counts = seen.get
+    failed = cdc.failed_records(classified)
+    sink.quarantine(failed if counts["failed"] else failed.limit(0), quarantine_root, batch)
+    return {"bronze": bronze} | counts
 
 
 def silver_job(spark: SparkSession, bronze_root: str, silver_root: str, mode: str = "overwrite",

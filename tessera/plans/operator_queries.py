@@ -377,6 +377,8 @@ def illegal_transitions(spark, sf_dir):
     tasks = allc.filter(F.col("data.PK").startswith("TASK#")).select(
         F.regexp_replace("data.SK", "^TASK#", "").alias("task_id"), F.col("data.status").alias("status"),
         "processed_at", "sequence_number")
+    # the changes are decoded once, into the four columns that the lag reads twice
+    tasks = model.materialize(tasks, "task-statuses")
     return mutate.lag_transitions(tasks).select("task_id", "sequence_number", "prev_status", "status")
 
 
@@ -678,11 +680,13 @@ def stream_idempotency_replays(spark, sf_dir):
     """STR-04 exact: each request (id "<user>:<k>") replays a live key or
     creates one valid 24 h; windows chain per id, state is one row per id."""
     from ..streaming import streams
-    ev = streams.table_stream(spark, sf_dir, "events")
+    from .increment_queries import delivered_stream
+    ev = fixtures.read_table(spark, sf_dir, "events")
     req = ev.select(F.concat_ws(":", F.col("user_id").cast("string"),
                                 F.get_json_object("props", "$.k").try_cast("bigint").cast("string")).alias("request_id"),
                     F.unix_seconds("ts").alias("ts_epoch"))
-    out = streams.replay_to_table(spark, streams.idempotency_stream(req), "idempotency")
+    stream = delivered_stream(spark, req, F.col("ts_epoch"), None)
+    out = streams.replay_to_table(spark, streams.idempotency_stream(stream), "idempotency", rocksdb=True)
     return out.select("request_id", "ts_epoch", "replay")
 
 

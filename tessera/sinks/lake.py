@@ -25,18 +25,17 @@ def write_bronze(df: DataFrame, path: str, batch: str | int) -> None:
     """SNK-01: gzip JSON lines by arrival date, in the folder of the batch.
 
     A batch's folder is overwritten, so a job run again replaces its own
-    output.  Rows are clustered by date first (and an even share of the
-    sequence, so one date isn't one task's), which keeps files few.
+    output.  Rows are clustered by date; AQE measures the dates and splits
+    large ones over tasks and puts small ones together, which keeps files few.
     """
     out = df if "year" in df.columns else date_parts(df, "processed_at")
-    share = F.pmod(F.xxhash64("sequence_number"), F.lit(16))
-    out.repartition(*PARTS, share).write.mode("overwrite").option("compression", "gzip") \
+    out.hint("rebalance", *PARTS).write.mode("overwrite").option("compression", "gzip") \
         .option("maxRecordsPerFile", BRONZE_FILE_ROWS).partitionBy(*PARTS).json(f"{path.rstrip('/')}/batch={batch}")
 
 
 def write_silver(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK-02: Parquet partitioned by year/month/day (clustered first)."""
-    df.repartition(*PARTS).write.mode(mode).partitionBy(*PARTS).parquet(path)
+    """SNK-02: Parquet partitioned by year/month/day, clustered first; a large day is split by its measured size."""
+    df.hint("rebalance", *PARTS).write.mode(mode).partitionBy(*PARTS).parquet(path)
 
 
 def write_gold(df: DataFrame, path: str) -> None:

@@ -11,13 +11,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from datetime import date
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators import cdc
@@ -142,59 +140,75 @@ def forget_landed(spark: SparkSession, landed: str, keep_days: int) -> list[str]
     return old
 
 
-REPLAY_SCHEMA = "request_id string, ts_epoch long, replay boolean, key_created_at long, key_expires_at long"
-KEY_STATE_SCHEMA = "created_at long, expires_at long"
+REPLAY_SCHEMA = "request_id string, ts_epoch long, replay boolean, key_created_at long, key_expires_at long, late boolean"
 
 
 def idempotency_stream(requests: DataFrame, delay_seconds: int = 3600) -> DataFrame:
     """STR-04 exact: classify each request (request_id, ts_epoch) as a replay
     of a live key or as a new key, with windows chained per id.
 
-    One state row per request id whose key may still be asked for: it goes
-    when the watermark, ``delay_seconds`` behind the newest request, has
-    passed the key's expiry.  A request that comes later than the delay is
-    left out by the watermark and counted in the query's progress
-    (numRowsDroppedByWatermark).  The rows handled per call are one id's requests
-    of one micro-batch (bounded by the trigger size).
+    One state row per request id whose key may still be asked for: a timer
+    removes it when the watermark, ``delay_seconds`` behind the newest request, has
+    passed the key's expiry.  A request that comes later than the delay makes no key;
+    it is returned with ``late``: a replay if the key of its id held then lived at its time, else of
+    unknown answer (null).  The rows handled per call are one id's requests
+    of one micro-batch (bounded by the trigger size).  Needs the RocksDB state store (``ROCKSDB``).
     """
     step = _make_idempotency_keys()
+    # the time goes on as a plain number: late requests are to be answered, not filtered away
     timed = requests.select("request_id", "ts_epoch", F.timestamp_seconds("ts_epoch").alias("_at")) \
-        .withWatermark("_at", f"{delay_seconds} seconds")
-    return timed.groupBy("request_id").applyInPandasWithState(
-        step, REPLAY_SCHEMA, KEY_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+        .withWatermark("_at", f"{delay_seconds} seconds").select("request_id", "ts_epoch")
+    return timed.groupBy("request_id").transformWithStateInPandas(step, REPLAY_SCHEMA, "Append", "eventTime")
 
 
 def _make_idempotency_keys():
     # shipped by value, like the task machine
-    def _idempotency_keys(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    import pandas as pd
+    from pyspark.sql.streaming import StatefulProcessor
+
+    columns = ["request_id", "ts_epoch", "replay", "key_created_at", "key_expires_at", "late"]
+
+    class IdempotencyKeys(StatefulProcessor):
         """State per request id: the live key's (created_at, expires_at).
 
         A request at or before the expiry replays the key; a later one creates
         a new key valid for 24 h from that request (expired only when strictly
         past the expiry), exactly as the service's check-then-store does.
         """
-        if state.hasTimedOut:
-            state.remove()
-            return
-        created, expires = (tuple(state.get) if state.exists else (None, None))
-        frames = [p for p in pdfs]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True).sort_values("ts_epoch", kind="stable")
-        out = []
-        for ts in pdf["ts_epoch"]:
-            ts = int(ts)
-            if expires is not None and ts <= expires:
-                out.append((key[0], ts, True, created, expires))
-            else:
-                created, expires = ts, ts + 86400
-                out.append((key[0], ts, False, created, expires))
-        state.update((created, expires))
-        # a request late by more than the delay may come with an expiry already passed
-        state.setTimeoutTimestamp(max(expires * 1000, state.getCurrentWatermarkMs()) + 1)
-        yield pd.DataFrame(out, columns=["request_id", "ts_epoch", "replay", "key_created_at", "key_expires_at"])
-
-    return _idempotency_keys
+
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.key = handle.getValueState("key", "created long, expires long")
+
+        def handleInputRows(self, key, rows, timerValues):
+            watermark = timerValues.getCurrentWatermarkInMs()
+            created, expires = tuple(self.key.get()) if self.key.exists() else (None, None)
+            before, out = expires, []
+            for ts in sorted(int(t) for frame in rows for t in frame["ts_epoch"]):
+                late = ts * 1000 < watermark
+                if expires is not None and ts <= expires and (not late or ts >= created):
+                    out.append((key[0], ts, True, created, expires, late))
+                elif late:
+                    out.append((key[0], ts, None, None, None, True))
+                else:
+                    created, expires = ts, ts + 86400
+                    out.append((key[0], ts, False, created, expires, False))
+            if expires != before:
+                if before is not None:
+                    self.handle.deleteTimer(before * 1000 + 1)
+                self.handle.registerTimer(expires * 1000 + 1)
+                self.key.update((created, expires))
+            yield pd.DataFrame(out, columns=columns).astype({"replay": object, "key_created_at": "Int64", "key_expires_at": "Int64"})
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            if self.key.exists() and self.key.get()[1] * 1000 < timerValues.getCurrentWatermarkInMs():
+                self.key.clear()
+            yield pd.DataFrame([], columns=columns)
+
+        def close(self) -> None:
+            pass
+
+    return IdempotencyKeys()
 
 
 # ----------------------------------------------------------- STR-05/06 ---

@@ -156,3 +156,62 @@ def test_bulk_status_only_status_and_user_scoped_delete(spark):
     assert left.count() == 3
     left = mutate.delete_completed(_tasks(spark), F.col("user_id") == "u1")
     assert sorted(r.task_id for r in left.collect()) == ["t1", "t3"]
+
+
+def test_keys_chained_by_jumps_equal_the_fold(spark, monkeypatch):
+    """Random times of several ids, one of them with a third of all rows over a year, gaps of many lives, and times at the very expiry."""
+    import random
+    r = random.Random(3)
+    day = 86400
+    rows = [("hot", r.randint(0, 365 * day)) for _ in range(1500)] + [(f"i{r.randint(0, 40)}", r.randint(0, 20 * day)) for _ in range(1500)]
+    rows += [("edge", t) for t in (0, day, day + 1, 2 * day + 1, 2 * day + 2, 3 * day + 3, 50 * day, 51 * day + 1)] + [("one", 7), ("one", 7)]
+    df = spark.createDataFrame(rows, "request_id string, ts_epoch long")
+    want = {}
+    for rid, t in sorted(rows):
+        own = want.setdefault(rid, [])
+        if not own or t > own[-1] + day:
+            own.append(t)
+    want = sorted((k, t, t + day) for k, own in want.items() for t in own)
+    assert sorted(map(tuple, mutate.chained_by_jumps(df).collect())) == want
+    monkeypatch.setattr(mutate, "FOLD_REQUESTS", 1000)
+    assert sorted(map(tuple, mutate.chained_keys(df).collect())) == want
+    assert mutate.chained_by_jumps(df.limit(0)).count() == 0
+
+
+def test_copy_on_write_rewrites_the_touched_range_alone(spark, tmpdir_path):
+    from tessera.sinks import versions
+    root = f"{tmpdir_path}/t"
+    tasks = spark.range(1000).select(F.col("id").alias("task_id"), F.lit("A").alias("title"), F.lit("pending").alias("status"),
+                                     F.lit(0).cast("bigint").alias("updated_at"))
+    bounds = versions.range_bounds(tasks, "task_id", 10)
+    bucket = versions.range_bucket("task_id", bounds)
+    versions.write_version(spark, root, tasks.withColumn("bucket", bucket), 1, ())
+    low = bounds[4]
+    upd = spark.range(low, low + 10).select(F.col("id").alias("task_id"), F.col("id").alias("seq"), F.lit("completed").alias("status"),
+                                            F.lit(None).cast("string").alias("title"))
+    change = lambda rows, req: mutate.update_tasks(rows, req, F.lit(9).cast("bigint"), key=("task_id",))[0]
+    for _ in range(2):    # run again it starts from the version before
+        done = versions.rewrite(spark, root, tasks.schema, 2, bucket, upd, change)
+        assert done["touched"] == [5] and all("/version=1/bucket=5/" in f for f in done["read"])
+    listed = versions.manifest(spark, root, 2)
+    assert {b for b, w in listed.items() if w == 2} == {5} and len(listed) == len(bounds) + 1
+    new = versions.read_version(spark, root, tasks.schema, 2)
+    assert new.count() == 1000 and new.filter("status = 'completed' and updated_at = 9").count() == 10
+    assert versions.read_version(spark, root, tasks.schema, 1).filter("status = 'completed'").count() == 0
+    # a range that loses all its rows leaves the table
+    versions.rewrite(spark, root, tasks.schema, 3, bucket, upd, lambda rows, req: rows.limit(0))
+    assert 5 not in versions.manifest(spark, root, 3)
+
+
+def test_trigram_index_equals_the_scan_and_opens_few_buckets(spark, tmpdir_path):
+    from tessera.operators import lookup, textindex
+    rows = [(i, f"Task {i}", f"Étude of user {i % 7}") for i in range(300)] + [(300, None, None), (301, "", "ab"), (302, "xTASK", None)]
+    df = spark.createDataFrame(rows, "id long, title string, description string")
+    textindex.write_index(df, f"{tmpdir_path}/x", "id", "title", "description")
+    for pattern in ("task 1", "TASK", "étude", "r 3", "ab", "", "t", "none such", "k 2é", "299\nét"):
+        got = sorted(r.id for r in textindex.search(df, f"{tmpdir_path}/x", "id", pattern, "title", "description").collect())
+        assert got == sorted(r.id for r in lookup.search_tasks(df, pattern).collect()), pattern
+    import re
+    opened = textindex.candidates(spark, f"{tmpdir_path}/x", "task 1", "bigint")
+    plan = opened._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[.*bucket", plan)
