@@ -182,7 +182,7 @@ def _make_idempotency_keys():
 
         def handleInputRows(self, key, rows, timerValues):
             watermark = timerValues.getCurrentWatermarkInMs()
-            created, expires = tuple(self.key.get()) if self.key.exists() else (None, None)
+            created, expires = tuple(self.key.get() or (None, None))
             before, out = expires, []
             for ts in sorted(int(t) for frame in rows for t in frame["ts_epoch"]):
                 late = ts * 1000 < watermark
@@ -198,12 +198,12 @@ def _make_idempotency_keys():
                     self.handle.deleteTimer(before * 1000 + 1)
                 self.handle.registerTimer(expires * 1000 + 1)
                 self.key.update((created, expires))
-            yield pd.DataFrame(out, columns=columns).astype({"replay": object, "key_created_at": "Int64", "key_expires_at": "Int64"})
+            yield pd.DataFrame(out, columns=columns, dtype=object)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            if self.key.exists() and self.key.get()[1] * 1000 < timerValues.getCurrentWatermarkInMs():
-                self.key.clear()
-            yield pd.DataFrame([], columns=columns)
+            # an id has one timer, that of its live key
+            self.key.clear()
+            yield from ()
 
         def close(self) -> None:
             pass
@@ -289,32 +289,37 @@ def _make_task_machine(keep_ms: int):
         return change[2], int(seq) if seq is not None and seq.isdigit() else -1
 
     class TaskMachine(StatefulProcessor):
+        """State: ``own``, the last applied change and the one timer set, read and written once a call; and the waiting changes."""
+
         def init(self, handle) -> None:
             self.handle = handle
             self.waiting = handle.getListState("waiting", _CHANGE)
-            self.current = handle.getValueState("current", _CHANGE)
-            self.timer = handle.getValueState("timer", "ms long")
-            self.passed = -1    # timers up to it have done their work
-
-        def _set_timer(self, ms: int) -> None:
-            """One timer a task, at the earliest time at which something is to be done."""
-            if self.timer.exists():
-                known = self.timer.get()[0]
-                if known <= ms and known > self.passed:
-                    return
-                self.handle.deleteTimer(known)
-            self.handle.registerTimer(ms)
-            self.timer.update((ms,))
-
-        def _now(self) -> tuple:
-            return tuple(self.current.get()) if self.current.exists() else (None, None, None)
-
-        def _apply(self, key, watermark: int) -> list[tuple]:
-            """Apply what waits and the watermark has passed; sets the next timer."""
-            self.passed = watermark
-            waiting = [tuple(c) for c in self.waiting.get()] if self.waiting.exists() else []
+            self.own = handle.getValueState("own", _CHANGE + ", timer long")
+
+        def _load(self) -> tuple[tuple, int | None]:
+            own = self.own.get()
+            return (tuple(own[:3]), own[3]) if own else ((None, None, None), None)
+
+        def _save(self, now: tuple, timer: int | None) -> None:
+            if timer is None:
+                self.own.clear()
+            else:
+                self.own.update((*now, timer))
+
+        def _move_timer(self, timer: int | None, to: int | None, watermark: int) -> int | None:
+            if timer is not None and timer > watermark:    # one behind it has fired
+                if timer == to:
+                    return to
+                self.handle.deleteTimer(timer)
+            if to is not None:
+                self.handle.registerTimer(to)
+            return to
+
+        def _apply(self, key, now: tuple, watermark: int) -> tuple[list[tuple], tuple, int | None]:
+            """Apply what waits and the watermark has passed: rows put out, the last change, and when to look again (None: forget the task)."""
+            waiting = [tuple(c) for c in self.waiting.get()]
             rest = [c for c in waiting if c[2] >= watermark]
-            now, out = self._now(), []
+            out = []
             for change in sorted((c for c in waiting if c[2] < watermark), key=place):
                 if change[1] is not None and change[1:] == now[1:]:
                     continue    # the same change again
@@ -322,25 +327,24 @@ def _make_task_machine(keep_ms: int):
                 accepted = not (found == "completed" and status is not None and status != "completed")
                 out.append((key[0], change[1], found, status, accepted, False))
                 now = (status if accepted else found, *change[1:])
-            if len(rest) < len(waiting):
-                self.current.update(now)
-                if rest:
-                    self.waiting.put(rest)
-                else:
-                    self.waiting.clear()
-            if rest:
-                self._set_timer(min(c[2] for c in rest) + 1)
-            elif now[2] is not None and now[2] + keep_ms <= watermark:
-                self.current.clear()
-            elif now[2] is not None:
-                self._set_timer(now[2] + keep_ms)
-            return out
+            if rest and len(rest) < len(waiting):
+                self.waiting.put(rest)
+            elif waiting and not rest:
+                self.waiting.clear()
+            if now[2] is not None and now[2] + keep_ms <= watermark:
+                now = (None, None, None)
+            ahead = min(c[2] for c in rest) + 1 if rest else None if now[2] is None else now[2] + keep_ms
+            return out, now, ahead
 
         def handleInputRows(self, key, rows, timerValues):
-            # Spark hands over new rows before it fires timers: what the watermark has passed comes before them
-            watermark = self.passed = timerValues.getCurrentWatermarkInMs()
-            out = self._apply(key, watermark) if self.timer.exists() and self.timer.get()[0] <= watermark else []
-            now, earliest = self._now(), None
+            watermark = timerValues.getCurrentWatermarkInMs()
+            now, timer = self._load()
+            kept, out = (now, timer), []
+            if timer is not None and timer <= watermark:
+                # Spark hands over new rows before it fires timers: what the watermark has passed comes before them
+                out, now, ahead = self._apply(key, now, watermark)
+                timer = self._move_timer(timer, ahead, watermark)
+            earliest = None
             for frame in rows:
                 fresh = []
                 for status, seq, ms in zip(frame["status"], frame["seq"], frame["ms"]):
@@ -352,18 +356,20 @@ def _make_task_machine(keep_ms: int):
                         out.append((key[0], change[1], now[0], change[0], False, True))
                 if fresh:
                     self.waiting.appendList(fresh)
-                if out:
-                    yield pd.DataFrame(out, columns=columns)
-                    out = []
-            if earliest is not None:
-                self._set_timer(earliest + 1)
+            if earliest is not None and (timer is None or earliest + 1 < timer):
+                timer = self._move_timer(timer, earliest + 1, watermark)
+            if (now, timer) != kept:
+                self._save(now, timer)
             if out:
                 yield pd.DataFrame(out, columns=columns)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            if not self.timer.exists() or self.timer.get()[0] > timerValues.getCurrentWatermarkInMs():
+            watermark = timerValues.getCurrentWatermarkInMs()
+            now, timer = self._load()
+            if timer is None or timer > watermark:
                 return    # its work was done when rows came in
-            out = self._apply(key, timerValues.getCurrentWatermarkInMs())
+            out, now, ahead = self._apply(key, now, watermark)
+            self._save(now, self._move_timer(timer, ahead, watermark))
             if out:
                 yield pd.DataFrame(out, columns=columns)
 

@@ -120,8 +120,8 @@ def test_task_state_is_bounded(spark, tmpdir_path):
         q = stream.writeStream.foreachBatch(lambda b, n: b.count()).option("checkpointLocation", f"{tmpdir_path}/ck").trigger(availableNow=True).start()
         q.awaitTermination()
         assert q.exception() is None
-        held = {name: spark.read.format("statestore").option("stateVarName", name).load(f"{tmpdir_path}/ck") for name in ("waiting", "current")}
-        assert [r[0][0] for r in held["current"].select("key").collect()] == ["b"]
+        held = {name: spark.read.format("statestore").option("stateVarName", name).load(f"{tmpdir_path}/ck") for name in ("waiting", "own")}
+        assert [r[0][0] for r in held["own"].select("key").collect()] == ["b"]
         assert held["waiting"].count() == 2    # those that the watermark, an hour behind the newest, hasn't passed
     finally:
         spark.conf.set(streams.STATE_STORE[0], kept)
