@@ -106,20 +106,32 @@ def extended_user_metrics(silver_tasks: DataFrame) -> DataFrame:
         .withColumn("productivity_score", F.round(F.col("completion_rate") * F.log1p(F.col("total_tasks")), 4))
 
 
-def extended_category_trends(tasks_with_completion: DataFrame) -> DataFrame:
+def category_trends_by_user(user_metrics: DataFrame, segments: DataFrame) -> DataFrame:
+    """AGG-05 where the category is an attribute of the user: the users' task counts (AGG-04) join ``segments``
+    (user_id, category), one row a user on both sides, and are summed per category.  No task row is joined."""
+    own = user_metrics.select("user_id", "total_tasks", "completed_tasks")
+    return own.join(segments, "user_id", "left").groupBy("category").agg(
+        F.sum("total_tasks").alias("total_tasks"), F.sum("completed_tasks").alias("completed_tasks"))
+
+
+def extended_category_trends(tasks_with_completion: DataFrame, segments: DataFrame | None = None) -> DataFrame:
     """AGG-17: per category, + high priority count, avg days to complete, rate.
 
     Input: task rows with ``status``, ``priority``, ``category``,
-    ``created_at`` and ``completed_at`` (epoch seconds).
+    ``created_at`` and ``completed_at`` (epoch seconds).  With ``segments`` (user_id, category) the
+    category is the user's: tasks have ``user_id`` and are summed up per user before the join.
     """
-    days = (F.col("completed_at") - F.col("created_at")) / 86400.0
-    return tasks_with_completion.groupBy("category").agg(
-        F.count(F.lit(1)).alias("total_tasks"),
-        _status_count("completed").alias("completed_tasks"),
-        F.count_if(F.col("priority") == "high").alias("high_priority_tasks"),
-        F.round(F.avg(F.when(F.col("completed_at").isNotNull(), days)), 4).alias("avg_completion_days"),
-        F.round(_status_count("completed") * 100.0 / F.count(F.lit(1)), 4).alias("completion_rate"),
-    )
+    days = F.when(F.col("completed_at").isNotNull(), (F.col("completed_at") - F.col("created_at")) / 86400.0)
+    own = tasks_with_completion.groupBy("category" if segments is None else "user_id").agg(
+        F.count(F.lit(1)).alias("total"), _status_count("completed").alias("completed"),
+        F.count_if(F.col("priority") == "high").alias("high"), F.sum(days).alias("days"), F.count(days).alias("timed"))
+    if segments is not None:
+        own = own.join(segments, "user_id", "left")
+    done = F.sum("completed")
+    return own.groupBy("category").agg(
+        F.sum("total").alias("total_tasks"), done.alias("completed_tasks"), F.sum("high").alias("high_priority_tasks"),
+        F.round(F.try_divide(F.sum("days"), F.sum("timed")), 4).alias("avg_completion_days"),
+        F.round(done * 100.0 / F.sum("total"), 4).alias("completion_rate"))
 
 
 def extended_user_analytics(user_analytics: DataFrame, logins: DataFrame, as_of: str) -> DataFrame:

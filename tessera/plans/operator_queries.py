@@ -27,7 +27,7 @@ TODAY = "2024-01-31"
 
 def _metrics_now():
     # 30 days before it lies within the events' month: some users are active, some are not
-    return F.lit("2024-02-15 00:00:00").cast("timestamp")
+    return F.lit("2024-02-27 00:00:00").cast("timestamp")
 
 
 def _now():
@@ -102,7 +102,7 @@ def entity_census(spark, sf_dir):
 # ------------------------------------------------------------ metrics ---
 
 def _metrics_sql(state_cte: str, state_name: str) -> str:
-    cutoff = "strftime(TIMESTAMP '2024-01-16 00:00:00', '%Y-%m-%dT%H:%M:%S.%f')"
+    cutoff = "strftime(TIMESTAMP '2024-01-28 00:00:00', '%Y-%m-%dT%H:%M:%S.%f')"
     return f"""WITH {state_cte}, c AS (
   SELECT COUNT(*) FILTER (WHERE "PK" LIKE 'USER#%') AS users,
          COUNT(*) FILTER (WHERE "PK" LIKE 'USER#%' AND last_login > {cutoff}) AS active_users,
@@ -129,7 +129,7 @@ def _metrics_sql(state_cte: str, state_name: str) -> str:
   SELECT 'AverageTasksPerUser', CASE WHEN users > 0 THEN CAST(tasks AS DOUBLE) / users ELSE 0 END, 'Count' FROM c
 )
 SELECT 'App/CustomMetrics' AS namespace, metric, ROUND(CAST(value AS DOUBLE), 6) AS value, unit,
-       TIMESTAMP '2024-02-15 00:00:00' AS ts FROM m"""
+       TIMESTAMP '2024-02-27 00:00:00' AS ts FROM m"""
 
 
 ORDERS_STATE = """state AS (
@@ -445,8 +445,10 @@ def gold_extended_user_metrics(spark, sf_dir):
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY c.c_mktsegment""")
 def gold_extended_category_trends(spark, sf_dir):
     """AGG-17 over the order tasks (completed_at known)."""
-    t = fixtures.state_table(spark, sf_dir).filter(F.col("PK").startswith("TASK#"))
-    return gold.extended_category_trends(t)
+    orders, customer = (fixtures.read_table(spark, sf_dir, t) for t in ("orders", "customer"))
+    tasks = fixtures.order_tasks(orders, None).withColumn("user_id", F.col("user_key").cast("string"))
+    return gold.extended_category_trends(tasks, customer.select(
+        F.col("c_custkey").cast("string").alias("user_id"), F.col("c_mktsegment").alias("category")))
 
 
 @register("gold_daily_active_users", "SELECT CAST(ts AS DATE) AS date, COUNT(DISTINCT user_id) AS active_users FROM events "
