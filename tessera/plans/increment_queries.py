@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import monitor, mutate, silver, textindex
 from ..schemas import ITEM
 from ..session import work_path
-from ..sinks import versions
+from ..sinks import indexes, versions
 from ..sources import fixtures
 from ..streaming import streams
 from . import medallion, model, operator_queries, oracle
@@ -195,3 +195,57 @@ def search_tasks_indexed(spark, sf_dir):
     root = work_path(spark, f"trigrams-{uuid.uuid4().hex}")
     textindex.write_index(tasks, root, "id", "title", "description")
     return textindex.search(tasks, root, "id", "task 1", "title", "description").select("id", "user_id", "title")
+
+
+# ------------------------------------------------------------- stored indexes ---
+#: The index is built of the state before this moment and kept up with the changes from it on.
+_SPLIT = "2024-01-16 00:00:00"
+
+
+def _kept_index(spark, sf_dir, index: indexes.Index) -> str:
+    """The name of an index built of the state at ``_SPLIT`` and kept up to the last change."""
+    envelopes = model.materialize(mutate.changes_with_removes(fixtures.event_changes(spark, sf_dir), F.col("eventTime")), "envelopes")
+    early = F.col("processed_at") < F.lit(_SPLIT).cast("timestamp")
+    name = f"index_{uuid.uuid4().hex}"
+    path = work_path(spark, name)
+    before = model.materialize(mutate.current_state(envelopes.filter(early)), "state")
+    indexes.build(before, index, name, path, 1)
+    touched = envelopes.filter(~early).select("data.PK", "data.SK").distinct()
+    after = mutate.current_state(envelopes).join(touched, ["PK", "SK"], "left_semi")
+    indexes.apply_changes(before.join(touched, ["PK", "SK"], "left_semi"), after, index, name, path, 2)
+    return name
+
+
+def _ranges(spark, sf_dir, prefix: str, low: str, high: str) -> DataFrame:
+    """One range of an index for every user of the events."""
+    users = fixtures.read_table(spark, sf_dir, "events").select("user_id").filter("user_id is not null").distinct()
+    return users.select(F.concat(F.lit(prefix), F.col("user_id").cast("string")).alias("part"), F.lit(low).alias("low"), F.lit(high).alias("high"))
+
+
+def _indexed_sql(condition: str) -> str:
+    return f"WITH {operator_queries.STATE} SELECT \"PK\", \"SK\", status, due_date FROM state WHERE \"PK\" LIKE 'TASK#%' AND {condition}"
+
+
+@register("indexed_tasks_in_progress", _indexed_sql("status = 'in_progress'"))
+def indexed_tasks_in_progress(spark, sf_dir):
+    """FIL-08 / PRJ-14: every user's tasks in progress by the stored status index, after it was kept up with later changes."""
+    name = _kept_index(spark, sf_dir, indexes.BY_STATUS)
+    wanted = _ranges(spark, sf_dir, "USER#", *indexes.prefix_range("STATUS#in_progress#"))
+    return indexes.lookup_many(indexes.BY_STATUS, name, wanted).select("PK", "SK", "status", "due_date")
+
+
+@register("indexed_due_range", _indexed_sql("due_date BETWEEN '2024-01-10' AND '2024-01-20'"))
+def indexed_due_range(spark, sf_dir):
+    """FIL-09 / FIL-13: every user's tasks due in a range of dates by the stored due date index."""
+    name = _kept_index(spark, sf_dir, indexes.BY_DUE_DATE)
+    wanted = _ranges(spark, sf_dir, "USER#", "DUEDATE#2024-01-10#", indexes.prefix_range("DUEDATE#2024-01-20#")[1])
+    return indexes.lookup_many(indexes.BY_DUE_DATE, name, wanted).select("PK", "SK", "status", "due_date")
+
+
+@register("indexed_items", f"""WITH {operator_queries.STATE}, wanted AS (SELECT DISTINCT 'TASK#' || user_id AS pk, 'TASK#' || (user_id * 100 + slot) AS sk
+  FROM ev WHERE event_type = 'click') SELECT s."PK", s."SK", s.status, s.due_date FROM state s JOIN wanted w ON s."PK" = w.pk AND s."SK" = w.sk""")
+def indexed_items(spark, sf_dir):
+    """SRC-06: the items of a batch of keys by the stored index of the items' own keys."""
+    name = _kept_index(spark, sf_dir, indexes.PRIMARY)
+    wanted = operator_queries.clicked_keys(spark, sf_dir)
+    return indexes.get_items(indexes.PRIMARY, name, wanted).select("PK", "SK", "status", "due_date")

@@ -891,15 +891,19 @@ def lookup_all_users(spark, sf_dir):
     return lookup.user_view(lookup.all_users(event_state(spark, sf_dir))).select("id", "email", "name", "created_at")
 
 
+def clicked_keys(spark, sf_dir):
+    """(PK, SK) of the tasks that were clicked on, as often as they were."""
+    events = fixtures.read_table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
+    slot = F.pmod(F.get_json_object("props", "$.k").try_cast("bigint"), F.lit(fixtures.TASKS_PER_USER))
+    return events.select(F.concat(F.lit("TASK#"), F.col("user_id").cast("string")).alias("PK"),
+                         F.concat(F.lit("TASK#"), (F.col("user_id") * 100 + slot).cast("string")).alias("SK"))
+
+
 @register("lookup_items", f"""WITH {STATE}, wanted AS (SELECT DISTINCT 'TASK#' || user_id AS pk, 'TASK#' || (user_id * 100 + slot) AS sk FROM ev WHERE event_type = 'click')
   SELECT s."PK", s."SK", s.status FROM state s JOIN wanted w ON s."PK" = w.pk AND s."SK" = w.sk""")
 def lookup_items(spark, sf_dir):
     """SRC-06: the items of a batch of keys."""
-    events = fixtures.read_table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
-    slot = F.pmod(F.get_json_object("props", "$.k").try_cast("bigint"), F.lit(fixtures.TASKS_PER_USER))
-    wanted = events.select(F.concat(F.lit("TASK#"), F.col("user_id").cast("string")).alias("PK"),
-                           F.concat(F.lit("TASK#"), (F.col("user_id") * 100 + slot).cast("string")).alias("SK"))
-    return lookup.get_items(event_state(spark, sf_dir), wanted).select("PK", "SK", "status")
+    return lookup.get_items(event_state(spark, sf_dir), clicked_keys(spark, sf_dir)).select("PK", "SK", "status")
 
 
 @register("users_without_recent_orders", """SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_name AS name FROM customer
