@@ -267,6 +267,32 @@ def test_cuts_resist_insertions():
         assert i < 16 or slow == int(h[i])
 
 
+def test_chunks_that_stand_elsewhere_apart_are_no_span(spark):
+    """Every chunk of document 0 stands in another document, but no two of them side by side."""
+    table, kinds = substrings._gear_table(), substrings._kinds()
+    text = prose(11, 400)
+    data = text.encode()
+    bounds = substrings.cuts(np.frombuffer(data, np.uint8), table, kinds)[0]
+    pieces = [data[a:b].decode() for a, b in zip(bounds, bounds[1:])]
+    # each chunk alone in a document of its own
+    rows = [(0, text)] + [(i, f"{prose(900 + i, 30)} {p} {prose(1900 + i, 30)}") for i, p in enumerate(pieces, 1)]
+    assert substrings.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).count() == 0
+    # but a stretch of them in order is
+    rows.append((5000, prose(77, 40) + " " + "".join(pieces[10:30]) + " " + prose(78, 40)))
+    got = substrings.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert sorted(got.doc_id) == [0, 5000]
+    span = got[got.doc_id == 0].iloc[0]
+    assert text[span.span_start:span.span_end].strip() in "".join(pieces[10:30])
+
+
+def test_long_chunks_are_cut_on():
+    table, kinds = substrings._gear_table(), substrings._kinds()
+    data = np.frombuffer(prose(5, 4000).encode(), np.uint8)
+    for most in (1, 3, 19):
+        bounds, words = substrings.cuts(data, table, kinds, most_words=most)
+        assert words.max() <= most and words.sum() == 4000 and len(bounds) == len(words) + 1
+
+
 def test_repeated_spans_odd_rows(odd_docs, no_docs):
     got = substrings.repeated_spans(odd_docs).toPandas()
     assert set(got.doc_id.dropna()) == {1, 2, 6, 7}
