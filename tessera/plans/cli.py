@@ -1,6 +1,6 @@
 """Command-line entry to the batch jobs and the shipped queries.
 
-    spark-submit -m tessera.plans.cli bronze --changes <json dir> --bronze <root> [--quarantine <dir>]
+    spark-submit -m tessera.plans.cli bronze --changes <json dir> --bronze <root> --quarantine <dir> --batch <name> [--set-aside]
     spark-submit -m tessera.plans.cli silver --bronze <root> --silver <root> [--mode overwrite|append] [--latest]
     spark-submit -m tessera.plans.cli gold   --silver <root> --gold <root>
     spark-submit -m tessera.plans.cli sql    --gold <root> (--query q03 | --text "SELECT ...") [--out <dir>]
@@ -31,6 +31,7 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     b.add_argument("--bronze", required=True)
     b.add_argument("--quarantine", required=True)
     b.add_argument("--batch", required=True, help="name of this batch; the same name again replaces its output")
+    b.add_argument("--set-aside", action="store_true", help="set files aside that can't be read, and land the others")
     s = sub.add_parser("silver")
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)
@@ -47,6 +48,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     q.add_argument("--out", required=True, help="folder for the whole result")
     a = p.parse_args(argv)
     spark = spark or get_session()
+    if a.cmd == "bronze" and a.set_aside:
+        return medallion.bronze_files_job(spark, src.change_files(spark, a.changes), a.bronze, a.quarantine, a.batch)
     if a.cmd == "bronze":
         return medallion.bronze_job(src.read_changes(spark, a.changes), a.bronze, a.quarantine, a.batch)
     if a.cmd == "silver":

@@ -249,3 +249,39 @@ def indexed_items(spark, sf_dir):
     name = _kept_index(spark, sf_dir, indexes.PRIMARY)
     wanted = operator_queries.clicked_keys(spark, sf_dir)
     return indexes.get_items(indexes.PRIMARY, name, wanted).select("PK", "SK", "status", "due_date")
+
+
+# ------------------------------------------------------------- files set aside ---
+#: The changes come in this many files; those of one are damaged.
+_CHANGE_FILES, _DAMAGED = 8, 3
+
+
+@register("bronze_files_set_aside", f"""WITH {_EV} SELECT CAST(ts AS DATE) AS date, COUNT(*) AS records FROM ev
+  WHERE event_type <> 'error' AND event_id % {_CHANGE_FILES} <> {_DAMAGED} GROUP BY 1
+  UNION ALL SELECT NULL, COUNT(DISTINCT event_id % {_CHANGE_FILES}) FROM ev WHERE event_id % {_CHANGE_FILES} = {_DAMAGED}""")
+def bronze_files_set_aside(spark, sf_dir):
+    """SRC-01: bronze rows per date of change files of which one can't be read; the row without a date counts the files set aside."""
+    from ..sources import lake as src
+    base = work_path(spark, f"change-files-{uuid.uuid4().hex}")
+    changes = fixtures.event_changes(spark, sf_dir)
+    number = F.col("dynamodb.SequenceNumber").cast("bigint") % _CHANGE_FILES
+    lines = changes.select(number.alias("n"), F.to_json(F.struct("eventName", "eventTime", "dynamodb")).alias("line"))
+    for damaged in (False, True):
+        # lines under the name of a compressed file: the reader fails on them
+        (lines.filter((F.col("n") == _DAMAGED) == F.lit(damaged)).repartition(_CHANGE_FILES, "n").write.partitionBy("n")
+         .text(f"{base}/{'damaged' if damaged else 'whole'}"))
+    _name_compressed(spark, f"{base}/damaged/n={_DAMAGED}")
+    files = [f for part in ("whole", "damaged") for f in src.change_files(spark, f"{base}/{part}")]
+    done = medallion.bronze_files_job(spark, files, f"{base}/bronze", f"{base}/quarantine", "b1", attempts=1, now=F.col("eventTime"))
+    landed = src.read_bronze(spark, done["bronze"]).groupBy(F.to_date("processed_at").alias("date")).agg(F.count(F.lit(1)).alias("records"))
+    aside = spark.read.schema("file string, error string").json(f"{base}/quarantine/files")
+    return landed.unionByName(aside.select(F.lit(None).cast("date").alias("date"), "file").groupBy("date").agg(F.countDistinct("file").alias("records")))
+
+
+def _name_compressed(spark, folder: str) -> None:
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(root):
+        path = status.getPath()
+        files.rename(path, jvm.org.apache.hadoop.fs.Path(root, path.getName().removesuffix(".txt") + ".json.gz"))

@@ -7,6 +7,8 @@ the two jobs; within a job nothing is cached on the driver.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,56 @@ def bronze_job(changes: DataFrame, bronze_root: str, quarantine_root: str, batch
     return {"bronze": bronze} | counts
 
 
+#: Tries of a batch, or of a piece of it, before it is halved.
+ATTEMPTS = 3
+#: What a failing Spark job raises.
+JOB_ERRORS = (PySparkException, Py4JError)
+
+
+def bronze_files_job(spark: SparkSession, files: list[str], bronze_root: str, quarantine_root: str, batch: str,
+                     attempts: int = ATTEMPTS, now: Column | None = None) -> dict:
+    """SRC-01: ``bronze_job`` over a batch of change files, of which some may not be readable at all.
+
+    A batch that fails is tried again, ``attempts`` times in all, then halved, and so are its halves, until a
+    file that fails stands alone.  That file is set aside: its name and the error go to the folder ``files`` of the quarantine,
+    and the rest of the batch lands.  One bad file among n costs about 2 log2(n) more jobs.  If no file of several can be handled the
+    fault isn't a file's, and the last error is raised.  The driver holds file names, never records.
+
+    Run again, the job replaces all that it wrote before, in whatever pieces.  No files: nothing is written.
+    """
+    folders = (f"{bronze_root.rstrip('/')}/cdc", quarantine_root, f"{quarantine_root.rstrip('/')}/files")
+    for folder in folders:
+        sink.remove_batches(spark, folder, batch)
+    counts = dict.fromkeys(("processed", "failed", "skipped", "records"), 0)
+    bad: list[tuple[str, str]] = []
+    pieces = [(0, len(files))] if files else []
+    while pieces:
+        first, end = pieces.pop()
+        name = sink.piece_name(batch, first, end)
+        error = None
+        for _ in range(attempts):
+            try:
+                done = bronze_job(src.read_changes(spark, files[first:end]), bronze_root, quarantine_root, name, now)
+                counts = {c: n + done[c] for c, n in counts.items()}
+                break
+            except JOB_ERRORS as e:
+                error = e
+        else:
+            for folder in folders[:2]:
+                sink.remove_batches(spark, folder, name)  # of a try that failed between its outputs
+            if end - first > 1:
+                middle = (first + end) // 2
+                pieces += [(middle, end), (first, middle)]
+                continue
+            bad.append((files[first], str(error)))
+            if len(bad) == len(files) > 1:
+                raise error
+    if bad:
+        sink.quarantine(spark.createDataFrame(bad, "file string, error string").coalesce(1), folders[2],
+                        sink.piece_name(batch, 0, len(files)))
+    return {"bronze": folders[0], "set_aside": [f for f, _ in bad]} | counts
+
+
 def silver_job(spark: SparkSession, bronze_root: str, silver_root: str, mode: str = "overwrite",
                latest: bool = False) -> dict:
     """Silver: cdc (flat changes), users and tasks from ONE bronze read.

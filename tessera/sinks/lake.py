@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_parts
 
 PARTS = ["year", "month", "day"]
+#: Parts a batch's name from the piece of it that a folder holds.
+PIECE = ".files-"
 
 
 #: Rows of a bronze file at most: gzip JSON can't be split, so its size bounds a read task.
@@ -48,6 +50,24 @@ def quarantine(bad: DataFrame, path: str, batch: str | int) -> None:
     bad.write.mode("overwrite").json(f"{path.rstrip('/')}/batch={batch}")
 
 
+def remove_batches(spark: SparkSession, path: str, batch: str) -> None:
+    """Remove the folder of ``batch`` under ``path``, and those of its pieces."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return
+    for status in files.listStatus(root):
+        name = status.getPath().getName()
+        if name == f"batch={batch}" or name.startswith(f"batch={batch}{PIECE}"):
+            files.delete(status.getPath(), True)
+
+
+def piece_name(batch: str, first: int, end: int) -> str:
+    """The batch name of files ``first`` up to ``end`` of a batch."""
+    return f"{batch}{PIECE}{first}-{end}"
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """SNK-05: metric points appended, grouped by namespace."""
     metrics.write.mode("append").partitionBy("namespace").parquet(path)

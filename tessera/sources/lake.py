@@ -19,7 +19,7 @@ from ..schemas import APP_LOG, CDC_ENVELOPE, CHANGE_RECORD
 FILES_PER_TRIGGER = 100
 
 
-def read_changes(spark: SparkSession, path: str, stream: bool = False, files_per_trigger: int | None = None) -> DataFrame:
+def read_changes(spark: SparkSession, path: str | list[str], stream: bool = False, files_per_trigger: int | None = None) -> DataFrame:
     """SRC-01: change records (JSON lines, tagged images as variant).
 
     A line that is no JSON record keeps its text in ``_corrupt_record``.
@@ -31,6 +31,11 @@ def read_changes(spark: SparkSession, path: str, stream: bool = False, files_per
     return spark.read.schema(CHANGE_RECORD).json(path)
 
 
+def change_files(spark: SparkSession, path: str) -> list[str]:
+    """The files that a read of ``path`` would open, in order of their names; none is opened."""
+    return sorted(spark.read.schema("value string").text(path).inputFiles())
+
+
 def _partition_filter(df: DataFrame, dates: Iterable | None) -> DataFrame:
     if not dates:
         return df
