@@ -29,10 +29,6 @@ def parse_iso_date(c: Column) -> Column:
     return F.call_function("try_to_date", c, F.lit("yyyy-MM-dd"))
 
 
-def parse_iso_ts(c: Column) -> Column:
-    return F.try_to_timestamp(c)
-
-
 def change_order(processed_at: Column, sequence_number: Column) -> Column:
     """Total order of changes: arrival time, then the numeric sequence number.
 

@@ -157,10 +157,6 @@ def tag_n(c: Column) -> Column:
     return _tag(c.cast("string"), "N")
 
 
-def tag_bool(c: Column) -> Column:
-    return _tag(c.cast("boolean"), "BOOL")
-
-
 def encode_item(cols: dict[str, Column]) -> Column:
     """Build a tagged image (variant) from ``{name: tagged struct column}``.
 

@@ -74,14 +74,6 @@ def task_keys(user_id: Column, task_id: Column, status: Column, priority: Column
     }
 
 
-def user_keys(user_id: Column) -> dict[str, Column]:
-    return {"PK": F.concat(F.lit(USER_PREFIX), user_id.cast("string")), "SK": F.lit(METADATA_SK)}
-
-
-def idempotency_keys(request_id: Column) -> dict[str, Column]:
-    return {"PK": F.concat(F.lit(IDEMPOTENCY_PREFIX), request_id), "SK": F.lit(METADATA_SK)}
-
-
 def _blank_to_null(c: Column) -> Column:
     return F.when(F.length(c) > 0, c)
 
