@@ -18,8 +18,8 @@ from .catalog import register
 
 #: The events come in this many deliveries, interleaved, so keys are touched by all of them and times go back.
 DELIVERIES = 3
-#: Files of a delivery.
-FILES = 4
+#: Files of a delivery at least, and rows of a file at most: the tasks that read a delivery grow with it.
+FILES, FILE_ROWS = 4, 50_000
 
 
 def _increments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +34,11 @@ def _increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.entities_of_partials(medallion.partials_of_version(spark, f"{root}/state", DELIVERIES))
 
 
+def _files(rows: int) -> int:
+    """Files of a delivery of about ``rows`` rows."""
+    return max(FILES, -(-rows // FILE_ROWS))
+
+
 def delivered_stream(spark: SparkSession, rows: DataFrame, arrival_seconds, time_col: str | None) -> DataFrame:
     """``rows`` as a file stream of several deliveries by arrival, one a micro-batch, and with a ``time_col`` a closing one.
 
@@ -41,16 +46,18 @@ def delivered_stream(spark: SparkSession, rows: DataFrame, arrival_seconds, time
     """
     folder = work_path(spark, f"deliveries-{uuid.uuid4().hex}")
     timed = rows.withColumn("_arrival", arrival_seconds)
-    first, last, newest = timed.agg(F.min("_arrival"), F.max("_arrival"), F.max(F.unix_seconds(time_col) if time_col else F.lit(0))).first()
+    first, last, newest, count = timed.agg(F.min("_arrival"), F.max("_arrival"), F.max(F.unix_seconds(time_col) if time_col else F.lit(0)),
+                                           F.count("_arrival")).first()
     if first is None:
         first, last, newest = 0, 0, 0
     width = (last - first) // DELIVERIES + 1
+    files = _files(count // DELIVERIES)
     for n in range(DELIVERIES):
         part = timed.filter((F.col("_arrival") >= first + n * width) & (F.col("_arrival") < first + (n + 1) * width)).drop("_arrival")
-        part.repartition(FILES).write.parquet(f"{folder}/delivery={n}")
+        part.repartition(files).write.parquet(f"{folder}/delivery={n}")
     if time_col:
         _close(spark, rows, time_col, newest, f"{folder}/delivery={DELIVERIES}")
-    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).option("recursiveFileLookup", "true")
+    return (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).option("recursiveFileLookup", "true")
             .parquet(folder))
 
 

@@ -141,9 +141,16 @@ def forget_landed(spark: SparkSession, landed: str, keep_days: int) -> list[str]
 
 
 REPLAY_SCHEMA = "request_id string, ts_epoch long, replay boolean, key_created_at long, key_expires_at long, late boolean"
+#: Groups that many ids or tasks are dealt into by hash; a group is one call and one state list a micro-batch.
+#: A running stream keeps its number: its state lies by group.
+GROUPS = 1024
 
 
-def idempotency_stream(requests: DataFrame, delay_seconds: int = 3600) -> DataFrame:
+def _group(key: str, groups: int | None) -> Column:
+    return F.col(key) if groups is None else F.pmod(F.xxhash64(key), F.lit(groups))
+
+
+def idempotency_stream(requests: DataFrame, delay_seconds: int = 3600, groups: int | None = GROUPS) -> DataFrame:
     """STR-04 exact: classify each request (request_id, ts_epoch) as a replay
     of a live key or as a new key, with windows chained per id.
 
@@ -151,14 +158,15 @@ def idempotency_stream(requests: DataFrame, delay_seconds: int = 3600) -> DataFr
     removes it when the watermark, ``delay_seconds`` behind the newest request, has
     passed the key's expiry.  A request that comes later than the delay makes no key;
     it is returned with ``late``: a replay if the key of its id held then lived at its time, else of
-    unknown answer (null).  The rows handled per call are one id's requests
+    unknown answer (null).  Ids are dealt into ``groups``, so that a call and its state access serve many ids (None: each
+    id by itself).  The rows handled per call are one group's requests
     of one micro-batch (bounded by the trigger size).  Needs the RocksDB state store (``ROCKSDB``).
     """
     step = _make_idempotency_keys()
     # the time goes on as a plain number: late requests are to be answered, not filtered away
     timed = requests.select("request_id", "ts_epoch", F.timestamp_seconds("ts_epoch").alias("_at")) \
-        .withWatermark("_at", f"{delay_seconds} seconds").select("request_id", "ts_epoch")
-    return timed.groupBy("request_id").transformWithStateInPandas(step, REPLAY_SCHEMA, "Append", "eventTime")
+        .withWatermark("_at", f"{delay_seconds} seconds").select(_group("request_id", groups).alias("group"), "request_id", "ts_epoch")
+    return timed.groupBy("group").transformWithStateInPandas(step, REPLAY_SCHEMA, "Append", "eventTime")
 
 
 def _make_idempotency_keys():
@@ -169,7 +177,7 @@ def _make_idempotency_keys():
     columns = ["request_id", "ts_epoch", "replay", "key_created_at", "key_expires_at", "late"]
 
     class IdempotencyKeys(StatefulProcessor):
-        """State per request id: the live key's (created_at, expires_at).
+        """State per group: the live key (created_at, expires_at) of each of its ids, and the one timer set.
 
         A request at or before the expiry replays the key; a later one creates
         a new key valid for 24 h from that request (expired only when strictly
@@ -178,31 +186,54 @@ def _make_idempotency_keys():
 
         def init(self, handle) -> None:
             self.handle = handle
-            self.key = handle.getValueState("key", "created long, expires long")
+            self.keys = handle.getListState("keys", "request_id string, created long, expires long")
+            self.timer = handle.getValueState("timer", "at long")
+
+        def _load(self) -> dict:
+            return {rid: (created, expires) for rid, created, expires in self.keys.get()}
+
+        def _save(self, held: dict, watermark: int, timer: int | None) -> None:
+            """Keep the keys that the watermark has not passed, and look again when it passes the first of them; ``timer`` is still to fire."""
+            live = [(rid, *key) for rid, key in held.items() if key[1] * 1000 >= watermark]
+            to = min(key[2] for key in live) * 1000 + 1 if live else None
+            if timer is not None and timer != to:
+                self.handle.deleteTimer(timer)
+            if to is None:
+                self.keys.clear()
+                self.timer.clear()
+                return
+            self.keys.put(live)
+            if timer != to:
+                self.handle.registerTimer(to)
+                self.timer.update((to,))
 
         def handleInputRows(self, key, rows, timerValues):
             watermark = timerValues.getCurrentWatermarkInMs()
-            created, expires = tuple(self.key.get() or (None, None))
-            before, out = expires, []
-            for ts in sorted(int(t) for frame in rows for t in frame["ts_epoch"]):
-                late = ts * 1000 < watermark
-                if expires is not None and ts <= expires and (not late or ts >= created):
-                    out.append((key[0], ts, True, created, expires, late))
-                elif late:
-                    out.append((key[0], ts, None, None, None, True))
-                else:
-                    created, expires = ts, ts + 86400
-                    out.append((key[0], ts, False, created, expires, False))
-            if expires != before:
-                if before is not None:
-                    self.handle.deleteTimer(before * 1000 + 1)
-                self.handle.registerTimer(expires * 1000 + 1)
-                self.key.update((created, expires))
+            held, timer = self._load(), self.timer.get()
+            asked: dict = {}
+            for frame in rows:
+                for rid, ts in zip(frame["request_id"], frame["ts_epoch"]):
+                    asked.setdefault(rid, []).append(int(ts))
+            out = []
+            for rid, times in asked.items():
+                created, expires = held.get(rid, (None, None))
+                for ts in sorted(times):
+                    late = ts * 1000 < watermark
+                    if expires is not None and ts <= expires and (not late or ts >= created):
+                        out.append((rid, ts, True, created, expires, late))
+                    elif late:
+                        out.append((rid, ts, None, None, None, True))
+                    else:
+                        created, expires = ts, ts + 86400
+                        out.append((rid, ts, False, created, expires, False))
+                if expires is not None:
+                    held[rid] = (created, expires)
+            # a key that the watermark has passed answered the late requests of this micro-batch, then goes
+            self._save(held, watermark, timer and timer[0])
             yield pd.DataFrame(out, columns=columns, dtype=object)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            # an id has one timer, that of its live key
-            self.key.clear()
+            self._save(self._load(), timerValues.getCurrentWatermarkInMs(), None)
             yield from ()
 
         def close(self) -> None:

@@ -299,6 +299,37 @@ def test_idempotency_state_expires(spark, tmpdir_path):
                    ("c", 2 * day + 31): (True, True), ("b", 20): (None, True), ("e", day): (None, True), ("q", 2 * day + 8000): (False, False), ("z", 9 * day): (False, False)}
 
 
+def _held(spark, stream, checkpoint, *names):
+    """Rows of state that a stream run to its end holds, by state variable, and how many rows it put out."""
+    kept, out = spark.conf.get(*streams.STATE_STORE), []
+    spark.conf.set(streams.STATE_STORE[0], streams.ROCKSDB)
+    try:
+        q = stream.writeStream.foreachBatch(lambda b, n: out.append(b.count())).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert q.exception() is None
+        held = {n: spark.read.format("statestore").option("stateVarName", n).load(checkpoint).count() for n in names}
+    finally:
+        spark.conf.set(streams.STATE_STORE[0], kept)
+    return held, sum(out)
+
+
+def test_idempotency_groups_share_state_and_give_the_same_rows(spark, tmpdir_path):
+    """Ids dealt into groups: one timer and one call a group; rows as with a state per id, late requests and expired keys too."""
+    import random
+    import time as _t
+    r, base = random.Random(4), 1_700_000_000
+    for i in range(3):
+        rows = [(f"r{r.randrange(30)}", base + r.randrange(max(0, i - 1) * 90_000, (i + 1) * 90_000)) for _ in range(100)] + [(None, base + i)]
+        spark.createDataFrame(rows, "request_id string, ts_epoch long").coalesce(1).write.parquet(f"{tmpdir_path}/in/p{i}")
+        _t.sleep(1.1)
+    s = spark.readStream.schema("request_id string, ts_epoch long").option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", "true").parquet(f"{tmpdir_path}/in")
+    rows = {g: sorted(map(str, streams.replay_to_table(spark, streams.idempotency_stream(s, groups=g), "g", rocksdb=True).collect())) for g in (None, 2)}
+    assert rows[2] == rows[None] and any("late=True" in x for x in rows[2])
+    held, n = _held(spark, streams.idempotency_stream(s, groups=2), f"{tmpdir_path}/ck", "timer", "keys")
+    assert n == 303 and held["timer"] == 2 < held["keys"]
+
+
 def test_cli_end_to_end(spark, tmpdir_path):
     from conftest import change, task_image, user_image, write_jsonl
     from tessera.plans import cli
