@@ -603,7 +603,7 @@ def stream_task_state_machine(spark, sf_dir):
         F.col("eventTime").cast("timestamp").alias("event_time"))
     seconds = F.unix_seconds("event_time") + _delay(F.col("sequence_number").cast("bigint"))
     stream = delivered_stream(spark, tc, seconds, "event_time")
-    out = streams.replay_to_table(spark, streams.task_state_machine(stream, "3 days"), "task_machine", rocksdb=True)
+    out = streams.replay_to_table(spark, streams.task_state_machine(stream, "3 days", groups=streams.GROUPS), "task_machine", rocksdb=True)
     return out.filter("task_id is not null")
 
 

@@ -284,24 +284,25 @@ TRANSITION_SCHEMA = "task_id string, sequence_number string, prev_status string,
 _CHANGE = "status string, seq string, ms long"
 
 
-def task_state_machine(task_changes: DataFrame, delay: str = "10 minutes", keep_days: int = 400) -> DataFrame:
+def task_state_machine(task_changes: DataFrame, delay: str = "10 minutes", keep_days: int = 400, groups: int | None = None) -> DataFrame:
     """STR-07: per-task status machine over a change stream, in event order whatever the order of arrival.
 
     ``task_changes``: (task_id, status, sequence_number, event_time).  A change
-    waits in its task's list state until the watermark, ``delay`` behind the
+    waits in list state until the watermark, ``delay`` behind the
     newest event, has passed it; a timer then applies what waits in the
     order of event time, then numeric sequence.  A change that moves a completed task to another status is
     rejected (not applied); a REMOVE (status null) resets the task; the same change again counts once.  One that arrives
     behind the watermark, or has no event time, is reported as ``late`` and not applied.  Of a task
     the last applied change is kept, until ``keep_days`` without another one.
 
-    Needs the RocksDB state store (``ROCKSDB``).
+    Each task has a state of its own, or ``groups`` of tasks share one, so that a call and its state access serve many
+    tasks (``GROUPS`` for many tasks with few changes each); the rows are the same.  Needs the RocksDB state store (``ROCKSDB``).
     """
     step = _make_task_machine(keep_days * 86_400_000)
     # the event time goes on as a plain number: late changes are to be reported, not filtered away before the machine
     timed = task_changes.withWatermark("event_time", delay).select(
-        "task_id", "status", F.col("sequence_number").alias("seq"), F.unix_millis("event_time").alias("ms"))
-    return timed.groupBy("task_id").transformWithStateInPandas(step, TRANSITION_SCHEMA, "Append", "eventTime")
+        _group("task_id", groups).alias("group"), "task_id", "status", F.col("sequence_number").alias("seq"), F.unix_millis("event_time").alias("ms"))
+    return timed.groupBy("group").transformWithStateInPandas(step, TRANSITION_SCHEMA, "Append", "eventTime")
 
 
 def _make_task_machine(keep_ms: int):
@@ -311,6 +312,7 @@ def _make_task_machine(keep_ms: int):
     from pyspark.sql.streaming import StatefulProcessor
 
     columns = ["task_id", "sequence_number", "prev_status", "status", "accepted", "late"]
+    nothing = (None, None, None)
 
     def text(value):
         return None if value is None or pd.isna(value) else str(value)
@@ -320,87 +322,94 @@ def _make_task_machine(keep_ms: int):
         return change[2], int(seq) if seq is not None and seq.isdigit() else -1
 
     class TaskMachine(StatefulProcessor):
-        """State: ``own``, the last applied change and the one timer set, read and written once a call; and the waiting changes."""
+        """State per group: ``own``, the last applied change of each of its tasks; the waiting changes; and the one timer set."""
 
         def init(self, handle) -> None:
             self.handle = handle
-            self.waiting = handle.getListState("waiting", _CHANGE)
-            self.own = handle.getValueState("own", _CHANGE + ", timer long")
-
-        def _load(self) -> tuple[tuple, int | None]:
-            own = self.own.get()
-            return (tuple(own[:3]), own[3]) if own else ((None, None, None), None)
+            self.waiting = handle.getListState("waiting", "task_id string, " + _CHANGE)
+            self.own = handle.getListState("own", "task_id string, " + _CHANGE)
+            self.timer = handle.getValueState("timer", "at long")
 
-        def _save(self, now: tuple, timer: int | None) -> None:
-            if timer is None:
-                self.own.clear()
-            else:
-                self.own.update((*now, timer))
+        def _load(self) -> dict:
+            return {row[0]: tuple(row[1:]) for row in self.own.get()}
 
-        def _move_timer(self, timer: int | None, to: int | None, watermark: int) -> int | None:
+        def _move_timer(self, timer: int | None, to: int | None, watermark: int) -> None:
+            if timer == to:
+                return
             if timer is not None and timer > watermark:    # one behind it has fired
-                if timer == to:
-                    return to
                 self.handle.deleteTimer(timer)
-            if to is not None:
+            if to is None:
+                self.timer.clear()
+            else:
                 self.handle.registerTimer(to)
-            return to
+                self.timer.update((to,))
 
-        def _apply(self, key, now: tuple, watermark: int) -> tuple[list[tuple], tuple, int | None]:
-            """Apply what waits and the watermark has passed: rows put out, the last change, and when to look again (None: forget the task)."""
-            waiting = [tuple(c) for c in self.waiting.get()]
-            rest = [c for c in waiting if c[2] >= watermark]
+        def _put(self, state, rows: list) -> None:
+            state.put(rows) if rows else state.clear()
+
+        def _apply(self, now: dict, watermark: int) -> tuple[list[tuple], int | None]:
+            """Apply what waits and the watermark has passed: rows put out, and when to look again (None: nothing is kept); ``now`` is changed."""
+            rest, due = [], {}
+            for row in self.waiting.get():
+                if row[3] < watermark:
+                    due.setdefault(row[0], []).append(tuple(row[1:]))
+                else:
+                    rest.append(tuple(row))
             out = []
-            for change in sorted((c for c in waiting if c[2] < watermark), key=place):
-                if change[1] is not None and change[1:] == now[1:]:
-                    continue    # the same change again
-                status, found = change[0], now[0]
-                accepted = not (found == "completed" and status is not None and status != "completed")
-                out.append((key[0], change[1], found, status, accepted, False))
-                now = (status if accepted else found, *change[1:])
-            if rest and len(rest) < len(waiting):
-                self.waiting.put(rest)
-            elif waiting and not rest:
-                self.waiting.clear()
-            if now[2] is not None and now[2] + keep_ms <= watermark:
-                now = (None, None, None)
-            ahead = min(c[2] for c in rest) + 1 if rest else None if now[2] is None else now[2] + keep_ms
-            return out, now, ahead
+            for task, changes in due.items():
+                last = now.get(task, nothing)
+                for change in sorted(changes, key=place):
+                    if change[1] is not None and change[1:] == last[1:]:
+                        continue    # the same change again
+                    status, found = change[0], last[0]
+                    accepted = not (found == "completed" and status is not None and status != "completed")
+                    out.append((task, change[1], found, status, accepted, False))
+                    last = (status if accepted else found, *change[1:])
+                now[task] = last
+            if due:
+                self._put(self.waiting, rest)
+            waits = {row[0] for row in rest}
+            old = [task for task, last in now.items() if last[2] + keep_ms <= watermark and task not in waits]
+            for task in old:
+                del now[task]
+            if due or old:
+                self._put(self.own, [(task, *last) for task, last in now.items()])
+            # a task with changes that wait is kept until they are applied
+            ahead = [row[3] + 1 for row in rest] + [last[2] + keep_ms for task, last in now.items() if task not in waits]
+            return out, min(ahead, default=None)
 
         def handleInputRows(self, key, rows, timerValues):
             watermark = timerValues.getCurrentWatermarkInMs()
-            now, timer = self._load()
-            kept, out = (now, timer), []
+            held = self.timer.get()
+            timer = to = held[0] if held else None
+            now, out = self._load(), []
             if timer is not None and timer <= watermark:
                 # Spark hands over new rows before it fires timers: what the watermark has passed comes before them
-                out, now, ahead = self._apply(key, now, watermark)
-                timer = self._move_timer(timer, ahead, watermark)
-            earliest = None
+                out, to = self._apply(now, watermark)
             for frame in rows:
                 fresh = []
-                for status, seq, ms in zip(frame["status"], frame["seq"], frame["ms"]):
-                    change = (text(status), text(seq), None if pd.isna(ms) else int(ms))
+                for task, status, seq, ms in zip(frame["task_id"], frame["status"], frame["seq"], frame["ms"]):
+                    task, change = text(task), (text(status), text(seq), None if pd.isna(ms) else int(ms))
                     if change[2] is not None and change[2] >= watermark:
-                        fresh.append(change)
-                        earliest = change[2] if earliest is None else min(earliest, change[2])
-                    elif change != now:
-                        out.append((key[0], change[1], now[0], change[0], False, True))
+                        fresh.append((task, *change))
+                        to = change[2] + 1 if to is None else min(to, change[2] + 1)
+                    else:
+                        last = now.get(task, nothing)
+                        if change != last:
+                            out.append((task, change[1], last[0], change[0], False, True))
                 if fresh:
                     self.waiting.appendList(fresh)
-            if earliest is not None and (timer is None or earliest + 1 < timer):
-                timer = self._move_timer(timer, earliest + 1, watermark)
-            if (now, timer) != kept:
-                self._save(now, timer)
+            self._move_timer(timer, to, watermark)
             if out:
                 yield pd.DataFrame(out, columns=columns)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             watermark = timerValues.getCurrentWatermarkInMs()
-            now, timer = self._load()
-            if timer is None or timer > watermark:
+            held = self.timer.get()
+            if not held or held[0] > watermark:
                 return    # its work was done when rows came in
-            out, now, ahead = self._apply(key, now, watermark)
-            self._save(now, self._move_timer(timer, ahead, watermark))
+            out, to = self._apply(self._load(), watermark)
+            self._move_timer(held[0], to, watermark)
             if out:
                 yield pd.DataFrame(out, columns=columns)
 

@@ -330,6 +330,20 @@ def test_idempotency_groups_share_state_and_give_the_same_rows(spark, tmpdir_pat
     assert n == 303 and held["timer"] == 2 < held["keys"]
 
 
+def test_task_groups_share_state_and_give_the_same_rows(spark, tmpdir_path):
+    """Tasks dealt into groups: one timer and one call a group; rows as with a state per task, late and forgotten ones too."""
+    import random
+    r = random.Random(6)
+    batches = [[(f"t{r.randrange(12)}", r.choice(["pending", "completed", None]), str(100 * i + n), r.randrange(max(0, 20 * i - 15), 20 * i + 20))
+                for n in range(60)] + [(None, "x", str(90 + i), None)] for i in range(3)] + [[("t1", "end", "999", 740)]]
+    s = _change_stream(spark, f"{tmpdir_path}/in", batches)
+    rows = {g: sorted(map(str, streams.replay_to_table(spark, streams.task_state_machine(s, "10 hours", groups=g), "g", rocksdb=True).collect()))
+            for g in (None, 2)}
+    assert rows[2] == rows[None] and any("late=True" in x for x in rows[2]) and any("accepted=False, late=False" in x for x in rows[2])
+    held, n = _held(spark, streams.task_state_machine(s, "10 hours", groups=2), f"{tmpdir_path}/ck", "timer", "own")
+    assert n == len(rows[2]) and held["timer"] <= 2 < held["own"]
+
+
 def test_cli_end_to_end(spark, tmpdir_path):
     from conftest import change, task_image, user_image, write_jsonl
     from tessera.plans import cli
