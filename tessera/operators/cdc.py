@@ -8,7 +8,7 @@ aside with an error text instead of failing the batch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.decode import bad_sets, decode_attributes, image_size, raw_numbers
@@ -117,12 +117,16 @@ def failed_records(classified: DataFrame) -> DataFrame:
 
 def count_outcomes(classified: DataFrame, *keys: str) -> DataFrame:
     """processed / failed / skipped counts of a classified batch (AGG-13), one aggregate."""
-    return classified.groupBy(*keys).agg(
-        F.count_if(F.col("_outcome") == "processed").alias("processed"),
-        F.count_if(F.col("_outcome") == "failed").alias("failed"),
-        F.count_if(F.col("_outcome") == "skipped").alias("skipped"),
-        F.count(F.lit(1)).alias("records"),
-    )
+    return classified.groupBy(*keys).agg(*_outcome_counts())
+
+
+def observe_outcomes(classified: DataFrame, seen: Observation) -> DataFrame:
+    """The classified batch; ``seen`` gets its counts (AGG-13) when it is written, without a pass of their own."""
+    return classified.observe(seen, *_outcome_counts())
+
+
+def _outcome_counts() -> list[Column]:
+    return [*[F.count_if(F.col("_outcome") == o).alias(o) for o in ("processed", "failed", "skipped")], F.count(F.lit(1)).alias("records")]
 
 
 def batch_counters(changes: DataFrame, batch_col: str | None = None) -> DataFrame:

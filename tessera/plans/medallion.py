@@ -30,11 +30,8 @@ def bronze_job(changes: DataFrame, bronze_root: str, quarantine_root: str, batch
     """
     bronze = f"{bronze_root.rstrip('/')}/cdc"
     seen = Observation()
-    outcome = F.col("_outcome")
     classified = cdc.classify(changes)
-    observed = classified.observe(seen, *[F.count_if(outcome == o).alias(o) for o in ("processed", "failed", "skipped")],
-                                  F.count(F.lit(1)).alias("records"))
-    sink.write_bronze(cdc.to_envelope(observed.filter(outcome == "processed"), now=now), bronze, batch)
+    sink.write_bronze(cdc.to_envelope(cdc.observe_outcomes(classified, seen).filter(F.col("_outcome") == "processed"), now=now), bronze, batch)
     counts = seen.get
     failed = cdc.failed_records(classified)
     sink.quarantine(failed if counts["failed"] else failed.limit(0), quarantine_root, batch)

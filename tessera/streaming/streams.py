@@ -14,6 +14,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from py4j.protocol import Py4JError
+from pyspark import StorageLevel
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -61,8 +64,8 @@ def changes_to_bronze_stream(changes: DataFrame, bronze_path: str, quarantine_pa
                              now: Column | None = None, dedupe: bool = True, keep_days: int | None = None) -> StreamingQuery:
     """STR-01: change stream -> bronze (gzip JSON by date) + quarantine.
 
-    One classification per micro-batch feeds both outputs and the batch
-    counters (AGG-13).  Output of batch ``n`` goes to ``batch=n`` folders
+    The batch counters (AGG-13) are observed on the write of bronze, as in the batch job; only
+    if some record failed the micro-batch is read again for the quarantine.  Output of batch ``n`` goes to ``batch=n`` folders
     with overwrite, so a replayed batch is not duplicated, and a change that
     the source delivers again is dropped and counted as ``redelivered`` (STR-03)
     unless ``dedupe`` is off.  No change is dropped for being late.  Keys of event days
@@ -72,18 +75,27 @@ def changes_to_bronze_stream(changes: DataFrame, bronze_path: str, quarantine_pa
     landed = f"{checkpoint.rstrip('/')}/landed"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        seen, new = Observation(), batch
+        seen, outcomes, new = Observation(), Observation(), batch
         if dedupe:
-            new = not_landed(batch, batch_id, landed, seen)
-        c = cdc.classify(new).persist()
+            # the keys and the changes are read one after the other: the records are parsed once, and wait on disk
+            batch.persist(StorageLevel.DISK_ONLY)
         try:
-            sink.write_bronze(cdc.to_envelope(c.filter(F.col("_outcome") == "processed"), now=now), bronze_path, batch_id)
-            sink.quarantine(cdc.failed_records(c), quarantine_path, batch_id)
-            if on_batch is not None:
+            if dedupe:
+                new = not_landed(batch, batch_id, landed, seen)
+            c = cdc.classify(new)
+            sink.write_bronze(cdc.to_envelope(cdc.observe_outcomes(c, outcomes).filter(F.col("_outcome") == "processed"), now=now),
+                              bronze_path, batch_id)
+            try:
+                counts = outcomes.get
+            except (PySparkException, Py4JError):
+                # nothing new: an adaptive plan leaves out what is empty, and its observation
                 counts = cdc.count_outcomes(c).first().asDict()
+            failed = cdc.failed_records(c)
+            sink.quarantine(failed if counts["failed"] else failed.limit(0), quarantine_path, batch_id)
+            if on_batch is not None:
                 on_batch(batch_id, counts | ({"redelivered": seen.get["records"] - counts["records"]} if dedupe else {}))
         finally:
-            c.unpersist()
+            batch.unpersist()
         if dedupe and keep_days is not None:
             forget_landed(batch.sparkSession, landed, keep_days)
 
@@ -107,21 +119,27 @@ def not_landed(batch: DataFrame, batch_id: int, landed: str, seen: Observation |
     of no day).  ``seen`` gets the number of ``records`` that came.
     """
     spark = batch.sparkSession
+    seen = Observation() if seen is None else seen
+    seq = F.col("dynamodb.SequenceNumber")
     day = F.coalesce(F.to_date("eventTime").cast("string"), F.lit(NO_DAY))
-    numbered = F.col("dynamodb.SequenceNumber").isNotNull()
-    keyed = batch.select("*", F.col("dynamodb.SequenceNumber").alias("_seq"), F.col("eventTime").cast("timestamp").alias("_at"), day.alias("day"))
-    counted = keyed.observe(seen, F.count(F.lit(1)).alias("records")) if seen is not None else keyed
-    counted.select("_seq", "_at", "day", F.lit(batch_id).cast("long").alias("batch")) \
+    keyed = batch.select(seq.alias("_seq"), F.col("eventTime").cast("timestamp").alias("_at"), day.alias("day"), F.monotonically_increasing_id().alias("_row"),
+                         F.struct(*[F.col(c) for c in batch.columns]).alias("_rec"))
+    keyed.observe(seen, F.count(F.lit(1)).alias("records")).select("_seq", "_at", "day", F.lit(batch_id).cast("long").alias("batch")) \
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(landed)
-    # the days of one micro-batch: few, however many records
-    days = [r.day for r in keyed.filter(numbered).select("day").distinct().collect()]
-    fresh = keyed.filter(numbered).dropDuplicates(["_seq", "_at"])
-    if days:
-        known = spark.read.schema(_LANDED + ", day string, batch long").option("basePath", landed) \
-            .parquet(*[f"{landed}/day={d}" for d in days]).filter(F.col("batch") < batch_id) \
-            .select(F.col("_seq").alias("_its_seq"), F.col("_at").alias("_its_at"))
-        fresh = fresh.join(known, (F.col("_seq") == F.col("_its_seq")) & F.col("_at").eqNullSafe(F.col("_its_at")), "left_anti")
-    return fresh.unionByName(keyed.filter(~numbered)).drop("_seq", "_at", "day")
+    # a row without a number is a group of its own
+    rows = keyed.select("_seq", "_at", F.when(F.col("_seq").isNull(), F.col("_row")).alias("_own"), "_row", "_rec", F.lit(False).alias("_known"))
+    if seen.get["records"]:
+        landing = spark.read.schema(_LANDED + ", day string, batch long").option("basePath", landed)
+        # the days of one micro-batch: few, however many records
+        mine = landing.parquet(f"{landed}/day=*/batch={batch_id}").filter("_seq is not null")
+        days = [r.day for r in mine.select("day").distinct().collect()]
+        if days:
+            known = landing.parquet(*[f"{landed}/day={d}" for d in days]).filter((F.col("batch") < batch_id) & F.col("_seq").isNotNull())
+            rows = rows.unionByName(known.select("_seq", "_at", F.lit(True).alias("_known")), allowMissingColumns=True)
+    # dealt by key once, then the first delivery of each; one shuffle carries the records
+    own = ["_seq", "_at", "_own"]
+    first = rows.repartition(*own).groupBy(*own).agg(F.min_by("_rec", "_row").alias("_rec"), F.max("_known").alias("_known"))
+    return first.filter(~F.col("_known")).select("_rec.*")
 
 
 def forget_landed(spark: SparkSession, landed: str, keep_days: int) -> list[str]:

@@ -151,6 +151,29 @@ def test_redelivered_changes_and_equal_broken_lines(spark, tmpdir_path):
     assert streams.forget_landed(spark, landed, 20) == ["2023-12-01"] and "day=none" in os.listdir(landed)
 
 
+def test_bronze_stream_parses_a_change_once(spark, tmpdir_path, monkeypatch):
+    """The keys, the days, the counts and both outputs read one stored copy; a delivery of which nothing is new counts as such."""
+    import time as _t
+    from pyspark.sql.types import StringType
+    passes, counts = spark.sparkContext.accumulator(0), []
+
+    @F.udf(StringType())
+    def seen(number):
+        passes.add(1)
+        return number
+    recs = [change("INSERT", str(i), new=user_image(uid=str(i)), time=f"2024-01-0{1 + i % 3}T00:00:00Z") for i in range(9)]
+    for i, some in enumerate([recs + recs[:4], recs]):
+        write_jsonl(f"{tmpdir_path}/in", some, f"{i}.json")
+        _t.sleep(1.1)
+    changes = src.read_changes(spark, f"{tmpdir_path}/in", stream=True, files_per_trigger=1)
+    parsed = changes.withColumn("dynamodb", F.col("dynamodb").withField("SequenceNumber", seen.asNondeterministic()("dynamodb.SequenceNumber")))
+    q = streams.changes_to_bronze_stream(parsed, f"{tmpdir_path}/bronze", f"{tmpdir_path}/q", f"{tmpdir_path}/ck", on_batch=lambda b, c: counts.append(c))
+    q.awaitTermination()
+    assert q.exception() is None
+    assert [(c["records"], c["processed"], c["redelivered"]) for c in counts] == [(9, 9, 4), (0, 0, 9)]
+    assert src.read_bronze(spark, f"{tmpdir_path}/bronze").count() == 9 and passes.value == 22
+
+
 def test_not_landed_runs_again_alike_and_opens_its_days_only(spark, tmpdir_path):
     recs = [change("INSERT", str(i), new=user_image(), time=f"2024-01-0{1 + i % 3}T00:00:00Z") for i in range(9)]
     batch = src.read_changes(spark, write_jsonl(f"{tmpdir_path}/d", recs))
