@@ -8,6 +8,8 @@ aside with an error text instead of failing the batch.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -125,6 +127,15 @@ def observe_outcomes(classified: DataFrame, seen: Observation) -> DataFrame:
     return classified.observe(seen, *_outcome_counts())
 
 
+def observed_outcomes(classified: DataFrame, seen: Observation) -> dict:
+    """What ``observe_outcomes`` saw."""
+    try:
+        return seen.get
+    except (PySparkException, Py4JError):
+        # no record: an adaptive plan leaves out what is empty, and its observation
+        return count_outcomes(classified).first().asDict()
+
+
 def _outcome_counts() -> list[Column]:
     return [*[F.count_if(F.col("_outcome") == o).alias(o) for o in ("processed", "failed", "skipped")], F.count(F.lit(1)).alias("records")]
 

@@ -274,11 +274,12 @@ def bronze_files_set_aside(spark, sf_dir):
     changes = fixtures.event_changes(spark, sf_dir)
     number = F.col("dynamodb.SequenceNumber").cast("bigint") % _CHANGE_FILES
     lines = changes.select(number.alias("n"), F.to_json(F.struct("eventName", "eventTime", "dynamodb")).alias("line"))
-    for damaged in (False, True):
-        # lines under the name of a compressed file: the reader fails on them
-        (lines.filter((F.col("n") == _DAMAGED) == F.lit(damaged)).repartition(_CHANGE_FILES, "n").write.partitionBy("n")
-         .text(f"{base}/{'damaged' if damaged else 'whole'}"))
-    _name_compressed(spark, f"{base}/damaged/n={_DAMAGED}")
+    # a file is the lines of one task as they come: no folders by number, for which a task sorts its lines
+    whole = lines.filter(F.col("n") != _DAMAGED).repartitionById(_CHANGE_FILES, F.abs("n").cast("int"))
+    whole.select("line").write.text(f"{base}/whole")
+    lines.filter(F.col("n") == _DAMAGED).select("line").repartition(1).write.text(f"{base}/damaged")
+    # lines under the name of a compressed file: the reader fails on them
+    _name_compressed(spark, f"{base}/damaged")
     files = [f for part in ("whole", "damaged") for f in src.change_files(spark, f"{base}/{part}")]
     done = medallion.bronze_files_job(spark, files, f"{base}/bronze", f"{base}/quarantine", "b1", attempts=1, now=F.col("eventTime"))
     landed = src.read_bronze(spark, done["bronze"]).groupBy(F.to_date("processed_at").alias("date")).agg(F.count(F.lit(1)).alias("records"))
@@ -290,6 +291,5 @@ def _name_compressed(spark, folder: str) -> None:
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(folder)
     files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in files.listStatus(root):
-        path = status.getPath()
+    for path in [status.getPath() for status in files.listStatus(root) if status.getLen()]:
         files.rename(path, jvm.org.apache.hadoop.fs.Path(root, path.getName().removesuffix(".txt") + ".json.gz"))

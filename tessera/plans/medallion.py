@@ -32,7 +32,7 @@ def bronze_job(changes: DataFrame, bronze_root: str, quarantine_root: str, batch
     seen = Observation()
     classified = cdc.classify(changes)
     sink.write_bronze(cdc.to_envelope(cdc.observe_outcomes(classified, seen).filter(F.col("_outcome") == "processed"), now=now), bronze, batch)
-    counts = seen.get
+    counts = cdc.observed_outcomes(classified, seen)
     failed = cdc.failed_records(classified)
     sink.quarantine(failed if counts["failed"] else failed.limit(0), quarantine_root, batch)
     return {"bronze": bronze} | counts

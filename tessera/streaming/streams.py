@@ -14,9 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from py4j.protocol import Py4JError
 from pyspark import StorageLevel
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -85,12 +83,7 @@ def changes_to_bronze_stream(changes: DataFrame, bronze_path: str, quarantine_pa
             c = cdc.classify(new)
             sink.write_bronze(cdc.to_envelope(cdc.observe_outcomes(c, outcomes).filter(F.col("_outcome") == "processed"), now=now),
                               bronze_path, batch_id)
-            try:
-                counts = outcomes.get
-            except (PySparkException, Py4JError):
-                # nothing new: an adaptive plan leaves out what is empty, and its observation
-                counts = cdc.count_outcomes(c).first().asDict()
-            failed = cdc.failed_records(c)
+            counts, failed = cdc.observed_outcomes(c, outcomes), cdc.failed_records(c)
             sink.quarantine(failed if counts["failed"] else failed.limit(0), quarantine_path, batch_id)
             if on_batch is not None:
                 on_batch(batch_id, counts | ({"redelivered": seen.get["records"] - counts["records"]} if dedupe else {}))

@@ -77,3 +77,27 @@ def test_a_single_bad_file_no_files_and_the_command(spark, tmpdir_path):
     out = cli.run(["bronze", "--changes", folder, "--bronze", f"{tmpdir_path}/c/bronze", "--quarantine", f"{tmpdir_path}/c/q",
                    "--batch", "b", "--set-aside"], spark)
     assert len(out["set_aside"]) == 1 and _landed(spark, f"{tmpdir_path}/c") == _numbers((0, 2))
+
+
+def test_an_empty_file_is_no_fault(spark, tmpdir_path):
+    files = src.change_files(spark, _files(f"{tmpdir_path}/in", 2, bad=(1,)))
+    open(f"{tmpdir_path}/in/part-00.json", "w").close()
+    done = _run(spark, tmpdir_path, [f"{tmpdir_path}/in/part-00.json", *files], attempts=1)
+    assert [os.path.basename(f) for f in done["set_aside"]] == ["part-01.json.gz"] and done["records"] == 2
+
+
+def test_change_files_are_written_without_sorting_their_lines(spark, tmpdir_path):
+    """Each of the query's files is one task's lines as they come, not a folder by number for which the task sorts them."""
+    import glob
+    from pyspark.sql import functions as F
+    from tessera.plans import increment_queries
+    from tessera.session import ensure_checkpoint_dir
+    spark.range(64).select(F.col("id").alias("event_id"), F.lit("2024-01-02 03:04:05").cast("timestamp").alias("ts"), (F.col("id") % 5).alias("user_id"),
+                           F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 3}').alias("props")).write.parquet(f"{tmpdir_path}/events.parquet")
+    folder = f"{ensure_checkpoint_dir(spark)}/change-files-*"
+    before = set(glob.glob(folder))
+    got = {str(r.date): r.records for r in increment_queries.bronze_files_set_aside(spark, tmpdir_path).collect()}
+    assert got == {"2024-01-02": 56, "None": 1}
+    made, = set(glob.glob(folder)) - before
+    names = [os.path.relpath(f, made) for f in glob.glob(f"{made}/[wd]*/**", recursive=True) if os.path.basename(f).startswith("part-")]
+    assert sorted(os.path.dirname(n) for n in names) == ["damaged"] + ["whole"] * 7
